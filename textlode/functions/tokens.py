@@ -6,14 +6,12 @@ row: no explode, shuffle or window is needed to number or pair tokens.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textlode.functions.cleaning import WS, clear_text
+from textlode.functions.cleaning import WS, clear_text, let
 
 
 def words(col: Column) -> Column:
@@ -58,15 +56,6 @@ def token_spans(col: Column) -> Column:
     return F.filter(spans, lambda s: s["token"] != "")
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body(value)` with `value` computed once per row.
-
-    A column captured by the lambda of an array function is evaluated again
-    for every element; bound as a lambda argument it is not.
-    """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def adjacent_pairs(tokens: Column) -> Column:
     """`array<struct<first, second, position>>` of neighbouring elements."""
     pairs = F.greatest(F.size(tokens) - 1, F.lit(0))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from textlode.functions.tokens import let
+from textlode.functions.cleaning import let
+from textlode.functions.tokens import clean_words_of
 
 
 def _double(col: Column) -> Column:
@@ -45,3 +46,51 @@ def cosine(a: Column, b: Column) -> Column:
 def rounded(score: Column, digits: int = 6) -> Column:
     """Scores are rounded before ranking, so that summation order decides no rank."""
     return F.round(score, digits) + F.lit(0.0)
+
+
+def term_bucket(term: Column, dim: int) -> Column:
+    """Bucket of a term: the first eight hex digits of its MD5, modulo `dim`."""
+    return F.pmod(F.conv(F.substring(F.md5(term), 1, 8), 16, 10).cast("long"), F.lit(dim))
+
+
+def hash_embedding(clean: Column, dim: int = 64) -> Column:
+    """Counts of a cleaned text's words per hash bucket, as a dense float vector.
+
+    The stand-in where no model is plugged in.  Blank texts give null.  All
+    within the row: the buckets are sorted, their runs counted, and the gaps
+    between the runs filled with zeros.
+    """
+
+    def zeros(n: Column) -> Column:
+        return F.array_repeat(F.lit(0.0).cast("float"), n.cast("int"))
+
+    def run_ends(buckets: Column) -> Column:
+        following = F.concat(F.slice(buckets, 2, F.size(buckets)), F.array(F.lit(-1).cast("long")))
+        pairs = F.zip_with(
+            buckets, following, lambda b, n: F.struct(b.alias("bucket"), n.alias("next"))
+        )
+        ends = F.transform(
+            pairs,
+            lambda p, i: F.when(
+                p["bucket"] != p["next"],
+                F.struct(p["bucket"].alias("bucket"), (i + 1).alias("upto")),
+            ),
+        )
+        return F.filter(ends, lambda e: e.isNotNull())
+
+    def fill(ends: Column) -> Column:
+        start = F.struct(F.lit(-1).cast("long").alias("bucket"), F.lit(0).alias("upto"))
+        before = F.concat(F.array(start), F.slice(ends, 1, F.size(ends) - 1))
+        runs = F.zip_with(
+            ends,
+            before,
+            lambda e, b: F.concat(
+                zeros(e["bucket"] - b["bucket"] - 1),
+                F.array((e["upto"] - b["upto"]).cast("float")),
+            ),
+        )
+        return let(F.flatten(runs), lambda v: F.concat(v, zeros(F.lit(dim) - F.size(v))))
+
+    buckets = F.sort_array(F.transform(clean_words_of(clean), lambda t: term_bucket(t, dim)))
+    dense = let(buckets, lambda b: F.when(F.size(b) > 0, let(run_ends(b), fill)))
+    return F.when(clean != "", dense)

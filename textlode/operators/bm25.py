@@ -28,11 +28,11 @@ def term_rows(docs: DataFrame, text: str = "clean", key: str = "doc_id") -> Data
     length can be read off the same counts as the terms.
     """
     spread = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("clean")).repartition("doc_id")
-    tokens = clean_words_of(F.col("clean"))
+    split = spread.select("doc_id", clean_words_of(F.col("clean")).alias("tokens"))
+    # The length is taken before the explode; after it, it would be taken per token.
+    sized = split.select("doc_id", F.size("tokens").alias("dl"), "tokens")
     none = F.array(F.lit(None).cast("string"))
-    return spread.select(
-        "doc_id", F.size(tokens).alias("dl"), F.explode(F.concat(tokens, none)).alias("term")
-    )
+    return sized.select("doc_id", "dl", F.explode(F.concat("tokens", none)).alias("term"))
 
 
 def lemma_rows(rows: DataFrame, lexicon: DataFrame) -> DataFrame:

@@ -34,13 +34,23 @@ def first_per_key(df: DataFrame, key: Column, order_col: str) -> DataFrame:
     return df.groupBy(key.alias("key")).agg(F.min(order_col).alias(order_col))
 
 
+def first_texts(df: DataFrame, col: str, order_col: str) -> DataFrame:
+    """`(key, order_col)` of the first row of each cleaned text `col`, blank texts left out.
+
+    Blank texts go by their key, after the grouping: a condition on the text
+    itself would be pushed down and clean every text a second time.
+    """
+    blank = F.unhex(F.sha2(F.lit(""), 256))
+    return first_per_key(df, text_key(F.col(col)), order_col).filter(F.col("key") != blank)
+
+
 def dedup_first(df: DataFrame, col: str, order_col: str) -> DataFrame:
-    """The first row, by the unique `order_col`, of each cleaned text `col`.
+    """The first row, by the unique `order_col`, of each non-blank cleaned text `col`.
 
     Winners are found on keys and ids only; the texts then meet them on the
     id, which is unique and therefore never skewed.
     """
-    winners = first_per_key(df, text_key(F.col(col)), order_col)
+    winners = first_texts(df, col, order_col)
     return df.join(winners.select(order_col), order_col, "left_semi")
 
 

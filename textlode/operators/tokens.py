@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textlode.functions.cleaning import clear_text
+from textlode.functions.cleaning import clear_text, let
 from textlode.functions.tokens import (
     clean_to_original_map,
-    let,
     phrases,
     sentences,
     slice_text,
@@ -137,14 +136,22 @@ def extract_triples(df: DataFrame, *keys: str) -> DataFrame:
     Words of one role are joined by a space; all three roles must occur.
     """
 
-    def role(rel: str):
-        members = F.filter("tokens", lambda t: t["rel"] == rel)
+    def role(tokens, rel: str):
+        members = F.filter(tokens, lambda t: t["rel"] == rel)
         return F.array_join(F.transform(members, lambda t: t["lemma"]), " ")
 
-    roles = df.select(
-        *keys, role("nsubj").alias("subj"), role("root").alias("verb"), role("obj").alias("obj")
+    # The condition sits inside the generator; as a filter it would be pushed
+    # below it and evaluate the tokens again for every role.
+    triples = F.transform(
+        F.array("tokens"),
+        lambda t: F.struct(
+            role(t, "nsubj").alias("subj"), role(t, "root").alias("verb"), role(t, "obj").alias("obj")
+        ),
+    )
+    complete = F.filter(
+        triples, lambda r: (r["subj"] != "") & (r["verb"] != "") & (r["obj"] != "")
     )
-    return roles.filter((F.col("subj") != "") & (F.col("verb") != "") & (F.col("obj") != ""))
+    return df.select(*keys, F.inline(complete))
 
 
 def nested_document(df: DataFrame, text: str, entities: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -8,59 +8,24 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from textlode.functions.cleaning import collapse_ends
-from textlode.functions.tokens import clean_words_of
 from textlode.functions.vectors import cosine, rounded
 from textlode.operators.joins import lookup_join, top_per_group
 
-# Query matrices of at most this many numbers (32 MB) go to every task.
-QUERY_VALUES = 4_000_000
+# Query tables of at most this many rows go to every task as one matrix.
+QUERY_ROWS = 4_096
 # Vectors of one block of the block join.
 BLOCK_VECTORS = 20_000
 # Scores computed at a time.
 SCORE_VALUES = 4_000_000
 
 
-def term_bucket(term: Column, dim: int) -> Column:
-    """Bucket of a term: the first eight hex digits of its MD5, modulo `dim`."""
-    return F.pmod(F.conv(F.substring(F.md5(term), 1, 8), 16, 10).cast("long"), F.lit(dim))
-
-
-def embed_hash(
-    df: DataFrame, key: str, text: str, dim: int = 64, colocated: bool = False
-) -> DataFrame:
-    """`(key, embedding)`: counts of the cleaned text's words per hash bucket.
-
-    The stand-in where no model is plugged in.  Blank texts get a null
-    vector.  `colocated` says that the rows are already partitioned by key.
-    """
-    rows = df.select(key, text)
-    if not colocated:
-        rows = rows.repartition(key)
-    # One marker per bucket, spelt unlike any cleaned word, makes the vector dense.
-    markers = F.array(*[F.lit(f"#{i}") for i in range(dim)])
-    tokens = rows.select(key, F.explode(F.concat(clean_words_of(F.col(text)), markers)).alias("term"))
-    marker = F.col("term").startswith("#")
-    bucket = F.when(marker, F.substring("term", 2, 10).cast("long")).otherwise(
-        term_bucket(F.col("term"), dim)
-    )
-    weights = tokens.groupBy(key, bucket.alias("bucket")).agg(
-        F.sum(F.when(marker, 0.0).otherwise(1.0)).alias("weight")
-    )
-    dense = F.transform(
-        F.array_sort(F.collect_list(F.struct("bucket", "weight"))),
-        lambda x: x["weight"].cast("float"),
-    )
-    return weights.groupBy(key).agg(
-        F.when(F.sum("weight") > 0, dense).alias("embedding")
-    )
-
-
 def embed_with(
     df: DataFrame, text: str, encode: Callable[[list[str]], np.ndarray], out: str = "embedding"
 ) -> DataFrame:
@@ -163,7 +128,6 @@ def top_k_vectors(
     metric: str = "ip",
     key: str = "doc_id",
     vec: str = "embedding",
-    dim: int | None = None,
     digits: int = 6,
 ) -> DataFrame:
     """Exact top-k of every query: `(query_id, <key>, score, rank)`.
@@ -178,12 +142,6 @@ def top_k_vectors(
     """
     queries = queries.select("query_id", vec).filter(F.col(vec).isNotNull())
     vectors = vectors.select(key, vec).filter(F.col(vec).isNotNull())
-    if dim is None:
-        head = queries.select(F.size(vec).alias("dim")).head()
-        dim = head["dim"] if head else 1
-    queries = queries.filter(F.size(vec) == dim)
-    vectors = vectors.filter(F.size(vec) == dim)
-    fitting = max(1, QUERY_VALUES // max(dim, 1))
     schema = T.StructType(
         [
             T.StructField("query_id", queries.schema["query_id"].dataType),
@@ -191,11 +149,16 @@ def top_k_vectors(
             T.StructField("score", T.DoubleType()),
         ]
     )
-    sample = queries.limit(fitting + 1).toArrow()
-    if sample.num_rows <= fitting:
+    sample = queries.limit(QUERY_ROWS + 1).toArrow()
+    widths = pc.list_value_length(sample.column(1))
+    if pc.count_distinct(widths).as_py() > 1:
+        raise ValueError("query vectors differ in width")
+    dim = widths[0].as_py() if sample.num_rows else 0
+    vectors = vectors.filter(F.size(vec) == dim)
+    if sample.num_rows <= QUERY_ROWS:
         best = _broadcast_top_k(sample, vectors, k, metric, digits, schema)
     else:
-        best = _block_top_k(queries, vectors, k, metric, digits, schema, fitting)
+        best = _block_top_k(queries, vectors, k, metric, digits, schema)
     top = top_per_group(best, ["query_id"], [F.desc("score"), F.asc(key)], k)
     if metric == "l2":
         top = top.withColumn("score", F.lit(0.0) - F.col("score"))
@@ -230,9 +193,9 @@ def _broadcast_top_k(queries: pa.Table, vectors, k, metric, digits, schema) -> D
     return vectors.mapInArrow(scan, schema)
 
 
-def _block_top_k(queries, vectors, k, metric, digits, schema, fitting) -> DataFrame:
+def _block_top_k(queries, vectors, k, metric, digits, schema) -> DataFrame:
     key, vec = vectors.columns
-    q_blocks = math.ceil(queries.count() / fitting) * 2
+    q_blocks = math.ceil(queries.count() / QUERY_ROWS) * 2
     v_blocks = max(1, math.ceil(vectors.count() / BLOCK_VECTORS))
 
     def block(col: str, n: int) -> Column:

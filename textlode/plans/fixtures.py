@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textlode.sources.store import read_spread
+
 LEMMA_LEXICON = """
 SELECT * FROM (VALUES
  ('is', 'be', 'VERB'), ('are', 'be', 'VERB'), ('was', 'be', 'VERB'), ('ist', 'sein', 'VERB'),
@@ -46,8 +48,13 @@ POSITIVE_WORDS = ["good", "the", "und", "que", "with"]
 NEGATIVE_WORDS = ["bad", "of", "der", "les", "not"]
 
 
+# Key columns of the text tables.
+KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return read_spread(spark, path, KEYS[name]) if name in KEYS else spark.read.parquet(path)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

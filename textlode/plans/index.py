@@ -3,35 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textlode.functions.cleaning import clear_text, processed_text
-from textlode.functions.vectors import l2_normalize
-from textlode.operators.corpus import dedup_first
+from textlode.functions.tokens import word_count
+from textlode.functions.vectors import hash_embedding, l2_normalize
+from textlode.operators.corpus import dedup_first, first_texts
 from textlode.operators.filters import words_between
 from textlode.operators.tokens import analyze, annotate_tokens, rebuild_truncated, token_rows
-from textlode.operators.vectors import embed_hash, embed_with
-from textlode.sources.store import write_version
-
-
-@dataclass
-class Corpus:
-    """`documents` nest their tokens, `tokens` has one row each, `vectors` are unit length."""
-
-    documents: DataFrame
-    tokens: DataFrame
-    vectors: DataFrame
-
-    def write(self, spark: SparkSession, base: str) -> int:
-        return write_version(
-            spark,
-            base,
-            {"documents": self.documents, "tokens": self.tokens, "vectors": self.vectors},
-        )
+from textlode.operators.vectors import embed_with
+from textlode.sources.store import cluster_tokens, settle, write_version
 
 
 def select_posts(
@@ -44,50 +28,76 @@ def select_posts(
     return dedup_first(keyed, "_clean", "doc_id").drop("_clean")
 
 
-def build_corpus(
+def analyze_posts(df: DataFrame, text: str = "text", max_tokens: int = 30, **limits) -> DataFrame:
+    """`(doc_id, original_text, cleaned_text, mapping, tokens)` of the selected posts."""
+    analyzed = rebuild_truncated(analyze(select_posts(df, text, **limits), text), max_tokens)
+    return analyzed.select(
+        "doc_id", F.col(text).alias("original_text"), "cleaned_text", "mapping", "tokens"
+    )
+
+
+def token_table(documents: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """One row per token of the nested documents, with lemma and part of speech."""
+    return annotate_tokens(token_rows(documents, "doc_id"), lexicon).select(
+        "doc_id", "position", "token", "lemma", "pos",
+        "start_clean", "end_clean", "start_orig", "end_orig",
+    )
+
+
+def vector_table(
+    documents: DataFrame, encode: Callable[[list[str]], np.ndarray] | None = None, dim: int = 64
+) -> DataFrame:
+    """Unit vectors of the cleaned texts; without a model, of their hashed word counts."""
+    if encode is None:
+        embedded = documents.withColumn("embedding", hash_embedding(F.col("cleaned_text"), dim))
+    else:
+        embedded = embed_with(documents, "cleaned_text", encode)
+    unit = l2_normalize(F.col("embedding")).cast("array<float>")
+    return embedded.select("doc_id", unit.alias("embedding"))
+
+
+def load_corpus(
     df: DataFrame,
+    base: str,
     lexicon: DataFrame,
     text: str = "text",
     encode: Callable[[list[str]], np.ndarray] | None = None,
     dim: int = 64,
     max_tokens: int = 30,
     **limits,
-) -> Corpus:
-    """The whole load: select, deduplicate, analyse, truncate, annotate, embed.
+) -> int:
+    """The whole load of `df(doc_id, <text>)` into a new version of the corpus in `base`.
 
-    `df(doc_id, <text>)`; `encode` is the embedding model as a batch function,
-    without it the hashed word counts stand in.
+    Posts are selected, deduplicated, analysed and truncated once; tokens and
+    vectors are made from the documents as written.
     """
-    posts = select_posts(df, text, **limits)
-    analyzed = rebuild_truncated(analyze(posts, text), max_tokens)
-    documents = analyzed.select(
-        "doc_id", F.col(text).alias("original_text"), "cleaned_text", "mapping", "tokens"
-    )
-    tokens = annotate_tokens(token_rows(documents, "doc_id"), lexicon).select(
-        "doc_id", "position", "token", "lemma", "pos",
-        "start_clean", "end_clean", "start_orig", "end_orig",
+    documents = settle(analyze_posts(df, text, max_tokens, **limits))
+    return write_version(
+        df.sparkSession,
+        base,
+        {
+            "documents": documents,
+            "tokens": cluster_tokens(token_table(documents, lexicon)),
+            "vectors": vector_table(documents, encode, dim),
+        },
     )
-    if encode is None:
-        embedded = embed_hash(documents, "doc_id", "cleaned_text", dim)
-    else:
-        embedded = embed_with(documents, "cleaned_text", encode)
-    vectors = embedded.select(
-        "doc_id", l2_normalize(F.col("embedding")).cast("array<float>").alias("embedding")
-    )
-    return Corpus(documents, tokens, vectors)
 
 
-def ingest_statuses(df: DataFrame, text: str = "text", **limits) -> DataFrame:
+def ingest_statuses(
+    df: DataFrame,
+    text: str = "text",
+    low: int = 1,
+    high: int = 30,
+    max_chars: int | None = 500,
+) -> DataFrame:
     """`(doc_id, status)`: stored, duplicate, or skipped for its length."""
-    low, high = limits.get("low", 1), limits.get("high", 30)
-    max_chars = limits.get("max_chars", 500)
-    limited = df.select("doc_id", text, processed_text(F.col(text), max_chars).alias("_limited"))
-    valid = words_between(limited, "_limited", low, high).withColumn("_clean", clear_text(F.col(text)))
-    stored = dedup_first(valid, "_clean", "doc_id").select("doc_id", F.lit("stored").alias("kept"))
-    in_limits = valid.select("doc_id", F.lit("duplicate").alias("valid"))
-    return (
-        df.select("doc_id")
-        .join(stored, "doc_id", "left")
-        .join(in_limits, "doc_id", "left")
-        .select("doc_id", F.coalesce("kept", "valid", F.lit("skipped")).alias("status"))
+    n_words = word_count(processed_text(F.col(text), max_chars))
+    clean = F.when(n_words.between(low, high), clear_text(F.col(text)))
+    keyed = df.select("doc_id", clean.alias("clean"))
+    winners = first_texts(keyed, "clean", "doc_id").select("doc_id", F.lit(True).alias("first"))
+    status = (
+        F.when(F.col("clean").isNull(), F.lit("skipped"))
+        .when(F.col("first"), F.lit("stored"))
+        .otherwise(F.lit("duplicate"))
     )
+    return keyed.join(winners, "doc_id", "left").select("doc_id", status.alias("status"))

@@ -93,8 +93,7 @@ def sink_csv_roundtrip(spark, sf):
 @query
 def write_corpus(spark, sf):
     base = fresh_dir(spark, "corpus")
-    built = index.build_corpus(X.turns(spark, sf), spark.sql(X.LEMMA_LEXICON))
-    built.write(spark, base)
+    index.load_corpus(X.turns(spark, sf), base, spark.sql(X.LEMMA_LEXICON))
     tokens = store.read_version(spark, base, "tokens")
     documents = store.read_version(spark, base, "documents").select("doc_id", "cleaned_text")
     columns = ["doc_id", "cleaned_text", "position", "token", "lemma", "pos", "start_clean", "end_clean"]
@@ -489,7 +488,8 @@ def _vector_rows(df: DataFrame, key: str, col: str = "embedding") -> DataFrame:
 
 @query
 def embed_hash(spark, sf):
-    return _vector_rows(E.embed_hash(_cleaned(spark, sf, C.clear_text), "doc_id", "clean"), "doc_id")
+    docs = _cleaned(spark, sf, C.clear_text)
+    return _vector_rows(docs.select("doc_id", V.hash_embedding(F.col("clean")).alias("embedding")), "doc_id")
 
 
 def _centroids(spark, sf) -> DataFrame:
@@ -613,8 +613,8 @@ def fragment_search(spark, sf):
 
 def _turn_pairs(spark, sf) -> DataFrame:
     """Each turn with the one before it, cleaned, and the cosine of their vectors."""
-    vectors = E.embed_hash(_clean_turns(spark, sf), "doc_id", "clean")
-    turns = _clean_turns(spark, sf).join(vectors, "doc_id")
+    clean = _clean_turns(spark, sf)
+    turns = clean.withColumn("embedding", V.hash_embedding(F.col("clean")))
     before = turns.select(
         (F.col("doc_id") + 1).alias("doc_id"),
         F.col("clean").alias("clean_before"),
@@ -675,7 +675,7 @@ def token_vector_search(spark, sf):
     vectors = X.table(spark, sf, "embeddings")
     n_vectors = vectors.count()
     tokens = occurrences.select("token").distinct().withColumn(
-        "vec_id", E.term_bucket(F.col("token"), n_vectors)
+        "vec_id", V.term_bucket(F.col("token"), n_vectors)
     )
     token_vectors = lookup_join(tokens, vectors.select("vec_id", "embedding"), ["vec_id"])
     return search.token_vector_search(
@@ -798,7 +798,7 @@ def distinct_rows(spark, sf):
 @query
 def dedup_first(spark, sf):
     cleaned = _cleaned(spark, sf, C.clear_text)
-    return corpus.dedup_first(cleaned.filter(F.col("clean") != ""), "clean", "doc_id")
+    return corpus.dedup_first(cleaned, "clean", "doc_id")
 
 
 @query

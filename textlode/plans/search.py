@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 
 from textlode.functions.cleaning import clean_social, clear_text
 from textlode.functions.tokens import clean_words_of, context_window, sentences
-from textlode.functions.vectors import cosine, l2_normalize, rounded, squared_l2
+from textlode.functions.vectors import cosine, hash_embedding, l2_normalize, rounded, squared_l2
 from textlode.operators import ranking as R
 from textlode.operators.bm25 import bm25_top_n, lemma_rows, query_terms, term_rows
 from textlode.operators.filters import min_chars, min_words
 from textlode.operators.joins import BROADCAST_ROWS, hinted_join, top_per_group
 from textlode.operators.lexicon import expand_synonyms, query_lemmas
-from textlode.operators.vectors import embed_hash, top_k_vectors
+from textlode.operators.vectors import top_k_vectors
+from textlode.sources.store import settle
 
 
 def semantic_search(
@@ -57,9 +58,10 @@ def _with_vectors(
 ) -> DataFrame:
     """Candidates with `query_vec` and `doc_vec`; only candidate documents are embedded."""
     wanted = hinted_join(docs, candidates.select("doc_id").distinct(), ["doc_id"], "left_semi", fits)
-    doc_vecs = embed_hash(wanted, "doc_id", "clean", dim).withColumnRenamed("embedding", "doc_vec")
-    texts = queries.select("query_id", clear_text(F.col("text")).alias("clean"))
-    query_vecs = embed_hash(texts, "query_id", "clean", dim).withColumnRenamed("embedding", "query_vec")
+    doc_vecs = wanted.select("doc_id", hash_embedding(F.col("clean"), dim).alias("doc_vec"))
+    query_vecs = queries.select(
+        "query_id", hash_embedding(clear_text(F.col("text")), dim).alias("query_vec")
+    )
     return candidates.join(doc_vecs, "doc_id").join(query_vecs, "query_id")
 
 
@@ -155,22 +157,28 @@ def fragment_search(
     """
     fits = _bounded(queries, 10 * top_k)
     fragments = social_fragments(docs)
-    unit = l2_normalize(F.col("embedding")).cast("array<float>").alias("embedding")
-    # Sentences keep `.,!?`; the words to embed are those of the full cleaning.
-    texts = fragments.withColumn("clean", clear_text(F.col("fragment")))
-    vectors = embed_hash(texts, "fragment", "clean", dim, colocated=True)
+
+    def unit(text: str):
+        # Sentences keep `.,!?`; the words to embed are those of the full cleaning.
+        vector = hash_embedding(clear_text(F.col(text)), dim)
+        return l2_normalize(vector).cast("array<float>").alias("embedding")
+
     asked = queries.select("query_id", clean_social(F.col("text")).alias("asked"))
-    asked_texts = asked.withColumn("clean", clear_text(F.col("asked")))
-    query_vecs = embed_hash(asked_texts, "query_id", "clean", dim).select("query_id", unit)
     near = top_k_vectors(
-        query_vecs, vectors.select("fragment", unit), 10 * top_k, "ip", "fragment"
+        asked.select("query_id", unit("asked")),
+        fragments.select("fragment", unit("fragment")),
+        10 * top_k,
+        "ip",
+        "fragment",
     ).filter(F.col("score") >= min_score)
     scored = near.join(asked, "query_id").select(
         "query_id",
         "fragment",
         rounded(R.relevance(F.col("score"), R.string_ratio("asked", "fragment"))).alias("similarity"),
     )
-    best = top_per_group(scored, ["query_id"], [F.desc("similarity"), F.asc("fragment")], top_k)
+    best = settle(
+        top_per_group(scored, ["query_id"], [F.desc("similarity"), F.asc("fragment")], top_k)
+    )
     # The containing document does not change the order, so only the winners need one.
     posts = docs.select("doc_id", clean_social(F.col("text")).alias("text"))
     posts = min_chars(posts, "text")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textlode.schemas import SEARCH_LOG
+from textlode.session import fresh_dir
 
 COMMITTED = "_COMMITTED"
 
@@ -56,6 +57,29 @@ def require_version(spark: SparkSession, base: str) -> int:
     return found[-1]
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """`df` written to the shared folder and read back.
+
+    For a table several jobs go on from: it is computed once, and a lost
+    executor does not bring its whole lineage back.
+    """
+    spark = df.sparkSession
+    path = fresh_dir(spark, "settled")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def read_spread(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """A Parquet table in at least as many pieces as there are cores.
+
+    A table of many files or row groups is read as it is.  One of few, which
+    would keep most cores idle, is spread by its key right after the scan.
+    """
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def read_version(spark: SparkSession, base: str, name: str, version: int | None = None) -> DataFrame:
     number = require_version(spark, base) if version is None else version
     return spark.read.parquet(f"{base}/v={number}/{name}")

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textlode.functions.cleaning import clear_text, processed_text
-from textlode.operators.corpus import first_per_key, text_key
+from textlode.operators.corpus import first_texts
 from textlode.operators.filters import words_between
 from textlode.operators.joins import lookup_join
 from textlode.sources.store import exists
 
-# Keys are stored by their first byte, so that a small batch reads few files.
+# Keys are stored by their first hex digit, in 16 folders per batch.
 PREFIX = "prefix"
 
 
@@ -25,8 +25,8 @@ def prepare(df: DataFrame, text: str, low: int, high: int | None, max_chars: int
 
 def new_keys(batch: DataFrame, stored: DataFrame | None, order_col: str) -> DataFrame:
     """`(key, <order_col>)`: first row of each text of the batch that is not stored yet."""
-    firsts = first_per_key(batch, text_key(F.col("cleaned_text")), order_col)
-    firsts = firsts.withColumn(PREFIX, F.concat(F.lit("p"), F.hex(F.substring("key", 1, 1))))
+    firsts = first_texts(batch, "cleaned_text", order_col)
+    firsts = firsts.withColumn(PREFIX, F.concat(F.lit("p"), F.substring(F.hex("key"), 1, 1)))
     if stored is None:
         return firsts
     # The stored keys are only read; what moves is the batch and its matches.
