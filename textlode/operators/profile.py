@@ -5,11 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textlode.functions.cleaning import clear_text
+from textlode.functions.cleaning import clear_text, let
 from textlode.functions.tokens import clean_words_of, words
 from textlode.operators.joins import top_per_group
 
 
+def _two_decimals(x: Column) -> Column:
+    """`x` >= 1 rounded to two decimals by its exact binary value, halves to even.
+
+    The built-in rounding goes by the shortest decimal spelling and so takes
+    5.025, whose binary value lies above the half, for a half.  Scaled by a
+    power of two, the double becomes a whole number without loss.
+    """
+
+    def rounded(shift: Column) -> Column:
+        scaled = (x * F.pow(F.lit(2.0), shift)).cast("long") * 100
+        unit = F.pow(F.lit(2.0), shift).cast("long")
+        whole = F.floor(scaled / unit)
+        # The division above is inexact, so the remainder settles the last unit.
+        whole = whole - F.when(whole * unit > scaled, 1).otherwise(0)
+        rest = (scaled - whole * unit) * 2
+        up = (rest > unit) | ((rest == unit) & (whole % 2 == 1))
+        return (whole + F.when(up, 1).otherwise(0)) / 100
+
+    return let((53 - F.floor(F.log2(x))).cast("int"), rounded)
+
+
 def text_stats(df: DataFrame, col: str) -> DataFrame:
     """Adds length and word statistics of the cleaned text; null or '' gives zeros."""
     clean = df.withColumn("_clean", clear_text(F.coalesce(F.col(col), F.lit(""))))
@@ -17,7 +38,7 @@ def text_stats(df: DataFrame, col: str) -> DataFrame:
     sizes = split.withColumn("_sizes", F.transform("_words", F.length))
     n_words = F.size("_words")
     chars = F.aggregate("_sizes", F.lit(0), lambda acc, n: acc + n)
-    average = F.when(n_words > 0, F.bround(chars / n_words, 2)).otherwise(F.lit(0.0))
+    average = F.when(n_words > 0, _two_decimals(chars / n_words)).otherwise(F.lit(0.0))
     return sizes.withColumns(
         {
             "length": F.length("_clean"),

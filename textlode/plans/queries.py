@@ -328,7 +328,7 @@ def char_map(spark, sf):
     mapped = X.turns(spark, sf).select(
         "doc_id", T.clean_to_original_map(F.col("text")).alias("mapping")
     )
-    return mapped.select("doc_id", F.posexplode("mapping").alias("at", "original"))
+    return mapped.select("doc_id", F.posexplode("mapping").alias("clean_at", "original"))
 
 
 def _analyzed_turns(spark, sf) -> DataFrame:
@@ -679,7 +679,7 @@ def token_vector_search(spark, sf):
     )
     token_vectors = lookup_join(tokens, vectors.select("vec_id", "embedding"), ["vec_id"])
     return search.token_vector_search(
-        _centroids(spark, sf), occurrences, token_vectors.select("token", "embedding"), 5, 0.1
+        _centroids(spark, sf), occurrences, token_vectors.select("token", "embedding"), 5, 0.05
     )
 
 
