@@ -38,12 +38,9 @@ def embed_with(
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            filled = texts.fillna("").str.strip() != ""
-            result = pd.Series([None] * len(texts), index=texts.index, dtype=object)
-            if filled.any():
-                made = np.asarray(encode(texts[filled].tolist()), dtype=np.float32)
-                result[filled] = list(made)
-            yield result
+            filled = [t for t in texts if t]
+            made = iter(np.asarray(encode(filled), dtype=np.float32) if filled else ())
+            yield pd.Series([next(made) if t else None for t in texts])
 
     return df.withColumn(out, vectors(collapse_ends(F.col(text))))
 
