@@ -33,7 +33,7 @@ HEADLINE = [
     "fragment_search",
     "phrase_positions",
 ]
-REPEATS = 3
+REPEATS = 2
 
 
 def run(spark, name: str, sf_dir: str) -> float:

@@ -18,6 +18,17 @@ from textlode.functions.tokens import (
 from textlode.operators.joins import BROADCAST_ROWS, hinted_join, lookup_join, within
 
 
+def explode_rows(df: DataFrame, array: str, at: str, item: str, *keys: str) -> DataFrame:
+    """`(keys.., <at>, <item>)`, one row per element of a computed array column.
+
+    The plain explode of a column makes the optimizer filter for non-empty
+    arrays, and that filter is pushed down and computes the array once more;
+    the outer form with the condition behind it does not.
+    """
+    rows = df.select(*keys, F.posexplode_outer(array).alias(at, item))
+    return rows.filter(F.col(at).isNotNull())
+
+
 def split_sentences(df: DataFrame, text: str, *keys: str) -> DataFrame:
     """`(keys.., sent, sentence)`, one row per sentence."""
     return df.select(*keys, F.posexplode(sentences(F.col(text))).alias("sent", "sentence"))
@@ -52,8 +63,7 @@ def analyze(df: DataFrame, text: str = "text") -> DataFrame:
 
 def token_rows(analyzed: DataFrame, *keys: str) -> DataFrame:
     """`(keys.., position, token, start_clean, ..)`, one row per token."""
-    exploded = analyzed.select(*keys, F.posexplode("tokens").alias("position", "t"))
-    return exploded.select(*keys, "position", "t.*")
+    return explode_rows(analyzed, "tokens", "position", "t", *keys).select(*keys, "position", "t.*")
 
 
 def annotate_tokens(rows: DataFrame, lexicon: DataFrame, token: str = "token") -> DataFrame:

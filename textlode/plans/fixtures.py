@@ -48,13 +48,12 @@ POSITIVE_WORDS = ["good", "the", "und", "que", "with"]
 NEGATIVE_WORDS = ["bad", "of", "der", "les", "not"]
 
 
-# Key columns of the text tables.
-KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+TEXT_TABLES = ["documents", "pages", "conversations"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir}/{name}.parquet"
-    return read_spread(spark, path, KEYS[name]) if name in KEYS else spark.read.parquet(path)
+    return read_spread(spark, path) if name in TEXT_TABLES else spark.read.parquet(path)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

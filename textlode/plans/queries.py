@@ -328,7 +328,7 @@ def char_map(spark, sf):
     mapped = X.turns(spark, sf).select(
         "doc_id", T.clean_to_original_map(F.col("text")).alias("mapping")
     )
-    return mapped.select("doc_id", F.posexplode("mapping").alias("clean_at", "original"))
+    return K.explode_rows(mapped, "mapping", "clean_at", "original", "doc_id")
 
 
 def _analyzed_turns(spark, sf) -> DataFrame:
@@ -415,9 +415,7 @@ def nested_document(spark, sf):
 
 @query
 def slice_original(spark, sf):
-    rows = K.analyze(X.turns(spark, sf).select("doc_id", "text")).select(
-        "doc_id", "text", F.posexplode("tokens").alias("position", "t")
-    )
+    rows = K.explode_rows(_analyzed_turns(spark, sf), "tokens", "position", "t", "doc_id", "text")
     cut = T.slice_text(F.col("text"), F.col("t.start_orig"), F.col("t.end_orig"))
     return rows.select("doc_id", "position", cut.alias("slice"))
 
@@ -482,7 +480,7 @@ def _clean_turns(spark, sf) -> DataFrame:
 
 
 def _vector_rows(df: DataFrame, key: str, col: str = "embedding") -> DataFrame:
-    exploded = df.select(key, F.posexplode(col).alias("dim", "x"))
+    exploded = K.explode_rows(df, col, "dim", "x", key)
     return exploded.select(key, "dim", V.rounded(F.col("x").cast("double")).alias("x"))
 
 

@@ -69,15 +69,15 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def read_spread(spark: SparkSession, path: str, key: str) -> DataFrame:
+def read_spread(spark: SparkSession, path: str) -> DataFrame:
     """A Parquet table in at least as many pieces as there are cores.
 
     A table of many files or row groups is read as it is.  One of few, which
-    would keep most cores idle, is spread by its key right after the scan.
+    would keep most cores idle, is dealt out to all cores after the scan.
     """
     df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def read_version(spark: SparkSession, base: str, name: str, version: int | None = None) -> DataFrame:
