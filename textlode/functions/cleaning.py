@@ -128,7 +128,7 @@ def clean_social(col: Column) -> Column:
     cut = F.regexp_replace(
         F.coalesce(col, F.lit("")), rf"http[^{WS}]+|www[^{WS}]+|@[{WORD}]+|#[{WORD}]+", ""
     )
-    return F.lower(collapse(F.regexp_replace(cut, f"[^{WORD}{WS}.,!?]", " ")))
+    return F.lower(F.trim(F.regexp_replace(cut, f"[^{WORD}.,!?]+", " ")))
 
 
 def clean_simple(col: Column) -> Column:

@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from textlode.functions.cleaning import let
-from textlode.functions.tokens import clean_words_of
 
 
 def _double(col: Column) -> Column:
@@ -29,18 +28,23 @@ def norm(a: Column) -> Column:
 
 def l2_normalize(a: Column) -> Column:
     """Unit-length copy; a zero vector stays as it is."""
-    return let(
-        norm(a),
-        lambda n: F.transform(_double(a), lambda x: F.when(n == 0, x).otherwise(x / n)),
-    )
+
+    def scale(v: Column, n: Column) -> Column:
+        return F.transform(v, lambda x: F.when(n == 0, x).otherwise(x / n))
+
+    return let(_double(a), lambda v: let(norm(v), lambda n: scale(v, n)))
 
 
 def cosine(a: Column, b: Column) -> Column:
     """Cosine similarity; 0 when either vector has no length."""
-    return let(
-        norm(a) * norm(b),
-        lambda n: F.when(n == 0, F.lit(0.0)).otherwise(dot(a, b) / n),
-    )
+
+    def ratio(x: Column, y: Column) -> Column:
+        return let(
+            norm(x) * norm(y),
+            lambda n: F.when(n == 0, F.lit(0.0)).otherwise(dot(x, y) / n),
+        )
+
+    return let(_double(a), lambda x: let(_double(b), lambda y: ratio(x, y)))
 
 
 def rounded(score: Column, digits: int = 6) -> Column:
@@ -91,6 +95,8 @@ def hash_embedding(clean: Column, dim: int = 64) -> Column:
         )
         return let(F.flatten(runs), lambda v: F.concat(v, zeros(F.lit(dim) - F.size(v))))
 
-    buckets = F.sort_array(F.transform(clean_words_of(clean), lambda t: term_bucket(t, dim)))
-    dense = let(buckets, lambda b: F.when(F.size(b) > 0, let(run_ends(b), fill)))
-    return F.when(clean != "", dense)
+    def dense(text: Column) -> Column:
+        buckets = F.sort_array(F.transform(F.split(text, " "), lambda t: term_bucket(t, dim)))
+        return F.when(text != "", let(buckets, lambda b: let(run_ends(b), fill)))
+
+    return let(clean, dense)

@@ -53,7 +53,7 @@ def triple_match(
     """Candidates `(query_id, doc_id, ..)` sharing at least one triple with their query."""
     roles = ["subj", "verb", "obj"]
     shared = lookup_join(
-        doc_triples.select("doc_id", *roles).distinct(),
+        doc_triples.select("doc_id", *roles),
         query_triples.select("query_id", *roles).distinct(),
         roles,
     )
@@ -151,9 +151,8 @@ def phrase_positions(
     `phrases(doc_id, type, lemma, start, stop)` meets `terms(query_id, term)`
     on the lemma, within the documents of `scores(query_id, doc_id, score)`.
     """
-    wanted = hinted_join(phrases, scores.select("doc_id").distinct(), ["doc_id"], "left_semi", fits)
     listed = terms.select("query_id", F.col("term").alias("lemma")).distinct()
-    located = lookup_join(wanted, listed, ["lemma"])
+    located = lookup_join(phrases, listed, ["lemma"])
     return hinted_join(
         located, scores.select("query_id", "doc_id", "score"), ["query_id", "doc_id"], "inner", fits
     ).select("query_id", "doc_id", "type", "lemma", "start", "stop", "score")

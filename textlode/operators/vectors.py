@@ -137,8 +137,10 @@ def top_k_vectors(
     A query matrix of checked size is sent to all tasks.  Beyond that, both
     sides are cut into blocks of bounded size that meet pairwise.
     """
-    queries = queries.select("query_id", vec).filter(F.col(vec).isNotNull())
-    vectors = vectors.select(key, vec).filter(F.col(vec).isNotNull())
+    # Missing and odd vectors are left out inside the scan: as filters, the
+    # conditions would be pushed down and compute every vector once more.
+    queries = queries.select("query_id", vec)
+    vectors = vectors.select(key, vec)
     schema = T.StructType(
         [
             T.StructField("query_id", queries.schema["query_id"].dataType),
@@ -147,11 +149,6 @@ def top_k_vectors(
         ]
     )
     sample = queries.limit(QUERY_ROWS + 1).toArrow()
-    widths = pc.list_value_length(sample.column(1))
-    if pc.count_distinct(widths).as_py() > 1:
-        raise ValueError("query vectors differ in width")
-    dim = widths[0].as_py() if sample.num_rows else 0
-    vectors = vectors.filter(F.size(vec) == dim)
     if sample.num_rows <= QUERY_ROWS:
         best = _broadcast_top_k(sample, vectors, k, metric, digits, schema)
     else:
@@ -163,12 +160,11 @@ def top_k_vectors(
 
 
 def _broadcast_top_k(queries: pa.Table, vectors, k, metric, digits, schema) -> DataFrame:
-    query_ids = np.array(queries.column(0).to_pylist())
-    matrix = (
-        _matrix(queries.column(1).combine_chunks())
-        if queries.num_rows
-        else np.empty((0, 0))
-    )
+    queries = queries.filter(pc.is_valid(queries.column(1))).combine_chunks()
+    if pc.count_distinct(pc.list_value_length(queries.column(1))).as_py() > 1:
+        raise ValueError("query vectors differ in width")
+    query_ids = queries.column(0).to_numpy()
+    matrix = _matrix(queries.column(1).chunk(0)) if queries.num_rows else np.empty((0, 0))
     shared = vectors.sparkSession.sparkContext.broadcast((query_ids, matrix))
     out = to_arrow_schema(schema)
 
@@ -176,9 +172,11 @@ def _broadcast_top_k(queries: pa.Table, vectors, k, metric, digits, schema) -> D
         names, against = shared.value
         state = None
         for batch in batches:
+            fitting = pc.equal(pc.list_value_length(batch.column(1)), against.shape[1])
+            batch = batch.filter(fitting, null_selection_behavior="drop")
             if batch.num_rows == 0 or len(names) == 0:
                 continue
-            ids = np.array(batch.column(0).to_pylist())
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
             state = _batch_best(state, against, ids, _matrix(batch.column(1)), k, metric, digits)
         if state is not None:
             rows, ids, score = state
@@ -206,6 +204,11 @@ def _block_top_k(queries, vectors, k, metric, digits, schema) -> DataFrame:
     names = schema.fieldNames()
 
     def meet(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
+        q = q[q[vec].notna()]
+        if q[vec].map(len).nunique() > 1:
+            raise ValueError("query vectors differ in width")
+        if len(q) > 0:
+            v = v[v[vec].map(lambda x: x is not None and len(x) == len(q[vec].iloc[0]))]
         if len(q) == 0 or len(v) == 0:
             return pd.DataFrame({name: [] for name in names})
         against = np.stack(q[vec].to_numpy()).astype(np.float64)

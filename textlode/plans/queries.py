@@ -695,11 +695,9 @@ def dedup_ranked(spark, sf):
 
 @query
 def phrase_positions(spark, sf):
-    analyzed = K.phrase_tokens(_analyzed_turns(spark, sf), "text")
     return search.phrase_search(
         X.benchmark_queries(spark, sf),
-        _clean_turns(spark, sf),
-        K.phrase_rows(analyzed, "doc_id"),
+        X.turns(spark, sf),
         spark.sql(X.LEMMA_LEXICON),
         spark.sql(X.SYNONYMS),
         n=5,

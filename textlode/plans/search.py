@@ -7,20 +7,25 @@ tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textlode.functions.cleaning import clean_social, clear_text
-from textlode.functions.tokens import clean_words_of, context_window, sentences
+from textlode.functions.cleaning import clean_social, clear_text, let
+from textlode.functions.tokens import clean_words_of, context_window, sentences, word_count
 from textlode.functions.vectors import cosine, hash_embedding, l2_normalize, rounded, squared_l2
 from textlode.operators import ranking as R
 from textlode.operators.bm25 import bm25_top_n, lemma_rows, query_terms, term_rows
-from textlode.operators.filters import min_chars, min_words
+from textlode.operators.filters import min_chars
 from textlode.operators.joins import BROADCAST_ROWS, hinted_join, top_per_group
 from textlode.operators.lexicon import expand_synonyms, query_lemmas
+from textlode.operators.tokens import analyze, phrase_rows, phrase_tokens
 from textlode.operators.vectors import top_k_vectors
 from textlode.sources.store import settle
 
+# Posts of more characters and fragments of at least so many words.
+MIN_CHARS = 10
+MIN_WORDS = 3
+
 
 def semantic_search(
     queries: DataFrame, vectors: DataFrame, top_k: int = 5, threshold: float = 0.0, key: str = "doc_id"
@@ -67,7 +72,7 @@ def _with_vectors(
 
 def bm25_then_l2(queries: DataFrame, docs: DataFrame, n: int = 10, dim: int = 64) -> DataFrame:
     """The `n` best BM25 documents, re-ordered by the distance of their vectors to the query's."""
-    candidates = bm25_search(queries, docs, n).select("query_id", "doc_id")
+    candidates = settle(bm25_search(queries, docs, n).select("query_id", "doc_id"))
     scored = _with_vectors(candidates, queries, docs, dim, _bounded(queries, n))
     distance = scored.withColumn(
         "distance", rounded(squared_l2(F.col("query_vec"), F.col("doc_vec")))
@@ -91,11 +96,13 @@ def hybrid_search(
 ) -> DataFrame:
     """0.3 BM25 + 0.7 cosine over the 2n best BM25 documents, times 1.2 for a shared triple."""
     fits = _bounded(queries, 2 * n)
-    candidates = bm25_search(queries, docs, 2 * n).select(
-        "query_id", "doc_id", F.col("score").alias("bm25")
+    candidates = settle(
+        bm25_search(queries, docs, 2 * n).select("query_id", "doc_id", F.col("score").alias("bm25"))
     )
     scored = _with_vectors(candidates, queries, docs, dim, fits)
-    matched = R.triple_match(candidates.select("query_id", "doc_id"), query_triples, doc_triples)
+    found = candidates.select("doc_id").distinct()
+    near_triples = hinted_join(doc_triples, found, ["doc_id"], "left_semi", fits)
+    matched = R.triple_match(candidates.select("query_id", "doc_id"), query_triples, near_triples)
     flagged = scored.join(
         matched.withColumn("matched", F.lit(True)), ["query_id", "doc_id"], "left"
     )
@@ -121,8 +128,10 @@ def hybrid_search_expanded(
     fits = _bounded(queries, 2 * n)
     terms = expand_synonyms(query_lemmas(queries, lexicon), synonyms)
     rows = lemma_rows(term_rows(docs), lexicon)
-    candidates = bm25_top_n(query_terms(terms), rows, 2 * n).select(
-        "query_id", "doc_id", "dl", F.col("score").alias("bm25")
+    candidates = settle(
+        bm25_top_n(query_terms(terms), rows, 2 * n).select(
+            "query_id", "doc_id", "dl", F.col("score").alias("bm25")
+        )
     )
     scored = _with_vectors(candidates, queries, docs, dim, fits)
     blend = _blend(F.col("bm25"), cosine(F.col("query_vec"), F.col("doc_vec")))
@@ -135,10 +144,16 @@ def hybrid_search_expanded(
 
 def social_fragments(docs: DataFrame, text: str = "text") -> DataFrame:
     """Distinct cleaned sentences of at least three words, as `(fragment)`."""
-    posts = min_chars(docs.select(clean_social(F.col(text)).alias("post")), "post")
-    split = posts.select(F.explode(sentences(F.col("post"))).alias("sentence"))
-    cleaned = split.select(clean_social(F.col("sentence")).alias("fragment"))
-    return min_words(cleaned, "fragment").distinct()
+
+    def fragments(post: Column) -> Column:
+        cleaned = F.transform(sentences(post), clean_social)
+        return F.when(
+            F.length(post) > MIN_CHARS, F.filter(cleaned, lambda f: word_count(f) >= MIN_WORDS)
+        )
+
+    # The conditions sit inside the generator, so that no pushed-down filter
+    # cleans every text a second time.
+    return docs.select(F.explode(let(clean_social(F.col(text)), fragments)).alias("fragment")).distinct()
 
 
 def fragment_search(
@@ -181,8 +196,7 @@ def fragment_search(
     )
     # The containing document does not change the order, so only the winners need one.
     posts = docs.select("doc_id", clean_social(F.col("text")).alias("text"))
-    posts = min_chars(posts, "text")
-    homes = R.containing_doc(best.select("fragment").distinct(), posts)
+    homes = R.containing_doc(best.select("fragment").distinct(), min_chars(posts, "text"))
     home_texts = hinted_join(posts, homes, ["doc_id"], "inner", fits).select(
         "fragment", F.col("text").alias("home")
     )
@@ -233,15 +247,24 @@ def token_vector_search(
 def phrase_search(
     queries: DataFrame,
     docs: DataFrame,
-    phrases: DataFrame,
     lexicon: DataFrame,
     synonyms: DataFrame,
     n: int = 5,
 ) -> DataFrame:
-    """Positions, in the original text, of the expanded query terms in the n best documents."""
+    """Positions, in the original text, of the expanded query terms in the n best documents.
+
+    `docs(doc_id, text)`; only those best documents are analysed.
+    """
+    fits = _bounded(queries, n)
     terms = expand_synonyms(query_lemmas(queries, lexicon), synonyms)
-    rows = lemma_rows(term_rows(docs), lexicon)
-    scores = bm25_top_n(query_terms(terms), rows, n)
-    return R.phrase_positions(phrases, terms, scores, _bounded(queries, n))
+    clean = docs.select("doc_id", clear_text(F.col("text")).alias("clean"))
+    rows = lemma_rows(term_rows(clean), lexicon)
+    scores = settle(
+        bm25_top_n(query_terms(terms), rows, n).select("query_id", "doc_id", "score")
+    )
+    found = scores.select("doc_id").distinct()
+    wanted = hinted_join(docs.select("doc_id", "text"), found, ["doc_id"], "left_semi", fits)
+    phrases = phrase_rows(phrase_tokens(analyze(wanted), "text"), "doc_id")
+    return R.phrase_positions(phrases, terms, scores, fits)
 
 
