@@ -159,14 +159,12 @@ def processed_text(col: Column, max_chars: int | None = 500) -> Column:
 
     Missing, blank and literal "nan" texts give ''.
     """
-
-    def finish(stripped: Column) -> Column:
-        cleaned = clear_text(stripped)
-        if max_chars is not None:
-            cleaned = F.substring(cleaned, 1, max_chars)
-        return F.when(F.lower(stripped).isin("", "nan"), F.lit("")).otherwise(cleaned)
-
-    return let(collapse_ends(F.coalesce(col, F.lit(""))), finish)
+    text = F.coalesce(col, F.lit(""))
+    missing = F.rlike(text, F.lit(rf"(?i)\A[{WS}]*(nan)?[{WS}]*\z"))
+    cleaned = clear_text(text)
+    if max_chars is not None:
+        cleaned = F.substring(cleaned, 1, max_chars)
+    return F.when(missing, F.lit("")).otherwise(cleaned)
 
 
 def collapse_ends(col: Column) -> Column:

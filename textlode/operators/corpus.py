@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textlode.functions.cleaning import collapse_ends
 from textlode.operators.joins import lookup_join
 
 
@@ -22,7 +21,7 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 
 def text_key(col: Column) -> Column:
     """32-byte key of a cleaned text, so that shuffles move no texts."""
-    return F.unhex(F.sha2(F.lower(collapse_ends(col)), 256))
+    return F.unhex(F.sha2(F.lower(F.trim(col)), 256))
 
 
 def first_per_key(df: DataFrame, key: Column, order_col: str) -> DataFrame:

@@ -648,7 +648,7 @@ def _homes(spark, sf) -> DataFrame:
     )
     fragments = passages.filter(F.col("fragment") != "").distinct()
     docs = _cleaned(spark, sf, C.clear_text).withColumnRenamed("clean", "text")
-    homes = ranking.containing_doc(fragments, docs)
+    homes = store.settle(ranking.containing_doc(fragments, docs))
     return lookup_join(docs, homes, ["doc_id"])
 
 
