@@ -27,11 +27,9 @@ def term_rows(docs: DataFrame, text: str = "clean", key: str = "doc_id") -> Data
     without tokens count, and so that the number of documents and their total
     length can be read off the same counts as the terms.
     """
-    # A fixed number of pieces: sized by their few bytes of text, the runtime
-    # would join pieces that grow manyfold once they meet the query terms.
-    pieces = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Without a fixed number, so that the runtime sizes the pieces by the data.
     texts = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("clean"))
-    spread = texts.repartition(pieces, "doc_id")
+    spread = texts.repartition("doc_id")
     split = spread.select("doc_id", clean_words_of(F.col("clean")).alias("tokens"))
     # The length is taken before the explode; after it, it would be taken per token.
     sized = split.select("doc_id", F.size("tokens").alias("dl"), "tokens")

@@ -104,9 +104,9 @@ def write_corpus(spark, sf):
 def vectors_roundtrip(spark, sf):
     base = fresh_dir(spark, "vectors")
     vectors = X.table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    odd = F.col("doc_id") > 100
-    store.append_version(spark, base, {"vectors": vectors.filter(~odd)})
-    store.append_version(spark, base, {"vectors": vectors.filter(odd)})
+    late = F.col("doc_id") > 100
+    store.append_version(spark, base, {"vectors": vectors.filter(~late)})
+    store.append_version(spark, base, {"vectors": vectors.filter(late)})
     back = store.read_version(spark, base, "vectors")
     return back.select("doc_id", F.posexplode("embedding").alias("dim", "x")).select(
         "doc_id", "dim", V.rounded(F.col("x").cast("double")).alias("x")
