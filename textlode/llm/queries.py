@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from textlode.llm.common import read
+from textlode.llm.disclosure import digest, find_disclosures
 from textlode.llm.secret_scan import scan_secrets
 from textlode.llm.sharding import shard_by_splitters
 from textlode.llm.url_reputation import filter_urls, label_outcomes
@@ -24,6 +25,11 @@ def op2_host_reputation(spark, sf_dir):
     return filter_urls(read(spark, sf_dir, "pages"), label_outcomes(read(spark, sf_dir, "labels")))
 
 
+@query
+def op4_disclosure(spark, sf_dir):
+    return digest(find_disclosures(read(spark, sf_dir, "documents")))
+
+
 @query
 def op8_splitters(spark, sf_dir):
     return shard_by_splitters(read(spark, sf_dir, "documents"))
