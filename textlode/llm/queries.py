@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from textlode.llm.common import read
 from textlode.llm.disclosure import digest, find_disclosures
+from textlode.llm.packing import pack_documents
 from textlode.llm.secret_scan import scan_secrets
 from textlode.llm.sharding import shard_by_splitters
+from textlode.llm.toxicity import fit_severity, score_severity
 from textlode.llm.url_reputation import filter_urls, label_outcomes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +22,13 @@ def query(fn):
     return fn
 
 
+@query
+def op1_toxicity(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_severity(docs, read(spark, sf_dir, "labels"))
+    return score_severity(docs, model).drop("text")
+
+
 @query
 def op2_host_reputation(spark, sf_dir):
     return filter_urls(read(spark, sf_dir, "pages"), label_outcomes(read(spark, sf_dir, "labels")))
@@ -38,3 +47,11 @@ def op8_splitters(spark, sf_dir):
 @query
 def op9_trigram_secrets(spark, sf_dir):
     return scan_secrets(read(spark, sf_dir, "documents"))
+
+
+@query
+def op10_pattern_packing(spark, sf_dir):
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return pack_documents(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
