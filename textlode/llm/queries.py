@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from textlode.llm.common import read
 from textlode.llm.disclosure import digest, find_disclosures
 from textlode.llm.packing import pack_documents
+from textlode.llm.partenum import jaccard_components
 from textlode.llm.secret_scan import scan_secrets
 from textlode.llm.sharding import shard_by_splitters
 from textlode.llm.toxicity import fit_severity, score_severity
@@ -39,6 +40,11 @@ def op4_disclosure(spark, sf_dir):
     return digest(find_disclosures(read(spark, sf_dir, "documents")))
 
 
+@query
+def op7_partenum(spark, sf_dir):
+    return jaccard_components(read(spark, sf_dir, "documents"))
+
+
 @query
 def op8_splitters(spark, sf_dir):
     return shard_by_splitters(read(spark, sf_dir, "documents"))
