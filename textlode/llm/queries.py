@@ -12,6 +12,7 @@ from textlode.llm.packing import pack_documents
 from textlode.llm.partenum import jaccard_components
 from textlode.llm.secret_scan import scan_secrets
 from textlode.llm.sharding import shard_by_splitters
+from textlode.llm.site_style import extract_main_text
 from textlode.llm.toxicity import fit_severity, score_severity
 from textlode.llm.url_reputation import filter_urls, label_outcomes
 
@@ -40,6 +41,11 @@ def op4_disclosure(spark, sf_dir):
     return digest(find_disclosures(read(spark, sf_dir, "documents")))
 
 
+@query
+def op6_site_style(spark, sf_dir):
+    return extract_main_text(read(spark, sf_dir, "pages"))
+
+
 @query
 def op7_partenum(spark, sf_dir):
     return jaccard_components(read(spark, sf_dir, "documents"))
