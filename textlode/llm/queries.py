@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from textlode.llm.common import read
+from textlode.llm.decontamination import find_leaks
 from textlode.llm.disclosure import digest, find_disclosures
 from textlode.llm.packing import pack_documents
 from textlode.llm.partenum import jaccard_components
@@ -15,6 +16,7 @@ from textlode.llm.sharding import shard_by_splitters
 from textlode.llm.site_style import extract_main_text
 from textlode.llm.toxicity import fit_severity, score_severity
 from textlode.llm.url_reputation import filter_urls, label_outcomes
+from textlode.llm.vp_tree import build_trees, nearest, valid_vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -36,11 +38,23 @@ def op2_host_reputation(spark, sf_dir):
     return filter_urls(read(spark, sf_dir, "pages"), label_outcomes(read(spark, sf_dir, "labels")))
 
 
+@query
+def op3_decontaminate(spark, sf_dir):
+    leaks = find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return leaks.drop("copy")
+
+
 @query
 def op4_disclosure(spark, sf_dir):
     return digest(find_disclosures(read(spark, sf_dir, "documents")))
 
 
+@query
+def op5_vp_tree(spark, sf_dir):
+    vectors = valid_vectors(read(spark, sf_dir, "embeddings"))
+    return nearest(vectors.filter("vec_id % 20 = 0"), build_trees(vectors, 20), 20)
+
+
 @query
 def op6_site_style(spark, sf_dir):
     return extract_main_text(read(spark, sf_dir, "pages"))

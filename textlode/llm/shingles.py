@@ -1,6 +1,6 @@
 """Hashed words and word shingles of a batch of texts, computed on whole byte buffers.
 
-Texts are split at space and U+0009 to U+000D, A-Z lower-cased.  Words and
+Texts are split at space and U+0009 to U+000D, or at other bytes if told, A-Z lower-cased.  Words and
 shingles are told apart by 64-bit hashes.
 """
 
@@ -17,8 +17,10 @@ CHUNK = 2 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+# Everything of ASCII but letters and digits: a passage keeps its words when its punctuation changes.
+MARKS = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
@@ -41,13 +43,13 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return once_per_worker(f"powers-{size}", build)
 
 
-def words(buffer: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def words(buffer: np.ndarray, starts: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts, and the number of the first word of each text (and of the end)."""
     n = len(buffer)
     if n == 0:
         return np.empty(0, np.uint64), np.zeros(len(starts), np.int64)
     low = _LOWER[buffer]
-    solid = ~_SPACE[low]
+    solid = ~between[low]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     edges = starts[(starts > 0) & (starts < n)]
@@ -66,7 +68,8 @@ def words(buffer: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def shingles(hashes: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all `k`-word shingles, and the first shingle of each text (and the end).
 
-    A text with fewer than `k` words, but at least one, has its whole sequence as its only shingle.
+    A text with fewer than `k` words, but at least one, has its whole sequence as its only shingle,
+    which is named like a shingle of so many words.
     """
     count = np.diff(bounds)
     many = np.where(count >= k, count - k + 1, np.minimum(count, 1))
@@ -85,7 +88,7 @@ def shingles(hashes: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray
     for n in range(1, k):
         short = np.flatnonzero(count == n)
         if len(short):
-            whole = np.full(len(short), _PLACES[32 + n], np.uint64)
+            whole = np.zeros(len(short), np.uint64)
             for place in range(n):
                 whole += hashes[bounds[short] + place] * _PLACES[place]
             out[first[short]] = whole
