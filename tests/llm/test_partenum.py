@@ -87,6 +87,7 @@ def test_a_common_passage_links_nothing_by_itself(spark):
 def test_hot_signatures_and_small_flushes(spark, monkeypatch):
     monkeypatch.setattr(partenum, "HOT", 3)
     monkeypatch.setattr(partenum, "FLUSH", 2000)
+    monkeypatch.setattr(partenum, "BLOCK", 5)
     rows = variants(random.Random(3), 4, 80, 3)
     check(spark, rows)
 
@@ -114,3 +115,19 @@ def test_components_of_chains_and_stars(spark):
     roots = {r.node: r.root for r in components(chain.unionAll(star).unionAll(loops)).collect()}
     assert {roots[i] for i in range(301)} == {0} and {roots[i] for i in [*range(1000, 1400), 5000]} == {1000}
     assert roots[9001] == roots[9002] == 9001 and 9000 not in roots
+
+
+def test_bitmaps_never_differ_more_than_the_sets(spark):
+    rng = np.random.default_rng(8)
+    rows, want = [], []
+    for size in (1, 5, 31, 32, 33, 64, 70, 200, 500):
+        for _ in range(4):
+            a = np.unique(rng.integers(0, 1 << 62, size, dtype=np.uint64))
+            b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.9], rng.integers(0, 1 << 62, size // 5, dtype=np.uint64)]))
+            if len(b) and min(len(a), len(b)) >= 0.7 * max(len(a), len(b)):
+                rows.append((len(rows), partenum.parities(a).tolist(), partenum.parities(b).tolist()))
+                want.append(len(np.setxor1d(a, b)))
+    frame = spark.createDataFrame(rows, "i long, x array<long>, y array<long>")
+    found = {r.i: r.d for r in frame.select("i", partenum._differing(F.col("x"), F.col("y")).alias("d")).collect()}
+    assert len(found) > 20 and all(found[i] <= w and found[i] % 2 == w % 2 for i, w in enumerate(want))
+    assert all(found[i] >= 0.6 * w for i, w in enumerate(want))

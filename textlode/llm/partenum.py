@@ -4,26 +4,26 @@ Sets of similar size form bands.  Within a band, sufficiently similar sets
 differ in at most K features.  The feature domain is cut into parts of two
 levels; some first-level part then holds few differences, and enumerating
 subsets of its second-level parts gives a signature both sets share.  Sets with
-a common signature are compared exactly, each with a few pivots of its group;
-since Jaccard distance is a metric, that settles all pairs of most groups, and
-what it leaves open is compared with more pivots in the next round.
+a common signature form a group and meet its pivot; since Jaccard distance is a
+metric, that settles all pairs of most groups.  What it leaves open meets in
+blocks of bounded size.  Of the sets that meet, a bitmap of cell parities rules
+out the unlike ones; the rest is compared exactly.
 """
 
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textlode.llm.common import fits, mix
 from textlode.llm.components import components
 from textlode.llm.shingles import shingle_sets
 from textlode.llm.trigrams import text_buffer
-from textlode.operators.joins import top_per_group
 from textlode.sources.store import settle
 
 # Ratio of the sizes at a band's ends.
@@ -32,6 +32,10 @@ BAND = 1.4
 BUCKET, BYTES_PER_ENTRY, BUCKETS = 2_000_000, 12, 40
 # Entries that a task gathers before it hands them on, and texts at most.
 FLUSH, FLUSH_TEXTS = 4_000_000, 60_000
+# Members of a group that meet in one task.
+BLOCK = 1_024
+# Bits of a bitmap at most.
+CELLS = 1 << 17
 # Entries of one signature in one flush from which they travel as rows of their own.
 HOT = 64
 
@@ -124,6 +128,29 @@ def set_key(features: np.ndarray) -> int | None:
     return int(mix(total).view(np.int64)[0])
 
 
+def parities(features: np.ndarray) -> np.ndarray:
+    """Whether a cell holds an odd number of features, as bits of 64-bit numbers; two cells or more per feature up to CELLS.
+
+    A feature that only one of two sets has changes one parity: the bitmaps
+    differ in at most as many bits as the sets differ in features.
+    """
+    cells = min(CELLS, 1 << max(6, (2 * len(features) - 1).bit_length()))
+    odd = np.bincount((features & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _differing(left: Column, right: Column) -> Column:
+    """Bits in which two bitmaps differ; one of twice the size is folded first."""
+
+    def folded(own: Column, other: Column) -> Column:
+        half = F.size(other)
+        both = F.zip_with(F.slice(own, F.lit(1), half), F.slice(own, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(own) > half, both).otherwise(own)
+
+    bits = F.zip_with(folded(left, right), folded(right, left), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(bits, F.lit(0), lambda total, n: total + n)
+
+
 def _gathered(docs: DataFrame, k: int, num: int, den: int, buckets: int) -> DataFrame:
     """Blobs of signatures by bucket, and of documents, from `docs(doc_id, copy, text)`.
 
@@ -186,11 +213,12 @@ def _gathered(docs: DataFrame, k: int, num: int, den: int, buckets: int) -> Data
 
         for batch in batches:
             buffer, starts = text_buffer(batch.column(2))
-            own_keys, own_sizes = [], []
+            own_keys, own_sizes, bitmaps = [], [], []
             for features in shingle_sets(buffer, starts, k):
                 key = set_key(features)
                 own_keys.append(key)
                 own_sizes.append(len(features))
+                bitmaps.append(parities(features) if key is not None else None)
                 if key is not None and key not in met:
                     met.add(key)
                     found = signatures(features, bands)
@@ -203,7 +231,8 @@ def _gathered(docs: DataFrame, k: int, num: int, den: int, buckets: int) -> Data
             if own_keys:
                 ids = batch.column(0).to_pylist()
                 table = pa.table([pa.array(ids, pa.int64()), batch.column(1), pa.array(own_keys, pa.int64()),
-                                  pa.array(own_sizes, pa.int64())], ["doc_id", "copy", "node", "n"])
+                                  pa.array(own_sizes, pa.int64()), pa.array(bitmaps, pa.list_(pa.int64()))],
+                                 ["doc_id", "copy", "node", "n", "bitmap"])
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, table.schema) as writer:
                     writer.write_table(table)
@@ -215,18 +244,19 @@ def _gathered(docs: DataFrame, k: int, num: int, den: int, buckets: int) -> Data
 
 
 def _matched(gathered: DataFrame, buckets: int) -> DataFrame:
-    """`(kind, group, node, n, doc_id, copy)`: kind 0 are members of groups, kind 1 the documents.
+    """`(kind, grp, node, n, doc_id, copy, bitmap)`: kind 0 are members of groups, kind 1 the documents.
 
     Each bucket is sorted by signature.  Equal groups found by many signatures are told once.
     """
     import pyarrow as pa
 
-    schema = "kind int, grp long, node long, n long, doc_id long, copy long"
+    schema = "kind int, grp long, node long, n long, doc_id long, copy long, bitmap array<long>"
+    names = ["kind", "grp", "node", "n", "doc_id", "copy", "bitmap"]
 
     def members(group, node, n) -> pa.RecordBatch:
         arrays = [pa.array(np.zeros(len(group), np.int32)), pa.array(group.view(np.int64)), pa.array(node), pa.array(n)]
-        arrays += [pa.nulls(len(group), pa.int64())] * 2
-        return pa.RecordBatch.from_arrays(arrays, ["kind", "grp", "node", "n", "doc_id", "copy"])
+        arrays += [*[pa.nulls(len(group), pa.int64())] * 2, pa.nulls(len(group), pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(arrays, names)
 
     def matches(blobs: list[tuple], told: list[np.ndarray]) -> pa.RecordBatch | None:
         if not blobs:
@@ -296,8 +326,8 @@ def _matched(gathered: DataFrame, buckets: int) -> DataFrame:
                     for part in table.to_batches():
                         size = part.num_rows
                         arrays = [pa.array(np.ones(size, np.int32)), pa.nulls(size, pa.int64()), part.column(2)]
-                        arrays += [part.column(3), part.column(0), part.column(1)]
-                        yield pa.RecordBatch.from_arrays(arrays, ["kind", "grp", "node", "n", "doc_id", "copy"])
+                        arrays += [part.column(3), part.column(0), part.column(1), part.column(4)]
+                        yield pa.RecordBatch.from_arrays(arrays, names)
         if (out := matches(blobs, told)) is not None:
             yield out
 
@@ -308,7 +338,8 @@ def _sets(texts: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """`(node, features)` of the wanted sets, from `texts(copy, text)` and `wanted(copy)`."""
     import pyarrow as pa
 
-    small = fits(wanted, F.lit(8))
+    wanted = settle(wanted)
+    small = fits(wanted, F.lit(8), 1 << 20)
     chosen = texts.join(F.broadcast(wanted) if small else wanted, "copy", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,73 +380,124 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return met.select("a", "b", "common", (F.col("na") + F.col("nb") - F.col("common")).cast("long").alias("total"))
 
 
-def linked_sets(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _likely_in_blocks(members: DataFrame, num: int, den: int) -> DataFrame:
+    """`(a, b)`: pairs of a group with different roots that their bitmaps do not rule out.
+
+    `members(grp, node, n, root, bitmap)`.  A group is cut into blocks of about
+    BLOCK members; any two blocks meet in one task, which hands on only the
+    pairs that are left.
+    """
+    import pyarrow as pa
+
+    blocks = members.groupBy("grp").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    dealt = (
+        members.join(blocks, "grp")
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select("grp", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "n", "root", "bitmap")
+    )
+
+    def pairs(rows: list[tuple], low: int, high: int) -> Iterator[pa.RecordBatch]:
+        own, node, n, root, bitmap = zip(*rows)
+        own, node, n, root = (np.array(c, np.int64) for c in (own, node, n, root))
+        width = min(map(len, bitmap))
+        matrix = np.empty((len(rows), width), np.uint64)
+        for i, bits in enumerate(bitmap):
+            whole = np.array(bits, np.int64).view(np.uint64).reshape(-1, width)
+            matrix[i] = np.bitwise_xor.reduce(whole, axis=0)
+        left, right = [], []
+        for i in range(len(rows) - 1):
+            both, smaller, larger = n[i] + n[i + 1 :], np.minimum(n[i], n[i + 1 :]), np.maximum(n[i], n[i + 1 :])
+            fits = (root[i + 1 :] != root[i]) & (smaller * den >= larger * num)
+            if low != high:
+                fits &= own[i + 1 :] != own[i]
+            at = np.flatnonzero(fits)
+            unlike = np.bitwise_count(matrix[i + 1 + at] ^ matrix[i]).sum(1, dtype=np.int64)
+            at = at[(both[at] - unlike) * den >= (both[at] + unlike) * num] + i + 1
+            left.append(np.minimum(node[i], node[at]))
+            right.append(np.maximum(node[i], node[at]))
+        if left:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
+        for batch in batches:
+            for grp, low, high, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if (grp, low, high) != key:
+                    if len(rows) > 1:
+                        yield from pairs(rows, *key[1:])
+                    key, rows = (grp, low, high), []
+                rows.append(row)
+        if len(rows) > 1:
+            yield from pairs(rows, *key[1:])
+
+    ordered = dealt.repartition("grp", "low", "high").sortWithinPartitions("grp", "low", "high")
+    return ordered.mapInArrow(run, "a long, b long").distinct()
+
+
+def linked_sets(
+    members: DataFrame, bitmaps: DataFrame, sets_of: Callable[[DataFrame], DataFrame], num: int, den: int
+) -> DataFrame:
     """`(a, b)`: links between sets, enough of them to connect all sets that similar pairs connect.
 
-    Members of a group that are similar to a pivot form its star.  By the
-    triangle inequality a star's members have no link to a set farther than
-    twice the allowed distance from the pivot.  Sets for which that does not
-    settle everything meet twice as many pivots in the next round.
+    `members(grp, node, n)`, `bitmaps(node, bitmap)`; `sets_of` gives
+    `(node, features)` for a table of nodes.  First every member meets the
+    pivot of its group; those similar to it form its star.  By the triangle
+    inequality a star's members have no link to a set farther than twice the
+    allowed distance from the pivot.  The sets that this leaves open meet each
+    other unless links connect them already.
     """
-    spark = members.sparkSession
-    active, compared, pivots_each = members, None, 1
     near = 2 * num - den  # similarity (in 1 / den) at twice the allowed distance
     fine = F.col("common") * den >= F.col("total") * num
-    while True:
-        pivots = top_per_group(active, ["grp"], [F.col("node")], pivots_each).select(
-            "grp", F.col("node").alias("pivot"), F.col("n").alias("pn")
-        )
-        pivots = settle(pivots)
-        meets = active.join(pivots, "grp").filter(
-            (F.col("node") != F.col("pivot")) & (F.least("n", "pn") * den >= F.greatest("n", "pn") * near)
-        )
-        pairs = meets.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-        if compared is not None:
-            pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
-        new = settle(_compared(pairs, sets))
-        compared = new if compared is None else compared.unionByName(new)
-        links = compared.filter(fine).select("a", "b")
-        left = active.join(pivots.select("grp", F.col("pivot").alias("node")), ["grp", "node"], "left_anti")
-        left = left.groupBy("grp").agg(F.count("*").alias("c")).filter("c > 1").select("grp")
-        open_ = active.join(left, "grp", "left_semi")
-        if open_.isEmpty():
-            return links
-        roots = settle(components(links))
-        open_ = settle(
-            open_.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        )
-        known = compared.select("a", "b", "common", "total")
-        tested = (
-            open_.join(pivots.join(open_.select("grp", F.col("node").alias("pivot"), F.col("root").alias("proot")), ["grp", "pivot"]), "grp")
-            .filter(F.col("node") != F.col("pivot"))
-            .withColumn("a", F.least("node", "pivot"))
-            .withColumn("b", F.greatest("node", "pivot"))
-            .join(known, ["a", "b"], "left")
-        )
-        tested = settle(
-            tested.select(
-                "grp",
-                "node",
-                "pivot",
-                F.coalesce(fine, F.lit(False)).alias("linked"),
-                ((F.col("root") != F.col("proot")) & F.coalesce(F.col("common") * den >= F.col("total") * near, F.lit(False))).alias("close"),
-            )
-        )
-        unsafe = tested.filter("close").select("grp", "pivot").distinct().withColumn("unsafe", F.lit(True))
-        done = (
-            tested.filter("linked")
-            .join(unsafe, ["grp", "pivot"], "left")
-            .filter("unsafe is null")
-            .select("grp", "node")
-            .unionByName(pivots.select("grp", F.col("pivot").alias("node")))
-            .distinct()
+    both, unlike = F.col("na") + F.col("nb"), F.col("unlike")
+    pivots = settle(members.groupBy("grp").agg(F.min(F.struct("node", "n")).alias("p")).select(
+        "grp", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn")
+    ))
+    met = settle(
+        members.join(pivots, "grp")
+        .filter((F.col("node") != F.col("pivot")) & (F.least("n", "pn") * den >= F.greatest("n", "pn") * near))
+        .select(F.col("pivot").alias("a"), F.col("node").alias("b"), F.col("pn").alias("na"), F.col("n").alias("nb"))
+        .distinct()
+        .join(bitmaps.select(F.col("node").alias("a"), F.col("bitmap").alias("left")), "a")
+        .join(bitmaps.select(F.col("node").alias("b"), F.col("bitmap").alias("right")), "b")
+        .withColumn("unlike", _differing(F.col("left"), F.col("right")))
+        .filter((both - unlike) * den >= (both + unlike) * near)
+        .select("a", "b")
+    )
+    needed = met.select(F.col("a").alias("node")).union(met.select("b")).distinct()
+    sets = settle(sets_of(needed))
+    compared = settle(_compared(met, sets))
+    links = compared.filter(fine).select("a", "b")
+    roots = settle(components(links))
+
+    rooted = settle(
+        members.join(roots, "node", "left").select("grp", "node", "n", F.coalesce("root", "node").alias("root"))
+    )
+    mixed = rooted.groupBy("grp").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    rest = rooted.join(mixed.select("grp"), "grp", "left_semi")
+    star = rest.join(pivots.select("grp", "pivot"), "grp").join(
+        compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "common", "total"), ["pivot", "node"]
+    )
+    proots = roots.select(F.col("node").alias("pivot"), F.col("root").alias("proot"))
+    star = settle(
+        star.join(proots, "pivot", "left").select(
+            "grp",
+            "node",
+            fine.alias("linked"),
+            ((F.col("common") * den >= F.col("total") * near) & (F.col("root") != F.coalesce("proot", "pivot"))).alias("close"),
         )
-        rest = open_.join(done, ["grp", "node"], "left_anti")
-        mixed = rest.groupBy("grp").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("grp")
-        active = settle(rest.join(mixed, "grp", "left_semi").select("grp", "node", "n"))
-        if active.isEmpty():
-            return links
-        pivots_each *= 2
+    )
+    unsafe = star.filter("close").select("grp").distinct()
+    done = star.filter("linked").join(unsafe, "grp", "left_anti").select("grp", "node")
+    done = done.union(pivots.select("grp", "pivot"))
+    rest = settle(rest.join(done, ["grp", "node"], "left_anti"))
+    mixed = rest.groupBy("grp").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    open_ = rest.join(mixed.select("grp"), "grp", "left_semi").join(bitmaps, "node")
+    likely = settle(_likely_in_blocks(open_, num, den).join(compared.select("a", "b"), ["a", "b"], "left_anti"))
+    needed = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+    more = settle(sets_of(needed))
+    return links.union(_compared(likely, more).filter(fine).select("a", "b"))
 
 
 def jaccard_components(
@@ -437,10 +519,15 @@ def jaccard_components(
     rows = matched.filter("kind = 1").select("doc_id", "copy", "node", "n")
     members = settle(matched.filter("kind = 0").select("grp", "node", "n").distinct())
     nodes = members.select("node").distinct()
-    copies = rows.filter("node is not null").groupBy("node").agg(F.min("copy").alias("copy"))
-    wanted = settle(copies.join(nodes, "node", "left_semi").select("copy").distinct())
-    sets = settle(_sets(source.select("copy", "text"), wanted, k))
-    links = linked_sets(members, sets, num, den)
+    first = matched.filter("kind = 1 and node is not null").groupBy("node")
+    known = settle(
+        first.agg(F.min("copy").alias("copy"), F.first("bitmap").alias("bitmap")).join(nodes, "node", "left_semi")
+    )
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        return _sets(source.select("copy", "text"), known.join(wanted, "node").select("copy").distinct(), k)
+
+    links = settle(linked_sets(members, known.select("node", "bitmap"), sets_of, num, den))
     roots = components(links)
     least = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     named = least.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
