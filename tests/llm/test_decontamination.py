@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from textlode.llm.decontamination import RADIUS, MultiIndex, find_leaks, simhash
+from textlode.llm.decontamination import RADIUS, MultiIndex, find_leaks, simhash, without_leaks
 from textlode.llm.queries import QUERIES
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -115,6 +115,9 @@ def test_edges(spark):
     assert got(find_leaks(*frame)) == brute(docs, items)
     assert {(r.doc_id, r.item_id) for r in find_leaks(*frame).collect()} == {(3, 1), (None, 1), (3, 6), (5, None)}
     assert find_leaks(frame[0].limit(0), frame[1]).count() == 0 == find_leaks(frame[0], frame[1].limit(0)).count()
+    kept = sorted(((r.doc_id, r.text) for r in without_leaks(*frame).collect()), key=repr)
+    assert kept == sorted([docs[0], docs[1], docs[5]], key=repr)
+    assert without_leaks(frame[0], frame[1].limit(0)).count() == len(docs)
     extra = spark.createDataFrame([(9, item, 3, "s")], "doc_id long, text string, copy int, similarity string")
     assert {r.doc_id for r in find_leaks(extra, frame[1]).collect()} == {9}
 

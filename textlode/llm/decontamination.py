@@ -214,6 +214,32 @@ def document_leaks(
     return [(item, start, length, value) for item, (value, start, length) in sorted(best.items())]
 
 
+def batch_leaks(texts, anchors: Anchors, index: MultiIndex, least: float) -> list[tuple[int, int, int, int, float]]:
+    """(row, item number, start, words, similarity) for an Arrow column of texts without nulls."""
+    buffer, starts = text_buffer(texts)
+    rows = []
+    for low, high in pieces(starts):
+        part = starts[low : high + 1]
+        hashes, bounds = words(buffer[part[0] : part[-1]], part - part[0], MARKS)
+        found, first, hits = {}, {}, {}
+        for n in anchors.by_words:
+            found[n], first[n] = shingles(hashes, bounds, n)
+            hits[n] = anchors.hits(found[n], n)
+        holders = np.unique(np.concatenate([np.searchsorted(first[n], hits[n], side="right") - 1 for n in hits]))
+        for i in holders.tolist():
+            own = {n: found[n][first[n][i] : first[n][i + 1]] for n in found}
+            at = {n: hits[n][slice(*np.searchsorted(hits[n], first[n][i : i + 2]))] - first[n][i] for n in hits}
+            leaks = document_leaks(hashes[bounds[i] : bounds[i + 1]], at, own, anchors, index, least)
+            rows += [(low + i, *leak) for leak in leaks]
+    return rows
+
+
+def _slices(benchmark: DataFrame, k: int, slice_bytes: int) -> Iterator[Items]:
+    for part in benchmark_items(benchmark, k, slice_bytes):
+        if (items := _collected(part)) is not None:
+            yield items
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -224,49 +250,61 @@ def find_leaks(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """`(doc_id, copy, item_id, start_word, n_words, similarity)`: the best window per document row and item.
+    """`(doc_id, item_id, start_word, n_words, similarity)`: the best window per document row and item.
 
-    `copy` is xxhash64 of the text.  Only pairs with a similarity of `least` or
-    more are returned.  Null and empty texts hold nothing; null and repeated ids
-    are kept; an empty benchmark gives no rows.
+    Only pairs with a similarity of `least` or more are returned.  Null and
+    empty texts hold nothing; null and repeated ids are kept; an empty
+    benchmark gives no rows.
     """
     import pyarrow as pa
 
-    schema = "doc_id long, copy long, item_id long, start_word long, n_words long, similarity double"
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("copy"), text.alias("text"))
+    schema = "doc_id long, item_id long, start_word long, n_words long, similarity double"
+    names = ["doc_id", "item_id", "start_word", "n_words", "similarity"]
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def scan(items: Items):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             anchors, index = Anchors(items, k), MultiIndex(items.prints, radius)
             for batch in batches:
-                buffer, starts = text_buffer(batch.column(2))
-                rows = []
-                for low, high in pieces(starts):
-                    part = starts[low : high + 1]
-                    hashes, bounds = words(buffer[part[0] : part[-1]], part - part[0], MARKS)
-                    found, first, hits = {}, {}, {}
-                    for n in anchors.by_words:
-                        found[n], first[n] = shingles(hashes, bounds, n)
-                        hits[n] = anchors.hits(found[n], n)
-                    holders = np.unique(np.concatenate([np.searchsorted(first[n], hits[n], side="right") - 1 for n in hits]))
-                    for i in holders.tolist():
-                        own = {n: found[n][first[n][i] : first[n][i + 1]] for n in found}
-                        at = {n: hits[n][slice(*np.searchsorted(hits[n], first[n][i : i + 2]))] - first[n][i] for n in hits}
-                        leaks = document_leaks(hashes[bounds[i] : bounds[i + 1]], at, own, anchors, index, least)
-                        rows += [(low + i, items.ids[item], start, length, value) for item, start, length, value in leaks]
+                rows = batch_leaks(batch.column(1), anchors, index, least)
                 if rows:
-                    at = pa.array([r[0] for r in rows])
-                    columns = [pa.array([r[c] for r in rows], t) for c, t in enumerate([None, pa.int64(), pa.int64(), pa.int64(), pa.float64()]) if c]
-                    names = ["doc_id", "copy", "item_id", "start_word", "n_words", "similarity"]
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *columns], names)
+                    at, item, start, length, value = zip(*rows)
+                    numbers = [pa.array(c, pa.int64()) for c in ([items.ids[i] for i in item], start, length)]
+                    columns = [batch.column(0).take(pa.array(at)), *numbers, pa.array(value, pa.float64())]
+                    yield pa.RecordBatch.from_arrays(columns, names)
 
         return run
 
-    out = None
-    for part in benchmark_items(benchmark, k, slice_bytes):
-        items = _collected(part)
-        if items is not None:
-            leaks = source.mapInArrow(scan(items), schema)
-            out = leaks if out is None else out.unionByName(leaks)
-    return docs.sparkSession.createDataFrame([], schema) if out is None else out
+    out = docs.sparkSession.createDataFrame([], schema)
+    for items in _slices(benchmark, k, slice_bytes):
+        out = out.unionByName(source.mapInArrow(scan(items), schema))
+    return out
+
+
+def without_leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    k: int = WORDS,
+    least: float = SIMILARITY,
+    radius: int = RADIUS,
+    slice_bytes: int = SLICE,
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of `docs` in which `find_leaks` finds no item; all columns stay."""
+    import pyarrow as pa
+
+    at = docs.columns.index(text_col)
+
+    def scan(items: Items):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            anchors, index = Anchors(items, k), MultiIndex(items.prints, radius)
+            for batch in batches:
+                clean = np.ones(batch.num_rows, bool)
+                clean[[row for row, *_ in batch_leaks(batch.column(at).fill_null(""), anchors, index, least)]] = False
+                yield batch.filter(pa.array(clean))
+
+        return run
+
+    for items in _slices(benchmark, k, slice_bytes):
+        docs = docs.mapInArrow(scan(items), docs.schema)
+    return docs

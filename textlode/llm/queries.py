@@ -40,8 +40,7 @@ def op2_host_reputation(spark, sf_dir):
 
 @query
 def op3_decontaminate(spark, sf_dir):
-    leaks = find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
-    return leaks.drop("copy")
+    return find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
 @query
