@@ -114,18 +114,43 @@ def test_span_to_original(spark):
     assert [(r.o.start_orig, r.o.end_orig) for r in spans] == [(0, 4), (3, 9), (-1, -1), (-1, -1)]
 
 
-def test_slices_fold_to_their_tokens(spark, sf_dir):
-    """Where every gap holds a space, the greedy positions are exact."""
+@pytest.mark.parametrize("table", ["documents", "conversations"])
+def test_slices_fold_to_their_tokens(spark, sf_dir, table):
+    """Every word of every text, wherever line breaks, links and marks stand."""
     from textlode.operators.tokens import analyze
-    from textlode.plans import fixtures as X
 
-    plain = X.documents(spark, sf_dir).filter(F.col("text").rlike("^([A-Za-z]+[.,!?]* )*[A-Za-z]+[.,!?]*$"))
-    assert plain.count() > 0
-    analyzed = analyze(plain)
-    cut = analyzed.select("text", F.explode("tokens").alias("t")).select(
-        "t.token", T.slice_text(F.col("text"), F.col("t.start_orig"), F.col("t.end_orig")).alias("cut")
-    )
+    analyzed = analyze(spark.read.parquet(f"{sf_dir}/{table}.parquet").select("text"))
+    words = analyzed.select("text", F.explode("tokens").alias("t"))
+    cut = words.select("t.token", T.slice_text(F.col("text"), F.col("t.start_orig"), F.col("t.end_orig")).alias("cut"))
+    assert cut.count() > 5000
     assert cut.filter(F.lower("cut") != F.col("token")).count() == 0
+    assert analyzed.filter(F.col("cleaned_text") != C.clear_text(F.col("text"))).count() == 0
+    assert analyzed.filter(F.size("mapping") != F.length("cleaned_text")).count() == 0
+
+
+def test_exact_places(spark):
+    from textlode.operators.tokens import analyze
+
+    texts = ["see HTTPS://t.me/cat?x\nthe&nbsp;cat, Ёж!", "😀 a\n\nb", "", None, "İab c", "www.x.y"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    rows = {r.id: r for r in analyze(frame).collect()}
+    spans = lambda i: [(t.token, t.start_clean, t.end_clean, t.start_orig, t.end_orig) for t in rows[i].tokens]
+    assert spans(0) == [("see", 0, 3, 0, 3), ("the", 4, 7, 23, 26), ("cat", 8, 11, 32, 35), ("еж", 12, 14, 37, 39)]
+    assert rows[0].mapping == [0, 1, 2, 3, 23, 24, 25, 26, 32, 33, 34, 35, 37, 38]
+    assert spans(1) == [("a", 0, 1, 2, 3), ("b", 2, 3, 5, 6)]
+    assert spans(2) == spans(3) == spans(5) == [] and rows[2].mapping == []
+    assert [t.token for t in rows[4].tokens] == ["ab", "c"]
+
+
+def test_long_texts_take_linear_time(spark):
+    import time
+
+    text = "word and http://a.b/c more &amp; " * 3200
+    frame = spark.createDataFrame([(text,)], "text string")
+    frame.select(F.size(T.original_spans(F.col("text")))).collect()
+    started = time.time()
+    assert frame.select(F.size(T.original_spans(F.col("text")))).head()[0] == 3 * 3200
+    assert time.time() - started < 5
 
 
 def test_context_window(spark):

@@ -134,8 +134,8 @@ def test_stream_equals_batch(spark, sf_dir):
     source, target = stream_dirs(spark)
     docs = X.documents(spark, sf_dir)
     docs.write.parquet(source)
-    ingest.ingest_stream(spark, source, target, docs.schema, high=300, max_chars=None)
-    batch = index.select_posts(docs, high=300, max_chars=None)
+    ingest.ingest_stream(spark, source, target, docs.schema, high=300)
+    batch = index.select_posts(docs, high=300)
     found = ingest.stored_documents(spark, target).select("doc_id")
     assert sorted(found.collect()) == sorted(batch.select("doc_id").collect())
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textlode.functions.cleaning import WS, clear_text, let
+from textlode.functions.cleaning import ALPHABET, ENTITY, URL, WS, clear_text, let
 
 
 def words(col: Column) -> Column:
@@ -176,10 +176,44 @@ def _positions(original: pd.Series, cleaned: pd.Series) -> pd.Series:
     )
 
 
-def clean_to_original_map(original: Column, cleaned: Column | None = None) -> Column:
-    """Index of every cleaned character in the original text.
+def _blanked(col: Column, pattern: str) -> Column:
+    """Every match replaced by as many spaces as it has characters."""
+    spaces = F.transform(F.regexp_extract_all(col, F.lit(pattern), F.lit(0)), lambda m: F.repeat(F.lit(" "), F.length(m)))
+    parts = F.zip_with(F.split(col, pattern, -1), spaces, lambda gap, blank: F.concat(gap, F.coalesce(blank, F.lit(""))))
+    return F.array_join(parts, "")
 
-    A running position cannot be kept by the array functions without copying
+
+def aligned_text(col: Column, alphabet: str = ALPHABET) -> Column:
+    """The text, character by character, with a space for all that the full cleaning removes.
+
+    Its letter runs are the tokens of `clear_text`, in the places they have in
+    the original.  The one letter that is no single character in lower case,
+    the dotted capital I, counts as removed.
+    """
+    folded = F.translate(F.lower(F.translate(col, "İ", " ")), "ё", "е")
+    bare = let(let(folded, lambda t: _blanked(t, URL)), lambda t: _blanked(t, ENTITY))
+    return F.regexp_replace(bare, f"[^{alphabet}]", " ")
+
+
+def original_spans(col: Column) -> Column:
+    """`array<struct<token, start_clean, end_clean>>` of the cleaned words, with their places in the original."""
+    return let(aligned_text(col), token_spans)
+
+
+def exact_map(spans: Column) -> Column:
+    """Index in the original of every character of the cleaned text, from the spans in the original.
+
+    The space after a word has the place of the character that follows the word.
+    """
+    places = F.flatten(F.transform(spans, lambda s: F.sequence(s["start_orig"], s["end_orig"])))
+    return F.slice(places, F.lit(1), F.greatest(F.size(places) - 1, F.lit(0)))
+
+
+def greedy_map(original: Column, cleaned: Column | None = None) -> Column:
+    """Index of every cleaned character in the original text, each the next equal letter.
+
+    Not exact: a letter inside a removed URL or entity is as good as any, and
+    a gap goes to the next space (`exact_map` has the right places).  A running position cannot be kept by the array functions without copying
     the array per step, so this is an Arrow batch function, linear per text.
     """
     return _positions(original, clear_text(original) if cleaned is None else cleaned)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from textlode.functions.tokens import clean_words_of
 from textlode.functions.vectors import rounded
-from textlode.operators.joins import BROADCAST_ROWS, hinted_join, lookup_join, top_per_group, within
+from textlode.operators.joins import BROADCAST_ROWS, hinted_join, lookup_join, one_per_key, top_per_group, within
 
 # The usual Okapi parameters.
 K1 = 1.5
@@ -28,7 +28,7 @@ def term_rows(docs: DataFrame, text: str = "clean", key: str = "doc_id") -> Data
     length can be read off the same counts as the terms.
     """
     # Without a fixed number, so that the runtime sizes the pieces by the data.
-    texts = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("clean"))
+    texts = docs.select(F.col(key).alias("doc_id"), F.coalesce(text, F.lit("")).alias("clean"))
     spread = texts.repartition("doc_id")
     split = spread.select("doc_id", clean_words_of(F.col("clean")).alias("tokens"))
     # The length is taken before the explode; after it, it would be taken per token.
@@ -39,7 +39,7 @@ def term_rows(docs: DataFrame, text: str = "clean", key: str = "doc_id") -> Data
 
 def lemma_rows(rows: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Term rows with every term replaced by its lemma, where the lexicon has one."""
-    listed = lexicon.select(F.col("form").alias("term"), "lemma")
+    listed = one_per_key(lexicon.select(F.col("form").alias("term"), "lemma", "pos"), "term").drop("pos")
     found = lookup_join(rows, listed, ["term"], "left")
     return found.select("doc_id", "dl", F.coalesce("lemma", "term").alias("term"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textlode.operators.joins import lookup_join
+from textlode.sources.store import settle
 
 
 def union_all(*frames: DataFrame) -> DataFrame:
@@ -34,23 +35,30 @@ def first_per_key(df: DataFrame, key: Column, order_col: str) -> DataFrame:
 
 
 def first_texts(df: DataFrame, col: str, order_col: str) -> DataFrame:
-    """`(key, order_col)` of the first row of each cleaned text `col`, blank texts left out.
+    """`(key, order_col)` of the first row of each cleaned text `col`, blank texts left out."""
+    return _first_keys(_text_keys(df, col, order_col), order_col)
 
-    Blank texts go by their key, after the grouping: a condition on the text
-    itself would be pushed down and clean every text a second time.
-    """
+
+def _text_keys(df: DataFrame, col: str, order_col: str) -> DataFrame:
+    """`(key, order_col)` of every row, written, so that the texts are read and cleaned once for it."""
+    return settle(df.select(text_key(F.col(col)).alias("key"), order_col))
+
+
+def _first_keys(keys: DataFrame, order_col: str) -> DataFrame:
+    """Blank texts go by their key: a condition on the text would be pushed down and clean it again."""
     blank = F.unhex(F.sha2(F.lit(""), 256))
-    return first_per_key(df, text_key(F.col(col)), order_col).filter(F.col("key") != blank)
+    return first_per_key(keys.filter(F.col("key") != blank), F.col("key"), order_col)
 
 
 def dedup_first(df: DataFrame, col: str, order_col: str) -> DataFrame:
     """The first row, by the unique `order_col`, of each non-blank cleaned text `col`.
 
-    Winners are found on keys and ids only; the texts then meet them on the
-    id, which is unique and therefore never skewed.
+    Winners are found on keys and ids only; the texts then meet the ids of the
+    others (copies and blank texts), sent to all tasks if counted to fit.
     """
-    winners = first_texts(df, col, order_col)
-    return df.join(winners.select(order_col), order_col, "left_semi")
+    keys = _text_keys(df, col, order_col)
+    losers = keys.join(_first_keys(keys, order_col), ["key", order_col], "left_anti")
+    return lookup_join(df, settle(losers.select(order_col)), [order_col], "left_anti")
 
 
 def distinct_fragments(df: DataFrame, col: str) -> DataFrame:

@@ -10,9 +10,13 @@ from textlode.functions.tokens import word_count
 from textlode.operators.joins import lookup_join
 
 
-def words_between(df: DataFrame, col: str, low: int = 1, high: int = 30) -> DataFrame:
-    """Rows whose text has `low`..`high` words; a blank text has none."""
-    return df.filter(word_count(F.col(col)).between(low, high))
+# Stands for "no upper limit" of a word count.
+MOST = 2**31 - 1
+
+
+def words_between(df: DataFrame, col: str, low: int = 1, high: int | None = 30) -> DataFrame:
+    """Rows whose text has `low`..`high` words (None: any number above); a blank text has none."""
+    return df.filter(word_count(F.col(col)).between(low, MOST if high is None else high))
 
 
 def min_chars(df: DataFrame, col: str, above: int = 10) -> DataFrame:

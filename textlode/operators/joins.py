@@ -51,6 +51,13 @@ def hinted_join(
     return big.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt")
 
 
+def one_per_key(lookup: DataFrame, *keys: str) -> DataFrame:
+    """The smallest row of each key, so that a form listed twice multiplies no rows."""
+    rest = [c for c in lookup.columns if c not in keys]
+    least = F.min(F.struct(*rest)).alias("_row")
+    return lookup.groupBy(*keys).agg(least).select(*keys, *[F.col(f"_row.{c}") for c in rest])
+
+
 def top_per_group(
     df: DataFrame, groups: list[str], order: list[Column], n: int, rank: str = "rank"
 ) -> DataFrame:

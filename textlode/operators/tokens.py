@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 
 from textlode.functions.cleaning import clear_text, let
 from textlode.functions.tokens import (
-    clean_to_original_map,
+    exact_map,
+    original_spans,
     phrases,
     sentences,
     slice_text,
-    span_to_original,
     spans_up_to,
     token_spans,
 )
-from textlode.operators.joins import BROADCAST_ROWS, hinted_join, lookup_join, within
+from textlode.operators.joins import BROADCAST_ROWS, hinted_join, lookup_join, one_per_key, within
 
 
 def explode_rows(df: DataFrame, array: str, at: str, item: str, *keys: str) -> DataFrame:
@@ -35,30 +35,32 @@ def split_sentences(df: DataFrame, text: str, *keys: str) -> DataFrame:
 
 
 def analyze(df: DataFrame, text: str = "text") -> DataFrame:
-    """Adds `cleaned_text`, `mapping` and `tokens` with both character ranges.
+    """Adds `cleaned_text`, `mapping` and `tokens` with both character ranges; exact and row-local.
 
-    Row-local; the mapping is the only step outside the JVM.
+    The words are found in the original; the cleaned text is these words with a space between.
     """
-    cleaned = df.withColumn("cleaned_text", clear_text(F.coalesce(F.col(text), F.lit(""))))
-    mapped = cleaned.withColumn(
-        "mapping",
-        clean_to_original_map(F.coalesce(F.col(text), F.lit("")), F.col("cleaned_text")),
-    )
 
-    def with_original(span, mapping):
-        original = span_to_original(span["start_clean"], span["end_clean"], mapping)
-        return F.struct(
-            span["token"].alias("token"),
-            span["start_clean"].alias("start_clean"),
-            span["end_clean"].alias("end_clean"),
-            original["start_orig"].alias("start_orig"),
-            original["end_orig"].alias("end_orig"),
+    def with_clean(places):
+        clean = token_spans(F.array_join(F.transform(places, lambda p: p["token"]), " "))
+        return F.zip_with(
+            clean,
+            places,
+            lambda c, o: F.struct(
+                c["token"].alias("token"),
+                c["start_clean"].alias("start_clean"),
+                c["end_clean"].alias("end_clean"),
+                o["start_clean"].alias("start_orig"),
+                o["end_clean"].alias("end_orig"),
+            ),
         )
 
-    tokens = F.transform(
-        token_spans(F.col("cleaned_text")), lambda s: with_original(s, F.col("mapping"))
+    analyzed = df.withColumn("tokens", let(original_spans(F.coalesce(F.col(text), F.lit(""))), with_clean))
+    return analyzed.withColumns(
+        {
+            "cleaned_text": F.array_join(F.transform("tokens", lambda t: t["token"]), " "),
+            "mapping": exact_map(F.col("tokens")),
+        }
     )
-    return mapped.withColumn("tokens", tokens)
 
 
 def token_rows(analyzed: DataFrame, *keys: str) -> DataFrame:
@@ -67,8 +69,12 @@ def token_rows(analyzed: DataFrame, *keys: str) -> DataFrame:
 
 
 def annotate_tokens(rows: DataFrame, lexicon: DataFrame, token: str = "token") -> DataFrame:
-    """Adds `lemma` and `pos` from `lexicon(form, lemma, pos)`; an unknown form is its own lemma."""
-    found = lookup_join(rows, lexicon.withColumnRenamed("form", token), [token], "left")
+    """Adds `lemma` and `pos` from `lexicon(form, lemma, pos)`; an unknown form is its own lemma.
+
+    Of a form listed more than once the smallest row counts.
+    """
+    listed = one_per_key(lexicon.select(F.col("form").alias(token), "lemma", "pos"), token)
+    found = lookup_join(rows, listed, [token], "left")
     return found.withColumn("lemma", F.coalesce("lemma", F.col(token)))
 
 
@@ -112,6 +118,17 @@ def phrase_tokens(analyzed: DataFrame, text: str, spans: str = "original") -> Da
     return analyzed.withColumn("tokens", tokens)
 
 
+def lemmatise(df: DataFrame, lexicon: DataFrame, *keys: str) -> DataFrame:
+    """`(keys.., tokens)` with the lemma of every token of `array<struct<text, lemma, start, stop>>` looked up.
+
+    Rows without tokens have none to give and are left out.  Keys must name a row.
+    """
+    rows = explode_rows(df, "tokens", "at", "t", *keys).select(*keys, "at", "t.text", F.col("t.lemma").alias("token"), "t.start", "t.stop")
+    found = annotate_tokens(rows, lexicon)
+    token = F.struct("at", "text", "lemma", "start", "stop")
+    return found.groupBy(*keys).agg(F.array_sort(F.collect_list(token)).alias("tokens"))
+
+
 def phrase_rows(df: DataFrame, *keys: str) -> DataFrame:
     """`(keys.., type, text, lemma, start, stop, length)` of one- and two-word phrases."""
     return df.select(*keys, F.inline(phrases(F.col("tokens"))))
@@ -129,7 +146,8 @@ def extract_entities(
     The longest match of each start position wins; of one phrase listed under
     several types, the first type does.
     """
-    listed = gazetteer.filter(F.col("type").isin(*types)).withColumnRenamed("phrase_lemma", "lemma")
+    listed = gazetteer.filter(F.col("type").isin(*types)).select(F.col("phrase_lemma").alias("lemma"), "type", "normal")
+    listed = one_per_key(listed, "lemma", "type")
     runs = df.select(*keys, F.inline(spans_up_to(F.col("tokens"), longest)))
     found = lookup_join(runs, listed, ["lemma"])
     best = F.max_by(F.struct("text", "normal", "type", "stop", "length"), F.struct("length", "type"))
@@ -192,6 +210,7 @@ def replace_slang(df: DataFrame, key: str, text: str, slang: DataFrame) -> DataF
     """
     clean = df.select(key, clear_text(F.coalesce(F.col(text), F.lit(""))).alias("clean"))
     tokens = clean.select(key, F.posexplode(F.split("clean", " ")).alias("at", "term"))
+    slang = one_per_key(slang.select("term", "replacement"), "term")
     fits = within(slang, BROADCAST_ROWS)
     swapped = hinted_join(tokens, slang, ["term"], "left", fits)
     parts = F.array_sort(

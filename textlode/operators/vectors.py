@@ -131,7 +131,8 @@ def top_k_vectors(
 
     `queries(query_id, <vec>)` against `vectors(<key>, <vec>)`; `metric` is
     "ip" (larger is better) or "l2" (squared distance, smaller is better).
-    Vectors of another width than the queries are left out.  Each task scores
+    Queries of more than one width are an error, whatever their number;
+    vectors of another width than the queries are left out.  Each task scores
     its Arrow batches with one matrix product and hands on k rows per query.
 
     A query matrix of checked size is sent to all tasks.  Beyond that, both
@@ -148,6 +149,9 @@ def top_k_vectors(
             T.StructField("score", T.DoubleType()),
         ]
     )
+    widths = queries.filter(F.col(vec).isNotNull()).select(F.size(vec).alias("width")).distinct().limit(2).collect()
+    if len(widths) > 1:
+        raise ValueError("query vectors differ in width")
     sample = queries.limit(QUERY_ROWS + 1).toArrow()
     if sample.num_rows <= QUERY_ROWS:
         best = _broadcast_top_k(sample, vectors, k, metric, digits, schema)
@@ -161,8 +165,6 @@ def top_k_vectors(
 
 def _broadcast_top_k(queries: pa.Table, vectors, k, metric, digits, schema) -> DataFrame:
     queries = queries.filter(pc.is_valid(queries.column(1))).combine_chunks()
-    if pc.count_distinct(pc.list_value_length(queries.column(1))).as_py() > 1:
-        raise ValueError("query vectors differ in width")
     query_ids = queries.column(0).to_numpy()
     matrix = _matrix(queries.column(1).chunk(0)) if queries.num_rows else np.empty((0, 0))
     shared = vectors.sparkSession.sparkContext.broadcast((query_ids, matrix))
@@ -205,8 +207,6 @@ def _block_top_k(queries, vectors, k, metric, digits, schema) -> DataFrame:
 
     def meet(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
         q = q[q[vec].notna()]
-        if q[vec].map(len).nunique() > 1:
-            raise ValueError("query vectors differ in width")
         if len(q) > 0:
             v = v[v[vec].map(lambda x: x is not None and len(x) == len(q[vec].iloc[0]))]
         if len(q) == 0 or len(v) == 0:

@@ -12,25 +12,30 @@ from textlode.functions.cleaning import clear_text, processed_text
 from textlode.functions.tokens import word_count
 from textlode.functions.vectors import hash_embedding, l2_normalize
 from textlode.operators.corpus import dedup_first, first_texts
-from textlode.operators.filters import words_between
+from textlode.operators.filters import MOST, words_between
 from textlode.operators.tokens import analyze, annotate_tokens, rebuild_truncated, token_rows
 from textlode.operators.vectors import embed_with
 from textlode.sources.store import cluster_tokens, settle, write_version
 
 
 def select_posts(
-    df: DataFrame, text: str = "text", low: int = 1, high: int = 30, max_chars: int | None = 500
+    df: DataFrame, text: str = "text", low: int = 1, high: int | None = None
 ) -> DataFrame:
-    """Posts of `low`..`high` words, the first of each cleaned text."""
-    limited = df.withColumn("_limited", processed_text(F.col(text), max_chars))
-    valid = words_between(limited, "_limited", low, high).drop("_limited")
+    """Posts of at least `low` and, if told, at most `high` words, the first of each cleaned text.
+
+    Words are counted on the whole cleaned text; `ingest_statuses` tells why a post is left out.
+    """
+    counted = df.withColumn("_words", processed_text(F.col(text), None))
+    valid = words_between(counted, "_words", low, high).drop("_words")
     keyed = valid.withColumn("_clean", clear_text(F.col(text)))
     return dedup_first(keyed, "_clean", "doc_id").drop("_clean")
 
 
-def analyze_posts(df: DataFrame, text: str = "text", max_tokens: int = 30, **limits) -> DataFrame:
+def analyze_posts(df: DataFrame, text: str = "text", max_tokens: int | None = None, **limits) -> DataFrame:
     """`(doc_id, original_text, cleaned_text, mapping, tokens)` of the selected posts."""
-    analyzed = rebuild_truncated(analyze(select_posts(df, text, **limits), text), max_tokens)
+    analyzed = analyze(select_posts(df, text, **limits), text)
+    if max_tokens is not None:
+        analyzed = rebuild_truncated(analyzed, max_tokens)
     return analyzed.select(
         "doc_id", F.col(text).alias("original_text"), "cleaned_text", "mapping", "tokens"
     )
@@ -63,7 +68,7 @@ def load_corpus(
     text: str = "text",
     encode: Callable[[list[str]], np.ndarray] | None = None,
     dim: int = 64,
-    max_tokens: int = 30,
+    max_tokens: int | None = None,
     **limits,
 ) -> int:
     """The whole load of `df(doc_id, <text>)` into a new version of the corpus in `base`.
@@ -87,12 +92,11 @@ def ingest_statuses(
     df: DataFrame,
     text: str = "text",
     low: int = 1,
-    high: int = 30,
-    max_chars: int | None = 500,
+    high: int | None = None,
 ) -> DataFrame:
     """`(doc_id, status)`: stored, duplicate, or skipped for its length."""
-    n_words = word_count(processed_text(F.col(text), max_chars))
-    clean = F.when(n_words.between(low, high), clear_text(F.col(text)))
+    n_words = word_count(processed_text(F.col(text), None))
+    clean = F.when(n_words.between(low, MOST if high is None else high), clear_text(F.col(text)))
     keyed = df.select("doc_id", clean.alias("clean"))
     winners = first_texts(keyed, "clean", "doc_id").select("doc_id", F.lit(True).alias("first"))
     status = (

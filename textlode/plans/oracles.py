@@ -100,14 +100,10 @@ CLEAN_DOCS = f"docs AS (SELECT doc_id, {clear('text')} AS clean FROM documents)"
 PAGE = "concat_ws(' ', url, html)"
 
 
-def _first(role: str) -> str:
-    return f"arg_min(text, turn) FILTER (WHERE role = '{role}')"
-
-
 POSTS3 = (
-    f"posts3 AS (SELECT conv_id, {_first('user')} AS doc_text, "
-    f"{_first('assistant')} AS image2text, {_first('system')} AS speech2text "
-    "FROM conversations GROUP BY conv_id)"
+    "posts3 AS (SELECT conv_id * 1000 + turn AS post_id, CASE role WHEN 'user' THEN text END AS doc_text, "
+    "CASE role WHEN 'assistant' THEN text END AS image2text, CASE role WHEN 'system' THEN text END AS speech2text "
+    "FROM conversations)"
 )
 POST_COLUMNS = ["doc_text", "image2text", "speech2text"]
 
@@ -139,10 +135,31 @@ charmap AS (SELECT doc_id, k::INTEGER AS clean_at,
                    (CASE WHEN p = 0 THEN n - 1 ELSE p - 1 END)::INTEGER AS original
             FROM steps JOIN folded USING (doc_id))"""
 
-ORIGINAL_SPANS = """
-origspans AS (SELECT s.doc_id, s.position, s.token, a.original AS start_orig, b.original + 1 AS end_orig
-              FROM spans s JOIN charmap a ON a.doc_id = s.doc_id AND a.clean_at = s.start_clean
-                           JOIN charmap b ON b.doc_id = s.doc_id AND b.clean_at = s.end_clean - 1)"""
+
+
+def blanked(x: str, pattern: str) -> str:
+    """Every match replaced by as many spaces as it has characters."""
+    return (
+        f"array_to_string(list_transform(list_zip(regexp_split_to_array({x}, '{pattern}'), "
+        f"regexp_extract_all({x}, '{pattern}')), lambda z: z[1] || repeat(' ', length(coalesce(z[2], '')))), '')"
+    )
+
+
+# Words of the turns where they stand in the original: letter runs once URLs and entities are blank.
+ORIGINAL_SPANS = f"""
+folded_text AS (SELECT doc_id, replace(lower(replace(text, 'İ', ' ')), 'ё', 'е') AS f FROM turns),
+no_urls AS (SELECT doc_id, {blanked('f', rf"https?://[^{WS}]+|www\.[^{WS}]+")} AS f FROM folded_text),
+no_entities AS (SELECT doc_id, {blanked('f', '&[a-z]+;')} AS f FROM no_urls),
+otoks AS (SELECT doc_id, unnest(range(len(w)))::INTEGER AS position, unnest(w) AS token, unnest(g[:len(w)]) AS gap
+          FROM (SELECT doc_id, regexp_extract_all(f, '[a-zа-я]+') AS w, regexp_split_to_array(f, '[a-zа-я]+') AS g
+                FROM no_entities)),
+origspans AS (SELECT doc_id, position, token, (upto - length(token))::INTEGER AS start_orig, upto::INTEGER AS end_orig
+              FROM (SELECT *, (sum(length(gap) + length(token)) OVER (PARTITION BY doc_id ORDER BY position))::BIGINT AS upto
+                    FROM otoks))"""
+
+# Words with their lemmas.
+LEMMA_SPANS = """
+lspans AS (SELECT s.*, coalesce(lemma, token) AS lemma FROM spans s LEFT JOIN lexicon ON form = token)"""
 
 QUERY_TOKENS = f"""
 qclean AS (SELECT item_id AS query_id, {clear('text')} AS clean FROM benchmark),
@@ -220,7 +237,8 @@ cosines AS (SELECT c.*, coalesce(dot, 0) / (sqrt(qq) * sqrt(dd)) AS cosine, qq +
 
 def triples(key: str, source: str) -> str:
     split = f"SELECT {key}, {split_sentences('text')} AS ss FROM {source}"
-    return f"""SELECT {key}, sent, w[1] AS subj, w[2] AS verb, w[3] AS obj FROM (
+    role = lambda n: f"array_to_string(list_filter(w, lambda x, i: i % 3 = {n}), ' ')"
+    return f"""SELECT {key}, sent, {role(1)} AS subj, {role(2)} AS verb, {role(0)} AS obj FROM (
   SELECT {key}, sent, string_split({clear('sentence')}, ' ') AS w
   FROM ({numbered(key, 'ss', f'({split})', 'sent', 'sentence')})) WHERE len(w) >= 3"""
 
@@ -248,11 +266,11 @@ SENTENCES = numbered(
 
 PHRASES = """
 phrases AS (
-  SELECT {keys}, 'word' AS type, token AS text, token AS lemma, start_clean AS start, end_clean AS stop, 1 AS length
-  FROM spans
+  SELECT {keys}, 'word' AS type, token AS text, lemma, start_clean AS start, end_clean AS stop, 1 AS length
+  FROM lspans
   UNION ALL
-  SELECT {keys}, 'phrase', token || ' ' || next, token || ' ' || next, start_clean, next_end, 2
-  FROM (SELECT *, lead(token) OVER w AS next, lead(end_clean) OVER w AS next_end FROM spans
+  SELECT {keys}, 'phrase', token || ' ' || next, lemma || ' ' || next_lemma, start_clean, next_end, 2
+  FROM (SELECT *, lead(token) OVER w AS next, lead(lemma) OVER w AS next_lemma, lead(end_clean) OVER w AS next_end FROM lspans
         WINDOW w AS (PARTITION BY {keys} ORDER BY position)) WHERE next IS NOT NULL)"""
 
 DEDUP = "row_number() OVER (PARTITION BY md5(clean) ORDER BY doc_id) = 1"
@@ -304,12 +322,28 @@ ORACLES: dict[str, str] = {
     "scan_file_filter": f"WITH {TURNS} SELECT doc_id, text FROM turns",
     "rows_per_file": "SELECT role, count(*) AS n FROM conversations GROUP BY role",
     "sink_csv_roundtrip": f"WITH {POSTS3} SELECT {', '.join(f'{clear(c)} AS {c}' for c in POST_COLUMNS)} FROM posts3",
-    "write_corpus": f"""WITH {TURNS}, limited AS (SELECT doc_id, text, {processed('text')} AS p FROM turns),
-docs AS (SELECT doc_id, {clear('text')} AS clean FROM limited WHERE p <> '' AND len(string_split(p, ' ')) BETWEEN 1 AND 30
+    "write_corpus": f"""WITH {TURNS}, docs AS (SELECT doc_id, {clear('text')} AS clean FROM turns WHERE {clear('text')} <> ''
          QUALIFY row_number() OVER (PARTITION BY md5({clear('text')}) ORDER BY doc_id) = 1),
-{SPANS}, {LEXICON}
-SELECT s.doc_id, docs.clean AS cleaned_text, position, token, coalesce(lemma, token) AS lemma, pos, start_clean, end_clean
-FROM spans s JOIN docs USING (doc_id) LEFT JOIN lexicon ON form = token""",
+{SPANS}, {LEXICON}, {ORIGINAL_SPANS}
+SELECT s.doc_id, docs.clean AS cleaned_text, s.position, s.token, coalesce(lemma, s.token) AS lemma, pos,
+  start_clean, end_clean, start_orig, end_orig
+FROM spans s JOIN docs USING (doc_id) JOIN origspans USING (doc_id, position) LEFT JOIN lexicon ON form = s.token""",
+    "append_corpus": """SELECT doc_id, text, len(embedding)::INTEGER AS width
+FROM documents LEFT JOIN embeddings ON vec_id = doc_id""",
+    "delete_version": """SELECT doc_id, text, (SELECT count(*) FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)) AS n_deleted
+FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)""",
+    "vectors_load_or_create": f"WITH {COMPONENTS} SELECT vec_id AS doc_id, dim, round(x, 6) + 0.0 AS x FROM comps",
+    "search_log": f"""WITH {NEAR} SELECT query_id, vec_id AS doc_id, cosine AS score, rank
+FROM ({best('near', 5, 'cosine DESC, vec_id')}) WHERE cosine >= 0.4""",
+    "nested_document": f"""WITH {CLEAN_TURNS}, {SPANS}, {LEXICON}, {LEMMA_SPANS}, {PHRASES.format(keys='doc_id')}, gazetteer AS ({X.GAZETTEER}),
+found AS (SELECT doc_id, normal, start, stop FROM phrases JOIN gazetteer g ON lemma = phrase_lemma
+  WHERE g.type IN ('PER', 'LOC', 'ORG') QUALIFY row_number() OVER (PARTITION BY doc_id, start ORDER BY length DESC, g.type DESC) = 1),
+lists AS (SELECT doc_id, string_agg(normal, ' ' ORDER BY start, stop) AS entities FROM found GROUP BY 1),
+split AS ({SPLIT_TURNS}),
+counts AS (SELECT doc_id, count(*)::INTEGER AS n_sentences,
+  coalesce(string_agg(nullif({clear('sentence')}, ''), ' ' ORDER BY sent), '') AS words FROM split GROUP BY 1)
+SELECT docs.doc_id, docs.clean AS clean_text, n_sentences, words, entities
+FROM docs JOIN counts USING (doc_id) LEFT JOIN lists USING (doc_id)""",
     "vectors_roundtrip": f"WITH {COMPONENTS} SELECT vec_id AS doc_id, dim, round(x, 6) + 0.0 AS x FROM comps",
     "clean_flags": cleaned_pages(yo=0, emoji=0, punct=0),
     "clear_text": cleaned(clear("text")),
@@ -321,11 +355,11 @@ FROM spans s JOIN docs USING (doc_id) LEFT JOIN lexicon ON form = token""",
     "clean_words": cleaned(f"trim({simple('text')})"),
     "clean_underscore": f"SELECT page_id, {sub(f'lower({PAGE})', '[^\\p{L}\\p{N}]+')} AS clean FROM pages",
     "clean_alnum": cleaned(f"lower({sub(sub('text', f'[^\\p{{L}}\\p{{N}}{WS}]', ''), f'[{WS}]')})"),
-    "clean_columns": f"WITH {POSTS3} SELECT conv_id, {', '.join(f'{clear(c)} AS {c}' for c in POST_COLUMNS)} FROM posts3",
+    "clean_columns": f"WITH {POSTS3} SELECT post_id, {', '.join(f'{clear(c)} AS {c}' for c in POST_COLUMNS)} FROM posts3",
     "processed_text": cleaned(processed("text")),
-    "merge_fields": f"""WITH {POSTS3} SELECT conv_id,
+    "merge_fields": f"""WITH {POSTS3} SELECT post_id,
 concat_ws(' ', {', '.join(f"nullif({social(c)}, '')" for c in POST_COLUMNS)}) AS merged FROM posts3""",
-    "fill_nulls": f"""WITH {POSTS3} SELECT conv_id, {', '.join(f"coalesce({c}, '') AS {c}" for c in POST_COLUMNS)} FROM posts3""",
+    "fill_nulls": f"""WITH {POSTS3} SELECT post_id, {', '.join(f"coalesce({c}, '') AS {c}" for c in POST_COLUMNS)} FROM posts3""",
     "slang_normalise": f"""WITH {CLEAN_DOCS}, slang AS ({X.SLANG}),
 toks AS ({numbered('doc_id', "string_split(clean, ' ')", 'docs', 'position', 'token')})
 SELECT doc_id, string_agg(coalesce(replacement, token), ' ' ORDER BY position) AS normalised
@@ -352,27 +386,30 @@ SELECT query_id, doc_id, rank FROM top WHERE EXISTS (
     "sentences": SENTENCES,
     "token_spans": f"WITH {CLEAN_DOCS}, {SPANS} SELECT * FROM spans",
     "char_map": f"WITH RECURSIVE {CLEAN_TURNS}, {CHAR_MAP} SELECT * FROM charmap",
-    "span_to_original": f"""WITH RECURSIVE {CLEAN_TURNS}, {SPANS}, {CHAR_MAP}, {ORIGINAL_SPANS}
+    "span_to_original": f"""WITH {TURNS}, {ORIGINAL_SPANS}
 SELECT doc_id, position, start_orig, end_orig FROM origspans""",
     "lemmatize_lexicon": f"""WITH {CLEAN_TURNS}, {SPANS}, {LEXICON}
 SELECT doc_id, position, token, coalesce(lemma, token) AS lemma, pos FROM spans LEFT JOIN lexicon ON form = token""",
     "truncate_tokens": f"""WITH {CLEAN_DOCS}, w AS (SELECT doc_id, list_filter(string_split(clean, ' '), lambda x: x <> '')[1:30] AS t FROM docs)
 SELECT doc_id, len(t)::INTEGER AS n, array_to_string(t, ' ') AS clean FROM w""",
-    "unigram_bigram": f"""WITH {CLEAN_TURNS}, {SPANS}
-SELECT doc_id, token, position, 'unigram' AS type FROM spans
+    "unigram_bigram": f"""WITH {CLEAN_TURNS}, {SPANS}, {LEXICON}, {LEMMA_SPANS}
+SELECT doc_id, lemma AS token, position, 'unigram' AS type FROM lspans
 UNION ALL
-SELECT doc_id, token || ' ' || next, position, 'bigram'
-FROM (SELECT *, lead(token) OVER (PARTITION BY doc_id ORDER BY position) AS next FROM spans) WHERE next IS NOT NULL""",
-    "phrases": f"WITH {CLEAN_TURNS}, {SPANS}, {PHRASES.format(keys='doc_id')} SELECT * FROM phrases",
+SELECT doc_id, lemma || ' ' || next, position, 'bigram'
+FROM (SELECT *, lead(lemma) OVER (PARTITION BY doc_id ORDER BY position) AS next FROM lspans) WHERE next IS NOT NULL""",
+    "phrases": f"WITH {CLEAN_TURNS}, {SPANS}, {LEXICON}, {LEMMA_SPANS}, {PHRASES.format(keys='doc_id')} SELECT * FROM phrases",
     "phrases_in_sentence": f"""WITH {TURNS}, split AS ({SPLIT_TURNS}),
 docs AS (SELECT doc_id * 10000 + sent AS doc_id, {clear('sentence')} AS clean FROM split),
-{SPANS}, {PHRASES.format(keys='doc_id')}
+{SPANS}, {LEXICON}, {LEMMA_SPANS}, {PHRASES.format(keys='doc_id')}
 SELECT doc_id // 10000 AS doc_id, (doc_id % 10000)::INTEGER AS sent, type, text, lemma, start, stop, length FROM phrases""",
-    "entities_gazetteer": f"""WITH {CLEAN_TURNS}, {SPANS}, {PHRASES.format(keys='doc_id')}, gazetteer AS ({X.GAZETTEER})
+    "entities_gazetteer": f"""WITH {CLEAN_TURNS}, {SPANS}, {LEXICON}, {LEMMA_SPANS}, {PHRASES.format(keys='doc_id')}, gazetteer AS ({X.GAZETTEER})
 SELECT doc_id, text, normal AS lemma, g.type, start, stop, length FROM phrases p JOIN gazetteer g ON lemma = phrase_lemma
 WHERE g.type IN ('PER', 'LOC', 'ORG') QUALIFY row_number() OVER (PARTITION BY doc_id, start ORDER BY length DESC, g.type DESC) = 1""",
     "triples_from_rel": triples("doc_id", "documents"),
-    "slice_original": f"""WITH RECURSIVE {CLEAN_TURNS}, {SPANS}, {CHAR_MAP}, {ORIGINAL_SPANS}
+    "tokens_json_roundtrip": f"""WITH {CLEAN_TURNS}, {SPANS}, {ORIGINAL_SPANS}
+SELECT d.doc_id, length(clean)::INTEGER AS n_mapping, s.token, start_clean, end_clean, start_orig, end_orig
+FROM docs d LEFT JOIN spans s ON s.doc_id = d.doc_id LEFT JOIN origspans o ON o.doc_id = s.doc_id AND o.position = s.position""",
+    "slice_original": f"""WITH {TURNS}, {ORIGINAL_SPANS}
 SELECT doc_id, position, substr(text, start_orig + 1, end_orig - start_orig) AS slice FROM origspans JOIN turns USING (doc_id)""",
     "expand_synonyms": f"WITH {QUERY_LEMMAS}, {EXPANDED} SELECT * FROM expanded",
     "expand_capped": f"WITH {QUERY_LEMMAS}, {CAPPED} SELECT * FROM terms",
@@ -434,15 +471,19 @@ hits AS (SELECT query_id, doc_id, token, position, type, ip AS confidence
   FROM occurrences JOIN vocabulary USING (token) JOIN near USING (vec_id))
 SELECT query_id, rank, doc_id, token, position, type = 'bigram' AS is_bigram, confidence
 FROM ({best('hits', 5, 'confidence DESC, token, doc_id, position, type')}) WHERE confidence >= 0.05""",
-    "dedup_ranked": f"""WITH {QUERY_TOKENS}, {TRIPLES}, best AS (SELECT query_id, doc_id, max(length(subj))::DOUBLE AS score
-  FROM dtriples JOIN qtoks ON token = subj GROUP BY ALL) {best('best', 5)}""",
-    "phrase_positions": f"""WITH RECURSIVE {CLEAN_TURNS}, {SPANS}, {CHAR_MAP}, {ORIGINAL_SPANS}, {LEMMA_BM25}, top AS ({best('bm', 5)}),
-located AS (SELECT doc_id, 'word' AS type, token AS lemma, start_orig AS start, end_orig AS stop FROM origspans
-  UNION ALL SELECT doc_id, 'phrase', token || ' ' || next, start_orig, next_end
-  FROM (SELECT *, lead(token) OVER w AS next, lead(end_orig) OVER w AS next_end FROM origspans
-        WINDOW w AS (PARTITION BY doc_id ORDER BY position)) WHERE next IS NOT NULL)
+    "dedup_ranked": f"""WITH {QUERY_TOKENS}, {TRIPLES}, best AS (SELECT query_id, doc_id, max(length(word))::DOUBLE AS score
+  FROM (SELECT *, unnest(string_split(subj, ' ')) AS word FROM dtriples) JOIN qtoks ON token = word GROUP BY ALL) {best('best', 5)}""",
+    "phrase_positions": f"""WITH {CLEAN_TURNS}, {ORIGINAL_SPANS}, {LEMMA_BM25}, top AS ({best('bm', 5)}),
+ltoks AS (SELECT o.*, coalesce(lemma, token) AS lemma FROM origspans o LEFT JOIN lexicon ON form = token),
+located AS (SELECT doc_id, 'word' AS type, lemma, start_orig AS start, end_orig AS stop FROM ltoks
+  UNION ALL SELECT doc_id, 'phrase', lemma || ' ' || next, start_orig, next_end
+  FROM (SELECT *, lead(lemma) OVER w AS next, lead(end_orig) OVER w AS next_end FROM ltoks
+        WINDOW w AS (PARTITION BY doc_id ORDER BY position)) WHERE next IS NOT NULL),
+asked AS (SELECT query_id, term FROM expanded
+  UNION SELECT query_id, term || ' ' || next FROM (SELECT query_id, term, lead(term) OVER (PARTITION BY query_id ORDER BY position) AS next
+  FROM qlemmas) WHERE next IS NOT NULL)
 SELECT top.query_id, top.doc_id, type, lemma, start, stop, score
-FROM located JOIN top USING (doc_id) JOIN expanded e ON e.query_id = top.query_id AND e.term = lemma""",
+FROM located JOIN top USING (doc_id) JOIN asked e ON e.query_id = top.query_id AND e.term = lemma""",
     "token_lookup": f"""WITH {CLEAN_TURNS}, {SPANS}, {LEXICON}, {SYNONYMS},
 annotated AS (SELECT doc_id, position, token, coalesce(lemma, token) AS lemma, pos FROM spans LEFT JOIN lexicon ON form = token)
 SELECT * FROM annotated WHERE lemma IN (SELECT word FROM synonyms)""",
@@ -455,7 +496,7 @@ SELECT doc_id, length(clean)::INTEGER AS length, len(t)::INTEGER AS word_count,
     "top_words": f"""WITH {POSTS3}, w AS ({per_column(lambda c: f"SELECT '{c}' AS col, unnest({words(simple(filled(c)))}) AS word FROM posts3")}),
 counts AS (SELECT col, word, count(*) AS n FROM w GROUP BY ALL)
 SELECT col AS "column", word, n, (row_number() OVER (PARTITION BY col ORDER BY n DESC, word))::INTEGER AS rank FROM counts QUALIFY rank <= 10""",
-    "null_counts": f"""WITH {POSTS3} SELECT {', '.join(f'count(*) FILTER (WHERE {c} IS NULL) AS {c}' for c in ['conv_id', *POST_COLUMNS])} FROM posts3""",
+    "null_counts": f"""WITH {POSTS3} SELECT {', '.join(f'count(*) FILTER (WHERE {c} IS NULL) AS {c}' for c in ['post_id', *POST_COLUMNS])} FROM posts3""",
     "duplicate_rows": """SELECT (count(*) - (SELECT count(*) FROM (SELECT DISTINCT text, lang, source, n_chars FROM documents)))::BIGINT AS duplicates FROM documents""",
     "unique_values": "SELECT source AS value, min(doc_id) AS first_at FROM documents GROUP BY source ORDER BY first_at LIMIT 10",
     "length_summary": f"""WITH {POSTS3}, l AS ({per_column(lambda c: f"SELECT '{c}' AS col, length({filled(c)}) AS n FROM posts3")})
@@ -463,7 +504,7 @@ SELECT col AS "column", count(*) AS count, round(avg(n), 4) AS mean, round(stdde
   round(quantile_cont(n, 0.25), 4) AS p25, round(quantile_cont(n, 0.5), 4) AS p50, round(quantile_cont(n, 0.75), 4) AS p75,
   max(n)::INTEGER AS max FROM l GROUP BY col""",
     "dataset_stats": f"""WITH {POSTS3}
-SELECT 0 AS position, 'conv_id' AS column, 'bigint' AS dtype, count(conv_id) AS non_null, count(*) AS n_rows FROM posts3
+SELECT 0 AS position, 'post_id' AS column, 'bigint' AS dtype, count(post_id) AS non_null, count(*) AS n_rows FROM posts3
 UNION ALL {per_column(lambda c: f"SELECT {POST_COLUMNS.index(c) + 1}, '{c}', 'string', count({c}), count(*) FROM posts3")}""",
     "sentiment": f"""WITH {TURNS}, hits AS (SELECT doc_id, {sentiment_hits(X.POSITIVE_WORDS)} AS p, {sentiment_hits(X.NEGATIVE_WORDS)} AS n FROM turns)
 SELECT doc_id, CASE WHEN p > n THEN 'Положительный' WHEN n > p THEN 'Отрицательный' ELSE 'Нейтральный' END AS sentiment FROM hits""",

@@ -49,7 +49,7 @@ def scan_csv_union(spark, sf):
 @query
 def scan_pruned(spark, sf):
     folder = fresh_dir(spark, "csv")
-    posts.write_csv(X.posts3(spark, sf).drop("conv_id"), f"{folder}/posts.csv")
+    posts.write_csv(X.posts3(spark, sf).drop("post_id"), f"{folder}/posts.csv")
     read = posts.read_posts(spark, folder, schemas.POSTS)
     return posts.read_column(read, "doc_text")
 
@@ -57,7 +57,7 @@ def scan_pruned(spark, sf):
 @query
 def scan_headerless(spark, sf):
     path = fresh_dir(spark, "csv")
-    posts.write_csv(X.posts3(spark, sf).drop("conv_id"), path, header=False)
+    posts.write_csv(X.posts3(spark, sf).drop("post_id"), path, header=False)
     return posts.read_csv(spark, path, schemas.POSTS, header=False)
 
 
@@ -84,7 +84,7 @@ def rows_per_file(spark, sf):
 
 @query
 def sink_csv_roundtrip(spark, sf):
-    cleaned = C.clean_columns(X.posts3(spark, sf).drop("conv_id"), schemas.POST_COLUMNS)
+    cleaned = C.clean_columns(X.posts3(spark, sf).drop("post_id"), schemas.POST_COLUMNS)
     path = fresh_dir(spark, "csv")
     posts.write_csv(cleaned, path)
     return posts.read_csv(spark, path, schemas.POSTS)
@@ -96,7 +96,7 @@ def write_corpus(spark, sf):
     index.load_corpus(X.turns(spark, sf), base, spark.sql(X.LEMMA_LEXICON))
     tokens = store.read_version(spark, base, "tokens")
     documents = store.read_version(spark, base, "documents").select("doc_id", "cleaned_text")
-    columns = ["doc_id", "cleaned_text", "position", "token", "lemma", "pos", "start_clean", "end_clean"]
+    columns = ["doc_id", "cleaned_text", "position", "token", "lemma", "pos", "start_clean", "end_clean", "start_orig", "end_orig"]
     return documents.join(tokens, "doc_id").select(*columns)
 
 
@@ -113,20 +113,43 @@ def vectors_roundtrip(spark, sf):
     )
 
 
+@query
+def append_corpus(spark, sf):
+    """Documents arrive in two appends; the vectors written before stay readable."""
+    base = fresh_dir(spark, "corpus")
+    docs = X.documents(spark, sf)
+    vectors = X.table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+    store.write_version(spark, base, {"vectors": vectors})
+    for odd in (0, 1):
+        store.append_version(spark, base, {"documents": docs.filter(F.col("doc_id") % 2 == odd)})
+    width = F.size("embedding").alias("width")
+    stored = store.read_version(spark, base, "vectors").select("doc_id", width)
+    return store.read_version(spark, base, "documents").join(stored, "doc_id", "left")
+
+
+@query
+def delete_version(spark, sf):
+    base = fresh_dir(spark, "corpus")
+    store.write_version(spark, base, {"documents": X.documents(spark, sf)})
+    _, hits = store.delete_version(spark, base, _toxic(spark, sf), ["documents"])
+    return store.read_version(spark, base, "documents").withColumn("n_deleted", F.lit(hits).cast("long"))
+
+
 @query
 def vectors_load_or_create(spark, sf):
     base = fresh_dir(spark, "vectors")
     empty = store.load_or_create(spark, base, "vectors", schemas.VECTORS)
     stored = X.table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
     store.write_version(spark, base, {"vectors": empty.unionByName(stored)})
-    return store.load_or_create(spark, base, "vectors", schemas.VECTORS)
+    return _vector_rows(store.load_or_create(spark, base, "vectors", schemas.VECTORS), "doc_id")
 
 
 @query
 def search_log(spark, sf):
     path = fresh_dir(spark, "log")
     store.log_hits(semantic_search(spark, sf).withColumnRenamed("vec_id", "doc_id"), path)
-    return spark.read.schema(schemas.SEARCH_LOG).parquet(path)
+    # The time of the search is the only column that differs from run to run.
+    return spark.read.schema(schemas.SEARCH_LOG).parquet(path).drop("logged_at")
 
 
 # Cleaning
@@ -206,7 +229,7 @@ def processed_text(spark, sf):
 @query
 def merge_fields(spark, sf):
     fields = [F.col(c) for c in schemas.POST_COLUMNS]
-    return X.posts3(spark, sf).select("conv_id", C.merge_fields(*fields).alias("merged"))
+    return X.posts3(spark, sf).select("post_id", C.merge_fields(*fields).alias("merged"))
 
 
 @query
@@ -326,7 +349,7 @@ def token_spans(spark, sf):
 @query
 def char_map(spark, sf):
     mapped = X.turns(spark, sf).select(
-        "doc_id", T.clean_to_original_map(F.col("text")).alias("mapping")
+        "doc_id", T.greedy_map(F.col("text")).alias("mapping")
     )
     return K.explode_rows(mapped, "mapping", "clean_at", "original", "doc_id")
 
@@ -356,15 +379,15 @@ def truncate_tokens(spark, sf):
 
 @query
 def unigram_bigram(spark, sf):
-    clean = _clean_turns(spark, sf).select("doc_id", T.clean_words_of(F.col("clean")).alias("tokens"))
-    return clean.select("doc_id", F.inline(T.unigrams_bigrams(F.col("tokens"))))
+    lemmas = F.transform("tokens", lambda t: t["lemma"])
+    return _clean_phrase_tokens(spark, sf).select("doc_id", F.inline(T.unigrams_bigrams(lemmas)))
 
 
 def _clean_phrase_tokens(spark, sf) -> DataFrame:
     spans = _clean_turns(spark, sf).select(
         "doc_id", T.token_spans(F.col("clean")).alias("tokens")
     )
-    return K.phrase_tokens(spans, "", spans="clean")
+    return K.lemmatise(K.phrase_tokens(spans, "", spans="clean"), spark.sql(X.LEMMA_LEXICON), "doc_id")
 
 
 @query
@@ -377,7 +400,8 @@ def phrases_in_sentence(spark, sf):
     split = K.split_sentences(X.turns(spark, sf), "text", "doc_id").select(
         "doc_id", "sent", T.token_spans(C.clear_text(F.col("sentence"))).alias("tokens")
     )
-    return K.phrase_rows(K.phrase_tokens(split, "", spans="clean"), "doc_id", "sent")
+    lemmas = K.lemmatise(K.phrase_tokens(split, "", spans="clean"), spark.sql(X.LEMMA_LEXICON), "doc_id", "sent")
+    return K.phrase_rows(lemmas, "doc_id", "sent")
 
 
 def _entities(spark, sf) -> DataFrame:
@@ -390,12 +414,12 @@ def entities_gazetteer(spark, sf):
 
 
 def _triples(df: DataFrame, key: str) -> DataFrame:
-    """Subject, verb and object are taken to be the first three words of a sentence."""
+    """The words of a sentence are subject, verb and object by turns."""
     split = K.split_sentences(df, "text", key)
     roles = F.array(F.lit("nsubj"), F.lit("root"), F.lit("obj"))
     tokens = F.transform(
         T.clean_words_of(C.clear_text(F.col("sentence"))),
-        lambda w, i: F.struct(w.alias("lemma"), F.get(roles, i).alias("rel")),
+        lambda w, i: F.struct(w.alias("lemma"), F.get(roles, i % 3).alias("rel")),
     )
     return K.extract_triples(split.select(key, "sent", tokens.alias("tokens")), key, "sent")
 
@@ -408,8 +432,13 @@ def triples_from_rel(spark, sf):
 @query
 def nested_document(spark, sf):
     nested = K.nested_document(X.turns(spark, sf), "text", _entities(spark, sf))
+    words = F.flatten(F.transform("sentences", lambda s: F.transform(s["tokens"], lambda t: t["token"])))
     return nested.select(
-        "doc_id", "clean_text", F.to_json("sentences").alias("sentences"), F.to_json("entities").alias("entities")
+        "doc_id",
+        "clean_text",
+        F.size("sentences").alias("n_sentences"),
+        F.array_join(words, " ").alias("words"),
+        F.array_join(F.transform("entities", lambda e: e["lemma"]), " ").alias("entities"),
     )
 
 
@@ -623,14 +652,6 @@ def _turn_pairs(spark, sf) -> DataFrame:
     )
 
 
-@query
-def relevance_ratio(spark, sf):
-    text = ranking.string_ratio("clean", "clean_before")
-    return _turn_pairs(spark, sf).select(
-        "doc_id", V.rounded(ranking.relevance(F.col("cosine"), text)).alias("relevance")
-    )
-
-
 @query
 def relevance_levenshtein(spark, sf):
     text = ranking.levenshtein_ratio(F.col("clean"), F.col("clean_before"))
@@ -683,13 +704,13 @@ def token_vector_search(spark, sf):
 
 @query
 def dedup_ranked(spark, sf):
-    """Best document per query by its best-scoring sentence triple hits."""
+    """Best document per query by the longest query word among the subjects of its sentences."""
     shared = lookup_join(
-        triples_from_rel(spark, sf).select("doc_id", "sent", "subj"),
-        search.words_as_terms(X.benchmark_queries(spark, sf)).withColumnRenamed("term", "subj").distinct(),
-        ["subj"],
+        triples_from_rel(spark, sf).select("doc_id", F.explode(F.split("subj", " ")).alias("word")),
+        search.words_as_terms(X.benchmark_queries(spark, sf)).withColumnRenamed("term", "word").distinct(),
+        ["word"],
     )
-    hits = shared.select("query_id", "doc_id", F.length("subj").cast("double").alias("score"))
+    hits = shared.select("query_id", "doc_id", F.length("word").cast("double").alias("score"))
     return ranking.dedup_ranked(hits, 5)
 
 
@@ -771,9 +792,7 @@ def sentiment(spark, sf):
 
 @query
 def ingest_summary(spark, sf):
-    statuses = index.ingest_statuses(
-        X.documents(spark, sf), low=1, high=300, max_chars=None
-    )
+    statuses = index.ingest_statuses(X.documents(spark, sf), low=1, high=300)
     return profile.ingest_summary(statuses)
 
 
@@ -846,7 +865,5 @@ def stream_ingest(spark, sf):
     middle = docs.agg(F.percentile_approx("doc_id", 0.5)).head()[0]
     for part in (F.col("doc_id") <= middle, F.col("doc_id") > middle):
         docs.filter(part).write.mode("append").parquet(source)
-        ingest.ingest_stream(
-            spark, source, target, docs.schema, low=1, high=None, max_chars=None
-        )
+        ingest.ingest_stream(spark, source, target, docs.schema)
     return ingest.stored_documents(spark, target).select("doc_id", "cleaned_text")

@@ -11,14 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textlode.functions.cleaning import clean_social, clear_text, let
-from textlode.functions.tokens import clean_words_of, context_window, sentences, word_count
+from textlode.functions.tokens import adjacent_pairs, clean_words_of, context_window, sentences, word_count
 from textlode.functions.vectors import cosine, hash_embedding, l2_normalize, rounded, squared_l2
 from textlode.operators import ranking as R
 from textlode.operators.bm25 import bm25_top_n, lemma_rows, query_terms, term_rows
 from textlode.operators.filters import min_chars
 from textlode.operators.joins import BROADCAST_ROWS, hinted_join, top_per_group
 from textlode.operators.lexicon import expand_synonyms, query_lemmas
-from textlode.operators.tokens import analyze, phrase_rows, phrase_tokens
+from textlode.operators.tokens import analyze, lemmatise, phrase_rows, phrase_tokens
 from textlode.operators.vectors import top_k_vectors
 from textlode.sources.store import settle
 
@@ -251,12 +251,18 @@ def phrase_search(
     synonyms: DataFrame,
     n: int = 5,
 ) -> DataFrame:
-    """Positions, in the original text, of the expanded query terms in the n best documents.
+    """Positions, in the original text, of the query's words and word pairs in the n best documents.
 
-    `docs(doc_id, text)`; only those best documents are analysed.
+    `docs(doc_id, text)`; only those best documents are analysed.  Words and
+    pairs meet by lemma, so inflected forms are found; synonyms stand for words.
     """
     fits = _bounded(queries, n)
-    terms = expand_synonyms(query_lemmas(queries, lexicon), synonyms)
+    lemmas = query_lemmas(queries, lexicon)
+    terms = expand_synonyms(lemmas, synonyms)
+    ordered = lemmas.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("position", "term"))).alias("l"))
+    pairs = ordered.select(
+        "query_id", F.explode(adjacent_pairs(F.transform("l", lambda x: x["term"]))).alias("p")
+    ).select("query_id", F.concat_ws(" ", "p.first", "p.second").alias("term"))
     clean = docs.select("doc_id", clear_text(F.col("text")).alias("clean"))
     rows = lemma_rows(term_rows(clean), lexicon)
     scores = settle(
@@ -264,7 +270,8 @@ def phrase_search(
     )
     found = scores.select("doc_id").distinct()
     wanted = hinted_join(docs.select("doc_id", "text"), found, ["doc_id"], "left_semi", fits)
-    phrases = phrase_rows(phrase_tokens(analyze(wanted), "text"), "doc_id")
-    return R.phrase_positions(phrases, terms, scores, fits)
+    tokens = lemmatise(phrase_tokens(analyze(wanted), "text"), lexicon, "doc_id")
+    asked = terms.select("query_id", "term").unionByName(pairs)
+    return R.phrase_positions(phrase_rows(tokens, "doc_id"), asked, scores, fits)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import posixpath
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,20 +38,40 @@ def read_csv(
 ) -> DataFrame:
     """CSV files as strings; with `schema`, the given names in the order of the file.
 
-    Texts may hold line breaks; where they are known not to, `multi_line=False`
-    lets Spark split large files.  `tolerant` skips unreadable files and keeps
-    malformed rows in `_corrupt_record`.
+    A header that has other names than `schema` is an error.  Texts may hold
+    line breaks; where they are known not to, `multi_line=False` lets Spark
+    split large files.  `tolerant` keeps malformed rows in `_corrupt_record`;
+    a file that cannot be read is an error all the same (see `readable_files`).
     """
     reader = spark.read.options(**CSV_OPTIONS).option("header", header).option("multiLine", multi_line)
     if schema is not None:
         if tolerant:
             schema = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
-        reader = reader.schema(schema)
+        reader = reader.schema(schema).option("enforceSchema", not header)
     if tolerant:
-        reader = reader.option("mode", "PERMISSIVE").option("ignoreCorruptFiles", True)
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
     return reader.csv(paths)
 
 
+def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Column names of one CSV entry (a file, or a folder of files with one header)."""
+    return tuple(spark.read.options(**CSV_OPTIONS).option("header", True).csv(path).columns)
+
+
+def readable_files(
+    spark: SparkSession, paths: list[str], header: Callable[[SparkSession, str], tuple[str, ...]] = header_of
+) -> tuple[dict[tuple[str, ...], list[str]], DataFrame]:
+    """The paths by their header, and `(path, error)` for those that cannot be read."""
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    failed = []
+    for path in paths:
+        try:
+            by_header.setdefault(header(spark, path), []).append(path)
+        except Exception as error:  # noqa: BLE001 - whatever the reader raises is reported
+            failed.append((path, str(error).split("\n", 1)[0][:300]))
+    return by_header, spark.createDataFrame(failed, "path string, error string")
+
+
 def read_posts(
     spark: SparkSession,
     folder: str,
@@ -58,17 +79,38 @@ def read_posts(
     skip_prefix: str | None = "combined",
     multi_line: bool = True,
 ) -> DataFrame:
-    """All CSV entries of a folder as one frame.
+    """All CSV entries of a folder as one frame; an unreadable one or an empty folder is an error.
 
-    Without `schema` the files may have different headers; they are then read
-    one by one and united by column name.  An empty folder is an error.
+    Entries may have different headers: those of one header are read together
+    and the groups united by column name.  With `schema` its columns are taken
+    by name, and a file without one of them is an error.
     """
+    rows, report = read_posts_reported(spark, folder, schema, skip_prefix, multi_line)
+    if (bad := report.head()) is not None:
+        raise ValueError(f"cannot read {bad.path}: {bad.error}")
+    return rows
+
+
+def read_posts_reported(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType | None = None,
+    skip_prefix: str | None = "combined",
+    multi_line: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of the readable CSV entries of a folder, and `(path, error)` for the others."""
     paths = list_csv(spark, folder, skip_prefix)
     if not paths:
         raise FileNotFoundError(f"no CSV files in {folder}")
-    if schema is not None:
-        return read_csv(spark, paths, schema, multi_line=multi_line)
-    return union_all(*[read_csv(spark, p, multi_line=multi_line) for p in paths])
+    by_header, report = readable_files(spark, paths)
+    if not by_header:
+        raise ValueError(f"no readable CSV file in {folder}")
+    frames = []
+    for names, group in by_header.items():
+        fields = T.StructType([T.StructField(name, T.StringType()) for name in names])
+        rows = read_csv(spark, group, fields, multi_line=multi_line)
+        frames.append(rows if schema is None else read_column(rows, *schema.fieldNames()))
+    return union_all(*frames), report
 
 
 def read_column(df: DataFrame, *columns: str) -> DataFrame:

@@ -1,17 +1,21 @@
 """Corpus tables on shared storage, as numbered versions.
 
-A version is a folder `v=<n>` with one Parquet table per name and, written
-last, an empty `_COMMITTED` file.  Readers only see committed versions, so a
-set of tables changes at once, a failed write leaves the previous version in
-place, and no path is overwritten while it is read.
+A version is a folder `v=<n>` with the Parquet folders it adds and, written
+last, a `_COMMITTED` file that lists all folders of every table.  Readers only
+see committed versions, so a set of tables changes at once, a failed write
+leaves the previous version in place, and no path is overwritten while it is
+read.  An append adds folders and carries everything else over unread.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textlode.operators.joins import lookup_join
 from textlode.schemas import SEARCH_LOG
 from textlode.session import fresh_dir
 
@@ -39,16 +43,38 @@ def versions(spark: SparkSession, base: str, committed: bool = True) -> list[int
     return [n for n in numbers if not committed or exists(spark, f"{base}/v={n}/{COMMITTED}")]
 
 
-def write_version(spark: SparkSession, base: str, tables: dict[str, DataFrame]) -> int:
-    """Writes all tables as the next version and commits them together."""
+def _commit(
+    spark: SparkSession, base: str, tables: dict[str, DataFrame], kept: dict[str, list[str]]
+) -> int:
+    """Writes `tables` as folders of the next version, which also holds the folders of `kept`."""
     number = max(versions(spark, base, committed=False), default=0) + 1
+    manifest = {name: list(parts) for name, parts in kept.items()}
     for name, df in tables.items():
         df.write.parquet(f"{base}/v={number}/{name}")
+        manifest.setdefault(name, []).append(f"v={number}/{name}")
     marker, files = _files(spark, f"{base}/v={number}/{COMMITTED}")
-    files.create(marker).close()
+    # Never over an existing file: of two writers of one number only the first commits.
+    out = files.create(marker, False)
+    out.write(bytearray(json.dumps(manifest).encode()))
+    out.close()
     return number
 
 
+def _manifest(spark: SparkSession, base: str, number: int) -> dict[str, list[str]]:
+    """Folders of each table of a committed version."""
+    marker, files = _files(spark, f"{base}/v={number}/{COMMITTED}")
+    stream = files.open(marker)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def write_version(spark: SparkSession, base: str, tables: dict[str, DataFrame]) -> int:
+    """Writes all tables as the next version and commits them together; it holds no others."""
+    return _commit(spark, base, tables, {})
+
+
 def require_version(spark: SparkSession, base: str) -> int:
     """The newest committed version; searching without one is an error."""
     found = versions(spark, base)
@@ -81,28 +107,44 @@ def read_spread(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_version(spark: SparkSession, base: str, name: str, version: int | None = None) -> DataFrame:
+    """One table of a version, by default of the newest; a table it does not hold is an error."""
     number = require_version(spark, base) if version is None else version
-    return spark.read.parquet(f"{base}/v={number}/{name}")
+    parts = _manifest(spark, base, number).get(name)
+    if not parts:
+        raise KeyError(f"version {number} of {base} holds no table {name}")
+    return spark.read.parquet(*[f"{base}/{part}" for part in parts])
 
 
 def load_or_create(
     spark: SparkSession, base: str, name: str, schema: T.StructType, overwrite: bool = False
 ) -> DataFrame:
     """The stored table, or an empty one when there is none or `overwrite` is set."""
-    if versions(spark, base) and not overwrite:
+    stored = versions(spark, base)
+    if stored and not overwrite and name in _manifest(spark, base, stored[-1]):
         return read_version(spark, base, name)
     return spark.createDataFrame([], schema)
 
 
 def append_version(spark: SparkSession, base: str, tables: dict[str, DataFrame]) -> int:
-    """A new version holding the stored rows and the given ones."""
+    """A new version holding the stored rows of all tables and the given ones; only these are written."""
     stored = versions(spark, base)
-    if stored:
-        tables = {
-            name: read_version(spark, base, name, stored[-1]).unionByName(df)
-            for name, df in tables.items()
-        }
-    return write_version(spark, base, tables)
+    return _commit(spark, base, tables, _manifest(spark, base, stored[-1]) if stored else {})
+
+
+def delete_version(
+    spark: SparkSession, base: str, ids: DataFrame, names: list[str], key: str = "doc_id"
+) -> tuple[int, int]:
+    """A new version without the rows whose key is listed; its number, and the rows deleted from the first table.
+
+    The named tables are written anew, the others carried over.
+    """
+    number = require_version(spark, base)
+    gone = ids.select(key).distinct()
+    before = {name: read_version(spark, base, name, number) for name in names}
+    hits = lookup_join(before[names[0]], gone, [key], "left_semi").count()
+    left = {name: lookup_join(df, gone, [key], "left_anti") for name, df in before.items()}
+    kept = {name: parts for name, parts in _manifest(spark, base, number).items() if name not in names}
+    return _commit(spark, base, left, kept), hits
 
 
 def log_hits(hits: DataFrame, path: str) -> None:

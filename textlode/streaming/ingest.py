@@ -16,11 +16,11 @@ from textlode.sources.store import exists
 PREFIX = "prefix"
 
 
-def prepare(df: DataFrame, text: str, low: int, high: int | None, max_chars: int | None) -> DataFrame:
-    """Cleaned posts within the word limits."""
+def prepare(df: DataFrame, text: str, low: int, high: int | None) -> DataFrame:
+    """Cleaned posts within the word limits, which count the whole cleaned text."""
     cleaned = df.withColumn("cleaned_text", clear_text(F.col(text)))
-    limited = cleaned.withColumn("_limited", processed_text(F.col(text), max_chars))
-    return words_between(limited, "_limited", low, high or 2**31 - 1).drop("_limited")
+    counted = cleaned.withColumn("_words", processed_text(F.col(text), None))
+    return words_between(counted, "_words", low, high).drop("_words")
 
 
 def new_keys(batch: DataFrame, stored: DataFrame | None, order_col: str) -> DataFrame:
@@ -42,8 +42,7 @@ def ingest_stream(
     text: str = "text",
     order_col: str = "doc_id",
     low: int = 1,
-    high: int | None = 30,
-    max_chars: int | None = 500,
+    high: int | None = None,
     files_per_trigger: int | None = None,
 ) -> None:
     """Ingests all Parquet files that are new in `source`, then returns.
@@ -59,7 +58,7 @@ def ingest_stream(
 
     def store(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        posts = prepare(batch, text, low, high, max_chars)
+        posts = prepare(batch, text, low, high)
         stored = None
         if exists(session, f"{target}/keys"):
             stored = session.read.parquet(f"{target}/keys").filter(F.col("batch") < number)
