@@ -99,6 +99,19 @@ def test_loaders_keep_long_posts_unless_told(spark):
     assert index.select_posts(spaced, high=30).count() == 0
 
 
+def test_long_texts_are_cut_in_linear_time(spark):
+    import time
+
+    from textlode.operators.ranking import _runs
+
+    frame = spark.createDataFrame([("abcdefghij😀 " * 9000,)], "text string")
+    cut = frame.select(F.size(_runs(F.col("text"), F.lit(12))))
+    cut.collect()
+    started = time.time()
+    assert cut.head()[0] == 12
+    assert time.time() - started < 2
+
+
 def test_inflected_words_and_phrases_are_located(spark):
     lexicon = spark.createDataFrame([("are", "be", "VERB"), ("is", "be", "VERB"), ("cats", "cat", "NOUN")], "form string, lemma string, pos string")
     none = spark.createDataFrame([], "word string, synset_id string, synset_rank int, sense string, sense_rank int")

@@ -6,6 +6,8 @@ row: no explode, shuffle or window is needed to number or pair tokens.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -240,6 +242,19 @@ def slice_text(original: Column, start: Column, stop: Column) -> Column:
     return F.substring(original, start + 1, stop - start)
 
 
+def slices(original: Column, spans: Column, make: Callable[[Column, Column], Column]) -> Column:
+    """`make(span, slice)` for every span with `start_orig` and `end_orig`; the text is cut into characters once."""
+
+    def cut(chars: Column) -> Column:
+        def one(span: Column) -> Column:
+            length = span["end_orig"] - span["start_orig"]
+            return make(span, F.array_join(F.slice(chars, span["start_orig"] + 1, length), ""))
+
+        return F.transform(spans, one)
+
+    return let(F.split(original, ""), cut)
+
+
 def context_window(doc: Column, fragment: Column, around: int = 5) -> Column:
     """First occurrence of the fragment's words in `doc`, with `around` words on each side.
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from textlode.functions.cleaning import let
 from textlode.operators.joins import hinted_join, lookup_join, top_per_group
 
 # Fragments of at most this many rows and characters go to every task as one automaton.
@@ -116,8 +117,13 @@ def _scan_documents(patterns: list[str], docs: DataFrame) -> DataFrame:
 
 def _runs(text: Column, length: Column) -> Column:
     """Distinct character runs of the given length, or the whole text when it is shorter."""
-    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - length + 1, F.lit(1)))
-    return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, length)))
+
+    def runs(chars: Column) -> Column:
+        # Cut from the characters, for a substring would count from the start of the text each time.
+        starts = F.sequence(F.lit(1), F.greatest(F.size(chars) - length + 1, F.lit(1)))
+        return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(chars, i, length), "")))
+
+    return let(F.split(text, ""), runs)
 
 
 def _anchored_documents(fragments: DataFrame, docs: DataFrame) -> DataFrame:

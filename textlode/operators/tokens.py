@@ -11,7 +11,7 @@ from textlode.functions.tokens import (
     original_spans,
     phrases,
     sentences,
-    slice_text,
+    slices,
     spans_up_to,
     token_spans,
 )
@@ -92,17 +92,14 @@ def phrase_tokens(analyzed: DataFrame, text: str, spans: str = "original") -> Da
     With original spans, the text of a token is cut out of the original.
     """
     if spans == "original":
-        start, stop = "start_orig", "end_orig"
-        tokens = let(
+        tokens = slices(
             F.col(text),
-            lambda whole: F.transform(
-                "tokens",
-                lambda t: F.struct(
-                    slice_text(whole, t[start], t[stop]).alias("text"),
-                    t["token"].alias("lemma"),
-                    t[start].alias("start"),
-                    t[stop].alias("stop"),
-                ),
+            F.col("tokens"),
+            lambda t, cut: F.struct(
+                cut.alias("text"),
+                t["token"].alias("lemma"),
+                t["start_orig"].alias("start"),
+                t["end_orig"].alias("stop"),
             ),
         )
     else:

@@ -444,9 +444,9 @@ def nested_document(spark, sf):
 
 @query
 def slice_original(spark, sf):
-    rows = K.explode_rows(_analyzed_turns(spark, sf), "tokens", "position", "t", "doc_id", "text")
-    cut = T.slice_text(F.col("text"), F.col("t.start_orig"), F.col("t.end_orig"))
-    return rows.select("doc_id", "position", cut.alias("slice"))
+    cut = T.slices(F.col("text"), F.col("tokens"), lambda span, text: text)
+    sliced = _analyzed_turns(spark, sf).select("doc_id", cut.alias("slices"))
+    return K.explode_rows(sliced, "slices", "position", "slice", "doc_id")
 
 
 @query
