@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textlode.llm.common import fits, mix
+from textlode.llm.common import fits, mix, spread_join
 from textlode.llm.components import components
 from textlode.llm.shingles import shingle_sets
 from textlode.llm.trigrams import text_buffer
@@ -500,17 +500,8 @@ def linked_sets(
     return links.union(_compared(likely, more).filter(fine).select("a", "b"))
 
 
-def jaccard_components(
-    docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """`(doc_id, n_shingles, component_id)`, one row per row of `docs`.
-
-    Sets of `k`-word shingles link when den * |A ∩ B| >= num * |A ∪ B|;
-    component_id is the smallest doc_id that links reach.  Null, empty and
-    blank texts have no shingles and are linked with nothing: their own id.
-    Null ids are kept; they name a component only if it holds no other.
-    Repeated rows are linked like any equal texts.
-    """
+def _grouped(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
+    """`(doc_id, copy, n, node, root)` per row: text, set of shingles and linked group, each by a 64-bit name."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("copy"), text.alias("text"))
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
@@ -529,12 +520,56 @@ def jaccard_components(
 
     links = settle(linked_sets(members, known.select("node", "bitmap"), sets_of, num, den))
     roots = components(links)
-    least = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
-    named = least.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    by_root = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_node = named.join(by_root, "root").select("node", "component_id")
-    return rows.join(by_node, "node", "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-    )
+    # Rows of one set may be a third of all; the sets that are linked are few.
+    linked = settle(roots)
+    small = fits(linked, F.lit(16))
+    return spread_join(rows, linked, "node", "left", small).withColumn("root", F.coalesce("root", "node"))
+
+
+def jaccard_components(
+    docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """`(doc_id, n_shingles, component_id)`, one row per row of `docs`.
+
+    Sets of `k`-word shingles link when den * |A ∩ B| >= num * |A ∪ B|;
+    component_id is the smallest doc_id that links reach.  Null, empty and
+    blank texts have no shingles and are linked with nothing: their own id.
+    Null ids are kept; they name a component only if it holds no other.
+    Repeated rows are linked like any equal texts.
+    """
+    rows = settle(_grouped(docs, k, num, den, id_col, text_col))
+    least = rows.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("c"))
+    # A group of one names itself, so that only the others are looked up.
+    several = settle(least.filter("c > 1").select("root", "component_id"))
+    named = spread_join(rows, several, "root", "left", fits(several, F.lit(16)))
+    return named.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_per_group(
+    docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """`docs` with one row of each linked group: that of the smallest id, null last.
+
+    Rows without words all stay, for they are linked with nothing.  Of
+    repeated rows one stays.  All columns stay.
+    """
+    rows = settle(_grouped(docs, k, num, den, id_col, text_col))
+    key = F.xxhash64("doc_id", "copy")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "copy")
+    grouped = rows.filter("root is not null").select("root", key.alias("_key"), order.alias("order"))
+    firsts = grouped.groupBy("root").agg(F.min("order").alias("first"), F.count("*").alias("c")).filter("c > 1")
+    firsts = settle(firsts.select("root", F.xxhash64("first.doc_id", "first.copy").alias("first")))
+    several = spread_join(grouped.drop("order"), firsts, "root", "inner", fits(firsts, F.lit(16)))
+    several = settle(several.groupBy("root", "first", "_key").agg(F.count("*").alias("c")))
+    losers = several.filter(F.col("_key") != F.col("first")).select("_key").distinct()
+    again = settle(several.filter((F.col("_key") == F.col("first")) & (F.col("c") > 1)).select("_key"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    named = docs.withColumn("_key", F.xxhash64(F.col(id_col).cast("long"), F.xxhash64(text)))
+    losers = settle(losers)
+    kept = spread_join(named, losers, "_key", "left_anti", fits(losers, F.lit(8)))
+    if not again.isEmpty():
+        # Rows alike in id and text.
+        small = fits(again, F.lit(8))
+        alike = spread_join(kept, again, "_key", "left_semi", small).dropDuplicates(["_key"])
+        kept = spread_join(kept, again, "_key", "left_anti", small).unionByName(alike)
+    return kept.select(*docs.columns)
