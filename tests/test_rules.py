@@ -4,10 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from textlode import schemas
-from textlode.operators import bm25
+from textlode.operators import bm25, corpus, profile, tokens
 from textlode.operators import vectors as E
 from textlode.operators.tokens import annotate_tokens, replace_slang
 from textlode.plans import index, search
+from textlode.plans.queries import QUERIES
 from textlode.session import fresh_dir
 from textlode.sources import posts, store
 
@@ -78,13 +79,41 @@ def test_a_form_listed_twice_changes_nothing(spark):
     docs = spark.createDataFrame([(1, "saw a b"), (2, "a b c d")], "doc_id long, clean string")
     rows = bm25.term_rows(docs)
     assert sorted(map(str, bm25.lemma_rows(rows, once).collect())) == sorted(map(str, bm25.lemma_rows(rows, twice).collect()))
-    tokens = spark.createDataFrame([(1, "saw"), (1, "x")], "doc_id long, token string")
-    assert annotate_tokens(tokens, twice).count() == 2
+    words = spark.createDataFrame([(1, "saw"), (1, "x")], "doc_id long, token string")
+    assert annotate_tokens(words, twice).count() == 2
     slang = spark.createDataFrame([("lol", "z"), ("lol", "b")], "term string, replacement string")
     texts = spark.createDataFrame([(1, "a lol lol")], "doc_id long, text string")
     assert replace_slang(texts, "doc_id", "text", slang).head().normalised == "a b b"
 
 
+@pytest.mark.parametrize("longest", [0, 64])
+def test_slang_is_the_same_with_a_long_dictionary(spark, monkeypatch, longest):
+    monkeypatch.setattr(tokens, "SHORT_DICTIONARY", longest)
+    slang = spark.createDataFrame([("lol", "laugh out loud"), ("u", "you")], "term string, replacement string")
+    texts = spark.createDataFrame([(1, "LOL u there"), (2, ""), (3, None), (4, "plain words")], "doc_id long, text string")
+    rows = {r.doc_id: r.normalised for r in replace_slang(texts, "doc_id", "text", slang).collect()}
+    assert rows == {1: "laugh out loud you there", 2: "", 3: "", 4: "plain words"}
+
+
+def test_no_text_moves(spark, plan, sf_dir):
+    """BM25 and the counts inside a row shuffle counts and hits, never texts or words of texts."""
+    for name in ("word_frequencies", "slang_normalise"):
+        assert "Exchange" not in plan(QUERIES[name](spark, sf_dir).repartition(1)).replace("Exchange SinglePartition", "").replace(
+            "Exchange RoundRobinPartitioning", ""
+        ), name
+    for line in plan(QUERIES["bm25_top_n"](spark, sf_dir)).splitlines():
+        assert "Exchange hashpartitioning(doc_id" not in line and "Exchange hashpartitioning(clean" not in line
+
+
+def test_word_maps_and_rejected_rows(spark):
+    docs = spark.createDataFrame([(1, "b a b"), (2, ""), (3, None)], "doc_id long, text string")
+    maps = {r.doc_id: r.word_frequencies for r in profile.word_frequency_maps(docs, "text", "doc_id").collect()}
+    assert maps[1] == {"a": 1, "b": 2} and not maps[2] and not maps[3]
+    assert sorted(map(tuple, profile.word_frequencies(docs, "text", "doc_id").collect())) == [(1, "a", 1), (1, "b", 2)]
+    stored = spark.createDataFrame([(2,), (9,)], "doc_id long")
+    assert [r.doc_id for r in corpus.rejected_on_insert(docs, stored).collect()] == [2]
+
+
 def test_loaders_keep_long_posts_unless_told(spark):
     long = " ".join("abc"[i % 3] * (1 + i % 5) for i in range(400))
     docs = spark.createDataFrame([(1, long), (2, "short one"), (3, "!!")], "doc_id long, text string")

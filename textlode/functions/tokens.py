@@ -26,6 +26,25 @@ def clean_words_of(col: Column) -> Column:
     return F.when(col == "", F.array().cast("array<string>")).otherwise(F.split(col, " "))
 
 
+def word_counts(words: Column) -> Column:
+    """`array<struct<word, n>>`: every different word and its number, by the runs of the sorted words."""
+
+    def runs(s: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(s) - 1)
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return let(
+            starts,
+            lambda st: F.zip_with(
+                st,
+                F.concat(F.slice(st, F.lit(2), F.size(st)), F.array(F.size(s))),
+                lambda a, b: F.struct(F.get(s, a).alias("word"), (b - a).alias("n")),
+            ),
+        )
+
+    none = F.array().cast("array<struct<word:string,n:int>>")
+    return let(F.sort_array(words), lambda s: F.when(F.size(s) > 0, runs(s)).otherwise(none))
+
+
 def word_count(col: Column) -> Column:
     return F.size(words(col))
 

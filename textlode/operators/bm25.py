@@ -1,8 +1,8 @@
 """Okapi BM25 over a corpus of term rows.
 
-The corpus is brought together by document once; tokens, term frequencies
-and per-document scores then all follow that partitioning without another
-shuffle.  Only per-term counts and each task's best documents move again.
+Terms are counted inside each document's row, so no text and no posting is
+shuffled: what moves are the counts per term, the rows of query terms and each
+task's best documents.  The term rows may as well be stored and read again.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textlode.functions.tokens import clean_words_of
+from textlode.functions.tokens import clean_words_of, word_counts
 from textlode.functions.vectors import rounded
 from textlode.operators.joins import BROADCAST_ROWS, hinted_join, lookup_join, one_per_key, top_per_group, within
 
@@ -21,27 +21,27 @@ EPSILON = 0.25
 
 
 def term_rows(docs: DataFrame, text: str = "clean", key: str = "doc_id") -> DataFrame:
-    """`(doc_id, dl, term)`: one row per token of the cleaned text.
+    """`(doc_id, dl, term, tf)`: one row per document and term of the cleaned text.
 
     Every document also has one row with a null term, so that documents
     without tokens count, and so that the number of documents and their total
     length can be read off the same counts as the terms.
     """
-    # Without a fixed number, so that the runtime sizes the pieces by the data.
-    texts = docs.select(F.col(key).alias("doc_id"), F.coalesce(text, F.lit("")).alias("clean"))
-    spread = texts.repartition("doc_id")
-    split = spread.select("doc_id", clean_words_of(F.col("clean")).alias("tokens"))
-    # The length is taken before the explode; after it, it would be taken per token.
-    sized = split.select("doc_id", F.size("tokens").alias("dl"), "tokens")
-    none = F.array(F.lit(None).cast("string"))
-    return sized.select("doc_id", "dl", F.explode(F.concat("tokens", none)).alias("term"))
+    clean = F.coalesce(F.col(text), F.lit(""))
+    split = docs.select(F.col(key).alias("doc_id"), clean_words_of(clean).alias("tokens"))
+    # The length is taken before the explode; after it, it would be taken per term.
+    sized = split.select("doc_id", F.size("tokens").alias("dl"), word_counts(F.col("tokens")).alias("counts"))
+    none = F.array(F.struct(F.lit(None).cast("string").alias("word"), F.lit(0).alias("n")))
+    terms = F.inline(F.concat("counts", none)).alias("term", "tf")
+    return sized.select("doc_id", "dl", terms)
 
 
 def lemma_rows(rows: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Term rows with every term replaced by its lemma, where the lexicon has one."""
     listed = one_per_key(lexicon.select(F.col("form").alias("term"), "lemma", "pos"), "term").drop("pos")
     found = lookup_join(rows, listed, ["term"], "left")
-    return found.select("doc_id", "dl", F.coalesce("lemma", "term").alias("term"))
+    lemmas = found.select("doc_id", "dl", F.coalesce("lemma", "term").alias("term"), "tf")
+    return lemmas.groupBy("doc_id", "dl", "term").agg(F.sum("tf").alias("tf"))
 
 
 def query_terms(terms: DataFrame) -> DataFrame:
@@ -51,9 +51,7 @@ def query_terms(terms: DataFrame) -> DataFrame:
 
 def term_counts(rows: DataFrame) -> DataFrame:
     """`(term, df, total_dl)`; the null term holds the document count and total length."""
-    # One row per document and term; the length is carried along as part of the key.
-    postings = rows.groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
-    return postings.groupBy("term").agg(
+    return rows.groupBy("term").agg(
         F.count("*").alias("df"), F.sum("dl").alias("total_dl")
     )
 
@@ -95,11 +93,7 @@ def bm25_scores(
         "query_id", "term", (F.col("qtf") * F.col("idf")).alias("weight"), "avgdl"
     )
     wanted = terms.select("term").distinct()
-    tf = (
-        hinted_join(rows, wanted, ["term"], "left_semi", fits)
-        .groupBy("doc_id", "dl", "term")
-        .agg(F.count("*").alias("tf"))
-    )
+    tf = hinted_join(rows, wanted, ["term"], "left_semi", fits)
     part = (
         F.col("weight")
         * F.col("tf")

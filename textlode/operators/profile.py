@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textlode.functions.cleaning import clear_text, let
-from textlode.functions.tokens import clean_words_of, words
+from textlode.functions.tokens import clean_words_of, word_counts, words
 from textlode.operators.joins import top_per_group
 
 
@@ -52,19 +52,17 @@ def text_stats(df: DataFrame, col: str) -> DataFrame:
 
 
 def word_frequencies(df: DataFrame, col: str, *keys: str) -> DataFrame:
-    """`(keys.., word, n)`: occurrences of each cleaned word per document."""
-    tokens = df.select(*keys, F.explode(clean_words_of(clear_text(F.col(col)))).alias("word"))
-    return tokens.groupBy(*keys, "word").agg(F.count("*").alias("n"))
+    """`(keys.., word, n)`: occurrences of each cleaned word per row; counted inside the row."""
+    counts = df.select(*keys, word_counts(clean_words_of(clear_text(F.col(col)))).alias("counts"))
+    # Without the outer form a filter for non-empty lists would count once more.
+    rows = counts.select(*keys, F.explode_outer("counts").alias("c")).filter(F.col("c").isNotNull())
+    return rows.select(*keys, "c.word", F.col("c.n").cast("long").alias("n"))
 
 
 def word_frequency_maps(df: DataFrame, col: str, *keys: str) -> DataFrame:
-    """The same as one map per document."""
-    pairs = F.collect_list(F.struct("word", "n"))
-    return (
-        word_frequencies(df, col, *keys)
-        .groupBy(*keys)
-        .agg(F.map_from_entries(pairs).alias("word_frequencies"))
-    )
+    """The same as one map per row."""
+    counts = word_counts(clean_words_of(clear_text(F.col(col))))
+    return df.select(*keys, F.map_from_entries(counts).alias("word_frequencies"))
 
 
 def top_words(df: DataFrame, cols: list[str], n: int = 10) -> DataFrame:

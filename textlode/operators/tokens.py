@@ -18,6 +18,10 @@ from textlode.functions.tokens import (
 from textlode.operators.joins import BROADCAST_ROWS, hinted_join, lookup_join, one_per_key, within
 
 
+# Words of a dictionary that every row looks through by itself.
+SHORT_DICTIONARY = 64
+
+
 def explode_rows(df: DataFrame, array: str, at: str, item: str, *keys: str) -> DataFrame:
     """`(keys.., <at>, <item>)`, one row per element of a computed array column.
 
@@ -202,12 +206,17 @@ def nested_document(df: DataFrame, text: str, entities: DataFrame, key: str = "d
 def replace_slang(df: DataFrame, key: str, text: str, slang: DataFrame) -> DataFrame:
     """Cleaned text with every word listed in `slang(term, replacement)` replaced.
 
-    Without a listed word the text is passed on as it is; only the words of
-    the others are looked up, and put together again per text.
+    A short dictionary is looked up inside the row, without a shuffle.  For a
+    longer one the words are taken apart, looked up and put together again.
     """
     clean = df.select(key, clear_text(F.coalesce(F.col(text), F.lit(""))).alias("clean"))
-    tokens = clean.select(key, F.posexplode(F.split("clean", " ")).alias("at", "term"))
     slang = one_per_key(slang.select("term", "replacement"), "term")
+    short = slang.limit(SHORT_DICTIONARY + 1).collect()
+    if len(short) <= SHORT_DICTIONARY:
+        listed = F.create_map(*[F.lit(x) for r in short for x in (r.term, r.replacement)])
+        swap = (lambda w: F.coalesce(F.element_at(listed, w), w)) if short else (lambda w: w)
+        return clean.select(key, F.array_join(F.transform(F.split("clean", " "), swap), " ").alias("normalised"))
+    tokens = clean.select(key, F.posexplode(F.split("clean", " ")).alias("at", "term"))
     fits = within(slang, BROADCAST_ROWS)
     swapped = hinted_join(tokens, slang, ["term"], "left", fits)
     parts = F.array_sort(
