@@ -110,7 +110,11 @@ def test_stream_keeps_first_over_runs_and_files(spark):
     for rows in batches:
         spark.createDataFrame(rows, POSTS).coalesce(1).write.mode("append").parquet(source)
         ingest.ingest_stream(spark, source, target, schema)
-    # Nothing new: nothing happens.
+    # Only copies, then nothing new.
+    spark.createDataFrame([(8, "a B")], POSTS).coalesce(1).write.mode("append").parquet(source)
+    ingest.ingest_stream(spark, source, target, schema)
+    counters = ingest.stored(spark, target, "counters").agg(F.sum("received"), F.sum("stored"), F.sum("duplicates"), F.sum("skipped"))
+    assert tuple(counters.head()) == (8, 3, 4, 1)
     ingest.ingest_stream(spark, source, target, schema)
     kept = ingest.stored_documents(spark, target)
     assert sorted(r.doc_id for r in kept.collect()) == [1, 5, 7]

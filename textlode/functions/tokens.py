@@ -224,10 +224,10 @@ def original_spans(col: Column) -> Column:
 def exact_map(spans: Column) -> Column:
     """Index in the original of every character of the cleaned text, from the spans in the original.
 
-    The space after a word has the place of the character that follows the word.
+    The space before a word has the place of the character before it.
     """
-    places = F.flatten(F.transform(spans, lambda s: F.sequence(s["start_orig"], s["end_orig"])))
-    return F.slice(places, F.lit(1), F.greatest(F.size(places) - 1, F.lit(0)))
+    places = F.flatten(F.transform(spans, lambda s: F.sequence(s["start_orig"] - 1, s["end_orig"] - 1)))
+    return F.slice(places, F.lit(2), F.size(places))
 
 
 def greedy_map(original: Column, cleaned: Column | None = None) -> Column:

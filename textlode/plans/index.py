@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from textlode.functions.cleaning import clear_text, processed_text
 from textlode.functions.tokens import word_count
 from textlode.functions.vectors import hash_embedding, l2_normalize
+from textlode.operators.bm25 import term_rows
 from textlode.operators.corpus import dedup_first, first_texts
 from textlode.operators.filters import MOST, words_between
 from textlode.operators.tokens import analyze, annotate_tokens, rebuild_truncated, token_rows
@@ -49,6 +50,12 @@ def token_table(documents: DataFrame, lexicon: DataFrame) -> DataFrame:
     )
 
 
+def postings_table(documents: DataFrame) -> DataFrame:
+    """The term rows of the documents, laid out by term: a search reads the files of its terms only."""
+    rows = term_rows(documents, "cleaned_text")
+    return rows.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id")
+
+
 def vector_table(
     documents: DataFrame, encode: Callable[[list[str]], np.ndarray] | None = None, dim: int = 64
 ) -> DataFrame:
@@ -83,6 +90,7 @@ def load_corpus(
         {
             "documents": documents,
             "tokens": cluster_tokens(token_table(documents, lexicon)),
+            "postings": postings_table(documents),
             "vectors": vector_table(documents, encode, dim),
         },
     )

@@ -436,6 +436,12 @@ ON e.vec_id = near.vec_id AND e.label = near.query_id""",
 FROM ({best('near', 5, 'cosine DESC, vec_id')}) WHERE cosine >= 0.4""",
     "bm25_scores": f"WITH {CLEAN_DOCS}, {PLAIN_BM25} SELECT query_id, doc_id, dl::INTEGER AS dl, score FROM bm",
     "bm25_top_n": f"WITH {CLEAN_DOCS}, {PLAIN_BM25} SELECT query_id, doc_id, score, rank FROM ({best('bm', 10)})",
+    "bm25_stored": f"WITH {CLEAN_DOCS}, {PLAIN_BM25} SELECT query_id, doc_id, score, rank FROM ({best('bm', 10)})",
+    "stream_tables": f"""WITH {CLEAN_TURNS}, valid AS (SELECT * FROM docs WHERE clean <> ''),
+kept AS (SELECT * FROM valid QUALIFY {DEDUP}),
+counts AS (SELECT (SELECT count(*) FROM docs) AS received, (SELECT count(*) FROM kept) AS stored,
+  (SELECT count(*) FROM valid) - (SELECT count(*) FROM kept) AS duplicates, (SELECT count(*) FROM docs) - (SELECT count(*) FROM valid) AS skipped)
+SELECT doc_id, len(string_split(clean, ' '))::BIGINT AS n_tokens, 64::INTEGER AS width, counts.* FROM kept, counts""",
     "bm25_rerank": f"""WITH {CLEAN_DOCS}, {PLAIN_BM25}, cands AS (SELECT query_id, doc_id FROM ({best('bm', 10)})), {COSINES}
 SELECT query_id, doc_id, round(distance, 6) AS distance, rank FROM ({best('cosines', 10, 'round(distance, 6), doc_id')})""",
     "hybrid_v1": f"""WITH {CLEAN_DOCS}, {PLAIN_BM25}, cands AS (SELECT query_id, doc_id, score FROM ({best('bm', 6)})), {COSINES}, {TRIPLES},

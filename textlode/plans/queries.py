@@ -593,6 +593,32 @@ def bm25_top_n(spark, sf):
     return hits.select("query_id", "doc_id", "score", "rank")
 
 
+@query
+def bm25_stored(spark, sf):
+    """The same from stored postings."""
+    base = fresh_dir(spark, "index")
+    docs = _cleaned(spark, sf, C.clear_text).withColumnRenamed("clean", "cleaned_text")
+    store.write_version(spark, base, {"postings": index.postings_table(docs)})
+    postings = store.read_version(spark, base, "postings")
+    hits = search.bm25_in_postings(X.benchmark_queries(spark, sf), postings, 10)
+    return hits.select("query_id", "doc_id", "score", "rank")
+
+
+@query
+def stream_tables(spark, sf):
+    """Tokens, vectors and counters that the stream writes with its documents."""
+    source, target = fresh_dir(spark, "stream"), fresh_dir(spark, "ingested")
+    turns = X.turns(spark, sf).select("doc_id", "text")
+    turns.write.parquet(source)
+    ingest.ingest_stream(spark, source, target, turns.schema)
+    tokens = ingest.stored(spark, target, "tokens").groupBy("doc_id").agg(F.count("*").alias("n_tokens"))
+    vectors = ingest.stored(spark, target, "vectors").select("doc_id", F.size("embedding").alias("width"))
+    counters = ingest.stored(spark, target, "counters").agg(*[F.sum(c).alias(c) for c in ("received", "stored", "duplicates", "skipped")])
+    row = counters.first()
+    named = [F.lit(row[c]).cast("long").alias(c) for c in counters.columns]
+    return ingest.stored_documents(spark, target).select("doc_id").join(tokens, "doc_id", "left").join(vectors, "doc_id").select("*", *named)
+
+
 @query
 def bm25_rerank(spark, sf):
     docs = _cleaned(spark, sf, C.clear_text)

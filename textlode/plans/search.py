@@ -49,7 +49,12 @@ def words_as_terms(queries: DataFrame) -> DataFrame:
 
 
 def bm25_search(queries: DataFrame, docs: DataFrame, n: int) -> DataFrame:
-    return bm25_top_n(query_terms(words_as_terms(queries)), term_rows(docs), n)
+    return bm25_in_postings(queries, term_rows(docs), n)
+
+
+def bm25_in_postings(queries: DataFrame, postings: DataFrame, n: int) -> DataFrame:
+    """The `n` best documents of each query from stored term rows; no text is read."""
+    return bm25_top_n(query_terms(words_as_terms(queries)), postings, n)
 
 
 def _bounded(queries: DataFrame, per_query: int) -> bool:

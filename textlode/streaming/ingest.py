@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textlode.functions.cleaning import clear_text, processed_text
+from textlode.functions.vectors import hash_embedding, l2_normalize
 from textlode.operators.corpus import first_texts
 from textlode.operators.filters import words_between
 from textlode.operators.joins import lookup_join
-from textlode.sources.store import exists
+from textlode.operators.tokens import analyze, token_rows
+from textlode.sources.store import exists, settle
 
 # Keys are stored by their first hex digit, in 16 folders per batch.
 PREFIX = "prefix"
+KEYS_PER_FILE = 1_000_000
 
 
 def prepare(df: DataFrame, text: str, low: int, high: int | None) -> DataFrame:
@@ -48,9 +51,10 @@ def ingest_stream(
     """Ingests all Parquet files that are new in `source`, then returns.
 
     Every micro-batch keeps the first row of each cleaned text not seen
-    before and writes `documents` and `keys` under its batch number.  A
-    repeated batch replaces its own output, and the keys of earlier batches
-    are the only state, so a restart neither loses nor doubles a document.
+    before and writes `keys`, `documents`, their `tokens` and `vectors`, and
+    its `counters` under its batch number.  A repeated batch replaces its own
+    output, and the keys of earlier batches are the only state, so a restart
+    neither loses nor doubles a document.
     """
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
@@ -58,17 +62,30 @@ def ingest_stream(
 
     def store(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        posts = prepare(batch, text, low, high)
-        stored = None
+        posts = settle(prepare(batch, text, low, high))
+        earlier = None
         if exists(session, f"{target}/keys"):
-            stored = session.read.parquet(f"{target}/keys").filter(F.col("batch") < number)
+            earlier = session.read.parquet(f"{target}/keys").filter(F.col("batch") < number)
         keys_at = f"{target}/keys/batch={number}"
-        firsts = new_keys(posts, stored, order_col)
-        firsts.repartition(PREFIX).write.mode("overwrite").partitionBy(PREFIX).parquet(keys_at)
-        kept = session.read.parquet(keys_at).select(order_col)
-        posts.join(kept, order_col, "left_semi").write.mode("overwrite").parquet(
-            f"{target}/documents/batch={number}"
-        )
+        firsts = new_keys(posts, earlier, order_col)
+        # A prefix is written by as many tasks as its keys are worth.
+        pieces = F.pmod(F.xxhash64("key"), F.lit(1 + posts.count() // (16 * KEYS_PER_FILE)))
+        firsts.repartition(F.col(PREFIX), pieces).write.mode("overwrite").partitionBy(PREFIX).parquet(keys_at)
+        # With its schema, for a batch may bring nothing new.
+        kept = session.read.schema(firsts.schema).parquet(keys_at).select(order_col)
+
+        def write(df: DataFrame, name: str) -> str:
+            path = f"{target}/{name}/batch={number}"
+            df.write.mode("overwrite").parquet(path)
+            return path
+
+        documents = session.read.schema(posts.schema).parquet(write(posts.join(kept, order_col, "left_semi"), "documents"))
+        write(token_rows(analyze(documents, text), order_col), "tokens")
+        vectors = l2_normalize(hash_embedding(F.col("cleaned_text"))).cast("array<float>")
+        write(documents.select(order_col, vectors.alias("embedding")), "vectors")
+        received, valid, stored_now = batch.count(), posts.count(), documents.count()
+        row = [(received, stored_now, valid - stored_now, received - valid)]
+        write(session.createDataFrame(row, "received long, stored long, duplicates long, skipped long"), "counters")
 
     query = (
         reader.parquet(source)
@@ -80,5 +97,10 @@ def ingest_stream(
     query.awaitTermination()
 
 
+def stored(spark: SparkSession, target: str, name: str) -> DataFrame:
+    """`documents`, `tokens`, `vectors` or `counters` of all batches."""
+    return spark.read.option("basePath", f"{target}/{name}").parquet(f"{target}/{name}")
+
+
 def stored_documents(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.option("basePath", f"{target}/documents").parquet(f"{target}/documents")
+    return stored(spark, target, "documents")
