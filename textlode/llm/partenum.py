@@ -34,6 +34,8 @@ BUCKET, BYTES_PER_ENTRY, BUCKETS = 2_000_000, 12, 40
 FLUSH, FLUSH_TEXTS = 4_000_000, 60_000
 # Members of a group that meet in one task.
 BLOCK = 1_024
+# Partners that a set names, and groups in which it names them, when the open sets first meet; then all do in all.
+PARTNERS, GROUPS = 4, 4
 # Bits of a bitmap at most.
 CELLS = 1 << 17
 # Entries of one signature in one flush from which they travel as rows of their own.
@@ -380,9 +382,11 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return met.select("a", "b", "common", (F.col("na") + F.col("nb") - F.col("common")).cast("long").alias("total"))
 
 
-def _likely_in_blocks(members: DataFrame, num: int, den: int) -> DataFrame:
+def _likely_in_blocks(members: DataFrame, num: int, den: int, most: int | None = None) -> DataFrame:
     """`(a, b)`: pairs of a group with different roots that their bitmaps do not rule out.
 
+    With `most`, a member names only so many of its likeliest partners.
+
     `members(grp, node, n, root, bitmap)`.  A group is cut into blocks of about
     BLOCK members; any two blocks meet in one task, which hands on only the
     pairs that are left.
@@ -398,39 +402,62 @@ def _likely_in_blocks(members: DataFrame, num: int, den: int) -> DataFrame:
         .select("grp", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "n", "root", "bitmap")
     )
 
-    def pairs(rows: list[tuple], low: int, high: int) -> Iterator[pa.RecordBatch]:
-        own, node, n, root, bitmap = zip(*rows)
-        own, node, n, root = (np.array(c, np.int64) for c in (own, node, n, root))
-        width = min(map(len, bitmap))
-        matrix = np.empty((len(rows), width), np.uint64)
-        for i, bits in enumerate(bitmap):
-            whole = np.array(bits, np.int64).view(np.uint64).reshape(-1, width)
-            matrix[i] = np.bitwise_xor.reduce(whole, axis=0)
+    def pairs(parts: list[tuple], across: bool) -> tuple[list, list]:
+        """Pairs among the members of one block, or across two."""
+        own, node, n, root = (np.concatenate([p[c] for p in parts]) for c in range(4))
+        bits = [b for p in parts for b in p[4]]
+        width = min(map(len, bits))
+        matrix = np.stack([b if len(b) == width else np.bitwise_xor.reduce(b.reshape(-1, width), axis=0) for b in bits])
         left, right = [], []
-        for i in range(len(rows) - 1):
+        for i in range(len(bits) - 1):
             both, smaller, larger = n[i] + n[i + 1 :], np.minimum(n[i], n[i + 1 :]), np.maximum(n[i], n[i + 1 :])
             fits = (root[i + 1 :] != root[i]) & (smaller * den >= larger * num)
-            if low != high:
+            if across:
                 fits &= own[i + 1 :] != own[i]
             at = np.flatnonzero(fits)
             unlike = np.bitwise_count(matrix[i + 1 + at] ^ matrix[i]).sum(1, dtype=np.int64)
-            at = at[(both[at] - unlike) * den >= (both[at] + unlike) * num] + i + 1
-            left.append(np.minimum(node[i], node[at]))
-            right.append(np.maximum(node[i], node[at]))
-        if left:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["a", "b"])
+            hit = (both[at] - unlike) * den >= (both[at] + unlike) * num
+            at = at[hit] + i + 1
+            if most is not None and len(at) > most:
+                at = at[np.argsort(unlike[hit], kind="stable")[:most]]
+            if len(at):
+                left.append(np.minimum(node[i], node[at]))
+                right.append(np.maximum(node[i], node[at]))
+        return left, right
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rows = None, []
+        key, parts, left, right = None, [], [], []
+
+        def settle_group() -> None:
+            if sum(len(p[0]) for p in parts) > 1:
+                for out, found in zip((left, right), pairs(parts, key[1] != key[2])):
+                    out += found
+
+        def told() -> Iterator[pa.RecordBatch]:
+            if left:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["a", "b"])
+                left.clear()
+                right.clear()
+
         for batch in batches:
-            for grp, low, high, *row in zip(*(c.to_pylist() for c in batch.columns)):
-                if (grp, low, high) != key:
-                    if len(rows) > 1:
-                        yield from pairs(rows, *key[1:])
-                    key, rows = (grp, low, high), []
-                rows.append(row)
-        if len(rows) > 1:
-            yield from pairs(rows, *key[1:])
+            if not batch.num_rows:
+                continue
+            names, rest = [c.to_numpy() for c in batch.columns[:3]], [c.to_numpy() for c in batch.columns[3:7]]
+            offsets, flat = batch.column(7).offsets.to_numpy(), batch.column(7).values.to_numpy().view(np.uint64)
+            new = np.zeros(batch.num_rows, bool)
+            for c in names:
+                new[1:] |= c[1:] != c[:-1]
+            cuts = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+            for low, high in zip(cuts, cuts[1:]):
+                this = tuple(int(c[low]) for c in names)
+                if this != key:
+                    settle_group()
+                    key, parts = this, []
+                bits = [flat[offsets[i] : offsets[i + 1]] for i in range(low, high)]
+                parts.append((*(c[low:high] for c in rest), bits))
+            yield from told()
+        settle_group()
+        yield from told()
 
     ordered = dealt.repartition("grp", "low", "high").sortWithinPartitions("grp", "low", "high")
     return ordered.mapInArrow(run, "a long, b long").distinct()
@@ -474,8 +501,7 @@ def linked_sets(
     rooted = settle(
         members.join(roots, "node", "left").select("grp", "node", "n", F.coalesce("root", "node").alias("root"))
     )
-    mixed = rooted.groupBy("grp").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    rest = rooted.join(mixed.select("grp"), "grp", "left_semi")
+    rest = _several_roots(rooted)
     star = rest.join(pivots.select("grp", "pivot"), "grp").join(
         compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "common", "total"), ["pivot", "node"]
     )
@@ -491,13 +517,43 @@ def linked_sets(
     unsafe = star.filter("close").select("grp").distinct()
     done = star.filter("linked").join(unsafe, "grp", "left_anti").select("grp", "node")
     done = done.union(pivots.select("grp", "pivot"))
-    rest = settle(rest.join(done, ["grp", "node"], "left_anti"))
-    mixed = rest.groupBy("grp").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    open_ = rest.join(mixed.select("grp"), "grp", "left_semi").join(bitmaps, "node")
-    likely = settle(_likely_in_blocks(open_, num, den).join(compared.select("a", "b"), ["a", "b"], "left_anti"))
-    needed = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-    more = settle(sets_of(needed))
-    return links.union(_compared(likely, more).filter(fine).select("a", "b"))
+    open_ = settle(_several_roots(rest.join(done, ["grp", "node"], "left_anti")))
+    # The likeliest partners first: they connect most of what is alike, so that
+    # of a large group of near copies not all pairs have to be compared.
+    for most in (PARTNERS, None):
+        chosen = open_ if most is None else _few_groups(open_)
+        likely = _likely_in_blocks(chosen.join(bitmaps, "node"), num, den, most)
+        likely = settle(likely.join(compared.select("a", "b"), ["a", "b"], "left_anti"))
+        needed = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+        new = settle(_compared(likely, settle(sets_of(needed))))
+        compared = compared.union(new)
+        found = new.filter(fine).select("a", "b")
+        links = links.union(found)
+        if most is not None:
+            open_ = settle(_several_roots(_rerooted(open_, found)))
+    return links
+
+
+def _few_groups(members: DataFrame) -> DataFrame:
+    """Of every set's groups the GROUPS with the smallest names, which sets that share most groups share."""
+    few = members.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("grp")), 1, GROUPS).alias("few"))
+    return members.join(few.select("node", F.explode("few").alias("grp")), ["grp", "node"], "left_semi")
+
+
+def _several_roots(members: DataFrame) -> DataFrame:
+    """Members of the groups that links do not connect as a whole."""
+    mixed = members.groupBy("grp").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    return members.join(mixed.select("grp"), "grp", "left_semi")
+
+
+def _rerooted(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Members with the roots that further links give."""
+    roots = members.select("node", "root").distinct()
+    left = links.join(roots.select(F.col("node").alias("a"), F.col("root").alias("x")), "a")
+    both = left.join(roots.select(F.col("node").alias("b"), F.col("root").alias("y")), "b")
+    new = components(both.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    found = members.join(new.select(F.col("node").alias("root"), F.col("root").alias("_new")), "root", "left")
+    return found.select("grp", "node", "n", F.coalesce("_new", "root").alias("root"))
 
 
 def _grouped(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
