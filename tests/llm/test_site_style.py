@@ -62,6 +62,14 @@ def test_roles_and_markup(spark):
     assert texts(spark, [(1, "http://one.org/", html)])[1] == want
 
 
+def test_an_article_keeps_what_all_pages_have(spark):
+    page = """<body><div class="page header-fixed"><nav>Menu</nav><article class="post comments-open"><header><h1>Title {0}</h1></header>
+      <h2>Summary</h2><p>{1}</p><div class="share">Share</div><section id=comments>Mine</section></article><p>Loose</p></div>"""
+    rows = [(i, "http://h.org/", page.format(i, f"Words {i}" if i % 2 else "")) for i in range(30)]
+    found = texts(spark, rows)
+    assert all(found[i] == f"Title {i}\nSummary" + (f"\nWords {i}" if i % 2 else "") for i in range(30))
+
+
 def test_edges(spark):
     deep = "<div>" * 3000 + "deep" + "</div>" * 3000
     rows = [

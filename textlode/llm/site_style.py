@@ -31,6 +31,8 @@ PRIOR = 10.0
 LEAST = 0.6
 # Weights of nodes that state a role beside the article, and of those outside an article that the page has.
 ASIDE, OUTSIDE = 0.5, 0.5
+# Weight of what an article or main element holds or is held by: it is kept however alike its pages are.
+KEPT = 10.0
 
 # Elements by kind.
 RAW = frozenset({"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "noframes"})
@@ -82,9 +84,9 @@ class Page(NamedTuple):
 
 
 def _signature(tag: str, attributes: str) -> tuple[str, bool]:
-    """Tag with the words of its classes, and whether these or the tag name something beside the article."""
+    """Tag with the words of its classes, and whether these name something beside the article."""
     words = [w for m in _NAMES.finditer(attributes) for w in _WORD.findall((m[1] or m[2] or m[3] or "").lower())]
-    return " ".join([tag, *words[:6]]), tag in ROLES or not HINTS.isdisjoint(words)
+    return " ".join([tag, *words[:6]]), tag not in MAIN and not HINTS.isdisjoint(words)
 
 
 def parse_page(html: str, noise: frozenset[int] = frozenset()) -> Page:
@@ -148,11 +150,13 @@ def parse_page(html: str, noise: frozenset[int] = frozenset()) -> Page:
         if spelled is None:
             spelled = known[tag, m[3]] = _signature(tag, m[3])
         signature, beside = spelled
+        # An article's own header holds its title.
+        beside = beside or tag in ROLES and not (tag == "header" and top.in_main)
         path = xxhash.xxh64_intdigest(signature, seed=top.path & (1 << 63) - 1) >> 1
         node = Node(
             path,
             tag,
-            min(top.weight, ASIDE if beside else 1.0),
+            ASIDE if beside else 1.0 if tag in MAIN else top.weight,
             top.in_main or tag in MAIN,
             top.hidden or tag in HIDDEN,
             top.cut or path in noise,
@@ -176,14 +180,16 @@ def page_nodes(html: str) -> tuple[int, list[tuple[int, int, int, float]]]:
     for block in page.blocks:
         for node in block.nodes:
             content.setdefault(node.path, []).append(block.text)
+    holders = {n.path for b in page.blocks if b.nodes and b.nodes[-1].in_main for n in b.nodes if not n.in_main}
     rows = []
     for path, node in page.nodes.items():
         if node.hidden or node.tag in ("html", "body"):
             continue
         weight = node.weight
-        if page.has_main and not node.in_main:
-            # A node that holds the article is as important as the article.
-            weight *= 1.0 if any(b.nodes[-1].in_main and node in b.nodes for b in page.blocks) else OUTSIDE
+        if path in holders or node.in_main and weight == 1.0:
+            weight = KEPT
+        elif page.has_main and not node.in_main:
+            weight *= OUTSIDE
         rows.append((path, _digest("\n".join(content.get(path, ()))), _digest(" ".join(page.children.get(path, ()))), weight))
     return _digest("\n".join(b.text for b in page.blocks)), rows
 
@@ -249,7 +255,9 @@ def node_importance(nodes: DataFrame) -> DataFrame:
         .select(
             "host",
             "path",
-            ((F.col("own") * m + F.col("all") * PRIOR) / (m + PRIOR) * F.col("weight")).alias("importance"),
+            F.when(F.col("weight") >= KEPT, 1.0)
+            .otherwise((F.col("own") * m + F.col("all") * PRIOR) / (m + PRIOR) * F.col("weight"))
+            .alias("importance"),
         )
     )
 
@@ -261,7 +269,8 @@ def extract_main_text(
 
     Blocks are joined by line breaks; white space inside a block becomes one
     space, character references are decoded.  If a page has an article or
-    main element, only text inside counts.  Null and empty pages, and pages
+    main element, only text inside counts, and of that only branches whose tag
+    or classes name something else are cut.  Null and empty pages, and pages
     without main text, have an empty text.  Null ids and urls are kept; pages
     without a host share one tree.
     """
