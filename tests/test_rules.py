@@ -152,3 +152,28 @@ def test_inflected_words_and_phrases_are_located(spark):
         (1, "word", "be", 5, 8), (1, "word", "be", 24, 27),
         (2, "phrase", "cat be", 19, 27), (2, "word", "be", 5, 8), (2, "word", "be", 24, 27), (2, "word", "cat", 19, 23),
     ]
+
+
+def test_an_encoder_sees_bounded_batches_and_is_made_in_the_task(spark):
+    def factory():
+        made = {"calls": 0}
+
+        def encode(texts):
+            assert len(texts) <= 3
+            made["calls"] += 1
+            return [[float(len(t)), float(made["calls"])] for t in texts]
+
+        return encode
+
+    texts = ["a", "", "bb", None, "ccc", "dddd", "e", " ", "ff", "g"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id int, t string").coalesce(1)
+    rows = {r.id: r.embedding for r in E.embed_with(frame, "t", factory=factory, batch_size=3).collect()}
+    assert [i for i, v in rows.items() if v is None] == [1, 3, 7]
+    assert rows[5] == [4.0, 2.0] and rows[9] == [1.0, 3.0]
+    with pytest.raises(ValueError):
+        E.embed_with(frame, "t")
+
+
+def test_first_rows(spark):
+    frame = spark.range(20).select((19 - F.col("id")).alias("n"))
+    assert [r.n for r in profile.head_rows(frame, "n").collect()] == [0, 1, 2, 3, 4]

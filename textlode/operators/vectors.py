@@ -26,20 +26,33 @@ BLOCK_VECTORS = 20_000
 SCORE_VALUES = 4_000_000
 
 
+Encoder = Callable[[list[str]], np.ndarray]
+
+
 def embed_with(
-    df: DataFrame, text: str, encode: Callable[[list[str]], np.ndarray], out: str = "embedding"
+    df: DataFrame,
+    text: str,
+    encode: Encoder | None = None,
+    out: str = "embedding",
+    factory: Callable[[], Encoder] | None = None,
+    batch_size: int = 32,
 ) -> DataFrame:
     """Adds the vectors a batch encoder gives for the texts; a blank text gets null.
 
-    `encode` is called once per Arrow batch with the non-blank texts and
-    returns one row per text; rows keep their alignment.
+    The encoder is called with at most `batch_size` non-blank texts and returns
+    one row per text; rows keep their alignment.  A model is not pickled: it
+    comes from `factory`, which is called once in every task.
     """
+    if (encode is None) == (factory is None):
+        raise ValueError("either an encoder or a factory for one")
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = encode if factory is None else factory()
         for texts in batches:
             filled = [t for t in texts if t]
-            made = iter(np.asarray(encode(filled), dtype=np.float32) if filled else ())
+            parts = [filled[at : at + batch_size] for at in range(0, len(filled), batch_size)]
+            made = (row for part in parts for row in np.asarray(model(part), dtype=np.float32))
             yield pd.Series([next(made) if t else None for t in texts])
 
     return df.withColumn(out, vectors(collapse_ends(F.col(text))))

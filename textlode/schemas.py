@@ -20,16 +20,6 @@ TOKEN = T.StructType(
     ]
 )
 
-DOCUMENTS = T.StructType(
-    [
-        T.StructField("doc_id", T.LongType()),
-        T.StructField("original_text", T.StringType()),
-        T.StructField("cleaned_text", T.StringType()),
-        T.StructField("tokens", T.ArrayType(TOKEN)),
-        T.StructField("mapping", T.ArrayType(T.IntegerType())),
-    ]
-)
-
 TOKENS = T.StructType(
     [T.StructField("doc_id", T.LongType()), T.StructField("position", T.IntegerType())]
     + list(TOKEN.fields)
