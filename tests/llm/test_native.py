@@ -14,6 +14,7 @@ def no_python(df):
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
 def test_equal_to_sql(spark, sf_dir, name):
     found = QUERIES[name](spark, sf_dir)
     duck = duckdb.connect()

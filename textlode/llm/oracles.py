@@ -95,3 +95,168 @@ SELECT page_id, host, path, rule,
             WHEN host IN (SELECT host FROM blocked) THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled
 """
+
+# Sets of four-word shingles, all pairs that share one, links, and the smallest id that links reach.
+ORACLES["op7_partenum"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+sets AS (
+    SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s
+    FROM words
+),
+features AS (SELECT doc_id, len(s) AS n, unnest(s) AS f FROM sets),
+pairs AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common, any_value(a.n) + any_value(b.n) - count(*) AS total
+    FROM features a JOIN features b USING (f) WHERE a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+),
+links AS (SELECT x, y FROM pairs WHERE 100 * common >= 85 * total),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM sets
+    UNION
+    SELECT r.doc_id, b.y FROM reach r JOIN both_ways b ON b.x = r.other
+)
+SELECT doc_id, any_value(len(s))::BIGINT AS n_shingles, min(other) AS component_id
+FROM sets JOIN reach USING (doc_id) GROUP BY doc_id
+"""
+
+# Secrets: the rules as (kind, expression, group that is measured, characters it needs), in the kinds' order.
+_SECRETS = [
+    ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", r"AKIA[A-Z0-9]+", 0, 20),
+    ("hex", r"[0-9a-f]+", 0, 24),
+    ("github", r"gh[opsru]_[A-Za-z0-9]{36,}", 0, 0),
+    ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
+    ("google", r"AIza[A-Za-z0-9_-]{35}", 0, 0),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0),
+    ("private", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 0),
+]
+
+
+def _matches(order: int, kind: str, pattern: str, group: int, least: int) -> str:
+    """Matches of one rule: what stands between them and the matches themselves add up to the places."""
+    return f"""
+    SELECT doc_id, {order} AS kind, '{kind}' AS name, (upto - length(hit))::BIGINT AS start, upto::BIGINT AS stop
+    FROM (
+        SELECT doc_id, hit, sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id ORDER BY nth) AS upto
+        FROM (
+            SELECT doc_id, unnest(range(len(hits))) AS nth, unnest(hits) AS hit, unnest(gaps[:len(hits)]) AS gap
+            FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{pattern}') AS hits,
+                         regexp_split_to_array(coalesce(text, ''), '{pattern}') AS gaps FROM documents)
+        )
+    )
+    WHERE length(regexp_extract(hit, '{pattern}', {group})) >= {least}"""
+
+
+_BASE = "FILTER (WHERE kind < 3)"
+ORACLES["op9_trigram_secrets"] = f"""
+WITH found AS ({' UNION ALL '.join(_matches(n, *rule) for n, rule in enumerate(_SECRETS))}),
+spelled AS (SELECT *, name || ':' || start || ':' || stop AS span FROM found),
+lists AS (
+    SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
+           count(*) FILTER (WHERE kind = 2) AS n_hex,
+           coalesce(string_agg(span, ',' ORDER BY start, kind) {_BASE}, '') AS base,
+           string_agg(span, ',' ORDER BY start, kind) AS spans
+    FROM spelled GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN lists USING (doc_id)
+"""
+
+# Personal data: the base kinds in their order, and the words that tell of an entity.
+_PERSONAL = [
+    r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    r"[0-9]([\x20-]?[0-9])+",
+    r"\+[0-9][\x20().0-9-]+[0-9]",
+]
+
+
+def _personal(kind: int, pattern: str) -> str:
+    return f"""
+    SELECT doc_id, {kind} AS kind, nth, hit, gap, after,
+           sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id ORDER BY nth) AS stop
+    FROM (
+        SELECT doc_id, unnest(range(len(hits))) AS nth, unnest(hits) AS hit, unnest(gaps[:len(hits)]) AS gap, unnest(gaps[2:]) AS after
+        FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{pattern}') AS hits,
+                     regexp_split_to_array(coalesce(text, ''), '{pattern}') AS gaps FROM documents)
+        WHERE len(hits) > 0
+    )"""
+
+
+_LETTERS = r"[\p{L}]{3,}"
+
+
+def _near(side: str, base: str, whole: str) -> str:
+    """Words of one side of every entity with their places in the text."""
+    return f"""
+    SELECT doc_id, entity, l, r, lower(word) AS term, ({base} + upto - length(word))::BIGINT AS start, ({base} + upto)::BIGINT AS stop
+    FROM (
+        SELECT *, sum(length(gap) + length(word)) OVER (PARTITION BY doc_id, kind, nth ORDER BY place) AS upto
+        FROM (
+            SELECT doc_id, kind, nth, entity, l, r, start, stop, unnest(range(len(w))) AS place, unnest(w) AS word, unnest(g[:len(w)]) AS gap
+            FROM (SELECT *, regexp_extract_all({side}, '{_LETTERS}') AS w, regexp_split_to_array({side}, '{_LETTERS}') AS g FROM entities)
+        )
+    )
+    WHERE length({side}) < 40 OR {whole}"""
+
+
+ORACLES["op4_disclosure"] = f"""
+WITH hits AS ({' UNION ALL '.join(_personal(k, p) for k, p in enumerate(_PERSONAL))}),
+numbered AS (SELECT *, regexp_replace(hit, '[^0-9]', '', 'g') AS digits FROM hits),
+valid AS (
+    SELECT * FROM numbered WHERE CASE kind
+        WHEN 0 THEN true
+        WHEN 1 THEN list_bool_and(list_transform(string_split(hit, '.'),
+            lambda p: length(ltrim(p, '0')) <= 3 AND coalesce(try_cast(ltrim(p, '0') AS INTEGER), 0) <= 255))
+        WHEN 2 THEN length(digits) BETWEEN 14 AND 19 AND list_sum(list_transform(range(1, length(digits) + 1), lambda i:
+            CASE WHEN i % 2 = 1 THEN substr(digits, length(digits) - i + 1, 1)::INTEGER
+                 ELSE 2 * substr(digits, length(digits) - i + 1, 1)::INTEGER
+                      - CASE WHEN substr(digits, length(digits) - i + 1, 1) > '4' THEN 9 ELSE 0 END END)) % 10 = 0
+        ELSE length(digits) BETWEEN 10 AND 15 END
+),
+entities AS (
+    SELECT doc_id, kind, nth, (stop - length(hit))::BIGINT AS start, stop::BIGINT AS stop, right(gap, 40) AS l, left(after, 40) AS r,
+           kind || ':' || CASE kind WHEN 0 THEN translate(hit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+                               WHEN 1 THEN hit ELSE digits END AS entity
+    FROM valid
+),
+near AS ({_near('l', 'start - length(l)', 'upto - length(word) > 0')}
+    UNION ALL {_near('r', 'stop', 'upto < 40')}),
+recurring AS (
+    SELECT entity, count(*) AS n_e FROM (SELECT DISTINCT entity, l, r FROM entities) GROUP BY entity HAVING count(*) >= 2
+),
+together AS (
+    SELECT entity, term, count(*) AS n_et FROM (SELECT DISTINCT entity, l, r, term FROM near) GROUP BY entity, term HAVING count(*) >= 2
+),
+frequencies AS (
+    SELECT term, count(*) AS df
+    FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(coalesce(text, '')), '{_LETTERS}'))) AS term FROM documents) GROUP BY term
+),
+size AS (SELECT count(*)::DOUBLE AS n FROM documents),
+telling AS (
+    SELECT entity, term FROM (
+        SELECT entity, term, ln(n_et * n / (n_e * df)) AS pmi, ln(n / n_e) AS information
+        FROM together JOIN recurring USING (entity) JOIN frequencies USING (term), size
+    ) WHERE pmi > 0 AND pmi >= information * 0.5
+),
+spans AS (
+    SELECT doc_id, start, kind, stop FROM entities
+    UNION ALL SELECT DISTINCT doc_id, start, 4, stop FROM near SEMI JOIN telling USING (entity, term)
+),
+spelled AS (SELECT *, (['email', 'ip', 'card', 'phone', 'term'])[kind + 1] || ':' || start || ':' || stop AS span FROM spans),
+lists AS (
+    SELECT doc_id, {', '.join(f'count(*) FILTER (WHERE kind = {k}) AS n_{n}' for k, n in enumerate(('email', 'ip', 'card', 'phone')))},
+           string_agg(span, ',' ORDER BY start, kind, stop) FILTER (WHERE kind < 4) AS base,
+           string_agg(span, ',' ORDER BY start, kind, stop) AS spans
+    FROM spelled GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+       coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN lists USING (doc_id)
+"""
