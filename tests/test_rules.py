@@ -177,3 +177,11 @@ def test_an_encoder_sees_bounded_batches_and_is_made_in_the_task(spark):
 def test_first_rows(spark):
     frame = spark.range(20).select((19 - F.col("id")).alias("n"))
     assert [r.n for r in profile.head_rows(frame, "n").collect()] == [0, 1, 2, 3, 4]
+
+
+def test_mean_pool_by_plain_sums(spark):
+    rows = [("a", [1.0, 2.0], 1), ("a", [5.0, None], 1), ("b", None, 1), ("b", [1.0], 1), ("b", [3.0, 4.0], 1), (None, [7.0], 1)]
+    rows += [("hot", [float(i), 1.0], i % 2) for i in range(2000)] + [("none", [1.0], None)]
+    frame = spark.createDataFrame(rows, "k string, v array<float>, m int").repartition(6)
+    found = {r.k: r.embedding for r in E.mean_pool(frame, "k", "v", F.col("m")).collect()}
+    assert found == {"a": [3.0, 1.0], "b": [2.0, 4.0], None: [7.0], "hot": [1000.0, 1.0], "none": [0.0]}

@@ -61,21 +61,70 @@ def embed_with(
 def mean_pool(df: DataFrame, key: str, vec: str, mask: Column) -> DataFrame:
     """`(key, embedding)`: masked mean of the vectors of each key; nothing unmasked gives zeros.
 
-    Sums are combined in every task before the shuffle, so one key holding
-    most vectors is no hot spot.
+    Every task adds whole vectors up, batch by batch, and hands on one sum per
+    key, so one key holding most vectors is no hot spot and no component is a
+    row before that.  Null vectors are left out; null components and masks add nothing.
     """
-    parts = df.select(
-        key, mask.cast("double").alias("mask"), F.posexplode(vec).alias("dim", "x")
+    kept = df.select(
+        key, mask.cast("double").alias("mask"), F.col(vec).cast("array<double>").alias("vec")
     )
-    sums = parts.groupBy(key, "dim").agg(
-        F.sum(F.col("x").cast("double") * F.col("mask")).alias("total"),
-        F.sum("mask").alias("weight"),
+    schema = T.StructType(
+        [
+            T.StructField(key, df.schema[key].dataType),
+            T.StructField("weight", T.DoubleType()),
+            T.StructField("totals", T.ArrayType(T.DoubleType())),
+        ]
+    )
+    parts = kept.mapInArrow(_partial_sums(to_arrow_schema(schema)), schema)
+    sums = (
+        parts.select(key, "weight", F.posexplode("totals").alias("dim", "total"))
+        .groupBy(key, "dim")
+        .agg(F.sum("total").alias("total"), F.sum("weight").alias("weight"))
     )
     mean = F.col("total") / F.greatest(F.col("weight"), F.lit(1e-9))
     ordered = F.array_sort(F.collect_list(F.struct("dim", mean.alias("x"))))
     return sums.groupBy(key).agg(F.transform(ordered, lambda p: p["x"]).alias("embedding"))
 
 
+def _partial_sums(out: pa.Schema):
+    """Adds up `(key, mask, vec)` per key and width; hands on when it holds many keys, and at the end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, list] = {}
+
+        def told() -> pa.RecordBatch:
+            keys = [name for name, _ in held]
+            columns = [keys, [w for w, _ in held.values()], [t for _, t in held.values()]]
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out)], schema=out)
+
+        for batch in batches:
+            batch = batch.filter(pc.is_valid(batch.column(2)))
+            if not batch.num_rows:
+                continue
+            keys = batch.column(0).dictionary_encode(null_encoding="encode")
+            place, names = keys.indices.to_numpy(), keys.dictionary.to_pylist()
+            weight = pc.fill_null(batch.column(1), 0.0).to_numpy()
+            widths = pc.list_value_length(batch.column(2)).to_numpy()
+            for width in np.unique(widths).tolist():
+                at = np.flatnonzero(widths == width)
+                values = pc.fill_null(batch.column(2).take(pa.array(at)).flatten(), 0.0).to_numpy(zero_copy_only=False)
+                values = values.reshape(len(at), width) * weight[at, None]
+                totals = np.zeros((len(names), width))
+                np.add.at(totals, place[at], values)
+                weights = np.bincount(place[at], weight[at], len(names))
+                for n in np.unique(place[at]).tolist():
+                    seen = held.setdefault((names[n], width), [0.0, np.zeros(width)])
+                    seen[0] += weights[n]
+                    seen[1] += totals[n]
+            if len(held) > 20_000:
+                yield told()
+                held.clear()
+        if held:
+            yield told()
+
+    return run
+
+
 def vector_count(vectors: DataFrame) -> DataFrame:
     return vectors.agg(F.count("*").alias("n"))
 
