@@ -131,12 +131,12 @@ def set_key(features: np.ndarray) -> int | None:
 
 
 def parities(features: np.ndarray) -> np.ndarray:
-    """Whether a cell holds an odd number of features, as bits of 64-bit numbers; two cells or more per feature up to CELLS.
+    """Whether a cell holds an odd number of features, as bits of 64-bit numbers; about a cell per feature up to CELLS.
 
     A feature that only one of two sets has changes one parity: the bitmaps
     differ in at most as many bits as the sets differ in features.
     """
-    cells = min(CELLS, 1 << max(6, (2 * len(features) - 1).bit_length()))
+    cells = min(CELLS, 1 << max(6, (3 * len(features) // 4).bit_length()))
     odd = np.bincount((features & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
@@ -382,14 +382,17 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return met.select("a", "b", "common", (F.col("na") + F.col("nb") - F.col("common")).cast("long").alias("total"))
 
 
-def _likely_in_blocks(members: DataFrame, num: int, den: int, most: int | None = None) -> DataFrame:
+def _likely_in_blocks(
+    members: DataFrame, bitmaps: DataFrame, num: int, den: int, most: int | None = None
+) -> DataFrame:
     """`(a, b)`: pairs of a group with different roots that their bitmaps do not rule out.
 
     With `most`, a member names only so many of its likeliest partners.
 
-    `members(grp, node, n, root, bitmap)`.  A group is cut into blocks of about
-    BLOCK members; any two blocks meet in one task, which hands on only the
-    pairs that are left.
+    `members(grp, node, n, root)`, `bitmaps(node, bitmap)`.  A group is cut
+    into blocks of about BLOCK members; any two blocks meet in one task, which
+    hands on only the pairs that are left.  Bitmaps join last, so that they
+    move once.
     """
     import pyarrow as pa
 
@@ -399,7 +402,9 @@ def _likely_in_blocks(members: DataFrame, num: int, den: int, most: int | None =
         members.join(blocks, "grp")
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .select("grp", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "n", "root", "bitmap")
+        .select("grp", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "n", "root")
+        .join(bitmaps.select("node", "bitmap"), "node")
+        .select("grp", "low", "high", "own", "node", "n", "root", "bitmap")
     )
 
     def pairs(parts: list[tuple], across: bool) -> tuple[list, list]:
@@ -490,11 +495,11 @@ def linked_sets(
         .join(bitmaps.select(F.col("node").alias("b"), F.col("bitmap").alias("right")), "b")
         .withColumn("unlike", _differing(F.col("left"), F.col("right")))
         .filter((both - unlike) * den >= (both + unlike) * near)
-        .select("a", "b")
+        .select("a", "b", ((both - unlike) * den >= (both + unlike) * num).alias("likely"))
     )
-    needed = met.select(F.col("a").alias("node")).union(met.select("b")).distinct()
-    sets = settle(sets_of(needed))
-    compared = settle(_compared(met, sets))
+    likely = met.filter("likely").select("a", "b")
+    needed = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+    compared = settle(_compared(likely, settle(sets_of(needed))))
     links = compared.filter(fine).select("a", "b")
     roots = settle(components(links))
 
@@ -502,16 +507,18 @@ def linked_sets(
         members.join(roots, "node", "left").select("grp", "node", "n", F.coalesce("root", "node").alias("root"))
     )
     rest = _several_roots(rooted)
-    star = rest.join(pivots.select("grp", "pivot"), "grp").join(
-        compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "common", "total"), ["pivot", "node"]
+    # A pair that only its bitmaps tell of counts as close.
+    known = met.join(compared, ["a", "b"], "left").select(
+        F.col("a").alias("pivot"),
+        F.col("b").alias("node"),
+        F.coalesce(fine, F.lit(False)).alias("linked"),
+        F.coalesce(F.col("common") * den >= F.col("total") * near, F.lit(True)).alias("near"),
     )
+    star = rest.join(pivots.select("grp", "pivot"), "grp").join(known, ["pivot", "node"])
     proots = roots.select(F.col("node").alias("pivot"), F.col("root").alias("proot"))
     star = settle(
         star.join(proots, "pivot", "left").select(
-            "grp",
-            "node",
-            fine.alias("linked"),
-            ((F.col("common") * den >= F.col("total") * near) & (F.col("root") != F.coalesce("proot", "pivot"))).alias("close"),
+            "grp", "node", "linked", (F.col("near") & (F.col("root") != F.coalesce("proot", "pivot"))).alias("close")
         )
     )
     unsafe = star.filter("close").select("grp").distinct()
@@ -522,7 +529,7 @@ def linked_sets(
     # of a large group of near copies not all pairs have to be compared.
     for most in (PARTNERS, None):
         chosen = open_ if most is None else _few_groups(open_)
-        likely = _likely_in_blocks(chosen.join(bitmaps, "node"), num, den, most)
+        likely = _likely_in_blocks(chosen, bitmaps, num, den, most)
         likely = settle(likely.join(compared.select("a", "b"), ["a", "b"], "left_anti"))
         needed = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
         new = settle(_compared(likely, settle(sets_of(needed))))
