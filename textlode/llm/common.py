@@ -17,6 +17,18 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Rows that a Python worker gets at a time: texts may be long, and a batch of the usual size would be large.
+BATCH_ROWS = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to BATCH_ROWS rows; no result depends on it."""
+    rows = int(spark.conf.get(_BATCH, "10000"))
+    if rows <= 0 or rows > BATCH_ROWS:
+        spark.conf.set(_BATCH, BATCH_ROWS)
+
+
 def fits(df: DataFrame, width: Column, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
     """Whether `df` has at most `rows` rows and `width`, summed over them, is at most `size`."""
     found = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()

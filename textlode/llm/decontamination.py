@@ -18,6 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textlode.llm.common import small_batches
 from textlode.llm.shingles import MARKS, pieces, shingles, words
 from textlode.llm.trigrams import text_buffer
 from textlode.sources.store import settle
@@ -235,6 +236,7 @@ def batch_leaks(texts, anchors: Anchors, index: MultiIndex, least: float) -> lis
 
 
 def _slices(benchmark: DataFrame, k: int, slice_bytes: int) -> Iterator[Items]:
+    small_batches(benchmark.sparkSession)
     for part in benchmark_items(benchmark, k, slice_bytes):
         if (items := _collected(part)) is not None:
             yield items

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textlode.llm.common import once_per_worker
+from textlode.llm.common import once_per_worker, small_batches
 from textlode.sources.store import settle
 
 WIDTH = 1024
@@ -48,6 +48,7 @@ def tokenised_pieces(
     import pyarrow as pa
     from pyspark import TaskContext
 
+    small_batches(docs.sparkSession)
     with open(ranks_path, "rb") as file:
         ranks = docs.sparkSession.sparkContext.broadcast(file.read())
 

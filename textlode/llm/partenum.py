@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textlode.llm.common import fits, mix, spread_join
+from textlode.llm.common import fits, mix, small_batches, spread_join
 from textlode.llm.components import components
 from textlode.llm.shingles import shingle_sets
 from textlode.llm.trigrams import text_buffer
@@ -31,7 +31,7 @@ BAND = 1.4
 # Signature entries that one bucket is sized for, bytes of text per entry (estimated), and buckets at least.
 BUCKET, BYTES_PER_ENTRY, BUCKETS = 2_000_000, 12, 40
 # Entries that a task gathers before it hands them on, and texts at most.
-FLUSH, FLUSH_TEXTS = 4_000_000, 60_000
+FLUSH, FLUSH_TEXTS = 1_000_000, 60_000
 # Members of a group that meet in one task.
 BLOCK = 1_024
 # Partners that a set names, and groups in which it names them, when the open sets first meet; then all do in all.
@@ -333,7 +333,8 @@ def _matched(gathered: DataFrame, buckets: int) -> DataFrame:
         if (out := matches(blobs, told)) is not None:
             yield out
 
-    return gathered.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
+    # More partitions than buckets, so that few hold several.
+    return gathered.repartition(4 * buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
 
 
 def _sets(texts: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -565,6 +566,7 @@ def _rerooted(members: DataFrame, links: DataFrame) -> DataFrame:
 
 def _grouped(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
     """`(doc_id, copy, n, node, root)` per row: text, set of shingles and linked group, each by a 64-bit name."""
+    small_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("copy"), text.alias("text"))
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]

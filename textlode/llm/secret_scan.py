@@ -16,6 +16,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textlode.llm.common import small_batches
 from textlode.llm.trigrams import candidates, postings, text_buffer, trigram_query, trigrams_of
 
 
@@ -91,6 +92,7 @@ def scan_secrets(
     """
     import pyarrow as pa
 
+    small_batches(docs.sparkSession)
     base = len(BASE)
     kinds = [r.kind for r in rules]
 
@@ -123,6 +125,7 @@ def redact_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, text_
     """
     import pyarrow as pa
 
+    small_batches(docs.sparkSession)
     kinds = [r.kind for r in rules]
     at = docs.columns.index(text_col)
 

@@ -13,7 +13,7 @@ import numpy as np
 from textlode.llm.common import mix, once_per_worker
 
 # Bytes that are worked on at once; a longer text is a piece of its own.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -30,7 +30,7 @@ _PLACES = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, at least `n` of each."""
-    size = 1 << max(21, int(n).bit_length())
+    size = 1 << max(20, int(n - 1).bit_length())
 
     def build():
         both = []
@@ -58,7 +58,7 @@ def words(buffer: np.ndarray, starts: np.ndarray, between: np.ndarray = SPACE) -
     last[:-1] &= ~solid[1:]
     last[edges - 1] = solid[edges - 1]
     begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    power, inverse = _powers(n + 1)
+    power, inverse = _powers(n)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTES[low] * power[:n], out=sums[1:])
     hashes = (sums[end] - sums[begin]) * inverse[begin]

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textlode.llm.common import fits, spread_join
+from textlode.llm.common import fits, small_batches, spread_join
 from textlode.llm.url_reputation import host_of
 from textlode.sources.store import settle
 
@@ -276,6 +276,7 @@ def extract_main_text(
     """
     import pyarrow as pa
 
+    small_batches(pages.sparkSession)
     source = pages.select(
         F.col(id_col).cast("long").alias("page_id"),
         F.col(url_col).alias("url"),

@@ -13,6 +13,8 @@ from re import _parser
 
 import numpy as np
 
+from textlode.llm.common import once_per_worker
+
 # Alternatives of a literal stretch that are followed one by one; more are given up.
 MAX_STRINGS = 64
 
@@ -131,11 +133,14 @@ def postings(buffer: np.ndarray, starts: np.ndarray, grams: list[bytes]) -> dict
     found = {g: np.empty(0, np.int64) for g in grams}
     if len(buffer) < 3 or not grams:
         return found
-    table = np.zeros(1 << 24, np.uint16)
-    codes = [g[0] | g[1] << 8 | g[2] << 16 for g in grams]
-    table[codes] = np.arange(1, len(grams) + 1)
+    def build() -> np.ndarray:
+        table = np.zeros(1 << 24, np.uint8 if len(grams) < 256 else np.uint16)
+        table[[g[0] | g[1] << 8 | g[2] << 16 for g in grams]] = np.arange(1, len(grams) + 1)
+        return table
+
+    table = once_per_worker(f"trigrams-{grams}", build)
     hits, slots = [], []
-    step = 1 << 22
+    step = 1 << 20
     for low in range(0, len(buffer) - 2, step):
         part = LOWER[buffer[low : low + step + 2]].astype(np.uint32)
         slot = table[part[:-2] | part[1:-1] << np.uint32(8) | part[2:] << np.uint32(16)]
