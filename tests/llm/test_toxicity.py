@@ -55,3 +55,12 @@ def test_without_both_classes_nothing_is_rejected(spark):
         labels = spark.createDataFrame(rows, "doc_id long, toxic int")
         model = fit_severity(docs, labels)
         assert [r.rejected for r in score_severity(docs, model).collect()] == [False, False]
+
+
+def test_the_sample_is_bounded_whatever_repeats(spark):
+    from textlode.llm.toxicity import labelled_sample
+
+    docs = spark.createDataFrame([(i % 40, f"text {i}") for i in range(400)] + [(None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i % 40, i % 2) for i in range(80)] + [(None, 1)], "doc_id long, toxic int")
+    rows = labelled_sample(docs, labels, 7).collect()
+    assert len(rows) == 14 and sum(r.toxic for r in rows) == 7

@@ -17,6 +17,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textlode.llm.common import small_batches
+from textlode.sources.store import settle
+
 # Labelled documents of each class that the fit sees at most, chosen by a hash of their id.
 SAMPLE = 8_192
 # Features that the model keeps at most, and what one must show: documents, log-likelihood ratio, log odds.
@@ -52,7 +55,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     """`(text, toxic)` for at most `sample` labelled documents of each class.
 
     A document with several labels is toxic if one says so; null ids and null
-    marks are left out.  Rows that share an id all belong to the sample.
+    marks are left out.  Of rows that share an id the smallest text counts.
+    Written once, for several passes go over it.
     """
     marks = (
         labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
@@ -63,7 +67,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     chosen = [marks.filter(F.col("toxic") == y).orderBy(*order).limit(sample) for y in (0, 1)]
     chosen = chosen[0].unionByName(chosen[1])
     # At most 2 * sample rows of two numbers.
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    once = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    return settle(once.select("text", "toxic"))
 
 
 def select_features(sample: DataFrame) -> dict[str, float]:
@@ -187,6 +193,7 @@ def fit_thresholds(row, column, value, grade, width, rounds: int = 400, decay: f
 
 def fit_severity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> SeverityModel:
     """A model from `docs(doc_id, text)` and `labels(doc_id, toxic)`; without both classes it calls all texts clean."""
+    small_batches(docs.sparkSession)
     rows = labelled_sample(docs, labels, sample)
     odds = select_features(rows)
     if not odds:
@@ -209,6 +216,7 @@ def score_severity(
     """
     import pyarrow as pa
 
+    small_batches(docs.sparkSession)
     taken = [f"{prefix}{name}" for name in ("severity", "grade", "rejected")]
     kept = docs.drop(*taken)
     at = kept.columns.index(text_col)
@@ -221,7 +229,7 @@ def score_severity(
         amounts = np.array([weights[f] for f in names])
 
         def ids(word: str) -> tuple[int, ...]:
-            if len(known) > 500_000:
+            if len(known) > 100_000:
                 known.clear()
             found = known[word] = tuple(index[f] for f in features_of(word) if f in index)
             return found
