@@ -36,6 +36,8 @@ FLUSH, FLUSH_TEXTS = 1_000_000, 60_000
 BLOCK = 1_024
 # Partners that a set names, and groups in which it names them, when the open sets first meet; then all do in all.
 PARTNERS, GROUPS = 4, 4
+# Groups that a set names so that a pair is told once.
+NAMED = 8
 # Bits of a bitmap at most.
 CELLS = 1 << 17
 # Entries of one signature in one flush from which they travel as rows of their own.
@@ -131,12 +133,12 @@ def set_key(features: np.ndarray) -> int | None:
 
 
 def parities(features: np.ndarray) -> np.ndarray:
-    """Whether a cell holds an odd number of features, as bits of 64-bit numbers; about a cell per feature up to CELLS.
+    """Whether a cell holds an odd number of features, as bits of 64-bit numbers; about two cells per feature up to CELLS.
 
     A feature that only one of two sets has changes one parity: the bitmaps
     differ in at most as many bits as the sets differ in features.
     """
-    cells = min(CELLS, 1 << max(6, (3 * len(features) // 4).bit_length()))
+    cells = min(CELLS, 1 << max(6, (3 * len(features) // 2).bit_length()))
     odd = np.bincount((features & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
@@ -392,8 +394,9 @@ def _likely_in_blocks(
 
     `members(grp, node, n, root)`, `bitmaps(node, bitmap)`.  A group is cut
     into blocks of about BLOCK members; any two blocks meet in one task, which
-    hands on only the pairs that are left.  Bitmaps join last, so that they
-    move once.
+    hands on only the pairs that are left.  Of two sets that have a group among
+    the NAMED first of both, only the first such group tells.  Bitmaps join
+    last, so that they move once.
     """
     import pyarrow as pa
 
@@ -404,14 +407,20 @@ def _likely_in_blocks(
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .select("grp", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "n", "root")
+        .join(_first_groups(members, NAMED), "node")
         .join(bitmaps.select("node", "bitmap"), "node")
-        .select("grp", "low", "high", "own", "node", "n", "root", "bitmap")
+        .select("grp", "low", "high", "own", "node", "n", "root", "few", "bitmap")
     )
 
-    def pairs(parts: list[tuple], across: bool) -> tuple[list, list]:
+    none = np.iinfo(np.int64).max
+
+    def pairs(parts: list[tuple], group: int, across: bool) -> tuple[list, list]:
         """Pairs among the members of one block, or across two."""
         own, node, n, root = (np.concatenate([p[c] for p in parts]) for c in range(4))
         bits = [b for p in parts for b in p[4]]
+        first = np.full((len(bits), NAMED), none)
+        for i, few in enumerate(f for p in parts for f in p[5]):
+            first[i, : len(few)] = few
         width = min(map(len, bits))
         matrix = np.stack([b if len(b) == width else np.bitwise_xor.reduce(b.reshape(-1, width), axis=0) for b in bits])
         left, right = [], []
@@ -426,6 +435,10 @@ def _likely_in_blocks(
             at = at[hit] + i + 1
             if most is not None and len(at) > most:
                 at = at[np.argsort(unlike[hit], kind="stable")[:most]]
+            if most is None and len(at):
+                shared = (first[at][:, :, None] == first[i][None, None, :]).any(2) & (first[at] != none)
+                teller = np.where(shared, first[at], none).min(1)
+                at = at[(teller == none) | (teller == group)]
             if len(at):
                 left.append(np.minimum(node[i], node[at]))
                 right.append(np.maximum(node[i], node[at]))
@@ -436,7 +449,7 @@ def _likely_in_blocks(
 
         def settle_group() -> None:
             if sum(len(p[0]) for p in parts) > 1:
-                for out, found in zip((left, right), pairs(parts, key[1] != key[2])):
+                for out, found in zip((left, right), pairs(parts, key[0], key[1] != key[2])):
                     out += found
 
         def told() -> Iterator[pa.RecordBatch]:
@@ -449,7 +462,8 @@ def _likely_in_blocks(
             if not batch.num_rows:
                 continue
             names, rest = [c.to_numpy() for c in batch.columns[:3]], [c.to_numpy() for c in batch.columns[3:7]]
-            offsets, flat = batch.column(7).offsets.to_numpy(), batch.column(7).values.to_numpy().view(np.uint64)
+            few_at, few = batch.column(7).offsets.to_numpy(), batch.column(7).values.to_numpy()
+            offsets, flat = batch.column(8).offsets.to_numpy(), batch.column(8).values.to_numpy().view(np.uint64)
             new = np.zeros(batch.num_rows, bool)
             for c in names:
                 new[1:] |= c[1:] != c[:-1]
@@ -460,7 +474,8 @@ def _likely_in_blocks(
                     settle_group()
                     key, parts = this, []
                 bits = [flat[offsets[i] : offsets[i + 1]] for i in range(low, high)]
-                parts.append((*(c[low:high] for c in rest), bits))
+                named = [few[few_at[i] : few_at[i + 1]] for i in range(low, high)]
+                parts.append((*(c[low:high] for c in rest), bits, named))
             yield from told()
         settle_group()
         yield from told()
@@ -542,9 +557,14 @@ def linked_sets(
     return links
 
 
+def _first_groups(members: DataFrame, most: int) -> DataFrame:
+    """`(node, few)`: the smallest names of the groups of every set."""
+    return members.groupBy("node").agg(F.slice(F.sort_array(F.collect_set("grp")), 1, most).alias("few"))
+
+
 def _few_groups(members: DataFrame) -> DataFrame:
     """Of every set's groups the GROUPS with the smallest names, which sets that share most groups share."""
-    few = members.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("grp")), 1, GROUPS).alias("few"))
+    few = _first_groups(members, GROUPS)
     return members.join(few.select("node", F.explode("few").alias("grp")), ["grp", "node"], "left_semi")
 
 
