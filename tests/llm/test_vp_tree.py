@@ -46,6 +46,24 @@ def test_ties_copies_and_lengths(spark):
     assert sorted(map(tuple, found)) == sorted(brute(rows, lambda i: i % 5 == 0, 7))
 
 
+def test_repeated_rows_and_ids_hide_no_neighbour(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, single(rng.normal(size=6))) for i in range(300)] * 2
+    # Ids with many vectors, among the best of all queries; and ids met many times with one vector.
+    rows += [(1000 + i % 3, single(4 + rng.normal(size=6))) for i in range(120)]
+    rows += [(2000, [5.0] * 6)] * 30 + [(2000 + i, [5.0] * 6) for i in range(12)]
+    for shard in (4_096, 40):
+        found = search(spark, rows, 20, shard).collect()
+        assert sorted(map(tuple, found)) == sorted(brute(rows, lambda i: i % 5 == 0, 20))
+
+
+def test_ties_beyond_the_first_search(spark):
+    # Many different vectors with the same product; the smaller ids count.
+    rows = [(5, [1.0, 0.0, 0.0])] + [(1000 - i, [1.0, float(i), float(i * i % 7)]) for i in range(400)]
+    found = search(spark, rows, 5, 4_096).filter("query_id = 5").collect()
+    assert sorted(map(tuple, found)) == sorted(brute(rows, lambda i: i == 5, 5))
+
+
 def test_edges(spark):
     rows = [
         (0, [1.0, 0.0]), (5, [0.0, 0.0]), (10, [1.0, None]), (15, [float("nan"), 1.0]), (20, [float("inf"), 1.0]),

@@ -23,7 +23,7 @@ from textlode.sources.store import settle
 SHARD = 4_096
 BLOCK = 2_048
 LEAF = 128
-# Candidates kept beyond k until scores are computed exactly.
+# Candidates searched beyond k at first; scores are then computed exactly.
 SPARE = 12
 
 
@@ -105,11 +105,12 @@ class Tree:
 def build_trees(vectors: DataFrame, k: int, shard: int = SHARD) -> DataFrame:
     """`(width, shard, tree)`: the index, each shard a pickled (tree, ids) of about `shard` different vectors.
 
-    Equal vectors are one point with its k + 1 smallest ids, reduced before the
-    shuffle; a query can need no more of them.
+    Equal vectors are one point with its k + 1 smallest different ids, reduced
+    before the shuffle; a query can need no more of them.
     """
     width = F.size("vec")
-    points = top_per_group(vectors, ["vec"], [F.col("vec_id")], k + 1).groupBy("vec").agg(
+    once = vectors.select("vec_id", "vec").distinct()
+    points = top_per_group(once, ["vec"], [F.col("vec_id")], k + 1).groupBy("vec").agg(
         F.sort_array(F.collect_list("vec_id")).alias("ids")
     )
     points = settle(points.withColumn("width", width))
@@ -148,6 +149,33 @@ def _blocks(queries: DataFrame, block: int) -> tuple[DataFrame, int]:
     return dealt.groupBy("width", "block").applyInArrow(gather, "width int, block long, query binary"), blocks
 
 
+def _hits(tree: Tree, ids: list[list[int]], names: np.ndarray, matrix: np.ndarray, k: int, factor: float) -> list[list[tuple]]:
+    """(-score, id) of the k best different ids for each query.
+
+    Points that hold too few ids, or whose last one may tie with the k-th id, are not enough: twice as many are searched.
+    """
+    out: list[list[tuple]] = [[]] * len(names)
+    open_, size = np.arange(len(names)), k + 1 + SPARE
+    while len(open_):
+        value, found = tree.search(matrix[open_], size, factor)
+        # More than the rounding of a product.
+        slack = 1e-15 * (matrix.shape[1] + 1) * np.sqrt((matrix[open_] ** 2).sum(1) * tree.longest)
+        left = []
+        for n, last, rows, eps in zip(open_.tolist(), value[:, -1].tolist(), found, slack.tolist()):
+            rows = rows[rows >= 0]
+            exact = map(math.fsum, (tree.points[rows] * matrix[n]).tolist())
+            best: dict[int, float] = {}
+            for s, r in zip(exact, rows.tolist(), strict=True):
+                for i in ids[r]:
+                    if i != names[n] and s > best.get(i, -math.inf):
+                        best[i] = s
+            out[n] = sorted((-s, i) for i, s in best.items())[:k]
+            if size < len(tree.points) and (len(out[n]) < k or -out[n][-1][0] <= last + eps):
+                left.append(n)
+        open_, size = np.array(left, int), min(2 * size, len(tree.points))
+    return out
+
+
 def nearest(
     queries: DataFrame, trees: DataFrame, k: int = 20, factor: float = 1.0, block: int = BLOCK
 ) -> DataFrame:
@@ -171,15 +199,11 @@ def nearest(
                 tree = Tree.__new__(Tree)
                 tree.points, tree.longest, tree.rest, tree.order, tree.nodes, ids = pickle.loads(raw_tree.as_py())
                 names, matrix = pickle.loads(raw_query.as_py())
-                _, found = tree.search(matrix, k + 1 + SPARE, factor)
                 query_id, vec_id, score = [], [], []
-                for name, query, rows in zip(names.tolist(), matrix, found, strict=True):
-                    rows = rows[rows >= 0]
-                    exact = map(math.fsum, (tree.points[rows] * query).tolist())
-                    hits = sorted((-s, i) for s, r in zip(exact, rows.tolist(), strict=True) for i in ids[r] if i != name)
-                    query_id += [name] * min(k, len(hits))
-                    score += [-s for s, _ in hits[:k]]
-                    vec_id += [i for _, i in hits[:k]]
+                for name, hits in zip(names.tolist(), _hits(tree, ids, names, matrix, k, factor), strict=True):
+                    query_id += [name] * len(hits)
+                    score += [-s for s, _ in hits]
+                    vec_id += [i for _, i in hits]
                 arrays = [pa.array(query_id, pa.int64()), pa.array(vec_id, pa.int64()), pa.array(score, pa.float64())]
                 yield pa.RecordBatch.from_arrays(arrays, ["query_id", "vec_id", "score"])
 
