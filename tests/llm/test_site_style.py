@@ -70,6 +70,20 @@ def test_an_article_keeps_what_all_pages_have(spark):
     assert all(found[i] == f"Title {i}\nSummary" + (f"\nWords {i}" if i % 2 else "") for i in range(30))
 
 
+def test_entropy_decides_inside_an_article(spark):
+    page = """<body><nav>Menu {1}</nav><article><h1>Title {0}</h1><div class=x9>Buy now</div><p>Story {0} tells of {0}</p>
+      <h2>Summary</h2><div class="{2}">Told on page {0}</div><div class=share>Share this</div></article></body>"""
+    names = ("social history", "nav")
+    rows = [(h * 100 + i, f"http://h{h}.org/", page.format(i, i * i, names[h])) for h in range(2) for i in range(100)]
+    # Copies of one article beside other menus are one page.
+    rows += [(1000 + i, "http://h0.org/", page.format(7, -i, names[0])) for i in range(300)]
+    found = texts(spark, rows)
+    for i in range(100):
+        assert found[i] == f"Title {i}\nStory {i} tells of {i}\nSummary\nTold on page {i}"
+        assert found[100 + i] == f"Title {i}\nStory {i} tells of {i}\nSummary"
+    assert {found[1000 + i] for i in range(300)} == {found[7]}
+
+
 def test_edges(spark):
     deep = "<div>" * 3000 + "deep" + "</div>" * 3000
     rows = [

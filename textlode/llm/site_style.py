@@ -29,9 +29,11 @@ CONTENT = 0.9
 PRIOR = 10.0
 # Importance below which a branch is cut.
 LEAST = 0.6
-# Weights of nodes that state a role beside the article, and of those outside an article that the page has.
-ASIDE, OUTSIDE = 0.5, 0.5
-# Weight of what an article or main element holds or is held by: it is kept however alike its pages are.
+# Weights of nodes whose names state a role beside the article, or may: the latter are outvoted by high entropy.
+STATED, HINTED = 0.55, 0.75
+# Weights of nodes inside an article or main element, which low entropy outvotes, and of those outside one that the page has.
+INSIDE, OUTSIDE = 2.0, 0.5
+# Weight of article and main elements, what holds them, and the headings in them: kept however alike the pages are.
 KEPT = 10.0
 
 # Elements by kind.
@@ -46,11 +48,15 @@ ROLES = frozenset("nav footer aside header form menu dialog".split())
 MAIN = frozenset({"article", "main"})
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
-# Words of classes and ids that name something beside the article.
+HEADINGS = frozenset({"h1", "h2", "h3", "h4", "h5", "h6"})
+# Words of classes and ids that name something beside the article, and words that may.
+ROLE_WORDS = frozenset(
+    "ad ads advert advertisement advertising breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer"
+    " nav navbar navigation newsletter pagination sidebar sponsor sponsored".split()
+)
 HINTS = frozenset(
-    "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies"
-    " disclaimer disqus footer header menu modal nav navbar navigation newsletter notice pagination popup promo promoted"
-    " related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
+    "banner disclaimer header menu modal notice popup promo promoted related replies reply respond share sharing signup"
+    " social subscribe toolbar widget".split()
 )
 
 _TAG = re.compile(
@@ -63,7 +69,7 @@ _WORD = re.compile(r"[a-z]+")
 class Node(NamedTuple):
     path: int
     tag: str
-    weight: float
+    hint: float
     in_main: bool
     hidden: bool
     cut: bool
@@ -83,10 +89,13 @@ class Page(NamedTuple):
     has_main: bool
 
 
-def _signature(tag: str, attributes: str) -> tuple[str, bool]:
-    """Tag with the words of its classes, and whether these name something beside the article."""
+def _signature(tag: str, attributes: str) -> tuple[str, float]:
+    """Tag with the words of its classes, and the weight of what these name: 1 unless it is beside the article."""
     words = [w for m in _NAMES.finditer(attributes) for w in _WORD.findall((m[1] or m[2] or m[3] or "").lower())]
-    return " ".join([tag, *words[:6]]), tag not in MAIN and not HINTS.isdisjoint(words)
+    hint = 1.0
+    if tag not in MAIN:
+        hint = STATED if not ROLE_WORDS.isdisjoint(words) else HINTED if not HINTS.isdisjoint(words) else 1.0
+    return " ".join([tag, *words[:6]]), hint
 
 
 def parse_page(html: str, noise: frozenset[int] = frozenset()) -> Page:
@@ -149,14 +158,15 @@ def parse_page(html: str, noise: frozenset[int] = frozenset()) -> Page:
         spelled = known.get((tag, m[3]))
         if spelled is None:
             spelled = known[tag, m[3]] = _signature(tag, m[3])
-        signature, beside = spelled
+        signature, hint = spelled
         # An article's own header holds its title.
-        beside = beside or tag in ROLES and not (tag == "header" and top.in_main)
+        if tag in ROLES and not (tag == "header" and top.in_main):
+            hint = min(hint, HINTED if tag == "header" else STATED)
         path = xxhash.xxh64_intdigest(signature, seed=top.path & (1 << 63) - 1) >> 1
         node = Node(
             path,
             tag,
-            ASIDE if beside else 1.0 if tag in MAIN else top.weight,
+            hint,
             top.in_main or tag in MAIN,
             top.hidden or tag in HIDDEN,
             top.cut or path in noise,
@@ -173,25 +183,35 @@ def _digest(text: str) -> int:
     return xxhash.xxh64_intdigest(text) >> 1
 
 
-def page_nodes(html: str) -> tuple[int, list[tuple[int, int, int, float]]]:
-    """Name of the page's whole text; per path the names of its content and of its children's tags, and its weight."""
+def page_nodes(html: str) -> tuple[int, list[tuple[int, int, int, int, float, float]]]:
+    """Name of the page's whole text; per node (page, path, content, style, weight, hint).
+
+    Content and style are names of its content and of its children's tags.  The
+    page is named by its whole text, or for nodes inside its article by the
+    article's: copies of an article beside other adverts count once.
+    """
     page = parse_page(html)
     content: dict[int, list[str]] = {}
     for block in page.blocks:
         for node in block.nodes:
             content.setdefault(node.path, []).append(block.text)
     holders = {n.path for b in page.blocks if b.nodes and b.nodes[-1].in_main for n in b.nodes if not n.in_main}
+    whole = _digest("\n".join(b.text for b in page.blocks))
+    main = _digest("\n".join(b.text for b in page.blocks if b.nodes and b.nodes[-1].in_main))
     rows = []
     for path, node in page.nodes.items():
         if node.hidden or node.tag in ("html", "body"):
             continue
-        weight = node.weight
-        if path in holders or node.in_main and weight == 1.0:
+        weight = 1.0
+        if path in holders or node.in_main and (node.tag in MAIN or node.tag in HEADINGS and node.hint == 1.0):
             weight = KEPT
-        elif page.has_main and not node.in_main:
-            weight *= OUTSIDE
-        rows.append((path, _digest("\n".join(content.get(path, ()))), _digest(" ".join(page.children.get(path, ()))), weight))
-    return _digest("\n".join(b.text for b in page.blocks)), rows
+        elif node.in_main:
+            weight = INSIDE
+        elif page.has_main:
+            weight = OUTSIDE
+        names = _digest("\n".join(content.get(path, ()))), _digest(" ".join(page.children.get(path, ())))
+        rows.append((main if node.in_main else whole, path, *names, weight, node.hint))
+    return whole, rows
 
 
 def page_text(html: str, noise: frozenset[int]) -> str:
@@ -203,7 +223,7 @@ def page_text(html: str, noise: frozenset[int]) -> str:
 
 
 def style_nodes(pages: DataFrame) -> DataFrame:
-    """`(host, page, path, content, style, weight)` from `pages(host, html)`, equal pages of a host once."""
+    """`(host, page, path, content, style, weight, hint)` from `pages(host, html)`, equal pages of a host once."""
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,17 +231,17 @@ def style_nodes(pages: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                page, nodes = page_nodes(html.as_py())
-                if (host, page) not in met:
-                    met.add((host, page))
-                    rows += [(host, page, *node) for node in nodes]
+                whole, nodes = page_nodes(html.as_py())
+                if (host, whole) not in met:
+                    met.add((host, whole))
+                    rows += [(host, *node) for node in nodes]
             if rows:
-                kinds = [pa.string(), *[pa.int64()] * 4, pa.float64()]
+                kinds = [pa.string(), *[pa.int64()] * 4, *[pa.float64()] * 2]
                 columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
-                yield pa.RecordBatch.from_arrays(columns, ["host", "page", "path", "content", "style", "weight"])
+                yield pa.RecordBatch.from_arrays(columns, ["host", "page", "path", "content", "style", "weight", "hint"])
 
     found = pages.select("host", "html").mapInArrow(
-        run, "host string, page long, path long, content long, style long, weight double"
+        run, "host string, page long, path long, content long, style long, weight double, hint double"
     )
     return found.distinct()
 
@@ -239,16 +259,21 @@ def _entropy(nodes: DataFrame, keys: list[str], value: str, name: str) -> DataFr
 def node_importance(nodes: DataFrame) -> DataFrame:
     """`(host, path, importance)` of every merged node."""
     counted = settle(
-        nodes.groupBy("host", "path", "content", "style").agg(F.count("*").alias("c"), F.max("weight").alias("weight"))
+        nodes.groupBy("host", "path", "content", "style").agg(
+            F.count("*").alias("c"), F.max("weight").alias("weight"), F.max("hint").alias("hint")
+        )
     )
 
     def mixed(keys: list[str], name: str) -> DataFrame:
         own = _entropy(counted, keys, "content", "h").join(_entropy(counted, keys, "style", "g"), keys)
         return own.select(*keys, (F.col("h") * CONTENT + F.col("g") * (1 - CONTENT)).alias(name), F.col("h_m").alias(f"{name}_m"))
 
-    weights = counted.groupBy("host", "path").agg(F.max("weight").alias("weight"))
+    weights = counted.groupBy("host", "path").agg(F.max("weight").alias("weight"), F.max("hint").alias("hint"))
     own, everywhere = mixed(["host", "path"], "own"), mixed(["path"], "all")
-    m = F.col("own_m")
+    m, pages = F.col("own_m"), F.col("all_m")
+    mixture = (F.col("own") * m + F.col("all") * PRIOR) / (m + PRIOR)
+    # A node that its names speak against needs pages to speak for it: without any, its entropy is taken for half.
+    shown = 0.5 + (mixture - 0.5) * pages / (pages + PRIOR)
     return (
         own.join(weights, ["host", "path"])
         .join(everywhere, "path")
@@ -256,7 +281,8 @@ def node_importance(nodes: DataFrame) -> DataFrame:
             "host",
             "path",
             F.when(F.col("weight") >= KEPT, 1.0)
-            .otherwise((F.col("own") * m + F.col("all") * PRIOR) / (m + PRIOR) * F.col("weight"))
+            .when(F.col("hint") < 1, shown * F.col("hint"))
+            .otherwise(mixture * F.col("weight"))
             .alias("importance"),
         )
     )
@@ -269,8 +295,8 @@ def extract_main_text(
 
     Blocks are joined by line breaks; white space inside a block becomes one
     space, character references are decoded.  If a page has an article or
-    main element, only text inside counts, and of that only branches whose tag
-    or classes name something else are cut.  Null and empty pages, and pages
+    main element, only text inside counts; branches of low importance are cut
+    there as well, its headings stay.  Null and empty pages, and pages
     without main text, have an empty text.  Null ids and urls are kept; pages
     without a host share one tree.
     """
