@@ -84,6 +84,20 @@ def test_entropy_decides_inside_an_article(spark):
     assert {found[1000 + i] for i in range(300)} == {found[7]}
 
 
+def test_names_of_wrappers_empty_no_page(spark):
+    rows, want = [], {}
+    wrappers = ["<body class='has-sidebar'>{}</body>", "<div class='page header-fixed'>{}</div>", "<form>{}</form>",
+                "<div class='content-with-sidebar'>{}</div>", "<div id=header>{}</div>", "<body class=sidebar>{}</body>"]
+    for w, wrapper in enumerate(wrappers):
+        for i in range(12):
+            own = f"<div class=entry-header>Title {i}</div><div class=related-work>Work {i} tells of {i * i} and more</div>"
+            rows.append((w * 100 + i, f"http://h{w}.org/", wrapper.format(f"{own}<div class='site-nav'>Menu {i}</div><nav>Go</nav>")))
+            want[w * 100 + i] = f"Title {i}\nWork {i} tells of {i * i} and more"
+    assert texts(spark, rows) == want
+    inside = "<article><h1>T</h1><div class=entry-header>By me</div><p class=social-history>None known</p><p id=ad-1>Buy</p></article>"
+    assert texts(spark, [(1, "http://one.org/", inside)])[1] == "T\nBy me\nNone known"
+
+
 def test_edges(spark):
     deep = "<div>" * 3000 + "deep" + "</div>" * 3000
     rows = [

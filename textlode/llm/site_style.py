@@ -58,6 +58,10 @@ HINTS = frozenset(
     "banner disclaimer header menu modal notice popup promo promoted related replies reply respond share sharing signup"
     " social subscribe toolbar widget".split()
 )
+# Words that lead a compound name of something beside the article, ambiguous ones at its end, and those that tell a state.
+LEADS = frozenset("ad ads advert advertisement comment comments cookie cookies share sharing nav newsletter sidebar".split())
+LOOSE = frozenset({"header", "menu", "social", "related"})
+STATES = frozenset("has with without no is on off open closed enabled disabled fixed active sticky left right top bottom".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*(?:>|\Z)", re.DOTALL
@@ -89,13 +93,20 @@ class Page(NamedTuple):
     has_main: bool
 
 
+def _names_role(words: list[str]) -> float:
+    """Weight by the words of one class, id or role: the whole name, the noun it ends in, or the word it begins with."""
+    if len(words) > 1 and not STATES.isdisjoint(words):
+        return 1.0
+    said = [w for w in words[:1] if len(words) == 1 or w in LEADS] + [w for w in words[-1:] if w not in LOOSE]
+    return STATED if not ROLE_WORDS.isdisjoint(said) else HINTED if not HINTS.isdisjoint(said) else 1.0
+
+
 def _signature(tag: str, attributes: str) -> tuple[str, float]:
     """Tag with the words of its classes, and the weight of what these name: 1 unless it is beside the article."""
-    words = [w for m in _NAMES.finditer(attributes) for w in _WORD.findall((m[1] or m[2] or m[3] or "").lower())]
-    hint = 1.0
-    if tag not in MAIN:
-        hint = STATED if not ROLE_WORDS.isdisjoint(words) else HINTED if not HINTS.isdisjoint(words) else 1.0
-    return " ".join([tag, *words[:6]]), hint
+    names = [t for m in _NAMES.finditer(attributes) for t in (m[1] or m[2] or m[3] or "").lower().split()]
+    words = [_WORD.findall(t) for t in names]
+    hint = 1.0 if tag in MAIN else min((_names_role(w) for w in words if w), default=1.0)
+    return " ".join([tag, *[w for own in words for w in own][:6]]), hint
 
 
 def parse_page(html: str, noise: frozenset[int] = frozenset()) -> Page:
@@ -183,12 +194,13 @@ def _digest(text: str) -> int:
     return xxhash.xxh64_intdigest(text) >> 1
 
 
-def page_nodes(html: str) -> tuple[int, list[tuple[int, int, int, int, float, float]]]:
-    """Name of the page's whole text; per node (page, path, content, style, weight, hint).
+def page_nodes(html: str) -> tuple[int, list[tuple[int, int, int, int, float, float, float]]]:
+    """Name of the page's whole text; per node (page, path, content, style, weight, hint, most).
 
     Content and style are names of its content and of its children's tags.  The
     page is named by its whole text, or for nodes inside its article by the
-    article's: copies of an article beside other adverts count once.
+    article's: copies of an article beside other adverts count once.  `most` is
+    1 if the node holds more than half of that text.
     """
     page = parse_page(html)
     content: dict[int, list[str]] = {}
@@ -196,8 +208,12 @@ def page_nodes(html: str) -> tuple[int, list[tuple[int, int, int, int, float, fl
         for node in block.nodes:
             content.setdefault(node.path, []).append(block.text)
     holders = {n.path for b in page.blocks if b.nodes and b.nodes[-1].in_main for n in b.nodes if not n.in_main}
-    whole = _digest("\n".join(b.text for b in page.blocks))
-    main = _digest("\n".join(b.text for b in page.blocks if b.nodes and b.nodes[-1].in_main))
+    texts = {
+        False: [b.text for b in page.blocks],
+        True: [b.text for b in page.blocks if b.nodes and b.nodes[-1].in_main],
+    }
+    names = {inside: _digest("\n".join(own)) for inside, own in texts.items()}
+    sizes = {inside: sum(map(len, own)) for inside, own in texts.items()}
     rows = []
     for path, node in page.nodes.items():
         if node.hidden or node.tag in ("html", "body"):
@@ -209,9 +225,11 @@ def page_nodes(html: str) -> tuple[int, list[tuple[int, int, int, int, float, fl
             weight = INSIDE
         elif page.has_main:
             weight = OUTSIDE
-        names = _digest("\n".join(content.get(path, ()))), _digest(" ".join(page.children.get(path, ())))
-        rows.append((main if node.in_main else whole, path, *names, weight, node.hint))
-    return whole, rows
+        own = content.get(path, ())
+        most = float(2 * sum(map(len, own)) > sizes[node.in_main])
+        style = _digest(" ".join(page.children.get(path, ())))
+        rows.append((names[node.in_main], path, _digest("\n".join(own)), style, weight, node.hint, most))
+    return names[False], rows
 
 
 def page_text(html: str, noise: frozenset[int]) -> str:
@@ -223,7 +241,7 @@ def page_text(html: str, noise: frozenset[int]) -> str:
 
 
 def style_nodes(pages: DataFrame) -> DataFrame:
-    """`(host, page, path, content, style, weight, hint)` from `pages(host, html)`, equal pages of a host once."""
+    """`(host, page, path, content, style, weight, hint, most)` from `pages(host, html)`, equal pages of a host once."""
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,12 +254,12 @@ def style_nodes(pages: DataFrame) -> DataFrame:
                     met.add((host, whole))
                     rows += [(host, *node) for node in nodes]
             if rows:
-                kinds = [pa.string(), *[pa.int64()] * 4, *[pa.float64()] * 2]
+                kinds = [pa.string(), *[pa.int64()] * 4, *[pa.float64()] * 3]
                 columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
-                yield pa.RecordBatch.from_arrays(columns, ["host", "page", "path", "content", "style", "weight", "hint"])
+                yield pa.RecordBatch.from_arrays(columns, ["host", "page", "path", "content", "style", "weight", "hint", "most"])
 
     found = pages.select("host", "html").mapInArrow(
-        run, "host string, page long, path long, content long, style long, weight double, hint double"
+        run, "host string, page long, path long, content long, style long, weight double, hint double, most double"
     )
     return found.distinct()
 
@@ -260,7 +278,7 @@ def node_importance(nodes: DataFrame) -> DataFrame:
     """`(host, path, importance)` of every merged node."""
     counted = settle(
         nodes.groupBy("host", "path", "content", "style").agg(
-            F.count("*").alias("c"), F.max("weight").alias("weight"), F.max("hint").alias("hint")
+            F.count("*").alias("c"), F.max("weight").alias("weight"), F.max("hint").alias("hint"), F.sum("most").alias("most")
         )
     )
 
@@ -268,7 +286,9 @@ def node_importance(nodes: DataFrame) -> DataFrame:
         own = _entropy(counted, keys, "content", "h").join(_entropy(counted, keys, "style", "g"), keys)
         return own.select(*keys, (F.col("h") * CONTENT + F.col("g") * (1 - CONTENT)).alias(name), F.col("h_m").alias(f"{name}_m"))
 
-    weights = counted.groupBy("host", "path").agg(F.max("weight").alias("weight"), F.max("hint").alias("hint"))
+    # What holds most of the text on most of its pages is not scored by its names.
+    hint = F.when(F.sum("most") * 2 > F.sum("c"), 1.0).otherwise(F.max("hint"))
+    weights = counted.groupBy("host", "path").agg(F.max("weight").alias("weight"), hint.alias("hint"))
     own, everywhere = mixed(["host", "path"], "own"), mixed(["path"], "all")
     m, pages = F.col("own_m"), F.col("all_m")
     mixture = (F.col("own") * m + F.col("all") * PRIOR) / (m + PRIOR)
