@@ -98,6 +98,29 @@ def test_names_of_wrappers_empty_no_page(spark):
     assert texts(spark, [(1, "http://one.org/", inside)])[1] == "T\nBy me\nNone known"
 
 
+def test_articles_beside_the_text_are_not_main(spark):
+    text = "<div class=content><p>The real text {0} that goes on</p></div>"
+    post = "<article class=post><h1>Post {0}</h1><p>Tells of {0}</p></article>"
+    comment = "<article class=comment><p>Reader {0}: a long remark on all of it, longer than the post</p></article>"
+    pages = [
+        ("<aside><article>Teaser</article></aside>" + text, "The real text {0} that goes on"),
+        ("<nav><article>Teaser</article></nav>" + text, "The real text {0} that goes on"),
+        (text + "<article>Short</article>" + text, None),
+        (post + f"<div id=comments>{comment}</div>", "Post {0}\nTells of {0}"),
+        (post.replace("</article>", f"<section>{comment}</section></article>"), "Post {0}\nTells of {0}"),
+        ("<nav>Menu<ul><li>Go</ul>" + post, "Post {0}\nTells of {0}"),
+        (f"<form>{post}</form><footer>Foot</footer>", "Post {0}\nTells of {0}"),
+    ]
+    rows = [(w * 100 + i, f"http://h{w}.org/", p.format(i)) for w, (p, _) in enumerate(pages) for i in range(12)]
+    found = texts(spark, rows)
+    for w, (_, want) in enumerate(pages):
+        for i in range(12):
+            if want:
+                assert found[w * 100 + i] == want.format(i)
+            else:
+                assert found[w * 100 + i].count(f"The real text {i} that") == 2
+
+
 def test_edges(spark):
     deep = "<div>" * 3000 + "deep" + "</div>" * 3000
     rows = [

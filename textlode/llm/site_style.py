@@ -31,6 +31,8 @@ PRIOR = 10.0
 LEAST = 0.6
 # Weights of nodes whose names state a role beside the article, or may: the latter are outvoted by high entropy.
 STATED, HINTED = 0.55, 0.75
+# Weight of an article in an article whose names say that it is a remark or the like, however long it is.
+REMARK = 0.5
 # Weights of nodes inside an article or main element, which low entropy outvotes, and of those outside one that the page has.
 INSIDE, OUTSIDE = 2.0, 0.5
 # Weight of article and main elements, what holds them, and the headings in them: kept however alike the pages are.
@@ -74,9 +76,10 @@ class Node(NamedTuple):
     path: int
     tag: str
     hint: float
-    in_main: bool
+    in_article: bool
     hidden: bool
     cut: bool
+    number: int
 
 
 class Block(NamedTuple):
@@ -85,13 +88,17 @@ class Block(NamedTuple):
 
 
 class Page(NamedTuple):
-    """Blocks of text in page order, and per path the node and its children's tags."""
+    """Blocks of text in page order, per path the node and its children's tags, and by node number whether it is main."""
 
     blocks: list[Block]
     nodes: dict[int, Node]
     children: dict[int, list[str]]
+    main: list[bool]
     has_main: bool
 
+    def inside(self, block: Block) -> bool:
+        return bool(block.nodes) and self.main[block.nodes[-1].number]
+
 
 def _names_role(words: list[str]) -> float:
     """Weight by the words of one class, id or role: the whole name, the noun it ends in, or the word it begins with."""
@@ -105,20 +112,63 @@ def _signature(tag: str, attributes: str) -> tuple[str, float]:
     """Tag with the words of its classes, and the weight of what these name: 1 unless it is beside the article."""
     names = [t for m in _NAMES.finditer(attributes) for t in (m[1] or m[2] or m[3] or "").lower().split()]
     words = [_WORD.findall(t) for t in names]
-    hint = 1.0 if tag in MAIN else min((_names_role(w) for w in words if w), default=1.0)
+    hint = min((_names_role(w) for w in words if w), default=1.0)
     return " ".join([tag, *[w for own in words for w in own][:6]]), hint
 
 
+def _ended(html: str) -> set[int]:
+    """Places of the menus, headers and the like whose end tag is there."""
+    ended, open_ = set(), {}
+    for m in _TAG.finditer(html):
+        tag = m[2] and m[2].lower()
+        if tag in ROLES:
+            own = open_.setdefault(tag, [])
+            if not m[1]:
+                own.append(m.start())
+            elif own:
+                ended.add(own.pop())
+    return ended
+
+
+def _main_nodes(nodes: list[tuple[str, float]], parents: list[int], sizes: list[int]) -> tuple[list[bool], bool]:
+    """By number, whether a node is or lies in a main article; and whether the page has any.
+
+    An article beside the text (its own names or a branch around it say so) is
+    none, unless what says so holds most of the page's text together with an
+    article whose own names do not.  The articles count if they hold at least half of what is not beside.
+    """
+    held, holds = list(sizes), [tag in MAIN and hint == 1 for tag, hint in nodes]
+    for n in range(len(nodes) - 1, 0, -1):
+        held[parents[n]] += held[n]
+        holds[parents[n]] |= holds[n]
+    beside, main = [False] * len(nodes), [False] * len(nodes)
+    rest, own, some = held[0], 0, False
+    for n in range(1, len(nodes)):
+        (tag, hint), up = nodes[n], parents[n]
+        named = hint < 1 and tag not in ("html", "body") and not (holds[n] and 2 * held[n] > held[0])
+        beside[n] = beside[up] or named
+        main[n] = main[up] or tag in MAIN and not beside[n]
+        if main[n] and not main[up]:
+            own, some = own + held[n], True
+        elif beside[n] and not beside[up] and not main[up]:
+            rest -= held[n]
+    if some and 2 * own >= rest:
+        return main, True
+    return [False] * len(nodes), False
+
+
 def parse_page(html: str, noise: frozenset[int] = frozenset()) -> Page:
     """A tolerant reading of the markup: only elements that hold blocks become nodes.
 
     Unclosed elements end with their parent; an article or main element also
-    ends a menu, header or the like that was left open.  Nodes in `noise` are cut.
+    ends a menu, header or the like that has no end tag.  Nodes in `noise` are cut.
     """
-    root = Node(0, "", 1.0, False, False, False)
+    root = Node(0, "", 1.0, False, False, False, 0)
     stack, blocks, nodes, children = [root], [], {}, {}
     held: list[str] = []
-    has_main, at, known = False, 0, {}
+    at, known, ended = 0, {}, None
+    kinds, parents, sizes = [("", 1.0)], [0], [0]
+    places: dict[int, int] = {}
 
     def emit() -> None:
         if held:
@@ -126,6 +176,7 @@ def parse_page(html: str, noise: frozenset[int] = frozenset()) -> Page:
                 text = " ".join(unescape("".join(held)).split())
                 if text:
                     blocks.append(Block(tuple(stack[1:]), text))
+                    sizes[stack[-1].number] += len(text)
             held.clear()
 
     while True:
@@ -157,10 +208,11 @@ def parse_page(html: str, noise: frozenset[int] = frozenset()) -> Page:
             stack.pop()
         if tag != "p" and tag not in CLOSES and stack[-1].tag == "p":
             stack.pop()
-        if tag in MAIN:
-            while len(stack) > 1 and stack[-1].tag in ROLES:
+        if tag in MAIN and stack[-1].tag in ROLES:
+            if ended is None:
+                ended = _ended(html)
+            while len(stack) > 1 and stack[-1].tag in ROLES and places[stack[-1].number] not in ended:
                 stack.pop()
-            has_main = True
         top = stack[-1]
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.IGNORECASE).search(html, at)
@@ -171,23 +223,31 @@ def parse_page(html: str, noise: frozenset[int] = frozenset()) -> Page:
             spelled = known[tag, m[3]] = _signature(tag, m[3])
         signature, hint = spelled
         # An article's own header holds its title.
-        if tag in ROLES and not (tag == "header" and top.in_main):
+        if tag in ROLES and not (tag == "header" and top.in_article):
             hint = min(hint, HINTED if tag == "header" else STATED)
+        if tag == "article" and hint < 1 and any(n.tag == "article" for n in stack):
+            hint = REMARK
         path = xxhash.xxh64_intdigest(signature, seed=top.path & (1 << 63) - 1) >> 1
         node = Node(
             path,
             tag,
             hint,
-            top.in_main or tag in MAIN,
+            top.in_article or tag in MAIN,
             top.hidden or tag in HIDDEN,
             top.cut or path in noise,
+            len(kinds),
         )
+        kinds.append((tag, hint))
+        parents.append(top.number)
+        sizes.append(0)
+        if tag in ROLES:
+            places[node.number] = m.start()
         nodes.setdefault(path, node)
         children.setdefault(top.path, []).append(signature)
         if not m[3].rstrip().endswith("/"):
             stack.append(node)
     emit()
-    return Page(blocks, nodes, children, has_main)
+    return Page(blocks, nodes, children, *_main_nodes(kinds, parents, sizes))
 
 
 def _digest(text: str) -> int:
@@ -207,10 +267,12 @@ def page_nodes(html: str) -> tuple[int, list[tuple[int, int, int, int, float, fl
     for block in page.blocks:
         for node in block.nodes:
             content.setdefault(node.path, []).append(block.text)
-    holders = {n.path for b in page.blocks if b.nodes and b.nodes[-1].in_main for n in b.nodes if not n.in_main}
+    holders = {n.path for b in page.blocks if page.inside(b) for n in b.nodes if not page.main[n.number]}
+    # A path may lie in an article at one place of a page and beside it at another.
+    within = {n.path for b in page.blocks if page.inside(b) for n in b.nodes if page.main[n.number]}
     texts = {
         False: [b.text for b in page.blocks],
-        True: [b.text for b in page.blocks if b.nodes and b.nodes[-1].in_main],
+        True: [b.text for b in page.blocks if page.inside(b)],
     }
     names = {inside: _digest("\n".join(own)) for inside, own in texts.items()}
     sizes = {inside: sum(map(len, own)) for inside, own in texts.items()}
@@ -218,17 +280,17 @@ def page_nodes(html: str) -> tuple[int, list[tuple[int, int, int, int, float, fl
     for path, node in page.nodes.items():
         if node.hidden or node.tag in ("html", "body"):
             continue
-        weight = 1.0
-        if path in holders or node.in_main and (node.tag in MAIN or node.tag in HEADINGS and node.hint == 1.0):
+        weight, in_main = 1.0, path in within or page.main[node.number]
+        if path in holders or in_main and node.hint == 1.0 and (node.tag in MAIN or node.tag in HEADINGS):
             weight = KEPT
-        elif node.in_main:
+        elif in_main:
             weight = INSIDE
         elif page.has_main:
             weight = OUTSIDE
         own = content.get(path, ())
-        most = float(2 * sum(map(len, own)) > sizes[node.in_main])
+        most = float(node.hint != REMARK and 2 * sum(map(len, own)) > sizes[in_main])
         style = _digest(" ".join(page.children.get(path, ())))
-        rows.append((names[node.in_main], path, _digest("\n".join(own)), style, weight, node.hint, most))
+        rows.append((names[in_main], path, _digest("\n".join(own)), style, weight, node.hint, most))
     return names[False], rows
 
 
@@ -236,7 +298,7 @@ def page_text(html: str, noise: frozenset[int]) -> str:
     """Blocks outside cut branches, one to a line."""
     page = parse_page(html, noise)
     return "\n".join(
-        b.text for b in page.blocks if not (b.nodes and b.nodes[-1].cut) and (b.nodes and b.nodes[-1].in_main or not page.has_main)
+        b.text for b in page.blocks if not (b.nodes and b.nodes[-1].cut) and (page.inside(b) or not page.has_main)
     )
 
 
@@ -315,7 +377,7 @@ def extract_main_text(
 
     Blocks are joined by line breaks; white space inside a block becomes one
     space, character references are decoded.  If a page has an article or
-    main element, only text inside counts; branches of low importance are cut
+    main element that holds most of the text, only text inside counts; branches of low importance are cut
     there as well, its headings stay.  Null and empty pages, and pages
     without main text, have an empty text.  Null ids and urls are kept; pages
     without a host share one tree.
