@@ -144,3 +144,26 @@ def test_similar_windows_lie_within_the_radius():
         b[changed] = rng.integers(0, 1 << 63, len(changed), dtype=np.uint64)
         far += (simhash(a) ^ simhash(b)).bit_count() > RADIUS
     assert far <= 2
+
+
+def test_pairs_of_weighted_similarity_lie_within_the_radius():
+    rng = np.random.default_rng(5)
+    draw = lambda n: rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, n, dtype=np.uint64)
+    far = [0, 0, 0]
+    for _ in range(1000):
+        # 30 rare shingles and those all of 40 items share; only the rare ones, or all but some rare or shared ones, are met.
+        features, weights = draw(70), np.repeat([math.log(41), math.log(2)], [30, 40])
+        for kind, kept in enumerate((np.arange(70) < 30 + rng.integers(0, 11), np.arange(70) >= 5, np.arange(70) % 6 > 0)):
+            assert weights[kept].sum() / weights.sum() >= 0.8
+            far[kind] += (simhash(features, weights) ^ simhash(features[kept], weights[kept])).bit_count() > RADIUS
+    assert max(far) <= 4
+
+
+def test_documents_without_the_shared_instruction(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    shared = " ".join(word() for _ in range(38))
+    own = [" ".join(word() for _ in range(45)) for _ in range(60)]
+    items = [(i, f"{shared} {t}") for i, t in enumerate(own)]
+    want = brute(list(enumerate(own)), items)
+    assert len(want) == 60 and got(find_leaks(*frames(spark, list(enumerate(own)), items))) == want

@@ -41,10 +41,16 @@ class Items(NamedTuple):
     unknown: float  # weight of a shingle that an item lacks
 
 
-def simhash(features: np.ndarray) -> int:
-    """64 bits: the sign of the sum of ±1 over the shingles, bit by bit."""
+def simhash(features: np.ndarray, weights: np.ndarray | None = None) -> int:
+    """64 bits: the sign of the sum over the shingles of ± the root of their weight, bit by bit.
+
+    Bits differ by the angle of the two sums, in which squares count: with
+    roots that is the share of weight in common, as in the similarity.
+    """
     bits = np.unpackbits(features.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1)
-    return int.from_bytes(np.packbits(2 * bits.sum(0, dtype=np.int64) > len(features)).tobytes(), "big")
+    # Whole numbers, so that the order of the shingles changes nothing.
+    roots = np.ones(len(features), np.int64) if weights is None else np.rint(np.sqrt(weights) * (1 << 20)).astype(np.int64)
+    return int.from_bytes(np.packbits(2 * (roots @ bits) > roots.sum()).tobytes(), "big")
 
 
 class MultiIndex:
@@ -133,12 +139,13 @@ def _collected(part: DataFrame) -> Items | None:
     if not rows:
         return None
     features = [np.array(r.features, np.int64).view(np.uint64) for r in rows]
+    weights = [np.array(r.weights, float) for r in rows]
     return Items(
         [r.item_id for r in rows],
         [r.length for r in rows],
         features,
-        [np.array(r.weights) for r in rows],
-        np.array([simhash(f) for f in features], np.uint64),
+        weights,
+        np.array([simhash(f, w) for f, w in zip(features, weights)], np.uint64),
         rows[0].unknown,
     )
 
@@ -161,6 +168,14 @@ class Anchors:
             bitmap[(name & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
             rest = np.array([o[1:] for o in own], np.int64)
             self.by_words[n] = (bitmap, name, rest[:, 0], rest[:, 1])
+        self.known, first = np.unique(np.concatenate(items.features), return_index=True)
+        self.weights = np.concatenate(items.weights)[first]
+
+    def weigh(self, window: np.ndarray) -> np.ndarray:
+        """Weights of a window's shingles: as in the items, `unknown` for those that none has."""
+        at = np.searchsorted(self.known, window)
+        at[at == len(self.known)] = 0
+        return np.where(self.known[at] == window, self.weights[at], self.items.unknown)
 
     def hits(self, found: np.ndarray, n: int) -> np.ndarray:
         """Places of the shingles that some item has."""
@@ -204,7 +219,7 @@ def document_leaks(
     for n, own in places.items():
         for start, length in sorted(anchors.windows(found[n], own, n, len(hashes))):
             window = _features(hashes[start : start + length], k)
-            for item in index.within(simhash(window)):
+            for item in index.within(simhash(window, anchors.weigh(window))):
                 # Windows are the item's size, or the whole of a shorter document.
                 if length != min(items.lengths[item], len(hashes)):
                     continue
