@@ -13,6 +13,7 @@ from textlode.llm.packing import pack_documents
 from textlode.llm.partenum import jaccard_components
 from textlode.llm.secret_scan import scan_secrets
 from textlode.llm.sharding import shard_by_splitters
+from textlode.llm.simhash import near_duplicates
 from textlode.llm.site_style import extract_main_text
 from textlode.llm.toxicity import fit_severity, score_severity
 from textlode.llm.url_reputation import filter_urls, label_outcomes
@@ -80,3 +81,8 @@ def op10_pattern_packing(spark, sf_dir):
 
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return pack_documents(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query
+def op13_covering_simhash(spark, sf_dir):
+    return near_duplicates(read(spark, sf_dir, "documents"))
