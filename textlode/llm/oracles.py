@@ -260,3 +260,33 @@ SELECT d.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coa
        coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM documents d LEFT JOIN lists USING (doc_id)
 """
+
+# Ranked lexical search: terms of all documents, weights, scores, ten per item, as in mask_search.py.
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+ORACLES["op12_presence_masks"] = f"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents WHERE text IS NOT NULL),
+sizes AS (SELECT r, doc_id, len(terms)::BIGINT AS n FROM texts WHERE len(terms) > 0),
+whole AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM sizes),
+items AS (SELECT item_id, unnest({_TERMS}) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE item_id IS NOT NULL)),
+asked AS (SELECT item_id, term, count(*)::BIGINT AS repeats FROM items GROUP BY item_id, term),
+spelt AS (SELECT r, unnest(terms) AS term FROM texts),
+counts AS (
+    SELECT r, term, count(*)::BIGINT AS tf FROM spelt WHERE term IN (SELECT term FROM asked) GROUP BY r, term
+),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM counts, whole GROUP BY term
+),
+parts AS (
+    SELECT r, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))) AS part
+    FROM counts JOIN weights USING (term) JOIN sizes USING (r), whole
+),
+scores AS (SELECT item_id, r, sum(repeats * part)::BIGINT AS score FROM asked JOIN parts USING (term) GROUP BY item_id, r),
+ranked AS (
+    SELECT item_id, doc_id, score,
+           row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+    FROM scores JOIN sizes USING (r) WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from textlode.llm.common import read
 from textlode.llm.decontamination import find_leaks
 from textlode.llm.disclosure import digest, find_disclosures
+from textlode.llm.mask_search import search
 from textlode.llm.packing import pack_documents
 from textlode.llm.partenum import jaccard_components
 from textlode.llm.secret_scan import scan_secrets
@@ -83,6 +84,11 @@ def op10_pattern_packing(spark, sf_dir):
     return pack_documents(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+@query
+def op12_presence_masks(spark, sf_dir):
+    return search(read(spark, sf_dir, "benchmark"), read(spark, sf_dir, "documents"))
+
+
 @query
 def op13_covering_simhash(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "documents"))
