@@ -290,3 +290,30 @@ ranked AS (
 )
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
 """
+
+# Hard negatives: all scores of all anchors, as in hard_negatives.py.
+ORACLES["op11_shared_lists"] = """
+WITH cast_ AS (SELECT vec_id, label, embedding::DOUBLE[] AS vec FROM embeddings),
+rows_ AS (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(vec, lambda x: floor(256 * x)) AS vec
+    FROM cast_
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND vec IS NOT NULL
+      AND len(list_filter(vec, lambda x: x IS NOT NULL AND isfinite(x))) = len(vec)
+),
+scores AS (
+    SELECT a.vec_id AS anchor_id, a.label AS own, r.vec_id, r.label, list_inner_product(a.vec, r.vec)::BIGINT AS score
+    FROM rows_ a JOIN rows_ r ON a.vec_id % 50 = 0 AND r.vec_id <> a.vec_id AND len(r.vec) = len(a.vec)
+),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE label = own
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+),
+negatives AS (
+    SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+           row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+    FROM positives JOIN scores USING (anchor_id)
+    WHERE label <> own AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+)
+SELECT * FROM negatives WHERE rank <= 3
+"""

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from textlode.llm.common import read
 from textlode.llm.decontamination import find_leaks
 from textlode.llm.disclosure import digest, find_disclosures
+from textlode.llm.hard_negatives import mine, whole_vectors
 from textlode.llm.mask_search import search
 from textlode.llm.packing import pack_documents
 from textlode.llm.partenum import jaccard_components
@@ -84,6 +86,13 @@ def op10_pattern_packing(spark, sf_dir):
     return pack_documents(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+@query
+def op11_shared_lists(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = whole_vectors(read(spark, sf_dir, "embeddings"), label=label)
+    return mine(rows, rows.filter("vec_id % 50 = 0"))
+
+
 @query
 def op12_presence_masks(spark, sf_dir):
     return search(read(spark, sf_dir, "benchmark"), read(spark, sf_dir, "documents"))
