@@ -134,6 +134,37 @@ def test_repeated_batch_replaces_its_output(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2]
 
 
+def test_replayed_batch_starts_from_the_state_before_it(spark):
+    """The commit of the last batch is lost: it runs again, and does not take its own keys for seen ones."""
+    source, target = stream_dirs(spark)
+    schema = spark.createDataFrame([], POSTS).schema
+    for rows in [[(5, "one text"), (6, "two text")], [(1, "One text"), (2, "nan"), (8, "four"), (7, "Four!"), (None, "four"), (None, "five")]]:
+        spark.createDataFrame(rows, POSTS).coalesce(1).write.mode("append").parquet(source)
+        ingest.ingest_stream(spark, source, target, schema)
+    names = {"documents", "counters"}
+    before = {n: sorted(map(str, ingest.stored(spark, target, n).collect())) for n in names}
+    kept, files = store._files(spark, f"{target}/checkpoint/commits/1")
+    files.rename(kept, store._files(spark, f"{target}/lost")[0])
+    ingest.ingest_stream(spark, source, target, schema)
+    assert {n: sorted(map(str, ingest.stored(spark, target, n).collect())) for n in names} == before
+    assert {r.doc_id for r in ingest.stored_documents(spark, target).collect()} == {5, 6, 7, None}
+    # The state is the only memory.
+    assert store.exists(spark, f"{target}/checkpoint/state") and not store.exists(spark, f"{target}/keys")
+
+
+def test_stream_reads_no_table_that_it_wrote(spark, plan):
+    from textlode.functions.cleaning import clear_text
+
+    schema = spark.createDataFrame([], POSTS).schema
+    source = fresh_dir(spark, "source")
+    spark.createDataFrame([(2, "hot text")] * 50 + [(1, "Hot text"), (3, "x y")], POSTS).write.parquet(source)
+    keyed = ingest._keyed(spark.read.schema(schema).parquet(source), "text", 1, None)
+    reduced = keyed.mapInArrow(ingest._first_of_each("doc_id"), keyed.schema)
+    # Copies go before the shuffle, the number of rows that they stood for stays.
+    assert reduced.count() < 30 and reduced.agg(F.sum("n")).head()[0] == 52
+    assert plan(reduced).count("Scan parquet") == 1 and "Exchange" not in plan(reduced)
+
+
 def test_stream_equals_batch(spark, sf_dir):
     source, target = stream_dirs(spark)
     docs = X.documents(spark, sf_dir)

@@ -2,39 +2,104 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from textlode.functions.cleaning import clear_text, processed_text
+from textlode.functions.cleaning import WS, clear_text
 from textlode.functions.vectors import hash_embedding, l2_normalize
-from textlode.operators.corpus import first_texts
-from textlode.operators.filters import words_between
-from textlode.operators.joins import lookup_join
+from textlode.operators.corpus import text_key
 from textlode.operators.tokens import analyze, token_rows
-from textlode.sources.store import exists, settle
-
-# Keys are stored by their first hex digit, in 16 folders per batch.
-PREFIX = "prefix"
-KEYS_PER_FILE = 1_000_000
-
-
-def prepare(df: DataFrame, text: str, low: int, high: int | None) -> DataFrame:
-    """Cleaned posts within the word limits, which count the whole cleaned text."""
-    cleaned = df.withColumn("cleaned_text", clear_text(F.col(text)))
-    counted = cleaned.withColumn("_words", processed_text(F.col(text), None))
-    return words_between(counted, "_words", low, high).drop("_words")
-
-
-def new_keys(batch: DataFrame, stored: DataFrame | None, order_col: str) -> DataFrame:
-    """`(key, <order_col>)`: first row of each text of the batch that is not stored yet."""
-    firsts = first_texts(batch, "cleaned_text", order_col)
-    firsts = firsts.withColumn(PREFIX, F.concat(F.lit("p"), F.substring(F.hex("key"), 1, 1)))
-    if stored is None:
-        return firsts
-    # The stored keys are only read; what moves is the batch and its matches.
-    known = lookup_join(stored, firsts.select(PREFIX, "key"), [PREFIX, "key"], "left_semi")
-    return firsts.join(known.select("key").distinct(), "key", "left_anti")
+from textlode.sources.store import settle
+
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Rows outside the word limits are only counted, under so many keys.
+SKIPPED_KEYS = 64
+
+
+def _keyed(rows: DataFrame, text: str, low: int, high: int | None) -> DataFrame:
+    """`(key, valid, n, row)`: every row as a struct with its cleaned text, under the key of that text."""
+    cleaned = clear_text(F.col(text))
+    row = rows.select(F.struct(*[F.col(c) for c in rows.columns], cleaned.alias("cleaned_text")).alias("row"))
+    n = F.size(F.filter(F.split("row.cleaned_text", " "), lambda w: w != ""))
+    limit = n >= max(low, 1) if high is None else n.between(max(low, 1), high)
+    # A text that only spells a missing value is none, as in `processed_text`.
+    missing = F.rlike(F.col("row").getField(text), F.lit(rf"(?i)\A[{WS}]*nan[{WS}]*\z"))
+    valid = F.coalesce(limit & ~missing, F.lit(False))
+    skipped = F.encode(F.concat(F.lit("skipped-"), F.pmod(F.xxhash64("row"), F.lit(SKIPPED_KEYS)).cast("string")), "utf-8")
+    return row.select(
+        F.when(valid, text_key(F.col("row.cleaned_text"))).otherwise(skipped).alias("key"), valid.alias("valid"), F.lit(1).cast("long").alias("n"),
+        F.when(valid, F.col("row")).alias("row"),
+    )
+
+
+def _first_of_each(order_col: str):
+    """Keeps the first row of each key of an Arrow batch with the number of rows it stands for: copies go before the shuffle."""
+    import numpy as np
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            keys = batch.column(0).dictionary_encode()
+            names = keys.indices.to_numpy()
+            ids = batch.column(3).field(order_col)
+            order = np.lexsort((np.arange(len(names)), _ranks(ids), names))
+            first = order[np.concatenate([[True], np.diff(names[order]) != 0])] if len(order) else order
+            sums = np.bincount(names, batch.column(2).to_numpy(), len(keys.dictionary)).astype(np.int64)
+            kept = batch.take(pa.array(first))
+            yield kept.set_column(2, "n", pa.array(sums[names[first]]))
+
+    return run
+
+
+def _ranks(ids):
+    """Places of ids in their order, nulls last."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    ranks = np.empty(len(ids), np.int64)
+    ranks[pc.sort_indices(ids, null_placement="at_end").to_numpy()] = np.arange(len(ids))
+    # Equal ids share the first one's place.
+    alike = ids.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+    least = {}
+    for name, rank in zip(alike.tolist(), ranks.tolist()):
+        least[name] = min(least.get(name, rank), rank)
+    return np.array([least[name] for name in alike.tolist()], np.int64)
+
+
+def first_seen(keyed: DataFrame, order_col: str) -> DataFrame:
+    """`(status, n, row)` of a stream of `(key, valid, n, row)`: one row per key and micro-batch.
+
+    The state store holds nothing but the keys met so far.  A key met for the first time gives `stored` with its
+    first row by `order_col`, a later one `duplicate` without; n counts the rows behind it.  Rows that are not valid are `skipped`.
+    """
+    row = keyed.schema["row"].dataType
+    reduced = keyed.mapInArrow(_first_of_each(order_col), keyed.schema)
+    schema = T.StructType([T.StructField("status", T.StringType()), T.StructField("n", T.LongType()), T.StructField("row", row)])
+
+    def update(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        total, best, valid = 0, None, True
+        for part in parts:
+            total += int(part["n"].sum())
+            valid = valid and bool(part["valid"].iloc[0])
+            for found in part["row"]:
+                place = found and (found[order_col] is None, found[order_col])
+                if place and (best is None or place[0] < best[0][0] or place[0] == best[0][0] == False and place[1] < best[0][1]):  # noqa: E712
+                    best = (place, found)
+        status = "skipped" if not valid else "duplicate" if state.exists else "stored"
+        if status == "stored":
+            state.update((True,))
+        told = best[1] if status == "stored" else None
+        yield pd.DataFrame({"status": [status], "n": [total], "row": [told]})
+
+    return reduced.groupBy("key").applyInPandasWithState(
+        update, schema, T.StructType([T.StructField("seen", T.BooleanType())]), "append", GroupStateTimeout.NoTimeout
+    )
 
 
 def ingest_stream(
@@ -51,50 +116,54 @@ def ingest_stream(
     """Ingests all Parquet files that are new in `source`, then returns.
 
     Every micro-batch keeps the first row of each cleaned text not seen
-    before and writes `keys`, `documents`, their `tokens` and `vectors`, and
-    its `counters` under its batch number.  A repeated batch replaces its own
-    output, and the keys of earlier batches are the only state, so a restart
-    neither loses nor doubles a document.
+    before and writes `documents`, their `tokens` and `vectors`, and its
+    `counters` under its batch number.  What was seen is the keyed state of the
+    query, 32 bytes a text, in RocksDB; no table that was written is read for it.
+    A repeated batch starts from the state before it and replaces its own
+    output, so a restart neither loses nor doubles a document.
     """
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    row = T.StructType([*schema.fields, T.StructField("cleaned_text", T.StringType())])
 
     def store(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        posts = settle(prepare(batch, text, low, high))
-        earlier = None
-        if exists(session, f"{target}/keys"):
-            earlier = session.read.parquet(f"{target}/keys").filter(F.col("batch") < number)
-        keys_at = f"{target}/keys/batch={number}"
-        firsts = new_keys(posts, earlier, order_col)
-        # A prefix is written by as many tasks as its keys are worth.
-        pieces = F.pmod(F.xxhash64("key"), F.lit(1 + posts.count() // (16 * KEYS_PER_FILE)))
-        firsts.repartition(F.col(PREFIX), pieces).write.mode("overwrite").partitionBy(PREFIX).parquet(keys_at)
-        # With its schema, for a batch may bring nothing new.
-        kept = session.read.schema(firsts.schema).parquet(keys_at).select(order_col)
+        told = settle(batch)
 
         def write(df: DataFrame, name: str) -> str:
             path = f"{target}/{name}/batch={number}"
             df.write.mode("overwrite").parquet(path)
             return path
 
-        documents = session.read.schema(posts.schema).parquet(write(posts.join(kept, order_col, "left_semi"), "documents"))
+        documents = session.read.schema(row).parquet(write(told.filter("status = 'stored'").select("row.*"), "documents"))
         write(token_rows(analyze(documents, text), order_col), "tokens")
         vectors = l2_normalize(hash_embedding(F.col("cleaned_text"))).cast("array<float>")
         write(documents.select(order_col, vectors.alias("embedding")), "vectors")
-        received, valid, stored_now = batch.count(), posts.count(), documents.count()
-        row = [(received, stored_now, valid - stored_now, received - valid)]
-        write(session.createDataFrame(row, "received long, stored long, duplicates long, skipped long"), "counters")
-
-    query = (
-        reader.parquet(source)
-        .writeStream.foreachBatch(store)
-        .option("checkpointLocation", f"{target}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+
+        def total(n: Column) -> Column:
+            return F.coalesce(F.sum(n), F.lit(0)).cast("long")
+
+        stored_now, skipped = F.when(F.col("status") == "stored", 1), F.when(F.col("status") == "skipped", F.col("n"))
+        counts = [total(F.col("n")).alias("received"), total(stored_now).alias("stored"), total(skipped).alias("skipped")]
+        duplicates = (F.col("received") - F.col("stored") - F.col("skipped")).alias("duplicates")
+        write(told.agg(*counts).select("received", "stored", duplicates, "skipped"), "counters")
+
+    keyed = _keyed(reader.parquet(source), text, low, high)
+    before = spark.conf.get(STATE_PROVIDER, None)
+    # The query keeps the provider that it starts with.
+    spark.conf.set(STATE_PROVIDER, ROCKSDB)
+    try:
+        query = (
+            first_seen(keyed, order_col)
+            .writeStream.foreachBatch(store)
+            .option("checkpointLocation", f"{target}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    finally:
+        spark.conf.unset(STATE_PROVIDER) if before is None else spark.conf.set(STATE_PROVIDER, before)
 
 
 def stored(spark: SparkSession, target: str, name: str) -> DataFrame:
