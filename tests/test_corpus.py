@@ -38,10 +38,14 @@ def test_versions_commit_together(spark):
         store.require_version(spark, base)
     first = spark.range(3).withColumnRenamed("id", "doc_id")
     assert store.write_version(spark, base, {"documents": first}) == 1
-    # An uncommitted version is not read, and its number is not used again.
-    first.write.parquet(f"{base}/v=2/documents")
+    # What a failed write left is not read, and gives way to the next one.
+    first.write.parquet(f"{base}/documents/version=2")
+    first.write.parquet(f"{base}/tokens/version=2")
     assert store.require_version(spark, base) == 1
-    assert store.append_version(spark, base, {"documents": spark.range(3, 5).withColumnRenamed("id", "doc_id")}) == 3
+    assert store.read_version(spark, base, "documents").count() == 3
+    assert store.append_version(spark, base, {"documents": spark.range(3, 5).withColumnRenamed("id", "doc_id")}) == 2
+    with pytest.raises(KeyError):
+        store.read_version(spark, base, "tokens")
     assert store.read_version(spark, base, "documents").count() == 5
     assert store.read_version(spark, base, "documents", 1).count() == 3
     assert store.load_or_create(spark, base, "documents", first.schema, overwrite=True).count() == 0
@@ -103,6 +107,12 @@ def stream_dirs(spark):
     return fresh_dir(spark, "source"), fresh_dir(spark, "target")
 
 
+def moved(spark, path, to):
+    name = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = name(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert files.rename(name(path), name(to))
+
+
 def test_stream_keeps_first_over_runs_and_files(spark):
     source, target = stream_dirs(spark)
     schema = spark.createDataFrame([], POSTS).schema
@@ -127,8 +137,7 @@ def test_repeated_batch_replaces_its_output(spark):
     rows = [(1, "one text"), (2, "two text"), (3, "One text")]
     spark.createDataFrame(rows, POSTS).write.parquet(source)
     ingest.ingest_stream(spark, source, target, schema)
-    marker, files = store._files(spark, f"{target}/checkpoint")
-    files.rename(marker, store._files(spark, f"{target}/checkpoint_lost")[0])
+    moved(spark, f"{target}/checkpoint", f"{target}/checkpoint_lost")
     ingest.ingest_stream(spark, source, target, schema)
     kept = ingest.stored_documents(spark, target)
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2]
@@ -143,8 +152,7 @@ def test_replayed_batch_starts_from_the_state_before_it(spark):
         ingest.ingest_stream(spark, source, target, schema)
     names = {"documents", "counters"}
     before = {n: sorted(map(str, ingest.stored(spark, target, n).collect())) for n in names}
-    kept, files = store._files(spark, f"{target}/checkpoint/commits/1")
-    files.rename(kept, store._files(spark, f"{target}/lost")[0])
+    moved(spark, f"{target}/checkpoint/commits/1", f"{target}/lost")
     ingest.ingest_stream(spark, source, target, schema)
     assert {n: sorted(map(str, ingest.stored(spark, target, n).collect())) for n in names} == before
     assert {r.doc_id for r in ingest.stored_documents(spark, target).collect()} == {5, 6, 7, None}

@@ -210,6 +210,19 @@ LEMMA_BM25 = f"{QUERY_LEMMAS}, {EXPANDED}, " + bm25(
 )
 
 
+def lemma_runs(keys: str, last: str, source: str, group: str, lemma: str) -> str:
+    """Runs of three to six neighbouring lemmas with `<last>` of their last word as `stop`."""
+
+    def run(n: int) -> str:
+        ahead = [f"lead({lemma}, {k}) OVER w" for k in range(1, n)]
+        return (
+            f"SELECT * FROM (SELECT {keys}{' || '.join([lemma, *[chr(39) + ' ' + chr(39) + ' || ' + a for a in ahead]])} AS phrase, "
+            f"lead({last}, {n - 1}) OVER w AS stop FROM {source} WINDOW w AS (PARTITION BY {group} ORDER BY position)) WHERE phrase IS NOT NULL"
+        )
+
+    return " UNION ALL ".join(run(n) for n in range(3, 7))
+
+
 def best(source: str, n: int, order: str = "score DESC, doc_id") -> str:
     return (
         f"SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY {order}))::INTEGER AS rank "
@@ -490,6 +503,11 @@ asked AS (SELECT query_id, term FROM expanded
   FROM qlemmas) WHERE next IS NOT NULL)
 SELECT top.query_id, top.doc_id, type, lemma, start, stop, score
 FROM located JOIN top USING (doc_id) JOIN asked e ON e.query_id = top.query_id AND e.term = lemma""",
+    "phrase_any_length": f"""WITH turns AS (SELECT doc_id, text FROM documents), {ORIGINAL_SPANS}, {QUERY_LEMMAS},
+ltoks AS (SELECT o.*, coalesce(lemma, token) AS lemma FROM origspans o LEFT JOIN lexicon ON form = token),
+found AS ({lemma_runs('doc_id, start_orig AS start, ', 'end_orig', 'ltoks', 'doc_id', 'lemma')}),
+asked AS (SELECT DISTINCT query_id, phrase FROM ({lemma_runs('query_id, ', 'position', 'qlemmas', 'query_id', 'term')}))
+SELECT query_id, doc_id, phrase, start, stop FROM found JOIN asked USING (phrase)""",
     "token_lookup": f"""WITH {CLEAN_TURNS}, {SPANS}, {LEXICON}, {SYNONYMS},
 annotated AS (SELECT doc_id, position, token, coalesce(lemma, token) AS lemma, pos FROM spans LEFT JOIN lexicon ON form = token)
 SELECT * FROM annotated WHERE lemma IN (SELECT word FROM synonyms)""",
@@ -529,3 +547,4 @@ SELECT doc_id, n_tokens FROM docs LEFT JOIN counts USING (doc_id) WHERE doc_id N
 WHERE d.doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)""",
     "stream_ingest": f"WITH {CLEAN_DOCS} SELECT doc_id, clean AS cleaned_text FROM docs WHERE clean <> '' QUALIFY {DEDUP}",
 }
+ORACLES["phrase_positions_stored"] = ORACLES["phrase_positions"]

@@ -11,7 +11,7 @@ from textlode import schemas
 from textlode.functions import cleaning as C
 from textlode.functions import tokens as T
 from textlode.functions import vectors as V
-from textlode.operators import bm25, corpus, filters, lexicon, profile, ranking
+from textlode.operators import bm25, corpus, filters, lexicon, postings, profile, ranking
 from textlode.operators import tokens as K
 from textlode.operators import vectors as E
 from textlode.operators.joins import lookup_join
@@ -595,12 +595,9 @@ def bm25_top_n(spark, sf):
 
 @query
 def bm25_stored(spark, sf):
-    """The same from stored postings."""
-    base = fresh_dir(spark, "index")
-    docs = _cleaned(spark, sf, C.clear_text).withColumnRenamed("clean", "cleaned_text")
-    store.write_version(spark, base, {"postings": index.postings_table(docs)})
-    postings = store.read_version(spark, base, "postings")
-    hits = search.bm25_in_postings(X.benchmark_queries(spark, sf), postings, 10)
+    """The same from a stored index, blocks that cannot reach the list left out."""
+    built = postings.write_index(X.documents(spark, sf), fresh_dir(spark, "index"))
+    hits = search.bm25_in_index(X.benchmark_queries(spark, sf), built, 10)
     return hits.select("query_id", "doc_id", "score", "rank")
 
 
@@ -751,6 +748,23 @@ def phrase_positions(spark, sf):
     )
 
 
+@query
+def phrase_positions_stored(spark, sf):
+    """The same from stored positions."""
+    lexicon_ = spark.sql(X.LEMMA_LEXICON)
+    built = postings.write_index(X.turns(spark, sf).select("doc_id", "text"), fresh_dir(spark, "index"), lexicon_)
+    return search.phrase_search_in_index(X.benchmark_queries(spark, sf), built, lexicon_, spark.sql(X.SYNONYMS), n=5)
+
+
+@query
+def phrase_any_length(spark, sf):
+    """All places in the documents of all runs of three to six lemmas of the benchmark passages."""
+    lexicon_ = spark.sql(X.LEMMA_LEXICON)
+    built = postings.write_index(X.documents(spark, sf), fresh_dir(spark, "index"), lexicon_)
+    asked = search.phrase_runs(X.benchmark_queries(spark, sf), lexicon_, 3, 6)
+    return search.phrases_in_index(asked, built)
+
+
 @query
 def token_lookup(spark, sf):
     wanted = spark.sql(X.SYNONYMS).select(F.col("word").alias("lemma"))

@@ -17,6 +17,7 @@ from textlode.operators import ranking as R
 from textlode.operators.bm25 import bm25_top_n, lemma_rows, query_terms, term_rows
 from textlode.operators.filters import min_chars
 from textlode.operators.joins import BROADCAST_ROWS, hinted_join, top_per_group
+from textlode.operators import postings as P
 from textlode.operators.lexicon import expand_synonyms, query_lemmas
 from textlode.operators.tokens import analyze, lemmatise, phrase_rows, phrase_tokens
 from textlode.operators.vectors import top_k_vectors
@@ -249,6 +250,57 @@ def token_vector_search(
     )
 
 
+def _asked_phrases(queries: DataFrame, lexicon: DataFrame, synonyms: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Expanded terms `(query_id, term)`, and with them the pairs of neighbouring lemmas."""
+    lemmas = query_lemmas(queries, lexicon)
+    terms = expand_synonyms(lemmas, synonyms)
+    ordered = lemmas.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("position", "term"))).alias("l"))
+    pairs = ordered.select(
+        "query_id", F.explode(adjacent_pairs(F.transform("l", lambda x: x["term"]))).alias("p")
+    ).select("query_id", F.concat_ws(" ", "p.first", "p.second").alias("term"))
+    return terms, terms.select("query_id", "term").unionByName(pairs).distinct()
+
+
+def phrase_runs(queries: DataFrame, lexicon: DataFrame, shortest: int, longest: int) -> DataFrame:
+    """Distinct `(query_id, phrase)`: all runs of so many neighbouring lemmas of each query."""
+    lemmas = query_lemmas(queries, lexicon).groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("position", "term"))).alias("l"))
+
+    def runs(length: int) -> Column:
+        heads = F.sequence(F.lit(1), F.greatest(F.size("l") - length + 1, F.lit(1)))
+        made = F.transform(heads, lambda i: F.transform(F.slice("l", i, length), lambda x: x["term"]))
+        return F.filter(made, lambda r: F.size(r) == length)
+
+    every = F.concat(*[runs(n) for n in range(shortest, longest + 1)])
+    return lemmas.select("query_id", F.explode(every).alias("r")).select("query_id", F.array_join("r", " ").alias("phrase")).distinct()
+
+
+def bm25_in_index(queries: DataFrame, index: P.Index, n: int) -> DataFrame:
+    """The `n` best documents of each query from a stored index; no text is read."""
+    return P.search_index(query_terms(words_as_terms(queries)), index, n)
+
+
+def phrases_in_index(asked: DataFrame, index: P.Index) -> DataFrame:
+    """`(query_id, doc_id, phrase, start, stop)`: every place of every phrase of `asked(query_id, phrase)`; no text is read."""
+    asked = asked.select("query_id", "phrase").distinct()
+    places = P.find_phrases(asked, index)
+    return hinted_join(places, asked, ["phrase"], "inner", False).select("query_id", "doc_id", "phrase", "start", "stop")
+
+
+def phrase_search_in_index(
+    queries: DataFrame, index: P.Index, lexicon: DataFrame, synonyms: DataFrame, n: int = 5
+) -> DataFrame:
+    """`phrase_search` from an index of lemmas: only the postings of the n best documents' blocks are met."""
+    terms, asked = _asked_phrases(queries, lexicon, synonyms)
+    asked = settle(asked.withColumnRenamed("term", "phrase"))
+    best = settle(P.search_index(query_terms(terms), index, n).select("query_id", "doc_id", "block", "score"))
+    blocks = asked.join(best.select("query_id", "block").distinct(), "query_id").select("phrase", "block")
+    places = P.find_phrases(asked, index, blocks)
+    wanted = best.join(asked, "query_id")
+    located = hinted_join(places, wanted, ["phrase", "block", "doc_id"], "inner", _bounded(queries, n))
+    kind = F.when(F.size(F.split("phrase", " ")) == 1, "word").otherwise("phrase")
+    return located.select("query_id", "doc_id", kind.alias("type"), F.col("phrase").alias("lemma"), "start", "stop", "score")
+
+
 def phrase_search(
     queries: DataFrame,
     docs: DataFrame,
@@ -262,12 +314,7 @@ def phrase_search(
     pairs meet by lemma, so inflected forms are found; synonyms stand for words.
     """
     fits = _bounded(queries, n)
-    lemmas = query_lemmas(queries, lexicon)
-    terms = expand_synonyms(lemmas, synonyms)
-    ordered = lemmas.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("position", "term"))).alias("l"))
-    pairs = ordered.select(
-        "query_id", F.explode(adjacent_pairs(F.transform("l", lambda x: x["term"]))).alias("p")
-    ).select("query_id", F.concat_ws(" ", "p.first", "p.second").alias("term"))
+    terms, asked = _asked_phrases(queries, lexicon, synonyms)
     clean = docs.select("doc_id", clear_text(F.col("text")).alias("clean"))
     rows = lemma_rows(term_rows(clean), lexicon)
     scores = settle(
@@ -276,7 +323,6 @@ def phrase_search(
     found = scores.select("doc_id").distinct()
     wanted = hinted_join(docs.select("doc_id", "text"), found, ["doc_id"], "left_semi", fits)
     tokens = lemmatise(phrase_tokens(analyze(wanted), "text"), lexicon, "doc_id")
-    asked = terms.select("query_id", "term").unionByName(pairs)
     return R.phrase_positions(phrase_rows(tokens, "doc_id"), asked, scores, fits)
 
 

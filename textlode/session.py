@@ -51,6 +51,17 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dir
 
 
+def work_dir(spark: SparkSession) -> str:
+    """The folder of this application under the shared folder."""
+    return f"{shared_dir(spark)}/textlode-{spark.sparkContext.applicationId}"
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A new, unused folder name under the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new, unused folder name under the application's folder."""
+    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes the application's folder, once no result is read any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(work_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

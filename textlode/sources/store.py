@@ -1,16 +1,12 @@
-"""Corpus tables on shared storage, as numbered versions.
+"""Corpus tables on shared storage: plain Parquet with a version as partition column.
 
-A version is a folder `v=<n>` with the Parquet folders it adds and, written
-last, a `_COMMITTED` file that lists all folders of every table.  Readers only
-see committed versions, so a set of tables changes at once, a failed write
-leaves the previous version in place, and no path is overwritten while it is
-read.  An append adds folders and carries everything else over unread.
+A write adds rows of the next version to one or more tables and then a row per table to the table `commits`.
+Readers take the versions that it names, so a set of tables changes at once, a failed write is not
+read, and no file is overwritten while it is read.  An append leaves the earlier versions of a table, a replacement hides them.
 """
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,132 +15,114 @@ from textlode.operators.joins import lookup_join
 from textlode.schemas import SEARCH_LOG
 from textlode.session import fresh_dir
 
-COMMITTED = "_COMMITTED"
-
-
-def _files(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+VERSION = "version"
+COMMITS = "version long, name string, replaces boolean"
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path, files = _files(spark, path)
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return files.exists(hadoop_path)
 
 
-def versions(spark: SparkSession, base: str, committed: bool = True) -> list[int]:
-    """Numbers of the versions under `base`, ascending."""
-    hadoop_path, files = _files(spark, base)
-    if not files.exists(hadoop_path):
-        return []
-    names = [status.getPath().getName() for status in files.listStatus(hadoop_path)]
-    numbers = sorted(int(name[2:]) for name in names if name.startswith("v="))
-    return [n for n in numbers if not committed or exists(spark, f"{base}/v={n}/{COMMITTED}")]
+def commits(spark: SparkSession, base: str) -> DataFrame:
+    """`(version, name, replaces)`: the tables that each version wrote."""
+    if not exists(spark, f"{base}/commits"):
+        return spark.createDataFrame([], COMMITS)
+    return spark.read.schema(COMMITS).parquet(f"{base}/commits")
+
 
+def _newest(spark: SparkSession, base: str) -> int:
+    return commits(spark, base).agg(F.coalesce(F.max(VERSION), F.lit(0))).head()[0]
 
-def _commit(
-    spark: SparkSession, base: str, tables: dict[str, DataFrame], kept: dict[str, list[str]]
-) -> int:
-    """Writes `tables` as folders of the next version, which also holds the folders of `kept`."""
-    number = max(versions(spark, base, committed=False), default=0) + 1
-    manifest = {name: list(parts) for name, parts in kept.items()}
+
+def _write(spark: SparkSession, base: str, tables: dict[str, DataFrame], replaces: bool) -> int:
+    number = _newest(spark, base) + 1
     for name, df in tables.items():
-        df.write.parquet(f"{base}/v={number}/{name}")
-        manifest.setdefault(name, []).append(f"v={number}/{name}")
-    marker, files = _files(spark, f"{base}/v={number}/{COMMITTED}")
-    # Never over an existing file: of two writers of one number only the first commits.
-    out = files.create(marker, False)
-    out.write(bytearray(json.dumps(manifest).encode()))
-    out.close()
+        # What a failed attempt left under this number is replaced.
+        df.write.mode("overwrite").option("parquet.bloom.filter.enabled#lemma", True).parquet(f"{base}/{name}/{VERSION}={number}")
+    done = [(number, name, replaces) for name in tables]
+    spark.createDataFrame(done, COMMITS).coalesce(1).write.mode("append").parquet(f"{base}/commits")
     return number
 
 
-def _manifest(spark: SparkSession, base: str, number: int) -> dict[str, list[str]]:
-    """Folders of each table of a committed version."""
-    marker, files = _files(spark, f"{base}/v={number}/{COMMITTED}")
-    stream = files.open(marker)
-    try:
-        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
+def write_version(spark: SparkSession, base: str, tables: dict[str, DataFrame]) -> int:
+    """A new version in which the named tables hold these rows only; other tables stay as they are."""
+    return _write(spark, base, tables, True)
 
 
-def write_version(spark: SparkSession, base: str, tables: dict[str, DataFrame]) -> int:
-    """Writes all tables as the next version and commits them together; it holds no others."""
-    return _commit(spark, base, tables, {})
+def append_version(spark: SparkSession, base: str, tables: dict[str, DataFrame]) -> int:
+    """A new version holding the stored rows of all tables and the given ones; only these are written."""
+    return _write(spark, base, tables, False)
 
 
 def require_version(spark: SparkSession, base: str) -> int:
-    """The newest committed version; searching without one is an error."""
-    found = versions(spark, base)
-    if not found:
+    """The newest version; searching without one is an error."""
+    number = _newest(spark, base)
+    if not number:
         raise FileNotFoundError(f"no corpus in {base}: load data first")
-    return found[-1]
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """`df` written to the shared folder and read back.
-
-    For a table several jobs go on from: it is computed once, and a lost
-    executor does not bring its whole lineage back.
-    """
-    spark = df.sparkSession
-    path = fresh_dir(spark, "settled")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
+    return number
 
-def read_spread(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table in at least as many pieces as there are cores.
 
-    A table of many files or row groups is read as it is.  One of few, which
-    would keep most cores idle, is dealt out to all cores after the scan.
-    """
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+def _versions(spark: SparkSession, base: str, name: str, number: int) -> list[int]:
+    """Versions whose rows a table has at a version: those since it was last replaced."""
+    written = commits(spark, base).filter((F.col("name") == name) & (F.col(VERSION) <= number)).orderBy(VERSION).collect()
+    last = max((r.version for r in written if r.replaces), default=0)
+    return [r.version for r in written if r.version >= last]
 
 
 def read_version(spark: SparkSession, base: str, name: str, version: int | None = None) -> DataFrame:
-    """One table of a version, by default of the newest; a table it does not hold is an error."""
-    number = require_version(spark, base) if version is None else version
-    parts = _manifest(spark, base, number).get(name)
-    if not parts:
-        raise KeyError(f"version {number} of {base} holds no table {name}")
-    return spark.read.parquet(*[f"{base}/{part}" for part in parts])
+    """One table as of a version, by default the newest; a table that was not written by then is an error."""
+    found = _versions(spark, base, name, require_version(spark, base) if version is None else version)
+    if not found:
+        raise KeyError(f"version {version or 'newest'} of {base} holds no table {name}")
+    return spark.read.parquet(f"{base}/{name}").filter(F.col(VERSION).isin(found)).drop(VERSION)
 
 
 def load_or_create(
     spark: SparkSession, base: str, name: str, schema: T.StructType, overwrite: bool = False
 ) -> DataFrame:
     """The stored table, or an empty one when there is none or `overwrite` is set."""
-    stored = versions(spark, base)
-    if stored and not overwrite and name in _manifest(spark, base, stored[-1]):
+    if not overwrite and _versions(spark, base, name, _newest(spark, base)):
         return read_version(spark, base, name)
     return spark.createDataFrame([], schema)
 
 
-def append_version(spark: SparkSession, base: str, tables: dict[str, DataFrame]) -> int:
-    """A new version holding the stored rows of all tables and the given ones; only these are written."""
-    stored = versions(spark, base)
-    return _commit(spark, base, tables, _manifest(spark, base, stored[-1]) if stored else {})
-
-
 def delete_version(
     spark: SparkSession, base: str, ids: DataFrame, names: list[str], key: str = "doc_id"
 ) -> tuple[int, int]:
     """A new version without the rows whose key is listed; its number, and the rows deleted from the first table.
 
-    The named tables are written anew, the others carried over.
+    The named tables are written anew, the others stay as they are.
     """
-    number = require_version(spark, base)
     gone = ids.select(key).distinct()
-    before = {name: read_version(spark, base, name, number) for name in names}
+    before = {name: read_version(spark, base, name) for name in names}
     hits = lookup_join(before[names[0]], gone, [key], "left_semi").count()
-    left = {name: lookup_join(df, gone, [key], "left_anti") for name, df in before.items()}
-    kept = {name: parts for name, parts in _manifest(spark, base, number).items() if name not in names}
-    return _commit(spark, base, left, kept), hits
+    return write_version(spark, base, {name: lookup_join(df, gone, [key], "left_anti") for name, df in before.items()}), hits
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """`df` written to the shared folder and read back.
+
+    For a table several jobs go on from: it is computed once, and a lost
+    executor does not bring its whole lineage back.  The folder stays for as long as a result may read it;
+    `session.release` deletes all that an application wrote so.
+    """
+    spark = df.sparkSession
+    path = fresh_dir(spark, "settled")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def read_spread(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table in at least as many pieces as there are cores.
+
+    A table of many files or row groups is read as it is.  One of few, which
+    would keep most cores idle, is dealt out to all cores after the scan.
+    """
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def log_hits(hits: DataFrame, path: str) -> None:
