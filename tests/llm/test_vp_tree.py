@@ -1,4 +1,5 @@
 import math
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -7,6 +8,16 @@ from textlode.llm.queries import QUERIES
 from textlode.llm.vp_tree import Tree, build_trees, nearest, valid_vectors
 
 
+def product(a, b):
+    total = sum(Fraction(x) * Fraction(y) for x, y in zip(a, b))
+    try:
+        # Products are rounded, as long as they are finite.
+        plain = math.fsum(x * y for x, y in zip(a, b))
+        return plain if math.isfinite(plain) else float(total)
+    except (OverflowError, ValueError):
+        return math.inf if total > 2**1023 else -math.inf if total < -(2**1023) else float(total)
+
+
 def brute(rows, chosen, k):
     """(query_id, rank, vec_id, score) by comparing all."""
     ok = [(i, v) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)]
@@ -16,7 +27,7 @@ def brute(rows, chosen, k):
         for own in (v for i, v in ok if i == q):
             for i, v in ok:
                 if i != q and len(v) == len(own):
-                    best[i] = max(best.get(i, -math.inf), math.fsum(a * b for a, b in zip(own, v)))
+                    best[i] = max(best.get(i, -math.inf), product(own, v))
         hits = sorted((-s, i) for i, s in best.items())[:k]
         out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(hits)]
     return out
@@ -79,13 +90,37 @@ def test_edges(spark):
     assert [tuple(r) for r in nearest(vectors.filter("vec_id = 0"), build_trees(vectors, 2), 2).collect()] == [(0, 1, 1, 2.0)]
 
 
+def search_wide(spark, rows, k, shard=4_096):
+    vectors = valid_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    return sorted(map(tuple, nearest(vectors.filter("vec_id % 5 = 0"), build_trees(vectors, k, shard), k).collect()))
+
+
+def test_no_huge_or_tiny_vector_hides_a_neighbour(spark):
+    rng = np.random.default_rng(4)
+    plain = [(i, rng.normal(size=5).tolist()) for i in range(300)]
+    for scale in (1e160, 1e300, 1e-200, 1e-310):
+        rows = plain + [(1000, (rng.normal(size=5) * scale).tolist()), (1005, (rng.normal(size=5) * scale).tolist())]
+        assert search_wide(spark, rows, 6) == sorted(brute(rows, lambda i: i % 5 == 0, 6)), scale
+
+
+def test_all_magnitudes_at_once(spark):
+    rng = np.random.default_rng(5)
+    scales = [1e-320, 1e-250, 1e-160, 1e-20, 1.0, 1e20, 1e155, 1e200, 1e308]
+    rows = [(i, (rng.uniform(-1, 1, size=4) * scales[i % 9]).tolist()) for i in range(270)]
+    # Components of unlike size in one vector.
+    rows += [(300, [1e160, 1e-200, 0.0, 0.0]), (305, [0.0, 1e200, 0.0, 0.0]), (306, [0.0, 2e-200, 0.0, 1e-9]), (307, [1.0, 2.0]), (310, [1e300, 1.0])]
+    want = sorted(brute(rows, lambda i: i % 5 == 0, 4))
+    assert search_wide(spark, rows, 4, 20) == want
+    assert any(math.isinf(s) for *_, s in want)
+
+
 @pytest.mark.parametrize("factor,least", [(1.0, 1.0), (1.5, 0.9)])
 def test_recall(factor, least):
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(30, 16))
     points = centres[rng.integers(0, 30, 3000)] + 0.2 * rng.normal(size=(3000, 16))
     queries = points[::50]
-    tree = Tree(points, float((points * points).sum(1).max()))
+    tree = Tree(points)
     _, found = tree.search(queries, 20, factor)
     want = np.argsort(-(queries @ points.T), axis=1, kind="stable")[:, :20]
     recall = np.mean([len(set(a) & set(b)) / 20 for a, b in zip(found.tolist(), want.tolist())])

@@ -5,6 +5,9 @@ largest inner product is the smallest Euclidean distance.  A tree halves a
 shard again and again by the distance from a vantage point; a branch whose
 distance bound, times a relaxation factor, exceeds the k-th best distance so
 far is pruned.  Factor one is exact; a larger one prunes more.
+
+Trees hold vectors of like magnitude, scaled by a power of two, and queries are scaled as well, so that squares
+neither overflow nor vanish, however large or small single vectors are.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from __future__ import annotations
 import math
 import pickle
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -25,6 +29,8 @@ BLOCK = 2_048
 LEAF = 128
 # Candidates searched beyond k at first; scores are then computed exactly.
 SPARE = 12
+# Vectors whose largest components lie within so many powers of two share trees.
+MAGNITUDES = 32
 
 
 def valid_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -39,8 +45,9 @@ def valid_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "em
 class Tree:
     """A vantage-point tree over the rows of `points`; children know the range of distances from the vantage point."""
 
-    def __init__(self, points: np.ndarray, longest: float):
-        self.points, self.longest = points, longest
+    def __init__(self, points: np.ndarray):
+        self.points, self.longest = points, float((points * points).sum(1).max(initial=0.0))
+        longest = self.longest
         self.rest = np.sqrt(np.maximum(0.0, longest - (points * points).sum(1)))
         self.order = np.arange(len(points))
         self.nodes: list[tuple] = []
@@ -103,39 +110,60 @@ class Tree:
 
 
 def build_trees(vectors: DataFrame, k: int, shard: int = SHARD) -> DataFrame:
-    """`(width, shard, tree)`: the index, each shard a pickled (tree, ids) of about `shard` different vectors.
+    """`(width, magnitude, shard, tree)`: the index, each shard a pickled (points, tree, ids) of about `shard` different vectors.
 
     Equal vectors are one point with its k + 1 smallest different ids, reduced
     before the shuffle; a query can need no more of them.
     """
-    width = F.size("vec")
     once = vectors.select("vec_id", "vec").distinct()
     points = top_per_group(once, ["vec"], [F.col("vec_id")], k + 1).groupBy("vec").agg(
         F.sort_array(F.collect_list("vec_id")).alias("ids")
     )
-    points = settle(points.withColumn("width", width))
+    largest = F.array_max(F.transform("vec", lambda x: F.abs(x)))
+    magnitude = F.floor(F.log2(largest) / MAGNITUDES).cast("int")
+    points = settle(points.withColumns({"width": F.size("vec"), "magnitude": magnitude}))
     shards = max(1, math.ceil(points.count() / shard))
-    longest = {r.width: r.longest for r in points.groupBy("width").agg(
-        F.max(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)).alias("longest")).collect()}
 
     def build(table):
         import pyarrow as pa
 
-        size = table.column("width")[0].as_py()
+        size, magnitude = table.column("width")[0].as_py(), table.column("magnitude")[0].as_py()
         vec = table.column("vec").combine_chunks()
         flat = (vec.combine_chunks() if isinstance(vec, pa.ChunkedArray) else vec).flatten().to_numpy()
-        tree = Tree(np.ascontiguousarray(flat).reshape(-1, size), longest[size])
-        raw = pickle.dumps((tree.points, tree.longest, tree.rest, tree.order, tree.nodes, table.column("ids").to_pylist()))
-        return pa.table({"width": pa.array([size], pa.int32()), "shard": table.column("shard")[:1].cast(pa.int64()),
-                         "tree": pa.array([raw], pa.binary())})
+        points = np.ascontiguousarray(flat).reshape(-1, size)
+        tree = Tree(np.ldexp(points, _exponent(magnitude)))
+        raw = pickle.dumps((points, tree.longest, tree.rest, tree.order, tree.nodes, table.column("ids").to_pylist()))
+        keys = [table.column("width")[:1].cast(pa.int32()), table.column("magnitude")[:1].cast(pa.int32()), table.column("shard")[:1].cast(pa.int64())]
+        return pa.table([*keys, pa.array([raw], pa.binary())], ["width", "magnitude", "shard", "tree"])
 
     dealt = points.withColumn("shard", F.pmod(F.xxhash64("vec"), F.lit(shards)))
-    trees = dealt.groupBy("width", "shard").applyInArrow(build, "width int, shard long, tree binary")
+    trees = dealt.groupBy("width", "magnitude", "shard").applyInArrow(build, "width int, magnitude int, shard long, tree binary")
     return settle(trees)
 
 
-def _blocks(queries: DataFrame, block: int) -> tuple[DataFrame, int]:
-    """`(width, block, query)` with about `block` queries each, and the number of blocks."""
+def _exponent(magnitude: int) -> int:
+    """The power of two that scales vectors of a magnitude to components of one at most."""
+    return -MAGNITUDES * (magnitude + 1)
+
+
+def _exact(a: np.ndarray, b: np.ndarray) -> float:
+    """The inner product, correctly rounded also where a product or a sum on the way is beyond double precision."""
+    try:
+        with np.errstate(over="ignore", invalid="ignore"):
+            total = math.fsum((a * b).tolist())
+        if math.isfinite(total):
+            return total
+    except (OverflowError, ValueError):
+        pass
+    total = sum(Fraction(x) * Fraction(y) for x, y in zip(a.tolist(), b.tolist()))
+    try:
+        return float(total)
+    except OverflowError:
+        return math.inf if total > 0 else -math.inf
+
+
+def _blocks(queries: DataFrame, block: int) -> DataFrame:
+    """`(width, block, query)` with about `block` queries each."""
     blocks = max(1, math.ceil(queries.count() / block))
 
     def gather(table):
@@ -146,33 +174,45 @@ def _blocks(queries: DataFrame, block: int) -> tuple[DataFrame, int]:
                          "query": pa.array([raw], pa.binary())})
 
     dealt = queries.select("*", F.size("vec").alias("width"), F.pmod(F.xxhash64("vec_id", "vec"), F.lit(blocks)).alias("block"))
-    return dealt.groupBy("width", "block").applyInArrow(gather, "width int, block long, query binary"), blocks
+    return dealt.groupBy("width", "block").applyInArrow(gather, "width int, block long, query binary")
+
+
+def _unscaled(x: float, power: int) -> float:
+    try:
+        return math.ldexp(x, power)
+    except OverflowError:
+        return math.copysign(math.inf, x)
 
 
-def _hits(tree: Tree, ids: list[list[int]], names: np.ndarray, matrix: np.ndarray, k: int, factor: float) -> list[list[tuple]]:
-    """(-score, id) of the k best different ids for each query.
+def _hits(
+    tree: Tree, points: np.ndarray, power: int, ids: list[list[int]], names: np.ndarray, matrix: np.ndarray, k: int, factor: float
+) -> list[list[tuple]]:
+    """(-score, id) of the k best different ids for each query; `points` are the tree's times 2 ** -power.
 
     Points that hold too few ids, or whose last one may tie with the k-th id, are not enough: twice as many are searched.
     """
+    own = np.frexp(np.abs(matrix).max(1))[1]
+    scaled = np.ldexp(matrix, -own[:, None])
     out: list[list[tuple]] = [[]] * len(names)
     open_, size = np.arange(len(names)), k + 1 + SPARE
     while len(open_):
-        value, found = tree.search(matrix[open_], size, factor)
+        value, found = tree.search(scaled[open_], size, factor)
         # More than the rounding of a product.
-        slack = 1e-15 * (matrix.shape[1] + 1) * np.sqrt((matrix[open_] ** 2).sum(1) * tree.longest)
+        slack = 1e-15 * (matrix.shape[1] + 1) * np.sqrt((scaled[open_] ** 2).sum(1) * tree.longest)
         left = []
         for n, last, rows, eps in zip(open_.tolist(), value[:, -1].tolist(), found, slack.tolist()):
             rows = rows[rows >= 0]
-            exact = map(math.fsum, (tree.points[rows] * matrix[n]).tolist())
             best: dict[int, float] = {}
-            for s, r in zip(exact, rows.tolist(), strict=True):
+            for r in rows.tolist():
+                s = _exact(points[r], matrix[n])
                 for i in ids[r]:
-                    if i != names[n] and s > best.get(i, -math.inf):
+                    if i != names[n] and (i not in best or s > best[i]):
                         best[i] = s
             out[n] = sorted((-s, i) for i, s in best.items())[:k]
-            if size < len(tree.points) and (len(out[n]) < k or -out[n][-1][0] <= last + eps):
+            beyond = _unscaled(last + eps, int(own[n]) - power)
+            if size < len(points) and (len(out[n]) < k or -out[n][-1][0] <= beyond):
                 left.append(n)
-        open_, size = np.array(left, int), min(2 * size, len(tree.points))
+        open_, size = np.array(left, int), min(2 * size, len(points))
     return out
 
 
@@ -181,33 +221,39 @@ def nearest(
 ) -> DataFrame:
     """`(query_id, rank, vec_id, score)` from `queries(vec_id, vec)` and the index built for the same k.
 
-    Score is the correctly rounded inner product.  Ties go to the smaller
+    Score is the correctly rounded inner product, infinite beyond double precision.  Ties go to the smaller
     vec_id; a vector is no neighbour of a query with its id.  Rows that share an
     id count as one: its best score.  Vectors of another width do not meet.
     """
-    blocks, n = _blocks(queries, block)
-    numbers = F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
-    pairs = trees.withColumn("block", F.explode(numbers)).join(blocks, ["width", "block"])
-    # A task holds one tree and one block of queries at a time.
-    pairs = pairs.repartition(max(1, min(n * trees.count(), 10_000)), "shard", "block").select("tree", "query")
+    blocks = _blocks(queries, block)
+    keys = ["width", "magnitude", "shard"]
+    # A tree moves once, and the blocks of its width pass by: a task holds one tree and one block at a time.
+    rows = trees.select(*keys, F.lit(0).alias("kind"), F.col("tree").alias("raw"))
+    met = trees.select(*keys).join(blocks, "width").select(*keys, F.lit(1).alias("kind"), F.col("query").alias("raw"))
+    n = max(1, min(trees.count(), 10_000))
+    dealt = rows.unionByName(met).repartition(n, *keys).sortWithinPartitions(*keys, "kind").select("magnitude", "kind", "raw")
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        tree, points, ids = None, None, None
         for batch in batches:
-            for raw_tree, raw_query in zip(batch.column(0), batch.column(1), strict=True):
-                tree = Tree.__new__(Tree)
-                tree.points, tree.longest, tree.rest, tree.order, tree.nodes, ids = pickle.loads(raw_tree.as_py())
-                names, matrix = pickle.loads(raw_query.as_py())
+            for magnitude, kind, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if kind == 0:
+                    tree = Tree.__new__(Tree)
+                    points, tree.longest, tree.rest, tree.order, tree.nodes, ids = pickle.loads(raw.as_py())
+                    tree.points = np.ldexp(points, _exponent(magnitude))
+                    continue
+                names, matrix = pickle.loads(raw.as_py())
                 query_id, vec_id, score = [], [], []
-                for name, hits in zip(names.tolist(), _hits(tree, ids, names, matrix, k, factor), strict=True):
+                for name, hits in zip(names.tolist(), _hits(tree, points, _exponent(magnitude), ids, names, matrix, k, factor), strict=True):
                     query_id += [name] * len(hits)
                     score += [-s for s, _ in hits]
                     vec_id += [i for _, i in hits]
                 arrays = [pa.array(query_id, pa.int64()), pa.array(vec_id, pa.int64()), pa.array(score, pa.float64())]
                 yield pa.RecordBatch.from_arrays(arrays, ["query_id", "vec_id", "score"])
 
-    hits = pairs.mapInArrow(run, "query_id long, vec_id long, score double")
+    hits = dealt.mapInArrow(run, "query_id long, vec_id long, score double")
     hits = hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = top_per_group(hits, ["query_id"], [F.desc("score"), F.col("vec_id")], k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
