@@ -128,17 +128,43 @@ def test_loaders_keep_long_posts_unless_told(spark):
     assert index.select_posts(spaced, high=30).count() == 0
 
 
-def test_long_texts_are_cut_in_linear_time(spark):
-    import time
-
-    from textlode.operators.ranking import _runs
-
-    frame = spark.createDataFrame([("abcdefghij😀 " * 9000,)], "text string")
-    cut = frame.select(F.size(_runs(F.col("text"), F.lit(12))))
-    cut.collect()
-    started = time.time()
-    assert cut.head()[0] == 12
-    assert time.time() - started < 2
+def test_rows_of_one_key_stay_rows_whatever_the_dictionary(spark):
+    texts = spark.createDataFrame([(1, "the cat"), (1, "und dog"), (None, "the"), (None, None), (2, ""), (1, "the cat")], "doc_id long, text string")
+    texts = texts.selectExpr("doc_id AS at", "text", "1 AS term", "2 AS row")
+    listed = [("the", "ye"), ("und", "so wie auch"), ("cat", None)]
+    told = []
+    for more in (0, 100):
+        slang = spark.createDataFrame(listed + [(f"zz{i}", "x") for i in range(more)], "term string, replacement string")
+        told.append(sorted(map(tuple, replace_slang(texts, "at", "text", slang).collect()), key=str))
+    assert told[0] == told[1] and len(told[0]) == 6 and (1, "so wie auch dog") in told[0] and (1, "ye cat") in told[0]
+
+
+def test_helper_columns_hide_no_column(spark):
+    from textlode.operators.joins import hinted_join, one_per_key
+
+    big = spark.createDataFrame([(1, 5, 7), (2, 6, 8)], "k long, _salt long, `a.b` long")
+    small = spark.createDataFrame([(1, "x"), (1, "w"), (3, "y")], "k long, _row string")
+    for fits in (True, False):
+        joined = hinted_join(big, one_per_key(small, "k"), ["k"], "left", fits)
+        assert joined.columns == ["k", "_salt", "a.b", "_row"]
+        assert sorted(map(tuple, joined.collect())) == [(1, 5, 7, "w"), (2, 6, 8, None)]
+
+
+def test_entities_of_any_length(spark):
+    from textlode.operators.tokens import extract_entities
+
+    words = "new york city hall of the new york state".split()
+    tokens = [(w, w, i, i + 1) for i, w in enumerate(words)]
+    schema = "doc_id long, tokens array<struct<text:string,lemma:string,start:int,stop:int>>"
+    docs = spark.createDataFrame([(1, tokens), (2, []), (3, None)], schema)
+    names = [("new york", "LOC", "NY"), ("new york city hall of the new", "ORG", "Hall"), ("york city hall", "ORG", "YCH"),
+             ("hall", "PER", "Hall"), ("state", "MISC", "S"), ("new york", "ORG", "NYO")]
+    gazetteer = spark.createDataFrame(names, "phrase_lemma string, type string, normal string")
+    found = {(r.start, r.lemma, r.length) for r in extract_entities(docs, gazetteer, "doc_id").collect()}
+    assert found == {(0, "Hall", 7), (1, "YCH", 3), (3, "Hall", 1), (6, "NYO", 2)}
+    short = {(r.start, r.length) for r in extract_entities(docs, gazetteer, "doc_id", longest=2).collect()}
+    assert short == {(0, 2), (3, 1), (6, 2)}
+    assert extract_entities(docs, gazetteer.limit(0), "doc_id").count() == 0
 
 
 def test_inflected_words_and_phrases_are_located(spark):

@@ -78,16 +78,17 @@ def corpus_of_fragments(spark):
     words = ["alpha", "beta", "gamma", "delta", "eps", "a", "ab"]
     texts = [" ".join(pick.choices(words, k=pick.randint(1, 30))) for _ in range(60)] + ["hot words here"] * 40
     fragments = sorted({" ".join(pick.choices(words, k=pick.randint(1, 4))) for _ in range(50)} | {"words here", "x"})
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    rows = [(None, texts[0]), (None, "x"), (500, None), *enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     expected = {f: min((i for i, t in enumerate(texts) if f in t), default=None) for f in fragments}
-    return docs, spark.createDataFrame([(f,) for f in fragments], "fragment string"), expected
+    return docs, spark.createDataFrame([(f,) for f in [*fragments, None, "", fragments[0]]], "fragment string"), expected
 
 
 @pytest.mark.parametrize("few", [True, False])
 def test_containing_doc_is_the_first_by_brute_force(spark, monkeypatch, few):
     docs, fragments, expected = corpus_of_fragments(spark)
     if not few:
-        monkeypatch.setattr(ranking, "PATTERN_ROWS", 3)
+        monkeypatch.setattr(ranking, "PATTERN_ROWS", 20)
     found = {r.fragment: r.doc_id for r in ranking.containing_doc(fragments, docs).collect()}
     assert found == {f: d for f, d in expected.items() if d is not None}
 

@@ -143,8 +143,8 @@ def phrases(tokens: Column) -> Column:
     return F.concat(single, pairs)
 
 
-def spans_up_to(tokens: Column, longest: int) -> Column:
-    """All runs of 1..`longest` words of `array<struct<text, lemma, start, stop>>`."""
+def runs_of(tokens: Column, lengths: list[int]) -> Column:
+    """All runs of so many words of `array<struct<text, lemma, start, stop>>`."""
 
     def runs(t: Column, length: int) -> Column:
         heads = F.sequence(F.lit(1), F.greatest(F.size(t) - length + 1, F.lit(1)))
@@ -160,7 +160,7 @@ def spans_up_to(tokens: Column, longest: int) -> Column:
         )
         return F.filter(made, lambda r: r["stop"].isNotNull())
 
-    return let(tokens, lambda t: F.concat(*[runs(t, n) for n in range(1, longest + 1)]))
+    return let(tokens, lambda t: F.concat(*[runs(t, n) for n in lengths]))
 
 
 def _fold(text: str) -> str:

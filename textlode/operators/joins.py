@@ -12,6 +12,19 @@ BROADCAST_ROWS = 200_000
 SALTS = 32
 
 
+def unused(name: str, *columns: str) -> str:
+    """`name`, or with underscores added, so that it is none of the columns in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def quoted(name: str) -> Column:
+    """The column of exactly this name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def within(df: DataFrame, max_rows: int) -> bool:
     """Whether `df` has at most `max_rows` rows; reads no more than that."""
     return df.limit(max_rows + 1).count() <= max_rows
@@ -45,17 +58,18 @@ def hinted_join(
     """`lookup_join` for callers that already know whether `small` fits."""
     if fits:
         return big.join(F.broadcast(small), on, how)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    copies = copies.withColumn("_salt", F.col("_salt").cast("long"))
-    return big.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt")
+    name = unused("_salt", *big.columns, *small.columns)
+    salt = F.pmod(F.xxhash64(*map(quoted, big.columns)), F.lit(salts))
+    copies = small.withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return big.withColumn(name, salt).join(copies, [*on, name], how).drop(name)
 
 
 def one_per_key(lookup: DataFrame, *keys: str) -> DataFrame:
     """The smallest row of each key, so that a form listed twice multiplies no rows."""
     rest = [c for c in lookup.columns if c not in keys]
-    least = F.min(F.struct(*rest)).alias("_row")
-    return lookup.groupBy(*keys).agg(least).select(*keys, *[F.col(f"_row.{c}") for c in rest])
+    row = unused("_row", *lookup.columns)
+    least = F.min(F.struct(*map(quoted, rest))).alias(row)
+    return lookup.groupBy(*map(quoted, keys)).agg(least).select(*map(quoted, keys), *[F.col(row).getField(c).alias(c) for c in rest])
 
 
 def top_per_group(

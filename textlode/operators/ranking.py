@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from difflib import SequenceMatcher
+from functools import reduce
 
 import ahocorasick
 import pandas as pd
@@ -12,14 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from textlode.functions.cleaning import let
 from textlode.operators.joins import hinted_join, lookup_join, top_per_group
+from textlode.sources.store import settle
 
-# Fragments of at most this many rows and characters go to every task as one automaton.
+# Fragments of about this many rows and characters go to every task as one automaton.
 PATTERN_ROWS = 50_000
 PATTERN_CHARS = 16_000_000
-# Length of the character runs that lead from a fragment to its documents beyond that.
-ANCHOR = 12
 
 # Weights and boosts of the ranking formulas.
 EMBEDDING_WEIGHT = 0.6
@@ -71,28 +71,32 @@ def dedup_ranked(hits: DataFrame, n: int) -> DataFrame:
 def containing_doc(fragments: DataFrame, docs: DataFrame) -> DataFrame:
     """`(fragment, doc_id)`: the first document, by id, with the fragment as a substring.
 
-    `fragments(fragment)` distinct and not empty, `docs(doc_id, text)`; a
-    fragment found nowhere has no row.  Fragments of checked size become one
-    search automaton that reads every text once; each task hands on its first
-    document per fragment.  More fragments than that are led to documents by
-    one of their character runs, the rarest, and then compared.
+    `fragments(fragment)`, `docs(doc_id, text)`; null and empty fragments and
+    documents without id or text take no part, a fragment found nowhere has no
+    row.  Fragments become search automata of bounded size, by hash, and every
+    automaton reads each text once; each task hands on its first document per
+    fragment.  Whatever their number, no row per character or run is made.
     """
-    size = (
-        fragments.limit(PATTERN_ROWS + 1)
-        .agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("fragment")), F.lit(0)).alias("chars"))
-        .head()
-    )
-    if size["n"] <= PATTERN_ROWS and size["chars"] <= PATTERN_CHARS:
-        patterns = [row["fragment"] for row in fragments.limit(PATTERN_ROWS).collect()]
-        found = _scan_documents(patterns, docs)
-    else:
-        found = _anchored_documents(fragments, docs)
-    return found.groupBy("fragment").agg(F.min("doc_id").alias("doc_id"))
+    fragments = fragments.select("fragment").filter("fragment <> ''").distinct()
+    docs = docs.select("doc_id", "text").filter("doc_id is not null and text is not null")
+    size = fragments.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("fragment")), F.lit(0)).alias("chars")).head()
+    slices = max(1, math.ceil(size.n / PATTERN_ROWS), math.ceil(size.chars / PATTERN_CHARS))
+    if slices > 1:
+        fragments = settle(fragments.withColumn("slice", F.pmod(F.xxhash64("fragment"), F.lit(slices))))
+
+    def first_in(own: DataFrame) -> DataFrame:
+        patterns = [row["fragment"] for row in own.select("fragment").collect()]
+        return _scan_documents(patterns, docs).groupBy("fragment").agg(F.min("doc_id").alias("doc_id"))
+
+    if slices == 1:
+        return first_in(fragments)
+    # One after the other, so that the driver holds one slice.
+    parts = [settle(first_in(fragments.filter(F.col("slice") == n))) for n in range(slices)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _scan_documents(patterns: list[str], docs: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(patterns)
-    docs = docs.select("doc_id", "text").filter(F.col("text").isNotNull())
     schema = T.StructType([T.StructField("fragment", T.StringType()), docs.schema["doc_id"]])
     out = to_arrow_schema(schema)
 
@@ -115,40 +119,6 @@ def _scan_documents(patterns: list[str], docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(scan, schema)
 
 
-def _runs(text: Column, length: Column) -> Column:
-    """Distinct character runs of the given length, or the whole text when it is shorter."""
-
-    def runs(chars: Column) -> Column:
-        # Cut from the characters, for a substring would count from the start of the text each time.
-        starts = F.sequence(F.lit(1), F.greatest(F.size(chars) - length + 1, F.lit(1)))
-        return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(chars, i, length), "")))
-
-    return let(F.split(text, ""), runs)
-
-
-def _anchored_documents(fragments: DataFrame, docs: DataFrame) -> DataFrame:
-    pieces = fragments.select(
-        "fragment", F.least(F.length("fragment"), F.lit(ANCHOR)).alias("size")
-    ).withColumn("run", F.explode(_runs(F.col("fragment"), F.col("size"))))
-    wanted = pieces.select("size", "run").distinct()
-    # At most ANCHOR different numbers, and only one where no fragment is shorter.
-    sizes = [row["size"] for row in pieces.select("size").distinct().collect()]
-    doc_runs = (
-        docs.select("doc_id", "text", F.explode(F.array(*map(F.lit, sizes))).alias("size"))
-        .select("doc_id", "size", F.explode(_runs(F.col("text"), F.col("size"))).alias("run"))
-    )
-    hits = hinted_join(doc_runs, wanted, ["size", "run"], "left_semi", False)
-    counts = hits.groupBy("size", "run").agg(F.count("*").alias("n"))
-    rarest = (
-        pieces.join(counts, ["size", "run"])
-        .groupBy("fragment", "size")
-        .agg(F.min_by("run", F.struct("n", "run")).alias("run"))
-    )
-    pairs = hinted_join(hits, rarest, ["size", "run"], "inner", False)
-    texts = pairs.select("fragment", "doc_id").join(docs.select("doc_id", "text"), "doc_id")
-    return texts.filter(F.contains("text", "fragment")).select("fragment", "doc_id")
-
-
 def phrase_positions(
     phrases: DataFrame, terms: DataFrame, scores: DataFrame, fits: bool = False
 ) -> DataFrame:

@@ -10,12 +10,13 @@ from textlode.functions.tokens import (
     exact_map,
     original_spans,
     phrases,
+    runs_of,
     sentences,
     slices,
-    spans_up_to,
     token_spans,
 )
-from textlode.operators.joins import BROADCAST_ROWS, hinted_join, lookup_join, one_per_key, within
+from textlode.operators.joins import lookup_join, one_per_key
+from textlode.sources.store import settle
 
 
 # Words of a dictionary that every row looks through by itself.
@@ -139,17 +140,21 @@ def extract_entities(
     df: DataFrame,
     gazetteer: DataFrame,
     *keys: str,
-    longest: int = 2,
+    longest: int | None = None,
     types: tuple[str, ...] = ("PER", "LOC", "ORG"),
 ) -> DataFrame:
     """Named entities: phrases found in `gazetteer(phrase_lemma, type, normal)`.
 
-    The longest match of each start position wins; of one phrase listed under
-    several types, the first type does.
+    Phrases have any number of words (at most `longest`, if told); only runs of
+    as many words as some phrase has are made.  The longest match of each start
+    position wins; of one phrase listed under several types, the first type does.
     """
     listed = gazetteer.filter(F.col("type").isin(*types)).select(F.col("phrase_lemma").alias("lemma"), "type", "normal")
     listed = one_per_key(listed, "lemma", "type")
-    runs = df.select(*keys, F.inline(spans_up_to(F.col("tokens"), longest)))
+    sizes = listed.select(F.size(F.split("lemma", " ")).alias("n")).filter("n > 0").distinct()
+    # As many numbers as there are lengths of phrases.
+    lengths = sorted(r.n for r in sizes.collect() if longest is None or r.n <= longest)
+    runs = df.select(*keys, F.inline(runs_of(F.col("tokens"), lengths or [1])))
     found = lookup_join(runs, listed, ["lemma"])
     best = F.max_by(F.struct("text", "normal", "type", "stop", "length"), F.struct("length", "type"))
     return (
@@ -204,24 +209,22 @@ def nested_document(df: DataFrame, text: str, entities: DataFrame, key: str = "d
 
 
 def replace_slang(df: DataFrame, key: str, text: str, slang: DataFrame) -> DataFrame:
-    """Cleaned text with every word listed in `slang(term, replacement)` replaced.
+    """`(<key>, normalised)`: cleaned text with every word listed in `slang(term, replacement)` replaced; one row per row.
 
     A short dictionary is looked up inside the row, without a shuffle.  For a
-    longer one the words are taken apart, looked up and put together again.
+    longer one the words are taken apart, looked up and put together again by
+    the number of their row.  Both give the same rows, also for repeated and null keys.
     """
-    clean = df.select(key, clear_text(F.coalesce(F.col(text), F.lit(""))).alias("clean"))
-    slang = one_per_key(slang.select("term", "replacement"), "term")
+    clean = df.select(F.col(key).alias("name"), clear_text(F.coalesce(F.col(text), F.lit(""))).alias("clean"))
+    slang = one_per_key(slang.select("term", "replacement").filter("replacement is not null"), "term")
     short = slang.limit(SHORT_DICTIONARY + 1).collect()
     if len(short) <= SHORT_DICTIONARY:
         listed = F.create_map(*[F.lit(x) for r in short for x in (r.term, r.replacement)])
         swap = (lambda w: F.coalesce(F.element_at(listed, w), w)) if short else (lambda w: w)
-        return clean.select(key, F.array_join(F.transform(F.split("clean", " "), swap), " ").alias("normalised"))
-    tokens = clean.select(key, F.posexplode(F.split("clean", " ")).alias("at", "term"))
-    fits = within(slang, BROADCAST_ROWS)
-    swapped = hinted_join(tokens, slang, ["term"], "left", fits)
-    parts = F.array_sort(
-        F.collect_list(F.struct("at", F.coalesce("replacement", "term").alias("word")))
-    )
-    return swapped.groupBy(key).agg(
-        F.array_join(F.transform(parts, lambda p: p["word"]), " ").alias("normalised")
-    )
+        return clean.select(F.col("name").alias(key), F.array_join(F.transform(F.split("clean", " "), swap), " ").alias("normalised"))
+    numbered = settle(clean.withColumn("row", F.monotonically_increasing_id()))
+    words = numbered.select("row", "name", F.posexplode(F.split("clean", " ")).alias("at", "term"))
+    swapped = lookup_join(words, slang, ["term"], "left")
+    parts = F.array_sort(F.collect_list(F.struct("at", F.coalesce("replacement", "term").alias("word"))))
+    whole = swapped.groupBy("row").agg(F.first("name").alias("name"), parts.alias("parts"))
+    return whole.select(F.col("name").alias(key), F.array_join(F.transform("parts", lambda p: p["word"]), " ").alias("normalised"))

@@ -223,6 +223,18 @@ def lemma_runs(keys: str, last: str, source: str, group: str, lemma: str) -> str
     return " UNION ALL ".join(run(n) for n in range(3, 7))
 
 
+def lemma_run(n: int) -> str:
+    """All runs of `n` words of lspans, as text and as lemmas."""
+
+    def run(col: str) -> str:
+        return " || ' ' || ".join([col, *[f"lead({col}, {k}) OVER w" for k in range(1, n)]])
+
+    return (
+        f"SELECT doc_id, {run('token')} AS text, {run('lemma')} AS lemma, start_clean AS start, "
+        f"lead(end_clean, {n - 1}) OVER w AS stop, {n} AS length FROM lspans WINDOW w AS (PARTITION BY doc_id ORDER BY position)"
+    )
+
+
 def best(source: str, n: int, order: str = "score DESC, doc_id") -> str:
     return (
         f"SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY {order}))::INTEGER AS rank "
@@ -418,6 +430,14 @@ SELECT doc_id // 10000 AS doc_id, (doc_id % 10000)::INTEGER AS sent, type, text,
     "entities_gazetteer": f"""WITH {CLEAN_TURNS}, {SPANS}, {LEXICON}, {LEMMA_SPANS}, {PHRASES.format(keys='doc_id')}, gazetteer AS ({X.GAZETTEER})
 SELECT doc_id, text, normal AS lemma, g.type, start, stop, length FROM phrases p JOIN gazetteer g ON lemma = phrase_lemma
 WHERE g.type IN ('PER', 'LOC', 'ORG') QUALIFY row_number() OVER (PARTITION BY doc_id, start ORDER BY length DESC, g.type DESC) = 1""",
+    "entities_any_length": f"""WITH {CLEAN_DOCS}, {SPANS}, {LEMMA_SPANS}, {QUERY_LEMMAS},
+begins AS (SELECT n, kind, query_id, string_agg(term, ' ' ORDER BY position) AS phrase
+  FROM qlemmas, (VALUES (2, 'PER'), (3, 'LOC'), (5, 'ORG'), (7, 'ORG')) AS t(n, kind) WHERE position < n
+  GROUP BY n, kind, query_id HAVING count(*) = n),
+gazetteer AS (SELECT DISTINCT phrase, kind, n FROM begins),
+runs AS ({" UNION ALL ".join(lemma_run(n) for n in (2, 3, 5, 7))})
+SELECT doc_id, text, upper(phrase) AS lemma, kind AS type, start, stop, length FROM runs JOIN gazetteer ON lemma = phrase
+QUALIFY row_number() OVER (PARTITION BY doc_id, start ORDER BY length DESC, kind DESC) = 1""",
     "triples_from_rel": triples("doc_id", "documents"),
     "tokens_json_roundtrip": f"""WITH {CLEAN_TURNS}, {SPANS}, {ORIGINAL_SPANS}
 SELECT d.doc_id, length(clean)::INTEGER AS n_mapping, s.token, start_clean, end_clean, start_orig, end_orig

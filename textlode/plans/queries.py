@@ -413,6 +413,22 @@ def entities_gazetteer(spark, sf):
     return _entities(spark, sf)
 
 
+@query
+def entities_any_length(spark, sf):
+    """Names of two to seven words: how the benchmark passages begin, in the documents."""
+    lemmas = lexicon.query_lemmas(X.benchmark_queries(spark, sf), spark.sql(X.LEMMA_LEXICON))
+    begins = []
+    for n, kind in ((2, "PER"), (3, "LOC"), (5, "ORG"), (7, "ORG")):
+        words = F.array_sort(F.collect_list(F.struct("position", "term")))
+        first = lemmas.filter(F.col("position") < n).groupBy("query_id").agg(words.alias("w")).filter(F.size("w") == n)
+        name = F.array_join(F.transform("w", lambda x: x["term"]), " ")
+        begins.append(first.select(name.alias("phrase_lemma"), F.lit(kind).alias("type"), F.upper(name).alias("normal")))
+    gazetteer = corpus.union_all(*begins).distinct()
+    docs = _cleaned(spark, sf, C.clear_text).select("doc_id", "clean", T.token_spans(F.col("clean")).alias("tokens"))
+    tokens = K.lemmatise(K.phrase_tokens(docs, "clean", spans="clean"), spark.sql(X.LEMMA_LEXICON), "doc_id")
+    return K.extract_entities(tokens, gazetteer, "doc_id")
+
+
 def _triples(df: DataFrame, key: str) -> DataFrame:
     """The words of a sentence are subject, verb and object by turns."""
     split = K.split_sentences(df, "text", key)
