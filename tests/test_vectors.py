@@ -33,7 +33,8 @@ def test_top_k_is_exact_with_a_third_of_equal_vectors(spark, monkeypatch, metric
     queries = random.integers(-3, 4, (40, 6)).astype(float)
     if blocks:
         monkeypatch.setattr(E, "QUERY_ROWS", 16)
-        monkeypatch.setattr(E, "BLOCK_VECTORS", 200)
+        monkeypatch.setattr(E, "BLOCK_VECTORS", 60)
+        monkeypatch.setattr(E, "CELL_VECTORS", 100)
     monkeypatch.setattr(E, "SCORE_VALUES", 2_000)
     hits = E.top_k_vectors(
         frame(spark, queries, "query_id"), frame(spark, vectors, "doc_id").repartition(5), 7, metric
@@ -42,6 +43,45 @@ def test_top_k_is_exact_with_a_third_of_equal_vectors(spark, monkeypatch, metric
     assert found == sorted(brute_force(queries, vectors, 7, metric))
 
 
+@pytest.mark.parametrize("metric", ["ip", "l2"])
+def test_cells_that_cannot_reach_a_list_are_not_met(spark, metric, monkeypatch):
+    random = np.random.default_rng(6)
+    centres = 10 * random.normal(size=(12, 5))
+    vectors = np.round(np.repeat(centres, 70, axis=0) + random.normal(size=(840, 5)), 3)
+    queries = np.round(np.repeat(centres, 4, axis=0) + random.normal(size=(48, 5)), 3)
+    monkeypatch.setattr(E, "CELL_VECTORS", 40)
+    # A cell that stays empty has nothing to tell.
+    divide = E.divide
+
+    def with_empty_cell(*of):
+        blocks, cells = divide(*of)
+        return blocks, E.Cells(np.concatenate([cells.centre, cells.centre[:1]]), *(np.append(x, y) for x, y in ((cells.radius, 50.0), (cells.size, 0), (cells.pieces, 2))))
+
+    monkeypatch.setattr(E, "divide", with_empty_cell)
+    hits = E.top_k_pruned(frame(spark, queries, "query_id"), frame(spark, vectors, "doc_id").repartition(3), 5, metric)
+    monkeypatch.undo()
+    monkeypatch.setattr(E, "CELL_VECTORS", 40)
+    found = sorted((r.query_id, r.doc_id, r["rank"]) for r in hits.collect())
+    assert found == sorted(brute_force(queries, vectors, 5, metric))
+    # The pairs of queries and cells that meet, as the tasks choose them.
+    blocks, cells = E.divide(frame(spark, vectors, "doc_id"), 5)
+    bound = cells.bounds(queries, metric)
+    scores = queries @ vectors.T if metric == "ip" else -((queries[:, None, :] - vectors[None, :, :]) ** 2).sum(2)
+    fifth = np.sort(scores, axis=1)[:, -5]
+    assert (bound.max(1) >= scores.max(1) - 1e-9).all()
+    assert (bound >= fifth[:, None]).mean() < 0.5
+    assert blocks.count() == int((cells.size > 0).sum()) > 10
+
+
+def test_pruned_search_of_odd_rows(spark):
+    vectors = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [1.0]), ("c", None), ("d", [2.0, 1.0])], "name string, embedding array<float>")
+    queries = spark.createDataFrame([("q", [1.0, 1.0]), ("r", None)], "query_id string, embedding array<float>")
+    hits = E.top_k_pruned(queries, vectors, 5, key="name").orderBy("rank").collect()
+    assert [(r.query_id, r.name, r.score) for r in hits] == [("q", "d", 3.0), ("q", "a", 1.0)]
+    assert E.top_k_pruned(queries, vectors.limit(0), 5, key="name").count() == 0
+    assert E.top_k_pruned(queries.limit(0), vectors, 5, key="name").count() == 0
+
+
 def test_smaller_k_is_a_prefix(spark):
     random = np.random.default_rng(4)
     queries, vectors = frame(spark, random.random((5, 4)), "query_id"), frame(spark, random.random((50, 4)), "doc_id")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -17,11 +19,14 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from textlode.functions.cleaning import collapse_ends
 from textlode.functions.vectors import cosine, rounded
 from textlode.operators.joins import lookup_join, top_per_group
+from textlode.sources.store import settle
 
 # Query tables of at most this many rows go to every task as one matrix.
 QUERY_ROWS = 4_096
-# Vectors of one block of the block join.
+# Vectors of one block that queries pass by.
 BLOCK_VECTORS = 20_000
+# Cells at most, vectors that one is meant for, and vectors of the sample that gives their centres.
+CELLS, CELL_VECTORS, SAMPLE_VECTORS = 1_024, 2_000, 16_384
 # Scores computed at a time.
 SCORE_VALUES = 4_000_000
 
@@ -197,20 +202,14 @@ def top_k_vectors(
     vectors of another width than the queries are left out.  Each task scores
     its Arrow batches with one matrix product and hands on k rows per query.
 
-    A query matrix of checked size is sent to all tasks.  Beyond that, both
-    sides are cut into blocks of bounded size that meet pairwise.
+    A query matrix of checked size is sent to all tasks.  Beyond that, queries
+    meet the cells of vectors that can reach their lists (`top_k_pruned`).
     """
     # Missing and odd vectors are left out inside the scan: as filters, the
     # conditions would be pushed down and compute every vector once more.
     queries = queries.select("query_id", vec)
     vectors = vectors.select(key, vec)
-    schema = T.StructType(
-        [
-            T.StructField("query_id", queries.schema["query_id"].dataType),
-            T.StructField(key, vectors.schema[key].dataType),
-            T.StructField("score", T.DoubleType()),
-        ]
-    )
+    schema = _hits_schema(queries, vectors, key)
     widths = queries.filter(F.col(vec).isNotNull()).select(F.size(vec).alias("width")).distinct().limit(2).collect()
     if len(widths) > 1:
         raise ValueError("query vectors differ in width")
@@ -218,11 +217,8 @@ def top_k_vectors(
     if sample.num_rows <= QUERY_ROWS:
         best = _broadcast_top_k(sample, vectors, k, metric, digits, schema)
     else:
-        best = _block_top_k(queries, vectors, k, metric, digits, schema)
-    top = top_per_group(best, ["query_id"], [F.desc("score"), F.asc(key)], k)
-    if metric == "l2":
-        top = top.withColumn("score", F.lit(0.0) - F.col("score"))
-    return top.select("query_id", key, "score", "rank")
+        best = _pruned_top_k(queries, vectors, k, metric, digits, schema)
+    return _ranked(best, k, metric, key)
 
 
 def _broadcast_top_k(queries: pa.Table, vectors, k, metric, digits, schema) -> DataFrame:
@@ -252,37 +248,172 @@ def _broadcast_top_k(queries: pa.Table, vectors, k, metric, digits, schema) -> D
     return vectors.mapInArrow(scan, schema)
 
 
-def _block_top_k(queries, vectors, k, metric, digits, schema) -> DataFrame:
+class Cells(NamedTuple):
+    """A division of the vectors: the centre, radius and number of vectors of each cell, and the pieces that it is cut into."""
+
+    centre: np.ndarray
+    radius: np.ndarray
+    size: np.ndarray
+    pieces: np.ndarray
+
+    def bounds(self, queries: np.ndarray, metric: str) -> np.ndarray:
+        """What no vector of a cell exceeds as a score with a query; one row per query."""
+        if metric == "ip":
+            return queries @ self.centre.T + np.sqrt((queries**2).sum(1))[:, None] * self.radius[None, :]
+        squares = (queries**2).sum(1)[:, None] + (self.centre**2).sum(1)[None, :] - 2 * queries @ self.centre.T
+        return -(np.maximum(0.0, np.sqrt(np.maximum(squares, 0.0)) - self.radius[None, :]) ** 2)
+
+
+def _centres(sample: np.ndarray, cells: int) -> np.ndarray:
+    """Means of a sample's groups, by a few rounds of moving them to what is nearest."""
+    centres = sample[np.linspace(0, len(sample) - 1, min(cells, len(sample))).astype(int)]
+    for _ in range(6):
+        own = ((centres**2).sum(1)[None, :] - 2 * sample @ centres.T).argmin(1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, own, sample)
+        count = np.bincount(own, minlength=len(centres))
+        centres = np.where(count[:, None] > 0, sums / np.maximum(count, 1)[:, None], centres)
+    return centres
+
+
+def divide(vectors: DataFrame, width: int) -> tuple[DataFrame, Cells]:
+    """`(cell, piece, block)` of the vectors of this width, blocks being pickles of at most about BLOCK_VECTORS ids and vectors.
+
+    Cells are the surroundings of at most CELLS centres, which a bounded sample gives; every vector lies in the cell of its nearest centre.
+    """
     key, vec = vectors.columns
-    q_blocks = math.ceil(queries.count() / QUERY_ROWS) * 2
-    v_blocks = max(1, math.ceil(vectors.count() / BLOCK_VECTORS))
-
-    def block(col: str, n: int) -> Column:
-        return F.pmod(F.xxhash64(col), F.lit(n)).cast("int")
-
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    left = queries.withColumn("qb", block("query_id", q_blocks)).withColumn("vb", every(v_blocks))
-    right = vectors.withColumn("vb", block(key, v_blocks)).withColumn("qb", every(q_blocks))
-    names = schema.fieldNames()
-
-    def meet(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
-        q = q[q[vec].notna()]
-        if len(q) > 0:
-            v = v[v[vec].map(lambda x: x is not None and len(x) == len(q[vec].iloc[0]))]
-        if len(q) == 0 or len(v) == 0:
-            return pd.DataFrame({name: [] for name in names})
-        against = np.stack(q[vec].to_numpy()).astype(np.float64)
-        matrix = np.stack(v[vec].to_numpy()).astype(np.float64)
-        ids = v[key].to_numpy()
-        rows, found, score = _batch_best(None, against, ids, matrix, k, metric, digits)
-        return pd.DataFrame(
-            {names[0]: q["query_id"].to_numpy()[rows], names[1]: found, names[2]: score}
-        )
-
-    return (
-        left.groupBy("qb", "vb")
-        .cogroup(right.groupBy("qb", "vb"))
-        .applyInPandas(meet, schema)
-    )
+    fitting = vectors.filter(F.size(vec) == width)
+    drawn = fitting.orderBy(F.xxhash64(vec), vec).limit(SAMPLE_VECTORS).toArrow()
+    n = fitting.count()
+    cells = max(1, min(CELLS, math.ceil(n / CELL_VECTORS)))
+    centres = _centres(_matrix(drawn.column(1).combine_chunks()) if len(drawn) else np.zeros((1, width)), cells)
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            matrix = _matrix(batch.column(1))
+            far = (centres**2).sum(1)[None, :] - 2 * matrix @ centres.T
+            own = far.argmin(1)
+            off = np.sqrt(((matrix - centres[own]) ** 2).sum(1))
+            yield batch.append_column("cell", pa.array(own.astype(np.int32))).append_column("off", pa.array(off))
+
+    named = fitting.select(F.col(key).alias("id"), F.col(vec).cast("array<double>").alias("vec"))
+    schema = T.StructType([*named.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("off", T.DoubleType())])
+    dealt = settle(named.mapInArrow(assign, schema))
+    # At most CELLS rows.
+    found = {r.cell: r for r in dealt.groupBy("cell").agg(F.max("off").alias("radius"), F.count("*").alias("n")).collect()}
+    size = np.array([found[c].n if c in found else 0 for c in range(len(centres))], np.int64)
+    radius = np.array([found[c].radius if c in found else 0.0 for c in range(len(centres))])
+    pieces = np.maximum(1, -(-size // BLOCK_VECTORS))
+    kinds = F.array(*[F.lit(int(p)) for p in pieces])
+
+    def pack(table: pa.Table) -> pa.Table:
+        raw = pickle.dumps((table.column("id").to_pylist(), _matrix(table.column("vec").combine_chunks())))
+        keys = [table.column(c)[:1] for c in ("cell", "piece")]
+        return pa.table([keys[0].cast(pa.int32()), keys[1].cast(pa.int64()), pa.array([raw], pa.binary())], ["cell", "piece", "block"])
+
+    cut = dealt.withColumn("piece", F.pmod(F.xxhash64("id", "vec"), F.get(kinds, F.col("cell"))).cast("long"))
+    blocks = settle(cut.groupBy("cell", "piece").applyInArrow(pack, "cell int, piece long, block binary"))
+    return blocks, Cells(centres, radius, size, pieces)
+
+
+def _met(queries: DataFrame, blocks: DataFrame, cells: Cells, chosen, k: int, metric: str, digits: int, schema: T.StructType) -> DataFrame:
+    """Best k of each block for the queries whose row `chosen` sends there; a block is read once and the queries pass by."""
+    out = to_arrow_schema(schema)
+    kind = queries.schema["query_id"].dataType
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, cell = np.nonzero(chosen(batch, _matrix(batch.column(1))))
+            times = cells.pieces[cell]
+            row, cell = np.repeat(row, times), np.repeat(cell, times)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+            for low in range(0, len(row), 4_096):
+                own = slice(low, low + 4_096)
+                at = pa.array(row[own])
+                columns = [pa.array(cell[own].astype(np.int32)), pa.array(piece[own]), batch.column(0).take(at), batch.column(1).take(at)]
+                yield pa.RecordBatch.from_arrays(columns, ["cell", "piece", "query_id", "vec"])
+
+    sent = T.StructType([T.StructField("cell", T.IntegerType()), T.StructField("piece", T.LongType()), T.StructField("query_id", kind),
+                         T.StructField("vec", T.ArrayType(T.DoubleType()))])
+    asked = queries.mapInArrow(send, sent).select("cell", "piece", F.lit(1).alias("kind"), "query_id", "vec", F.lit(None).cast("binary").alias("block"))
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in sent.fields[2:]]
+    rows = blocks.select("cell", "piece", F.lit(0).alias("kind"), *none, "block").unionByName(asked)
+    n = int(cells.pieces.sum())
+    dealt = rows.repartition(max(1, min(n, 10_000)), "cell", "piece").sortWithinPartitions("cell", "piece", "kind")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = matrix = here = None
+        for batch in batches:
+            cell, piece, kinds = (batch.column(i).to_numpy() for i in range(3))
+            edges = [*np.flatnonzero(kinds == 0).tolist(), batch.num_rows]
+            spans = [(0, edges[0])] + [(low + 1, high) for low, high in zip(edges, edges[1:])]
+            for number, (low, high) in enumerate(spans):
+                if number:
+                    names, matrix = pickle.loads(batch.column(5)[edges[number - 1]].as_py())
+                    ids = np.array(names, dtype=object if names and isinstance(names[0], str) else None)
+                    here = (cell[low - 1], piece[low - 1])
+                # A cell or piece without vectors has no block.
+                own = np.zeros(0, int) if here is None else low + np.flatnonzero((cell[low:high] == here[0]) & (piece[low:high] == here[1]))
+                if not len(own):
+                    continue
+                part = batch.take(pa.array(own))
+                who, found, score = _batch_best(None, _matrix(part.column(4)), ids, matrix, k, metric, digits)
+                columns = [part.column(3).take(pa.array(who)), pa.array(found.tolist(), out[1].type), pa.array(score)]
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, out)], schema=out)
+
+    return dealt.mapInArrow(run, schema)
+
+
+def top_k_pruned(
+    queries: DataFrame, vectors: DataFrame, k: int, metric: str = "ip", key: str = "doc_id", vec: str = "embedding", digits: int = 6
+) -> DataFrame:
+    """`top_k_vectors` for any number of queries, all of one width, without comparing all with all.
+
+    Vectors are dealt out by their nearest centre.  A query first meets the cells of the highest bounds that hold k vectors, then
+    only cells whose bound reaches the k-th best score found there.  Vectors stay in their blocks; it is queries that move.
+    """
+    schema = _hits_schema(queries.select("query_id", vec), vectors.select(key, vec), key)
+    return _ranked(_pruned_top_k(queries.select("query_id", vec), vectors.select(key, vec), k, metric, digits, schema), k, metric, key)
+
+
+def _hits_schema(queries: DataFrame, vectors: DataFrame, key: str) -> T.StructType:
+    kinds = {"query_id": queries.schema["query_id"].dataType, key: vectors.schema[key].dataType, "score": T.DoubleType()}
+    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+
+
+def _ranked(best: DataFrame, k: int, metric: str, key: str) -> DataFrame:
+    top = top_per_group(best, ["query_id"], [F.desc("score"), F.asc(key)], k)
+    if metric == "l2":
+        top = top.withColumn("score", F.lit(0.0) - F.col("score"))
+    return top.select("query_id", key, "score", "rank")
+
+
+def _pruned_top_k(queries, vectors, k, metric, digits, schema) -> DataFrame:
+    vec = queries.columns[1]
+    queries = settle(queries.filter(F.col(vec).isNotNull()).select("query_id", F.col(vec).cast("array<double>").alias(vec)))
+    first = queries.select(F.size(vec).alias("width")).limit(1).collect()
+    blocks, cells = divide(vectors, first[0].width if first else 0)
+    key = schema.fieldNames()[1]
+    step = 0.5 * 10.0**-digits
+
+    def ahead(matrix: np.ndarray) -> np.ndarray:
+        """The cells of the highest bounds, as many as hold k vectors; the ones that every query meets first."""
+        order = np.argsort(-cells.bounds(matrix, metric), axis=1, kind="stable")
+        before = np.cumsum(cells.size[order], axis=1) - cells.size[order]
+        chosen = np.zeros(order.shape, bool)
+        np.put_along_axis(chosen, order, before < k, axis=1)
+        return chosen
+
+    near = settle(_met(queries, blocks, cells, lambda batch, matrix: ahead(matrix), k, metric, digits, schema))
+    near = settle(top_per_group(near, ["query_id"], [F.desc("score"), F.asc(key)], k).drop("rank"))
+    least = near.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("least"))
+    open_ = queries.join(least, "query_id", "left").select("query_id", vec, "least")
+
+    def reaching(batch: pa.RecordBatch, matrix: np.ndarray) -> np.ndarray:
+        need = batch.column(2).to_numpy(zero_copy_only=False).astype(float)
+        bound = cells.bounds(matrix, metric)
+        # A little more than the rounding of scores and of the bound.
+        spare = 2 * step + 1e-9 * (1 + np.abs(bound))
+        return ~(bound + spare < np.where(np.isnan(need), -np.inf, need)[:, None]) & ~ahead(matrix)
+
+    return near.unionByName(_met(open_, blocks, cells, reaching, k, metric, digits, schema))

@@ -430,7 +430,7 @@ SELECT doc_id // 10000 AS doc_id, (doc_id % 10000)::INTEGER AS sent, type, text,
     "entities_gazetteer": f"""WITH {CLEAN_TURNS}, {SPANS}, {LEXICON}, {LEMMA_SPANS}, {PHRASES.format(keys='doc_id')}, gazetteer AS ({X.GAZETTEER})
 SELECT doc_id, text, normal AS lemma, g.type, start, stop, length FROM phrases p JOIN gazetteer g ON lemma = phrase_lemma
 WHERE g.type IN ('PER', 'LOC', 'ORG') QUALIFY row_number() OVER (PARTITION BY doc_id, start ORDER BY length DESC, g.type DESC) = 1""",
-    "entities_any_length": f"""WITH {CLEAN_DOCS}, {SPANS}, {LEMMA_SPANS}, {QUERY_LEMMAS},
+    "entities_any_length": f"""WITH {CLEAN_DOCS}, {SPANS}, {QUERY_LEMMAS}, {LEMMA_SPANS},
 begins AS (SELECT n, kind, query_id, string_agg(term, ' ' ORDER BY position) AS phrase
   FROM qlemmas, (VALUES (2, 'PER'), (3, 'LOC'), (5, 'ORG'), (7, 'ORG')) AS t(n, kind) WHERE position < n
   GROUP BY n, kind, query_id HAVING count(*) = n),
@@ -461,6 +461,10 @@ SELECT label, dim, round(sum(x * m) / greatest(sum(m), 1e-9), 6) + 0.0 AS x FROM
     "l2_normalize": f"""WITH {COMPONENTS}, norms AS (SELECT vec_id, sqrt(sum(power(x * label * 2, 2))) AS n FROM comps GROUP BY 1)
 SELECT vec_id, dim, round(CASE WHEN n = 0 THEN 0.0 ELSE x * label * 2 / n END, 6) + 0.0 AS x FROM comps JOIN norms USING (vec_id)""",
     "knn_ip": f"WITH {NEAR} SELECT query_id, vec_id, ip AS score, rank FROM ({best('near', 10, 'ip DESC, vec_id')})",
+    "knn_all": f"""WITH vecs AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+near AS (SELECT q.vec_id AS query_id, v.vec_id, round(list_aggregate(list_transform(list_zip(q.e, v.e), lambda z: (z[1] - z[2]) * (z[1] - z[2])), 'sum'), 6) + 0.0 AS l2
+  FROM vecs q, vecs v)
+SELECT query_id, vec_id, l2 AS score, rank FROM ({best('near', 5, 'l2, vec_id')})""",
     "knn_l2": f"WITH {NEAR} SELECT query_id, vec_id, l2 AS score, rank FROM ({best('near', 10, 'l2, vec_id')})",
     "cosine_pairs": f"""WITH {NEAR} SELECT near.vec_id, label, cosine FROM near JOIN embeddings e
 ON e.vec_id = near.vec_id AND e.label = near.query_id""",

@@ -571,6 +571,13 @@ def knn_l2(spark, sf):
     return E.top_k_vectors(_centroids(spark, sf), vectors, 10, "l2", "vec_id")
 
 
+@query
+def knn_all(spark, sf):
+    """Every vector as a query against all vectors."""
+    vectors = X.table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return E.top_k_pruned(vectors.withColumnRenamed("vec_id", "query_id"), vectors, 5, "l2", "vec_id")
+
+
 @query
 def cosine_pairs(spark, sf):
     anchors = _centroids(spark, sf).select(
