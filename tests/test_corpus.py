@@ -83,6 +83,51 @@ def test_log_appends(spark):
     assert log.count() == 2 and log.filter("logged_at is null").count() == 0
 
 
+def test_log_keeps_the_query_and_all_places(spark):
+    path = fresh_dir(spark, "log")
+    hits = spark.createDataFrame([(1, 1, 7, 0.5), (1, 2, 8, 0.4), (9, 1, 7, 0.1)], "query_id long, rank int, doc_id long, score double")
+    queries = spark.createDataFrame([(1, "the cat")], "query_id long, text string")
+    places = spark.createDataFrame([(1, 7, 4, 7), (1, 7, 0, 3), (1, 7, 0, 3)], "query_id long, doc_id long, start int, stop int")
+    store.log_searches(hits, queries, places, path)
+    told = {(r.query_id, r.doc_id): (r.query_text, [tuple(p) for p in r.positions]) for r in spark.read.parquet(path).collect()}
+    assert told == {(1, 7): ("the cat", [(0, 3), (4, 7)]), (1, 8): ("the cat", []), (9, 7): (None, [])}
+
+
+def test_counters_are_observed_on_the_write(spark):
+    statuses = spark.createDataFrame([(1, "stored"), (2, "duplicate"), (3, "stored"), (4, "skipped"), (5, None)], "doc_id long, status string")
+    path = fresh_dir(spark, "statuses")
+    counter = spark.sparkContext._jsc.sc().dagScheduler().nextJobId
+    before = counter()
+    told = profile.write_with_summary(statuses, path)
+    assert counter() - before == 1
+    assert told == {"success": 2, "duplicates": 1, "skipped": 1, "errors": 0}
+    assert told == profile.ingest_summary(spark.read.parquet(path)).head().asDict()
+
+
+def test_lookup_of_absent_lemmas_skips_row_groups(spark, sf_dir):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    base = fresh_dir(spark, "corpus")
+    tokens = spark.range(40_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id") * 2).alias("lemma"))
+    store.write_version(spark, base, {"tokens": store.cluster_tokens(tokens)})
+    stored = store.read_version(spark, base, "tokens")
+    gone, there = (stored.filter(F.col("lemma") == w) for w in ("w20001", "w20002"))
+    assert gone.count() == 0 and there.count() == 1
+
+    def scanned(df):
+        df.collect()
+        node = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+        return node.metrics().apply("numOutputRows").value()
+
+    # The lemma lies within the range of its file: only the bloom filter tells that it is absent.
+    files = [f for f in glob.glob(f"{base.removeprefix('file://')}/tokens/*/*.parquet")]
+    ranges = [pq.ParquetFile(f).metadata.row_group(0).column(1).statistics for f in files]
+    assert any(s.min < "w20001" < s.max for s in ranges)
+    assert scanned(gone) == 0 and scanned(there) >= 1
+
+
 def test_posts_need_files_and_columns(spark):
     empty = fresh_dir(spark, "empty")
     with pytest.raises(FileNotFoundError):

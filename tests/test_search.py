@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from textlode.functions.cleaning import clean_social
 from textlode.operators import bm25, joins, lexicon, ranking
+from textlode.plans.queries import QUERIES
 from textlode.plans import fixtures as X
 from textlode.plans import search
 
@@ -144,3 +145,50 @@ def test_social_fragments_are_distinct_and_long_enough(spark):
     )
     assert [r.fragment for r in search.social_fragments(docs).collect()] == ["one two three."]
     assert docs.select(clean_social(F.col("text"))).count() == 3
+
+
+def test_ratio_bound_and_the_candidates_it_leaves_out(spark, monkeypatch):
+    import difflib
+    import random
+
+    from textlode.operators import ranking as R
+
+    rng = random.Random(7)
+    texts = ["", "a", "abc" * 90, "é😀 b", "tide", "diet"] + ["".join(rng.choices("abcd é", k=rng.randrange(1, 60))) for _ in range(60)]
+    pairs = [(n, q, i, rng.choice(texts), texts[-q - 1], rng.random()) for n in range(1) for q in range(4) for i in range(60)]
+    frame = spark.createDataFrame([p[1:] for p in pairs], "query_id int, n int, fragment string, asked string, score double")
+    plain = {}
+    for row in frame.select("*", R.ratio_bound(F.col("asked"), F.col("fragment")).alias("most")).collect():
+        ratio = difflib.SequenceMatcher(None, row.asked, row.fragment).ratio()
+        assert row.most >= ratio - 1e-12
+        plain.setdefault(row.query_id, []).append((-round(0.6 * row.score + 0.4 * ratio, 6), row.n))
+    none = spark.createDataFrame([(None, "a"), (None, None)], "x string, y string")
+    assert [r[0] for r in none.select(R.ratio_bound(F.col("x"), F.col("y"))).collect()] == [0.0, 1.0]
+    found = R.most_relevant(frame, 5, "n").collect()
+    want = [(q, n, r + 1) for q, hits in plain.items() for r, (_, n) in enumerate(sorted(hits)[:5])]
+    assert sorted((r.query_id, r.n, r["rank"]) for r in found) == sorted(want)
+
+
+def test_relevance_ratio_by_brute_force(spark, sf_dir):
+    import difflib
+
+    import numpy as np
+
+    from textlode.functions.cleaning import clear_text as clean
+    from textlode.functions.vectors import hash_embedding, l2_normalize
+    from textlode.plans import fixtures as X
+
+    def rows(df, key):
+        vec = l2_normalize(hash_embedding(F.col("c"))).cast("array<float>")
+        return [(r[0], r.c, r.v) for r in df.select(key, clean(F.col("text")).alias("c")).select(key, "c", vec.alias("v")).collect()]
+
+    docs = [r for r in rows(X.turns(spark, sf_dir), "doc_id") if r[2] is not None]
+    matrix = np.array([r[2] for r in docs])
+    want = []
+    for q, text, vec in rows(X.benchmark_queries(spark, sf_dir), "query_id"):
+        scores = np.round(matrix @ np.array(vec), 6) + 0.0
+        near = sorted(range(len(docs)), key=lambda i: (-scores[i], docs[i][0]))[:50]
+        hits = sorted((-round(0.6 * scores[i] + 0.4 * difflib.SequenceMatcher(None, text, docs[i][1]).ratio(), 6), docs[i][0]) for i in near)[:5]
+        want += [(q, r + 1, d) for r, (_, d) in enumerate(hits)]
+    found = QUERIES["relevance_ratio"](spark, sf_dir).collect()
+    assert sorted((r.query_id, r["rank"], r.doc_id) for r in found) == sorted(want)

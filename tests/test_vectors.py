@@ -149,3 +149,25 @@ def test_zero_vectors(spark):
         V.cosine(F.col("z"), F.col("v")).alias("c"),
     ).head()
     assert (row.z, row.v, row.c) == ([0.0, 0.0], [0.6, 0.8], 0.0)
+
+
+def test_tfidf_keeps_rows_and_weighs_rare_words(spark):
+    import math
+
+    from textlode.functions.vectors import term_bucket
+
+    docs = spark.createDataFrame([(1, "a b b"), (1, "a"), (2, ""), (None, "a c"), (3, None)], "doc_id long, clean string").selectExpr("*", "1 AS uid")
+    found = [(r.doc_id, r.embedding) for r in E.embed_tfidf(docs, 8).collect()]
+    assert sorted((d, v is None) for d, v in found if d) == [(1, False), (1, False), (2, True), (3, True)]
+    at = {w: spark.range(1).select(term_bucket(F.lit(w), 8)).head()[0] for w in "abc"}
+    idf = {w: math.log(6 / (1 + n)) + 1 for w, n in (("a", 3), ("b", 1), ("c", 1))}
+
+    def plain(text):
+        out = [0.0] * 8
+        for w in text.split():
+            out[at[w]] += idf[w]
+        return out
+
+    vectors = [v for d, v in found if v and d is None] + sorted((v for d, v in found if v and d == 1), key=sum)
+    for v, text in zip(vectors, ["a c", "a", "a b b"]):
+        assert np.allclose(v, plain(text))

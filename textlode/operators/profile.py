@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from textlode.functions.cleaning import clear_text, let
@@ -186,12 +186,22 @@ def sentiment(
     return F.when(lead > 0, for_positive).when(lead < 0, for_negative).otherwise(for_neutral)
 
 
-def ingest_summary(statuses: DataFrame, status_col: str = "status") -> DataFrame:
-    """Counters of an ingest: one row with success, duplicates, skipped and errors."""
-    status = F.col(status_col)
-    return statuses.agg(
+def _counters(status: Column) -> list[Column]:
+    return [
         F.count_if(status == "stored").alias("success"),
         F.count_if(status == "duplicate").alias("duplicates"),
         F.count_if(status == "skipped").alias("skipped"),
         F.count_if(status == "error").alias("errors"),
-    )
+    ]
+
+
+def ingest_summary(statuses: DataFrame, status_col: str = "status") -> DataFrame:
+    """Counters of an ingest: one row with success, duplicates, skipped and errors."""
+    return statuses.agg(*_counters(F.col(status_col)))
+
+
+def write_with_summary(statuses: DataFrame, path: str, status_col: str = "status") -> dict[str, int]:
+    """Writes the rows as Parquet and returns the counters of `ingest_summary`, which the write itself observes: no second job."""
+    seen = Observation()
+    statuses.observe(seen, *_counters(F.col(status_col))).write.parquet(path)
+    return {name: int(n) for name, n in seen.get.items()}

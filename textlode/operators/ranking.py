@@ -9,11 +9,13 @@ from functools import reduce
 import ahocorasick
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from textlode.functions.cleaning import let
+from textlode.functions.vectors import rounded
 from textlode.operators.joins import hinted_join, lookup_join, top_per_group
 from textlode.sources.store import settle
 
@@ -38,6 +40,46 @@ def string_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)])
 
 
+def ratio_bound(a: Column, b: Column) -> Column:
+    """What `string_ratio` of two texts cannot exceed: the share of their characters that both have, order aside."""
+
+    def count(text: Column, char: Column) -> Column:
+        return F.length(text) - F.length(F.replace(text, char, F.lit("")))
+
+    def shared(x: Column, y: Column) -> Column:
+        chars = F.filter(F.array_distinct(F.split(x, "")), lambda c: c != "")
+        both = F.aggregate(chars, F.lit(0), lambda total, c: total + F.least(count(x, c), count(y, c)))
+        size = F.length(x) + F.length(y)
+        return F.when(size == 0, F.lit(1.0)).otherwise(2.0 * both / size)
+
+    empty = F.lit("")
+    return let(F.coalesce(a, empty), lambda x: let(F.coalesce(b, empty), lambda y: shared(x, y)))
+
+
+def most_relevant(candidates: DataFrame, k: int, name: str, text: str = "fragment", asked: str = "asked") -> DataFrame:
+    """`(query_id, <name>, similarity, rank)`: the k most relevant candidates of each query by 0.6 embedding and 0.4 string similarity.
+
+    `candidates(query_id, <name>, <text>, <asked>, score)`.  The string similarity is computed for the k candidates with the
+    highest bounds, and of the others only for those whose bound reaches the k-th best similarity found there.
+    """
+    bound = relevance(F.col("score"), ratio_bound(F.col(asked), F.col(text)))
+    columns = list(dict.fromkeys(["query_id", name, text, asked, "score"]))
+    ordered = Window.partitionBy("query_id").orderBy(F.desc("bound"), F.asc(name))
+    placed = settle(candidates.select(*columns, bound.alias("bound")).withColumn("place", F.row_number().over(ordered)))
+
+    def exact(rows: DataFrame) -> DataFrame:
+        similarity = rounded(relevance(F.col("score"), string_ratio(asked, text)))
+        return rows.select("query_id", name, similarity.alias("similarity"))
+
+    first = settle(exact(placed.filter(F.col("place") <= k)))
+    least = first.groupBy("query_id").agg(F.min("similarity").alias("least"))
+    rest = placed.filter(F.col("place") > k).join(least, "query_id")
+    # More than the rounding of a similarity.
+    open_ = rest.filter(F.col("bound") >= F.col("least") - 1e-6)
+    every = first.unionByName(exact(open_))
+    return top_per_group(every, ["query_id"], [F.desc("similarity"), F.asc(name)], k)
+
+
 def levenshtein_ratio(a: Column, b: Column) -> Column:
     """1 - edit distance / longer length; a JVM-side alternative to `string_ratio`."""
     longer = F.greatest(F.length(a), F.length(b))

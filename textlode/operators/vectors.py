@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from textlode.functions.cleaning import collapse_ends
-from textlode.functions.vectors import cosine, rounded
+from textlode.functions.vectors import cosine, rounded, term_bucket
+from textlode.operators.bm25 import term_counts, term_rows
 from textlode.operators.joins import lookup_join, top_per_group
 from textlode.sources.store import settle
 
@@ -63,6 +64,24 @@ def embed_with(
     return df.withColumn(out, vectors(collapse_ends(F.col(text))))
 
 
+def embed_tfidf(docs: DataFrame, dim: int = 64) -> DataFrame:
+    """`(doc_id, embedding)` of `docs(doc_id, clean)`, one row per row: sums of tf * idf per hash bucket; no words give null.
+
+    idf is ln((1 + N) / (1 + df)) + 1 over all rows.  Every different word of a document moves once, as a number for its bucket.
+    """
+    numbered = settle(docs.select("doc_id", "clean").withColumn("uid", F.monotonically_increasing_id()))
+    rows = settle(term_rows(numbered, "clean", "uid").select(F.col("doc_id").alias("uid"), "dl", "term", "tf"))
+    counts = term_counts(rows)
+    n_docs = numbered.count()
+    idf = counts.filter("term is not null").select("term", (F.log((1 + F.lit(n_docs)) / (1 + F.col("df"))) + 1).alias("idf"))
+    weighted = lookup_join(rows.filter("term is not null"), settle(idf), ["term"])
+    sums = weighted.groupBy("uid", term_bucket(F.col("term"), dim).alias("bucket")).agg(F.sum(F.col("tf") * F.col("idf")).alias("x"))
+    lists = sums.groupBy("uid").agg(F.map_from_entries(F.collect_list(F.struct(F.col("bucket").cast("int").alias("b"), "x"))).alias("m"))
+    places = F.sequence(F.lit(0), F.lit(dim - 1))
+    dense = lists.select("uid", F.transform(places, lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0))).alias("embedding"))
+    return numbered.select("uid", "doc_id").join(dense, "uid", "left").select("doc_id", "embedding")
+
+
 def mean_pool(df: DataFrame, key: str, vec: str, mask: Column) -> DataFrame:
     """`(key, embedding)`: masked mean of the vectors of each key; nothing unmasked gives zeros.
 

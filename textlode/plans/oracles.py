@@ -570,5 +570,27 @@ SELECT doc_id, n_tokens FROM docs LEFT JOIN counts USING (doc_id) WHERE doc_id N
     "get_documents": f"""WITH {CLEAN_DOCS} SELECT d.doc_id, text, nullif(clean, '') AS tokens FROM documents d JOIN docs USING (doc_id)
 WHERE d.doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)""",
     "stream_ingest": f"WITH {CLEAN_DOCS} SELECT doc_id, clean AS cleaned_text FROM docs WHERE clean <> '' QUALIFY {DEDUP}",
+    "annotate_forms": f"""WITH {CLEAN_TURNS}, {SPANS}
+SELECT doc_id, position, token, CASE WHEN token = 's' THEN 's' ELSE regexp_replace(token, 's$', '') END AS lemma,
+  CASE WHEN length(token) % 2 = 1 THEN 'NOUN' ELSE 'VERB' END AS pos FROM spans""",
+    "annotate_triples": f"""WITH {CLEAN_TURNS}, {SPANS}, roles AS (SELECT doc_id, position,
+  CASE WHEN token = 's' THEN 's' ELSE regexp_replace(token, 's$', '') END AS lemma FROM spans)
+SELECT doc_id, string_agg(lemma, ' ' ORDER BY position) FILTER (WHERE position % 3 = 0) AS subj,
+  string_agg(lemma, ' ' ORDER BY position) FILTER (WHERE position % 3 = 1) AS verb,
+  string_agg(lemma, ' ' ORDER BY position) FILTER (WHERE position % 3 = 2) AS obj FROM roles GROUP BY doc_id HAVING count(*) >= 3""",
+    "annotate_entities": f"""WITH {CLEAN_TURNS}, {SPANS}
+SELECT doc_id, token AS text, regexp_replace(token, 's$', '') AS lemma, 'ORG' AS type, start_clean AS start, end_clean AS stop, 1 AS length
+FROM spans WHERE length(token) > 9""",
+    "embed_tfidf": f"""WITH {CLEAN_DOCS}, tf AS (SELECT doc_id, term, count(*) AS tf FROM ({DOC_TERMS}) GROUP BY ALL),
+idfs AS (SELECT term, ln((1 + (SELECT count(*) FROM docs)) / (1 + count(*))) + 1 AS idf FROM tf GROUP BY term),
+vec AS (SELECT doc_id, ('0x' || substr(md5(term), 1, 8))::BIGINT % 64 AS bucket, sum(tf * idf) AS x FROM tf JOIN idfs USING (term) GROUP BY ALL),
+grid AS (SELECT doc_id, unnest(range(64))::INTEGER AS dim FROM docs WHERE clean <> '')
+SELECT grid.doc_id, dim, round(coalesce(x, 0.0), 6) + 0.0 AS x FROM grid LEFT JOIN vec ON vec.doc_id = grid.doc_id AND bucket = dim""",
 }
 ORACLES["phrase_positions_stored"] = ORACLES["phrase_positions"]
+ORACLES["ingest_observed"] = ORACLES["ingest_summary"]
+ORACLES["search_log_positions"] = f"""WITH places AS ({ORACLES['phrase_positions']}),
+hits AS (SELECT query_id, doc_id, max(score) AS score FROM places GROUP BY ALL),
+ranked AS ({best('hits', 5)})
+SELECT DISTINCT r.query_id, b.text AS query_text, rank, r.doc_id, r.score, start, stop
+FROM ranked r JOIN places p ON p.query_id = r.query_id AND p.doc_id = r.doc_id JOIN benchmark b ON b.item_id = r.query_id"""

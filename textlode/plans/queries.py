@@ -11,10 +11,10 @@ from textlode import schemas
 from textlode.functions import cleaning as C
 from textlode.functions import tokens as T
 from textlode.functions import vectors as V
-from textlode.operators import bm25, corpus, filters, lexicon, postings, profile, ranking
+from textlode.operators import annotate, bm25, corpus, filters, lexicon, postings, profile, ranking
 from textlode.operators import tokens as K
 from textlode.operators import vectors as E
-from textlode.operators.joins import lookup_join
+from textlode.operators.joins import lookup_join, top_per_group
 from textlode.plans import fixtures as X
 from textlode.plans import index, search
 from textlode.session import fresh_dir
@@ -152,6 +152,18 @@ def search_log(spark, sf):
     return spark.read.schema(schemas.SEARCH_LOG).parquet(path).drop("logged_at")
 
 
+@query
+def search_log_positions(spark, sf):
+    """Logged searches with their texts and the places of their words and pairs, read back one place a row."""
+    path = fresh_dir(spark, "log")
+    places = store.settle(phrase_positions(spark, sf))
+    hits = places.groupBy("query_id", "doc_id").agg(F.max("score").alias("score"))
+    ranked = top_per_group(hits, ["query_id"], [F.desc("score"), F.asc("doc_id")], 5)
+    store.log_searches(ranked, X.benchmark_queries(spark, sf), places, path)
+    log = spark.read.schema(schemas.SEARCHES).parquet(path)
+    return log.select("query_id", "query_text", "rank", "doc_id", "score", F.inline("positions"))
+
+
 # Cleaning
 
 
@@ -370,6 +382,48 @@ def lemmatize_lexicon(spark, sf):
     return _annotated(spark, sf).select("doc_id", "position", "token", "lemma", "pos")
 
 
+def _suffix_model():
+    """A deterministic stand-in for a lemmatiser: a final s goes, the length tells the part of speech."""
+    return lambda forms: [(f.removesuffix("s") or f, "NOUN" if len(f) % 2 else "VERB") for f in forms]
+
+
+def _sentence_model():
+    """A deterministic stand-in for a parser: words are subject, verb and object by turns, long ones are entities."""
+
+    def one(text):
+        tokens, entities, at = [], [], 0
+        for n, word in enumerate(text.split(" ")):
+            span = {"text": word, "lemma": word.removesuffix("s") or word, "start": at, "stop": at + len(word)}
+            tokens.append(span | {"pos": "NOUN" if len(word) % 2 else "VERB", "rel": ("nsubj", "root", "obj")[n % 3]})
+            if len(word) > 9:
+                entities.append(span | {"type": "ORG"})
+            at += len(word) + 1
+        return tokens, entities
+
+    return lambda texts: [one(t) for t in texts]
+
+
+@query
+def annotate_forms(spark, sf):
+    split = X.turns(spark, sf).select("doc_id", F.posexplode(T.clean_words_of(C.clear_text(F.col("text")))).alias("position", "token"))
+    return annotate.annotate_forms(split, _suffix_model).select("doc_id", "position", "token", "lemma", "pos")
+
+
+def _annotated_texts(spark, sf) -> DataFrame:
+    clean = X.turns(spark, sf).select("doc_id", C.clear_text(F.col("text")).alias("clean"))
+    return annotate.annotate_texts(clean, "clean", _sentence_model)
+
+
+@query
+def annotate_triples(spark, sf):
+    return K.extract_triples(_annotated_texts(spark, sf), "doc_id")
+
+
+@query
+def annotate_entities(spark, sf):
+    return annotate.entity_rows(_annotated_texts(spark, sf), "doc_id")
+
+
 @query
 def truncate_tokens(spark, sf):
     clean = _cleaned(spark, sf, C.clear_text).withColumn("tokens", T.clean_words_of(F.col("clean")))
@@ -535,6 +589,12 @@ def embed_hash(spark, sf):
     return _vector_rows(docs.select("doc_id", V.hash_embedding(F.col("clean")).alias("embedding")), "doc_id")
 
 
+@query
+def embed_tfidf(spark, sf):
+    vectors = E.embed_tfidf(_cleaned(spark, sf, C.clear_text))
+    return _vector_rows(vectors, "doc_id").withColumn("x", V.rounded(F.col("x")))
+
+
 def _centroids(spark, sf) -> DataFrame:
     """One query per label: the mean of the label's vectors."""
     vectors = X.table(spark, sf, "embeddings")
@@ -708,6 +768,12 @@ def relevance_levenshtein(spark, sf):
     )
 
 
+@query
+def relevance_ratio(spark, sf):
+    docs = X.turns(spark, sf).select("doc_id", C.clear_text(F.col("text")).alias("clean"))
+    return search.relevance_search(X.benchmark_queries(spark, sf), docs)
+
+
 def _homes(spark, sf) -> DataFrame:
     """First document holding each benchmark passage, with its cleaned text."""
     passages = X.table(spark, sf, "benchmark").select(
@@ -859,6 +925,14 @@ def ingest_summary(spark, sf):
     return profile.ingest_summary(statuses)
 
 
+@query
+def ingest_observed(spark, sf):
+    """The same counters, observed while the statuses are written."""
+    statuses = index.ingest_statuses(X.documents(spark, sf), low=1, high=300)
+    counters = profile.write_with_summary(statuses, fresh_dir(spark, "statuses"))
+    return spark.createDataFrame([counters], "success long, duplicates long, skipped long, errors long")
+
+
 # Sets, deduplication, mutation
 
 

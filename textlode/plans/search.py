@@ -192,14 +192,8 @@ def fragment_search(
         "ip",
         "fragment",
     ).filter(F.col("score") >= min_score)
-    scored = near.join(asked, "query_id").select(
-        "query_id",
-        "fragment",
-        rounded(R.relevance(F.col("score"), R.string_ratio("asked", "fragment"))).alias("similarity"),
-    )
-    best = settle(
-        top_per_group(scored, ["query_id"], [F.desc("similarity"), F.asc("fragment")], top_k)
-    )
+    candidates = near.join(asked, "query_id")
+    best = settle(R.most_relevant(candidates, top_k, "fragment"))
     # The containing document does not change the order, so only the winners need one.
     posts = docs.select("doc_id", clean_social(F.col("text")).alias("text"))
     homes = R.containing_doc(best.select("fragment").distinct(), min_chars(posts, "text"))
@@ -219,6 +213,22 @@ def fragment_search(
     )
 
 
+def relevance_search(queries: DataFrame, docs: DataFrame, top_k: int = 5, dim: int = 64) -> DataFrame:
+    """`(query_id, rank, doc_id, similarity)`: of the 10 top_k nearest documents the top_k by 0.6 cosine + 0.4 string similarity.
+
+    `queries(query_id, text)`, `docs(doc_id, clean)`.
+    """
+    asked = queries.select("query_id", clear_text(F.col("text")).alias("asked"))
+
+    def unit(text: str):
+        return l2_normalize(hash_embedding(F.col(text), dim)).cast("array<float>").alias("embedding")
+
+    near = settle(top_k_vectors(asked.select("query_id", unit("asked")), docs.select("doc_id", unit("clean")), 10 * top_k, "ip"))
+    texts = hinted_join(docs.select("doc_id", "clean"), near, ["doc_id"], "inner", _bounded(queries, 10 * top_k))
+    best = R.most_relevant(texts.join(asked, "query_id"), top_k, "doc_id", "clean")
+    return best.select("query_id", "rank", "doc_id", "similarity")
+
+
 def token_vector_search(
     queries: DataFrame,
     occurrences: DataFrame,

@@ -41,3 +41,24 @@ SEARCH_LOG = T.StructType(
         T.StructField("logged_at", T.TimestampType()),
     ]
 )
+
+SEARCHES = T.StructType(
+    [
+        T.StructField("query_id", T.LongType()),
+        T.StructField("query_text", T.StringType()),
+        T.StructField("rank", T.IntegerType()),
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("score", T.DoubleType()),
+        T.StructField(
+            "positions",
+            T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType())])),
+        ),
+        T.StructField("logged_at", T.TimestampType()),
+    ]
+)
+
+_SPAN = [T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType())]
+
+# What an annotator gives for a text.
+ANNOTATED_TOKENS = T.ArrayType(T.StructType([*[T.StructField(n, T.StringType()) for n in ("text", "lemma", "pos", "rel")], *_SPAN]))
+ANNOTATED_ENTITIES = T.ArrayType(T.StructType([*[T.StructField(n, T.StringType()) for n in ("text", "lemma", "type")], *_SPAN]))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textlode.operators.joins import lookup_join
-from textlode.schemas import SEARCH_LOG
+from textlode.schemas import SEARCH_LOG, SEARCHES
 from textlode.session import fresh_dir
 
 VERSION = "version"
@@ -132,6 +132,19 @@ def log_hits(hits: DataFrame, path: str) -> None:
     rows.select(*columns).write.mode("append").parquet(path)
 
 
+def log_searches(hits: DataFrame, queries: DataFrame, places: DataFrame, path: str) -> None:
+    """Appends a row per hit with the query's text, all positions found in the document, and the time of the search.
+
+    `hits(query_id, rank, doc_id, score)`, `queries(query_id, text)`, `places(query_id, doc_id, start, stop)`.  A hit without a place
+    has an empty list.
+    """
+    spots = places.groupBy("query_id", "doc_id").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("positions"))
+    rows = hits.join(spots, ["query_id", "doc_id"], "left").join(queries.select("query_id", F.col("text").alias("query_text")), "query_id", "left")
+    none = F.array().cast(SEARCHES["positions"].dataType)
+    rows = rows.withColumns({"logged_at": F.current_timestamp(), "positions": F.coalesce("positions", none)})
+    rows.select(*[F.col(f.name).cast(f.dataType) for f in SEARCHES.fields]).write.mode("append").parquet(path)
+
+
 def cluster_tokens(tokens: DataFrame) -> DataFrame:
     """Token rows laid out by lemma, so that file statistics serve lemma lookups."""
     return tokens.repartitionByRange("lemma", "doc_id").sortWithinPartitions("lemma", "doc_id")
