@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from textlode.functions.cleaning import collapse_ends
-from textlode.operators.joins import lookup_join, quoted, unused
+from textlode.operators.joins import lookup_join, numbered, quoted, unused
 from textlode.schemas import ANNOTATED_ENTITIES, ANNOTATED_TOKENS
 from textlode.sources.store import settle
 
@@ -70,7 +70,8 @@ def annotate_texts(df: DataFrame, text: str, factory: Callable[[], TextModel], b
     kept = df.drop("tokens", "entities")
     stripped = unused("_stripped", *kept.columns)
     source = kept.withColumn(stripped, F.when(collapse_ends(quoted(text)) != "", quoted(text)))
-    schema = T.StructType([*kept.schema.fields, T.StructField("tokens", ANNOTATED_TOKENS), T.StructField("entities", ANNOTATED_ENTITIES)])
+    source = numbered(source)
+    schema = T.StructType([*source.schema.fields[:-1], T.StructField("tokens", ANNOTATED_TOKENS), T.StructField("entities", ANNOTATED_ENTITIES)])
     out = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,7 +84,7 @@ def annotate_texts(df: DataFrame, text: str, factory: Callable[[], TextModel], b
             entities = pa.array([list(r[1]) for r in rows], out.field("entities").type)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], tokens, entities], schema=out)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(run, schema).toDF(*kept.columns, "tokens", "entities")
 
 
 def entity_rows(annotated: DataFrame, *keys: str) -> DataFrame:

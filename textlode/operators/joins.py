@@ -25,6 +25,11 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """The columns under plain names, `c0`, `c1`, ..; batch functions cannot take every name."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def within(df: DataFrame, max_rows: int) -> bool:
     """Whether `df` has at most `max_rows` rows; reads no more than that."""
     return df.limit(max_rows + 1).count() <= max_rows
