@@ -95,6 +95,25 @@ def test_a_telling_word_is_found_and_common_ones_are_not(spark):
     assert "Zorblat" not in clean[200] and "ann@" not in clean[200] and "[email]" in clean[200]
 
 
+def test_copies_change_no_estimate(spark):
+    """Every document, or only those that tell, 1, 60 and 300 times: the same words are found."""
+    filler = [f"the common words number {chr(97 + i % 26) * 5} stand here {i}" for i in range(400)]
+    near = [f"the {w} called Zorblat with ann@mail.org for the {w}" for w in ("budget", "answer")]
+
+    def said(texts):
+        frame = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4).selectExpr("1L AS doc_id", "text")
+        found = find_disclosures(frame.withColumn("doc_id", F.xxhash64("text"))).distinct().collect()
+        by_id = {r.doc_id: r.spans for r in found}
+        ids = spark.createDataFrame([(t,) for t in set(texts)], "text string").select(F.xxhash64("text"), "text").collect()
+        return {(t, t[s.start : s.end]) for i, t in ids for s in by_id[i] if s.kind == 4}
+
+    want = said(filler + near)
+    assert {w for _, w in want} >= {"Zorblat"} and not {w for _, w in want} & {"the", "budget"}
+    for times in (60, 300):
+        assert said(filler + near * times) == want, times
+    assert said((filler + near) * 60) == want
+
+
 def test_one_context_is_no_estimate(spark):
     same = "only ever Quuxly before bob@mail.org once"
     docs = spark.createDataFrame([(i, same) for i in range(5)], "doc_id long, text string")

@@ -8,6 +8,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textlode.operators.joins import quoted, unused
+
 # A table is broadcast only after its text was counted to hold at most this many bytes.
 BROADCAST_BYTES = 8 << 20
 BROADCAST_ROWS = 100_000
@@ -45,9 +47,10 @@ def spread_join(big: DataFrame, small: DataFrame, on: str, how: str, small_fits:
     if small_fits:
         return big.join(F.broadcast(small), on, how)
     salts = 64
-    dealt = big.withColumn("_salt", F.pmod(F.xxhash64(*map(F.col, big.columns)), F.lit(salts)))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    return dealt.join(copies, [on, "_salt"], how).drop("_salt")
+    name = unused("_salt", *big.columns, *small.columns)
+    dealt = big.withColumn(name, F.pmod(F.xxhash64(*map(quoted, big.columns)), F.lit(salts)))
+    copies = small.withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return dealt.join(copies, [on, name], how).drop(name)
 
 
 def once_per_worker(key: str, build):

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from textlode.llm.common import small_batches
 from textlode.llm.shingles import MARKS, pieces, shingles, words
 from textlode.llm.trigrams import text_buffer
+from textlode.operators.joins import numbered
 from textlode.sources.store import settle
 
 WORDS, SIMILARITY = 5, 0.8
@@ -322,6 +323,7 @@ def without_leaks(
 
         return run
 
+    plain = numbered(docs)
     for items in _slices(benchmark, k, slice_bytes):
-        docs = docs.mapInArrow(scan(items), docs.schema)
-    return docs
+        plain = plain.mapInArrow(scan(items), plain.schema)
+    return plain.toDF(*docs.columns)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textlode.llm.common import fits, spread_join
+from textlode.operators.joins import quoted, unused
 from textlode.sources.store import settle
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -156,18 +157,20 @@ def document_frequencies(texts: DataFrame) -> DataFrame:
 def disclosing_terms(entities: DataFrame, frequencies: DataFrame, documents: int, ratio: float, support: int) -> DataFrame:
     """`(entity, term, pmi, information)` for words that reveal at least `ratio` of an entity's information.
 
-    Equal contexts (copies of a text) count once.  PMI is ln(n(e,t) N / (n(e) df(t))), the information
-    content of the entity ln(N / n(e)); n counts different contexts.
+    PMI is ln(n(e,t) N / (n(e) df(t))), the information content of the entity ln(N / n(e)).  All four numbers count documents,
+    so copying all documents, or those of an entity, changes no ratio.  An entity, and an entity with a word, needs `support`
+    different contexts (copies of a context once).
     """
-    contexts = entities.select("entity", "left", "right").distinct()
-    counted = contexts.groupBy("entity").agg(F.count("*").alias("n_e")).filter(F.col("n_e") >= support)
-    near = _contexts(contexts.selectExpr("0 rid", "entity", "0 start", "0 end", "left", "right"))
+    met = entities.select("rid", "entity", "left", "right").distinct()
+    context = F.xxhash64("left", "right")
+    counted = met.groupBy("entity").agg(F.countDistinct("rid").alias("n_e"), F.countDistinct(context).alias("contexts"))
+    counted = settle(counted.filter(F.col("contexts") >= support).select("entity", "n_e"))
+    recurring = spread_join(met, counted.select("entity"), "entity", "left_semi", fits(counted, F.octet_length("entity")))
+    near = _contexts(recurring.selectExpr("rid", "entity", "0 start", "0 end", "left", "right"))
     together = (
-        near.select("entity", "context", "term")
-        .distinct()
-        .groupBy("entity", "term")
-        .agg(F.count("*").alias("n_et"))
-        .filter(F.col("n_et") >= support)
+        near.groupBy("entity", "term")
+        .agg(F.countDistinct("rid").alias("n_et"), F.countDistinct("context").alias("contexts"))
+        .filter(F.col("contexts") >= support)
     )
     n = F.lit(float(max(documents, 1)))
     return (
@@ -243,15 +246,13 @@ def generalised(text: Column, spans: Column) -> Column:
 
 def sanitise(docs: DataFrame, ratio: float = RATIO, support: int = SUPPORT, text_col: str = "text") -> DataFrame:
     """`docs` with every disclosure generalised; all columns and rows stay, a null text stays null."""
-    kept = settle(docs.withColumn("_row", F.monotonically_increasing_id()))
-    rows = kept.select(
-        F.col("_row").alias("rid"), F.col("_row").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text")
-    )
-    spans = _spans(rows, ratio, support).filter(F.size("spans") > 0).select(
-        F.col("rid").alias("_row"), F.col("spans").alias("_spans")
-    )
-    new = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(generalised(F.col(text_col), F.col("_spans")))
-    return kept.join(spans, "_row", "left").withColumn(text_col, new).select(*docs.columns)
+    row, found = unused("_row", *docs.columns), unused("_spans", *docs.columns)
+    kept = settle(docs.withColumn(row, F.monotonically_increasing_id()))
+    text = quoted(text_col)
+    rows = kept.select(F.col(row).alias("rid"), F.col(row).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
+    spans = _spans(rows, ratio, support).filter(F.size("spans") > 0).select(F.col("rid").alias(row), F.col("spans").alias(found))
+    new = F.when(F.col(found).isNull(), text).otherwise(generalised(text, F.col(found)))
+    return kept.join(spans, row, "left").withColumn(text_col, new).select(*map(quoted, docs.columns))
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -229,10 +229,10 @@ entities AS (
 near AS ({_near('l', 'start - length(l)', 'upto - length(word) > 0')}
     UNION ALL {_near('r', 'stop', 'upto < 40')}),
 recurring AS (
-    SELECT entity, count(*) AS n_e FROM (SELECT DISTINCT entity, l, r FROM entities) GROUP BY entity HAVING count(*) >= 2
+    SELECT entity, count(DISTINCT doc_id) AS n_e FROM entities GROUP BY entity HAVING count(DISTINCT (l, r)) >= 2
 ),
 together AS (
-    SELECT entity, term, count(*) AS n_et FROM (SELECT DISTINCT entity, l, r, term FROM near) GROUP BY entity, term HAVING count(*) >= 2
+    SELECT entity, term, count(DISTINCT doc_id) AS n_et FROM near GROUP BY entity, term HAVING count(DISTINCT (l, r)) >= 2
 ),
 frequencies AS (
     SELECT term, count(*) AS df

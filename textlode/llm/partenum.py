@@ -24,6 +24,7 @@ from textlode.llm.common import fits, mix, small_batches, spread_join
 from textlode.llm.components import components
 from textlode.llm.shingles import shingle_sets
 from textlode.llm.trigrams import text_buffer
+from textlode.operators.joins import quoted, unused
 from textlode.sources.store import settle
 
 # Ratio of the sizes at a band's ends.
@@ -648,13 +649,15 @@ def one_per_group(
     several = settle(several.groupBy("root", "first", "_key").agg(F.count("*").alias("c")))
     losers = several.filter(F.col("_key") != F.col("first")).select("_key").distinct()
     again = settle(several.filter((F.col("_key") == F.col("first")) & (F.col("c") > 1)).select("_key"))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    named = docs.withColumn("_key", F.xxhash64(F.col(id_col).cast("long"), F.xxhash64(text)))
-    losers = settle(losers)
-    kept = spread_join(named, losers, "_key", "left_anti", fits(losers, F.lit(8)))
+    own = unused("_key", *docs.columns)
+    text = F.coalesce(quoted(text_col), F.lit(""))
+    named = docs.withColumn(own, F.xxhash64(quoted(id_col).cast("long"), F.xxhash64(text)))
+    losers = settle(losers.withColumnRenamed("_key", own))
+    again = again.withColumnRenamed("_key", own)
+    kept = spread_join(named, losers, own, "left_anti", fits(losers, F.lit(8)))
     if not again.isEmpty():
         # Rows alike in id and text.
         small = fits(again, F.lit(8))
-        alike = spread_join(kept, again, "_key", "left_semi", small).dropDuplicates(["_key"])
-        kept = spread_join(kept, again, "_key", "left_anti", small).unionByName(alike)
-    return kept.select(*docs.columns)
+        alike = spread_join(kept, again, own, "left_semi", small).dropDuplicates([own])
+        kept = spread_join(kept, again, own, "left_anti", small).unionByName(alike)
+    return kept.select(*map(quoted, docs.columns))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from textlode.llm.common import small_batches
 from textlode.llm.trigrams import candidates, postings, text_buffer, trigram_query, trigrams_of
+from textlode.operators.joins import numbered
 
 
 class Rule(NamedTuple):
@@ -145,7 +146,8 @@ def redact_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, text_
                 new[i] = "".join(out) + new[i][done:]
             yield batch.set_column(at, batch.schema.field(at), pa.array(new, texts.type))
 
-    clean = docs.mapInArrow(run, docs.schema)
+    plain = numbered(docs)
+    clean = plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
     if "n_chars" in docs.columns and text_col == "text":
         kind = docs.schema["n_chars"].dataType
         clean = clean.withColumn("n_chars", F.char_length("text").cast(kind))

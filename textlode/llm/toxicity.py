@@ -16,8 +16,10 @@ from typing import NamedTuple
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textlode.llm.common import small_batches
+from textlode.operators.joins import numbered
 from textlode.sources.store import settle
 
 # Labelled documents of each class that the fit sees at most, chosen by a hash of their id.
@@ -247,7 +249,8 @@ def score_severity(
             values = np.array(severity, float)
             grades = np.minimum(GRADES - 1, np.floor(values + 0.5)).astype(np.int32)
             columns = [pa.array(values), pa.array(grades), pa.array(values >= reject)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *taken])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "t0", "t1", "t2"])
 
-    spelled = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return kept.mapInArrow(run, f"{spelled}, `{taken[0]}` double, `{taken[1]}` int, `{taken[2]}` boolean")
+    plain, kinds = numbered(kept), (T.DoubleType(), T.IntegerType(), T.BooleanType())
+    schema = T.StructType([*plain.schema.fields, *[T.StructField(f"t{i}", kind) for i, kind in enumerate(kinds)]])
+    return plain.mapInArrow(run, schema).toDF(*kept.columns, *taken)
