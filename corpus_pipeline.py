@@ -18,6 +18,7 @@ from textlode.llm.packing import pack_documents
 from textlode.llm.partenum import one_per_group
 from textlode.llm.secret_scan import redact_secrets
 from textlode.llm.toxicity import fit_severity, score_severity
+from textlode.operators.joins import quoted
 from textlode.sources.store import settle
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -27,7 +28,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose expected grade of toxicity reaches the threshold go."""
     model = fit_severity(docs, read(spark, sf_dir, "labels"))
     scored = score_severity(docs, model, prefix="_toxicity_")
-    return scored.filter(~F.col("_toxicity_rejected")).select(*docs.columns)
+    return scored.filter(~F.col("_toxicity_rejected")).select(*map(quoted, docs.columns))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
