@@ -50,7 +50,8 @@ def words_as_terms(queries: DataFrame) -> DataFrame:
 
 
 def bm25_search(queries: DataFrame, docs: DataFrame, n: int) -> DataFrame:
-    return bm25_in_postings(queries, term_rows(docs), n)
+    # Counted once: the scores, the frequencies and the lengths all read the counts.
+    return bm25_in_postings(queries, settle(term_rows(docs)), n)
 
 
 def bm25_in_postings(queries: DataFrame, postings: DataFrame, n: int) -> DataFrame:
@@ -133,7 +134,7 @@ def hybrid_search_expanded(
     """
     fits = _bounded(queries, 2 * n)
     terms = expand_synonyms(query_lemmas(queries, lexicon), synonyms)
-    rows = lemma_rows(term_rows(docs), lexicon)
+    rows = settle(lemma_rows(term_rows(docs), lexicon))
     candidates = settle(
         bm25_top_n(query_terms(terms), rows, 2 * n).select(
             "query_id", "doc_id", "dl", F.col("score").alias("bm25")
@@ -150,6 +151,11 @@ def hybrid_search_expanded(
 
 def social_fragments(docs: DataFrame, text: str = "text") -> DataFrame:
     """Distinct cleaned sentences of at least three words, as `(fragment)`."""
+    return fragments_of(docs.select(clean_social(F.col(text)).alias("text")))
+
+
+def fragments_of(posts: DataFrame) -> DataFrame:
+    """The same from socially cleaned texts `posts(text)`."""
 
     def fragments(post: Column) -> Column:
         cleaned = F.transform(sentences(post), clean_social)
@@ -159,7 +165,7 @@ def social_fragments(docs: DataFrame, text: str = "text") -> DataFrame:
 
     # The conditions sit inside the generator, so that no pushed-down filter
     # cleans every text a second time.
-    return docs.select(F.explode(let(clean_social(F.col(text)), fragments)).alias("fragment")).distinct()
+    return posts.select(F.explode(let(F.col("text"), fragments)).alias("fragment")).distinct()
 
 
 def fragment_search(
@@ -177,7 +183,9 @@ def fragment_search(
     bounded candidate table.
     """
     fits = _bounded(queries, 10 * top_k)
-    fragments = social_fragments(docs)
+    # Cleaned once, for the fragments, their documents and the context.
+    posts = settle(docs.select("doc_id", clean_social(F.col("text")).alias("text")))
+    fragments = fragments_of(posts)
 
     def unit(text: str):
         # Sentences keep `.,!?`; the words to embed are those of the full cleaning.
@@ -195,7 +203,6 @@ def fragment_search(
     candidates = near.join(asked, "query_id")
     best = settle(R.most_relevant(candidates, top_k, "fragment"))
     # The containing document does not change the order, so only the winners need one.
-    posts = docs.select("doc_id", clean_social(F.col("text")).alias("text"))
     homes = R.containing_doc(best.select("fragment").distinct(), min_chars(posts, "text"))
     home_texts = hinted_join(posts, homes, ["doc_id"], "inner", fits).select(
         "fragment", F.col("text").alias("home")
@@ -326,7 +333,7 @@ def phrase_search(
     fits = _bounded(queries, n)
     terms, asked = _asked_phrases(queries, lexicon, synonyms)
     clean = docs.select("doc_id", clear_text(F.col("text")).alias("clean"))
-    rows = lemma_rows(term_rows(clean), lexicon)
+    rows = settle(lemma_rows(term_rows(clean), lexicon))
     scores = settle(
         bm25_top_n(query_terms(terms), rows, n).select("query_id", "doc_id", "score")
     )
