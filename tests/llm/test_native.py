@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from textlode.llm.oracles import ORACLES
 from textlode.llm.queries import QUERIES
+from textlode.llm import url_reputation
 from textlode.llm.sharding import shard_by_splitters
 from textlode.llm.url_reputation import filter_urls, host_reputation, label_outcomes
 
@@ -102,6 +103,36 @@ def test_shards(spark, hot):
     assert sum(sums) == docs.selectExpr("sum(coalesce(octet_length(text), 0) + 16)").first()[0]
 
 
+def test_ranges_follow_the_rows_and_change_nothing(spark):
+    docs = spark.range(4000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, F.repeat(F.lit("x"), (F.col("id") % 97).cast("int"))).alias("text")
+    ).coalesce(2)
+    found = sorted(map(tuple, shard_by_splitters(docs, 7).collect()))
+    assert sorted(map(tuple, shard_by_splitters(docs, 7, range_rows=2).collect())) == found
+    # The law, row by row: a record lies where the middle of its bytes does, all records in one order.
+    total, before = sum(r[1] for r in found), 0
+    for doc_id, size, crc, law, shard, slot, grown in sorted(found, key=lambda r: (r[4], r[5])):
+        assert shard == min(6, (2 * before + size) * 7 // (2 * total))
+        before += size
+    # Equal texts are neighbours.
+    texts = [r[2] for r in sorted(found, key=lambda r: (r[4], r[5]))]
+    assert sum(a != b for a, b in zip(texts, texts[1:])) == len(set(texts)) - 1
+
+
+def test_levels_of_hosts(spark):
+    levels = {
+        "a.b.gov.uk": ("b.gov.uk", "gov.uk"), "gov.uk": ("gov.uk", "gov.uk"), "me.github.io": ("me.github.io", "github.io"),
+        "x.y.com": ("y.com", "com"), "y.com:8443": ("y.com", "com"), "y.com.": ("y.com", "com"), "u:p@www.y.com:80": ("y.com", "com"),
+        "192.168.10.7": ("192.168.10.7", "192.168.10.7"), "10.9.10.7:80": ("10.9.10.7", "10.9.10.7"), "[::1]:80": ("[::1]", "[::1]"),
+        "localhost": ("localhost", "localhost"), "": ("", ""), "a.b.s3.amazonaws.com": ("b.s3.amazonaws.com", "s3.amazonaws.com"),
+        "q.b.example": ("q.b.example", "b.example"),
+    }
+    hosts = spark.createDataFrame([(h,) for h in levels], "host string")
+    own = (*url_reputation.SUFFIXES, "b.example", "example")
+    found = hosts.select("host", url_reputation.domain_of(F.col("host"), own), url_reputation.suffix_of(F.col("host"), own)).collect()
+    assert {r[0]: (r[1], r[2]) for r in found} == levels
+
+
 def test_shards_of_little(spark):
     schema = "doc_id long, text string"
     assert shard_by_splitters(spark.createDataFrame([], schema)).count() == 0

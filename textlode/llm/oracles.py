@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
+from textlode.llm.url_reputation import SUFFIXES
+
 ORACLES: dict[str, str] = {}
 
 # Host reputation: rules first, then the lower bound of the host's posterior, as in url_reputation.py.
-_TWO = "('co.uk', 'org.uk', 'ac.uk', 'com.au', 'co.jp', 'com.br', 'co.nz', 'co.za')"
+def _level(more: int) -> str:
+    """The longest listed suffix of `name`, or its last label, and `more` labels before; an address is its own."""
+
+    def last(labels: int) -> str:
+        return f"array_to_string((string_split(name, '.'))[-{labels}:], '.')"
+
+    found = last(1 + more)
+    for labels in sorted({s.count(".") + 1 for s in SUFFIXES}):
+        own = ", ".join(f"'{s}'" for s in SUFFIXES if s.count(".") + 1 == labels)
+        found = f"CASE WHEN {last(labels)} IN ({own}) THEN {last(labels + more)} ELSE {found} END"
+    return f"CASE WHEN regexp_matches(name, '^[0-9]+(\\.[0-9]+){{3}}$|^\\[|:') THEN name ELSE {found} END"
 
 
 def _strength(children: str) -> str:
@@ -48,17 +60,9 @@ counted AS (
     FROM parts LEFT JOIN outcomes USING (page_id) GROUP BY host
 ),
 hosts AS (
-    SELECT *, split_part(host, '.', -1) AS last,
-           CASE WHEN host LIKE '%.%' THEN split_part(host, '.', -2) || '.' || split_part(host, '.', -1) ELSE host END AS two
-    FROM counted
-),
-named AS (
-    SELECT host, n, bad,
-           CASE WHEN two IN {_TWO} THEN two ELSE last END AS suffix,
-           CASE WHEN two IN {_TWO} AND length(host) > length(two)
-                THEN split_part(host, '.', -3) || '.' || two ELSE two END AS domain
-    FROM hosts
+    SELECT *, regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '\.$', '') AS name FROM counted
 ),
+named AS (SELECT host, n, bad, {_level(0)} AS suffix, {_level(1)} AS domain FROM hosts),
 domains AS (SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad FROM named GROUP BY suffix, domain),
 suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY suffix),
 base AS (SELECT (coalesce(sum(bad), 0) + 1.0) / (coalesce(sum(n), 0) + 2.0) AS rate FROM suffixes),

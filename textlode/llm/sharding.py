@@ -13,15 +13,15 @@ from pyspark.sql import functions as F
 
 from textlode.sources.store import settle
 
-# Expected number of sampled records: a constant, whatever the size of the input.
-SAMPLE = 16_384
-# Ranges are found by two short searches, in COARSE blocks of FINE boundaries each.
-COARSE, FINE = 24, 24
+# Records of a range, and ranges at least and at most; expected sampled records for each range.
+RANGE_ROWS, LEAST_RANGES, MOST_RANGES, SAMPLED = 100_000, 576, 65_536, 28
+# Boundaries are looked up by so many leading bits of the key, which is a hash.
+CELL_BITS = 14
 OVERHEAD = 16
 
 
-def _splitters(records: DataFrame, total: int, sample: int, ranges: int) -> list:
-    """At most `ranges` boundaries (key, rid), ascending, of about equal bytes between them.
+def _splitters(records: DataFrame, total: int, sample: int, ranges: int) -> DataFrame:
+    """At most `ranges` boundaries `(key, rid)` of about equal bytes between them.
 
     A record is drawn with a probability in proportion to its size; one that
     would be drawn for certain counts with its whole size.
@@ -30,33 +30,38 @@ def _splitters(records: DataFrame, total: int, sample: int, ranges: int) -> list
     drawn = F.pmod(F.xxhash64("rid", F.lit(20_011)), F.lit(1 << 32)) / F.lit(float(1 << 32)) < share
     weighted = records.filter(drawn).select("key", "rid", F.greatest(F.lit(1.0), share).alias("weight"))
     order = Window.orderBy("key", "rid")
-    running = weighted.select("key", "rid", F.sum("weight").over(order).alias("run"))
-    whole = running.agg(F.max("run")).first()[0]
-    if not whole:
-        return []
+    # The sample has a bounded number of rows.
+    running = settle(weighted.select("key", "rid", F.sum("weight").over(order).alias("run")))
+    whole = running.agg(F.coalesce(F.max("run"), F.lit(1.0))).first()[0]
     cell = F.floor(F.col("run") * F.lit(ranges / whole))
     found = running.groupBy(cell.alias("cell")).agg(F.min(F.struct("key", "rid")).alias("at"))
-    return [row.at for row in found.orderBy("at").collect()]
+    return found.select("at.key", "at.rid")
 
 
-def _range_of(splitters: list, fine: int) -> Column:
-    """Number of boundaries at or below the record: a search among blocks, then within one."""
-    here = F.struct(F.col("key"), F.col("rid"))
+def _cell(key: Column) -> Column:
+    return F.shiftright(key, 64 - CELL_BITS)
+
 
-    def literal(bounds: list) -> Column:
-        return F.array(*[F.struct(F.lit(b.key).alias("key"), F.lit(b.rid).alias("rid")) for b in bounds])
+def _ranged(records: DataFrame, splitters: DataFrame) -> DataFrame:
+    """`records` with `range`, the number of boundaries at or below them.
 
-    if not splitters:
-        return F.lit(0)
-    blocks = [splitters[i : i + fine] for i in range(0, len(splitters), fine)]
-    below = lambda bounds: F.size(F.filter(bounds, lambda b: b <= here))
-    block = F.greatest(below(literal([b[0] for b in blocks])), F.lit(1))
-    inside = F.element_at(F.array(*[literal(b) for b in blocks]), block)
-    return (block - 1) * F.lit(fine) + below(inside)
+    Boundaries of a cell of keys are one row, with the number of those before; there are 2 ** CELL_BITS cells, so they are broadcast.
+    """
+    cells = splitters.sparkSession.range(-(1 << CELL_BITS - 1), 1 << CELL_BITS - 1).select(F.col("id").alias("cell"))
+    own = splitters.groupBy(_cell(F.col("key")).alias("cell")).agg(
+        F.array_sort(F.collect_list(F.struct("key", "rid"))).alias("bounds"), F.count("*").alias("own")
+    )
+    none = F.array().cast("array<struct<key:bigint,rid:bigint>>")
+    before = F.coalesce(F.sum("own").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    table = settle(cells.join(own, "cell", "left").select("cell", F.coalesce("bounds", none).alias("bounds"), before.alias("before")))
+    here = F.struct(F.col("key"), F.col("rid"))
+    keyed = records.withColumn("cell", _cell(F.col("key")))
+    number = F.col("before") + F.size(F.filter("bounds", lambda b: b <= here))
+    return keyed.join(F.broadcast(table), "cell").withColumn("range", number).drop("cell", "bounds", "before")
 
 
 def shard_by_splitters(
-    docs: DataFrame, shards: int = 40, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, shards: int = 40, range_rows: int = RANGE_ROWS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """`(doc_id, size, text_crc32, law, shard, slot, grown_shard)`, one row per row of `docs`.
 
@@ -77,11 +82,12 @@ def shard_by_splitters(
             F.monotonically_increasing_id().alias("rid"),
         )
     )
-    total = records.agg(F.sum("size")).first()[0] or 1
-    splitters = _splitters(records, total, sample, COARSE * FINE)
-    ranged = records.withColumn("range", _range_of(splitters, FINE))
+    size = records.agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).first()
+    total = size.bytes or 1
+    ranges = max(LEAST_RANGES, min(MOST_RANGES, size.rows // range_rows))
+    ranged = settle(_ranged(records, _splitters(records, total, ranges * SAMPLED, ranges)))
 
-    # One row per range, COARSE * FINE + 1 at most: bytes and rows before it.
+    # One row per range, MOST_RANGES + 1 at most: bytes and rows before it.
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy("range")

@@ -16,8 +16,14 @@ from textlode.sources.store import settle
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-# Suffixes of two labels; every other suffix is the last label.
-TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.nz", "co.za")
+# Suffixes under which names are registered, where it is not the last label; a parameter, for the full list of public suffixes.
+SUFFIXES = (
+    "co.uk", "org.uk", "ac.uk", "gov.uk", "me.uk", "net.uk", "com.au", "net.au", "org.au", "edu.au", "gov.au",
+    "co.jp", "ne.jp", "or.jp", "ac.jp", "go.jp", "com.br", "org.br", "gov.br", "co.nz", "org.nz", "govt.nz", "co.za", "org.za",
+    "co.in", "org.in", "gov.in", "com.cn", "org.cn", "gov.cn", "com.mx", "com.ar", "com.tr", "co.kr", "com.tw", "com.sg", "com.hk",
+    "github.io", "gitlab.io", "pages.dev", "netlify.app", "vercel.app", "herokuapp.com", "web.app", "firebaseapp.com",
+    "blogspot.com", "wordpress.com", "azurewebsites.net", "cloudfront.net", "s3.amazonaws.com",
+)
 
 # Bounds of a prior's strength, counted in pages.
 WEAKEST, STRONGEST = 1.0, 10_000.0
@@ -46,15 +52,33 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(_rest(url), r"^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def suffix_of(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index(host, ".", -1))
+def name_of(host: Column) -> Column:
+    """The host's name alone: without user, port and final dot."""
+    bare = F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r":[0-9]*$", "")
+    return F.regexp_replace(bare, r"\.$", "")
 
 
-def domain_of(host: Column) -> Column:
-    """The registered domain: the suffix and one label more."""
-    two = F.substring_index(host, ".", -2).isin(*TWO_LABEL_SUFFIXES)
-    return F.when(two, F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2))
+def _address(name: Column) -> Column:
+    """Whether a name is an IP address, which has no parts."""
+    return F.rlike(name, F.lit(r"^[0-9]+(\.[0-9]+){3}$|^\[|:"))
+
+
+def _level(name: Column, suffixes: tuple[str, ...], more: int) -> Column:
+    """The longest listed suffix of a name, or its last label, and `more` labels before."""
+    found = F.substring_index(name, ".", -1 - more)
+    for labels in sorted({s.count(".") + 1 for s in suffixes}):
+        own = [s for s in suffixes if s.count(".") + 1 == labels]
+        found = F.when(F.substring_index(name, ".", -labels).isin(own), F.substring_index(name, ".", -labels - more)).otherwise(found)
+    return F.when(_address(name), name).otherwise(found)
+
+
+def suffix_of(host: Column, suffixes: tuple[str, ...] = SUFFIXES) -> Column:
+    return _level(name_of(host), suffixes, 0)
+
+
+def domain_of(host: Column, suffixes: tuple[str, ...] = SUFFIXES) -> Column:
+    """The registered domain: the suffix and one label more; an address is its own."""
+    return _level(name_of(host), suffixes, 1)
 
 
 def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
@@ -88,7 +112,7 @@ def _strength(children: DataFrame) -> float:
     return min(STRONGEST, max(WEAKEST, chance / between - 1)) if between > 1e-12 else STRONGEST
 
 
-def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = 1.645) -> DataFrame:
+def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = 1.645, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
     """`(host, n, bad, mean, lower, upper)` for every host of `pages(page_id, host)`.
 
     `outcomes(page_id, bad)` holds 0 or 1 per labelled page; null ids and null
@@ -115,8 +139,8 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = 1.645) ->
         .join(labelled, "host", "left")
         .select(
             "host",
-            domain_of(F.col("host")).alias("domain"),
-            suffix_of(F.col("host")).alias("suffix"),
+            domain_of(F.col("host"), suffixes).alias("domain"),
+            suffix_of(F.col("host"), suffixes).alias("suffix"),
             F.coalesce("n", F.lit(0)).alias("n"),
             F.coalesce("bad", F.lit(0)).alias("bad"),
         )
@@ -158,20 +182,22 @@ def filter_urls(
     z: float = 1.645,
     id_col: str = "page_id",
     url_col: str = "url",
+    suffixes: tuple[str, ...] = SUFFIXES,
 ) -> DataFrame:
     """`(page_id, host, path, rule, verdict)`, one row per row of `pages`.
 
     Verdict: that of the longest fitting rule; else `block` when the lower
     bound of the host's posterior rate of bad pages exceeds `threshold`, else
     `allow`.  Null urls and urls without `://` have an empty host and path and
-    share the reputation of the empty host.
+    share the reputation of the empty host.  `suffixes` are those under which names are registered; user, port and final dot
+    belong to no level, and an address is its own domain and suffix.
     """
     parts = pages.select(
         F.col(id_col).cast("long").alias("page_id"),
         host_of(F.col(url_col)).alias("host"),
         path_of(F.col(url_col)).alias("path"),
     )
-    reputation = host_reputation(parts, outcomes, z)
+    reputation = host_reputation(parts, outcomes, z, suffixes)
     blocked = settle(reputation.filter(F.col("lower") > threshold).select("host", F.lit(True).alias("blocked")))
     small = fits(blocked, F.octet_length("host"))
     rule, says = rule_of(F.col("host"), F.col("path"), rules)
