@@ -131,3 +131,22 @@ def test_bitmaps_never_differ_more_than_the_sets(spark):
     found = {r.i: r.d for r in frame.select("i", partenum._differing(F.col("x"), F.col("y")).alias("d")).collect()}
     assert len(found) > 20 and all(found[i] <= w and found[i] % 2 == w % 2 for i, w in enumerate(want))
     assert all(found[i] >= 0.6 * w for i, w in enumerate(want))
+
+
+def test_words_of_long_buffers_are_those_of_short_ones(monkeypatch):
+    import random
+
+    from textlode.llm import shingles
+
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abC \t\né.") for _ in range(rng.choice([0, 1, 5, 900]))) for _ in range(60)] + ["x" * 2_000, "", "q"]
+    raw = [t.encode() for t in texts]
+    buffer = np.frombuffer(b"".join(raw), np.uint8)
+    starts = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    for between in (shingles.SPACE, shingles.MARKS):
+        whole = shingles.words(buffer, starts, between)
+        with monkeypatch.context() as patch:
+            patch.setattr(shingles, "CHUNK", 40)
+            cut = shingles.words(buffer, starts, between)
+        assert all((a == b).all() for a, b in zip(whole, cut))
+        assert whole[1][-1] == sum(len([w for w in "".join(c if not between[ord(c)] else " " for c in t.replace("é", "\xe9")).split(" ") if w]) for t in texts)

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 
 from textlode.llm.queries import QUERIES
@@ -24,6 +26,29 @@ def test_query_scores_every_row(spark):
     assert all(0 <= r.severity <= 3 and r.rejected == (r.severity >= 0.5) for r in rows)
 
 
+def test_scores_equal_a_plain_computation(spark):
+    """All documents by the model's weights, feature by feature."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = fit_severity(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    assert model.weights and model.thresholds[0] < model.thresholds[1] < model.thresholds[2]
+
+    def plain(text):
+        seen, word = {}, ""
+        for c in (text or "").lower() + " ":
+            if c.isalpha():
+                word += c
+                continue
+            for f in [word, *[word[:k] + "-" for k in (4, 5, 6) if len(word) > k]]:
+                seen[f] = seen.get(f, 0) + 1
+            word = ""
+        eta = sum(math.log(1 + n) * model.weights[f] for f, n in seen.items() if f in model.weights)
+        return sum(1 / (1 + math.exp(min(500, t - eta))) for t in model.thresholds)
+
+    for r in score_severity(docs, model).collect():
+        want = plain(r.text)
+        assert abs(r.severity - want) < 2e-6 and r.rejected == (r.severity >= 0.5) and r.grade == min(3, int(r.severity + 0.5))
+
+
 def test_thresholds_are_ordered_and_grades_recovered():
     rng = np.random.default_rng(0)
     strength = rng.integers(0, 4, 600)

@@ -44,15 +44,39 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def words(buffer: np.ndarray, starts: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of all texts, and the number of the first word of each text (and of the end)."""
+    """Hashes of the words of all texts, and the number of the first word of each text (and of the end).
+
+    A long buffer is worked on piece by piece, cut where no word is, so that the tables of powers stay as long as a piece.
+    """
+    hashes, begins = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    low = 0
+    while low < len(buffer):
+        high = len(buffer) if len(buffer) - low <= 2 * CHUNK else _gap(buffer, low + CHUNK, between)
+        inner = starts[(starts > low) & (starts < high)] - low
+        own, begin = _word_hashes(buffer[low:high], inner, between)
+        hashes.append(own)
+        begins.append(begin + low)
+        low = high
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(begins), starts)
+
+
+def _gap(buffer: np.ndarray, at: int, between: np.ndarray) -> int:
+    """The first place from `at` that belongs to no word, or the end."""
+    while at < len(buffer):
+        found = np.flatnonzero(between[_LOWER[buffer[at : at + CHUNK]]])
+        if len(found):
+            return at + int(found[0])
+        at += CHUNK
+    return len(buffer)
+
+
+def _word_hashes(buffer: np.ndarray, edges: np.ndarray, between: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words and where they begin; at `edges` another text begins."""
     n = len(buffer)
-    if n == 0:
-        return np.empty(0, np.uint64), np.zeros(len(starts), np.int64)
     low = _LOWER[buffer]
     solid = ~between[low]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
-    edges = starts[(starts > 0) & (starts < n)]
     first[edges] = solid[edges]
     last = solid.copy()
     last[:-1] &= ~solid[1:]
@@ -62,7 +86,7 @@ def words(buffer: np.ndarray, starts: np.ndarray, between: np.ndarray = SPACE) -
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTES[low] * power[:n], out=sums[1:])
     hashes = (sums[end] - sums[begin]) * inverse[begin]
-    return mix(hashes + (end - begin).astype(np.uint64)), np.searchsorted(begin, starts)
+    return mix(hashes + (end - begin).astype(np.uint64)), begin
 
 
 def shingles(hashes: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
