@@ -79,7 +79,7 @@ def test_packing(kept, tokenizer):  # noqa: F811
 def test_registered(spark, sf_dir, kept):
     queries = __spark_entry__.queries()
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries if name.startswith("op") and name[2].isdigit())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     found = queries["pipeline"](spark, sf_dir)
     pick = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert sorted(map(tuple, found.select(*pick).collect())) == sorted(map(tuple, kept["packing"][1].select(*pick).collect()))
