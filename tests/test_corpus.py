@@ -240,6 +240,18 @@ def test_validators(spark):
     assert filters.vector_width(empty) == 768
 
 
+def test_release_deletes_the_applications_folder(spark, monkeypatch, tmp_path):
+    from textlode import session
+
+    kept = tmp_path / "other"
+    kept.mkdir()
+    monkeypatch.setattr(session, "work_dir", lambda spark: str(tmp_path / "app"))
+    spark.range(1).write.parquet(session.fresh_dir(spark, "settled"))
+    assert (tmp_path / "app").exists()
+    session.release(spark)
+    assert not (tmp_path / "app").exists() and kept.exists()
+
+
 def test_shared_dir_follows_the_session(spark):
     assert shared_dir(spark)
     spark.conf.set("spark.sql.shuffle.partitions", "4")

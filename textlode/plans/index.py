@@ -51,7 +51,7 @@ def token_table(documents: DataFrame, lexicon: DataFrame) -> DataFrame:
 
 
 def postings_table(documents: DataFrame) -> DataFrame:
-    """The term rows of the documents, laid out by term: a search reads the files of its terms only."""
+    """The term rows of the documents, laid out by term; `operators.postings` stores statistics, bounds and positions as well."""
     rows = term_rows(documents, "cleaned_text")
     return rows.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id")
 
