@@ -88,8 +88,11 @@ def first_seen(keyed: DataFrame, order_col: str) -> DataFrame:
             total += int(part["n"].sum())
             valid = valid and bool(part["valid"].iloc[0])
             for found in part["row"]:
-                place = found and (found[order_col] is None, found[order_col])
-                if place and (best is None or place[0] < best[0][0] or place[0] == best[0][0] == False and place[1] < best[0][1]):  # noqa: E712
+                if found is None:
+                    continue
+                # Null ids come last.
+                place = (found[order_col] is None, 0 if found[order_col] is None else found[order_col])
+                if best is None or place < best[0]:
                     best = (place, found)
         status = "skipped" if not valid else "duplicate" if state.exists else "stored"
         if status == "stored":
