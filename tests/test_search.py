@@ -1,5 +1,6 @@
 import math
 import random
+import re
 from collections import Counter
 from difflib import SequenceMatcher
 
@@ -11,6 +12,7 @@ from textlode.operators import bm25, joins, lexicon, ranking
 from textlode.plans.queries import QUERIES
 from textlode.plans import fixtures as X
 from textlode.plans import search
+from textlode.sources.store import settle
 
 
 def okapi(corpus, query):
@@ -74,6 +76,20 @@ def test_lookup_of_checked_size_is_broadcast(spark, plan):
     assert "BroadcastHashJoin" in plan(joins.lookup_join(big, small, ["k"]))
 
 
+def test_copies_of_a_large_lookup_are_not_broadcast(spark, plan):
+    big = spark.range(100).withColumn("k", F.col("id") % 5)
+    small = settle(spark.range(5).withColumnRenamed("id", "k"))
+    assert "Broadcast" not in plan(joins.lookup_join(big, small, ["k"], max_rows=2))
+
+
+def test_scores_are_added_up_without_moving_pairs_of_query_and_document(spark, plan):
+    docs = spark.createDataFrame([(1, "a b"), (2, "b c"), (None, "a"), (2, "b d")], "doc_id long, clean string")
+    terms = bm25.query_terms(spark.createDataFrame([(1, "b"), (1, "a"), (2, "b")], "query_id int, term string"))
+    scores = bm25.bm25_scores(terms, settle(bm25.term_rows(docs)))
+    assert not re.search(r"hashpartitioning\(query_id#\d+L?, doc_id", plan(scores))
+    assert sorted((r.query_id, r.doc_id or 0) for r in scores.collect()) == [(1, 0), (1, 1), (1, 2), (2, 1), (2, 2)]
+
+
 def corpus_of_fragments(spark):
     pick = random.Random(9)
     words = ["alpha", "beta", "gamma", "delta", "eps", "a", "ab"]

@@ -171,3 +171,15 @@ def test_tfidf_keeps_rows_and_weighs_rare_words(spark):
     vectors = [v for d, v in found if v and d is None] + sorted((v for d, v in found if v and d == 1), key=sum)
     for v, text in zip(vectors, ["a c", "a", "a b b"]):
         assert np.allclose(v, plain(text))
+
+
+def test_tfidf_moves_rare_words_only(spark, plan):
+    rows = spark.createDataFrame([(i, t, 1) for i in range(30) for t in ("hot", f"w{i % 7}", f"v{i}")], "uid long, term string, tf int")
+    idf = rows.groupBy("term").agg(F.count("*").alias("df")).withColumn("idf", F.col("df") * 0.5)
+    plain = sorted(map(tuple, rows.join(idf.drop("df"), "term").collect()))
+    assert sorted(map(tuple, E._with_idf(rows, idf).collect())) == plain
+    for most in (1, 9, 30):
+        # Terms of more than 90, 10 and 3 rows are broadcast.
+        found = E._with_idf(rows, idf, most)
+        assert sorted(map(tuple, found.collect())) == plain
+        assert "SortMergeJoin" in plan(found)

@@ -19,7 +19,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from textlode.functions.cleaning import collapse_ends
 from textlode.functions.vectors import cosine, rounded, term_bucket
 from textlode.operators.bm25 import term_counts, term_rows
-from textlode.operators.joins import lookup_join, top_per_group
+from textlode.operators.joins import BROADCAST_ROWS, lookup_join, top_per_group, within
 from textlode.sources.store import settle
 
 # Query tables of at most this many rows go to every task as one matrix.
@@ -67,14 +67,15 @@ def embed_with(
 def embed_tfidf(docs: DataFrame, dim: int = 64) -> DataFrame:
     """`(doc_id, embedding)` of `docs(doc_id, clean)`, one row per row: sums of tf * idf per hash bucket; no words give null.
 
-    idf is ln((1 + N) / (1 + df)) + 1 over all rows.  Every different word of a document moves once, as a number for its bucket.
+    idf is ln((1 + N) / (1 + df)) + 1 over all rows.  Common words meet their idf where they are and move as sums of their
+    buckets; of a vocabulary too large to broadcast, only rows of rare words move, by the word.
     """
     numbered = settle(docs.select("doc_id", "clean").withColumn("uid", F.monotonically_increasing_id()))
     rows = settle(term_rows(numbered, "clean", "uid").select(F.col("doc_id").alias("uid"), "dl", "term", "tf"))
     counts = term_counts(rows)
     n_docs = numbered.count()
-    idf = counts.filter("term is not null").select("term", (F.log((1 + F.lit(n_docs)) / (1 + F.col("df"))) + 1).alias("idf"))
-    weighted = lookup_join(rows.filter("term is not null"), settle(idf), ["term"])
+    idf = settle(counts.filter("term is not null").select("term", "df", (F.log((1 + F.lit(n_docs)) / (1 + F.col("df"))) + 1).alias("idf")))
+    weighted = _with_idf(rows.filter("term is not null"), idf)
     sums = weighted.groupBy("uid", term_bucket(F.col("term"), dim).alias("bucket")).agg(F.sum(F.col("tf") * F.col("idf")).alias("x"))
     lists = sums.groupBy("uid").agg(F.map_from_entries(F.collect_list(F.struct(F.col("bucket").cast("int").alias("b"), "x"))).alias("m"))
     places = F.sequence(F.lit(0), F.lit(dim - 1))
@@ -82,6 +83,19 @@ def embed_tfidf(docs: DataFrame, dim: int = 64) -> DataFrame:
     return numbered.select("uid", "doc_id").join(dense, "uid", "left").select("doc_id", "embedding")
 
 
+def _with_idf(rows: DataFrame, idf: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """`rows(.., term, ..)` with the `idf` of their term, from `idf(term, df, idf)`.
+
+    No more than `most` terms have more than one row in `most` of all rows.  These are broadcast; the others are no hot keys.
+    """
+    if within(idf, most):
+        return rows.join(F.broadcast(idf.drop("df")), "term")
+    least = idf.agg(F.sum("df")).head()[0] / most
+    common, rare = idf.filter(F.col("df") > least).drop("df"), idf.filter(F.col("df") <= least).drop("df")
+    left = rows.join(F.broadcast(common.select("term")), "term", "left_anti")
+    return rows.join(F.broadcast(common), "term").unionByName(left.join(rare.hint("merge"), "term"))
+
+
 def mean_pool(df: DataFrame, key: str, vec: str, mask: Column) -> DataFrame:
     """`(key, embedding)`: masked mean of the vectors of each key; nothing unmasked gives zeros.
 
