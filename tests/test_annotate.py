@@ -52,3 +52,28 @@ def test_a_model_that_loses_rows_is_an_error(spark):
     rows = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id int, text string").coalesce(1)
     with pytest.raises(Exception, match="returned 1 rows for 2"):
         annotate_texts(rows, "text", lambda: lambda texts: [([], [])]).collect()
+
+
+def test_answers_of_few_texts_are_held_at_a_time(spark):
+    def counting():
+        live = [0]
+
+        class Answer(dict):
+            def __init__(self, **fields):
+                super().__init__(**fields)
+                live[0] += 1
+
+            def __del__(self):
+                live[0] -= 1
+
+        def model(texts):
+            # Those of the batch before may still be on their way.
+            assert live[0] <= 4, live
+            return [([Answer(text=t)], []) for t in texts]
+
+        return model
+
+    texts = [None if n % 7 == 3 else f"t{n}" for n in range(200)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").coalesce(1)
+    found = annotate_texts(rows, "text", counting, batch_size=4)
+    assert {r.doc_id: [t.text for t in r.tokens] for r in found.collect()} == {n: [t] if t else [] for n, t in enumerate(texts)}

@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,9 @@ from textlode.operators.joins import lookup_join, numbered, quoted, unused
 from textlode.schemas import ANNOTATED_ENTITIES, ANNOTATED_TOKENS
 from textlode.sources.store import settle
 
+# Rows at most that `annotate_texts` answers at a time, those without a text included.
+MOST_ROWS = 1_000
+
 # Forms -> (lemma, part of speech) of each.
 FormModel = Callable[[list[str]], list[tuple[str | None, str | None]]]
 # Texts -> (tokens, entities) of each, as dictionaries of the fields of `schemas.ANNOTATED_TOKENS` and `ANNOTATED_ENTITIES`.
@@ -31,6 +35,17 @@ def _batches(values: list, size: int) -> Iterator[list]:
         yield part
 
 
+def _slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """Pieces of an Arrow batch with at most `size` texts in the last column, so that no more answers are held at a time."""
+    seen = np.cumsum(batch.column(batch.num_columns - 1).is_valid().to_numpy(zero_copy_only=False))
+    low = 0
+    while low < batch.num_rows:
+        before = seen[low - 1] if low else 0
+        high = min(int(np.searchsorted(seen, before + size, side="right")), low + MOST_ROWS)
+        yield batch.slice(low, high - low)
+        low = high
+
+
 def _answers(model: Callable[[list], list], values: list, size: int) -> list:
     out = []
     for part in _batches(values, size):
@@ -64,7 +79,7 @@ def annotate_forms(rows: DataFrame, factory: Callable[[], FormModel], token: str
 def annotate_texts(df: DataFrame, text: str, factory: Callable[[], TextModel], batch_size: int = 32) -> DataFrame:
     """Adds `tokens` (text, lemma, pos, rel, start, stop) and `entities` (text, lemma, type, start, stop) of each text.
 
-    Rows stay rows and keep their order within a task.  Null and blank texts are not shown to the model and have empty
+    Rows stay rows and keep their order within a task, which holds the answers to `batch_size` texts at a time.  Null and blank texts are not shown to the model and have empty
     lists.  Tokens of one sentence per row feed `extract_triples`; entities need no gazetteer.
     """
     kept = df.drop("tokens", "entities")
@@ -76,13 +91,14 @@ def annotate_texts(df: DataFrame, text: str, factory: Callable[[], TextModel], b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = factory()
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            made = iter(_answers(model, [t for t in texts if t is not None], batch_size))
-            rows = [next(made) if t is not None else ([], []) for t in texts]
-            tokens = pa.array([list(r[0]) for r in rows], out.field("tokens").type)
-            entities = pa.array([list(r[1]) for r in rows], out.field("entities").type)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], tokens, entities], schema=out)
+        for whole in batches:
+            for batch in _slices(whole, batch_size):
+                texts = batch.column(batch.num_columns - 1).to_pylist()
+                made = iter(_answers(model, [t for t in texts if t is not None], batch_size))
+                rows = [next(made) if t is not None else ([], []) for t in texts]
+                tokens = pa.array([list(r[0]) for r in rows], out.field("tokens").type)
+                entities = pa.array([list(r[1]) for r in rows], out.field("entities").type)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], tokens, entities], schema=out)
 
     return source.mapInArrow(run, schema).toDF(*kept.columns, "tokens", "entities")
 
