@@ -121,3 +121,18 @@ def test_empty_index(spark):
     empty = postings.write_index(docs, fresh_dir(spark, "index"))
     assert postings.search_index(terms_of(spark, "rare"), empty, 3).count() == 0
     assert postings.find_phrases(spark.createDataFrame([("a b",)], "phrase string"), empty).count() == 0
+
+
+def test_searches_beyond_the_broadcast_limit_send_no_copies(spark, index, monkeypatch, plan):
+    import functools
+
+    from textlode.operators import joins
+
+    terms = settle(terms_of(spark, "rare wa", "wa wb wa", "ws wt", " ".join(WORDS)))
+    phrases = settle(spark.createDataFrame([("wa wb",), ("wb wa wa",), ("rare rare",)], "phrase string"))
+    key = lambda rows: sorted(map(str, rows))
+    best, places = key(postings.search_index(terms, index, 3).collect()), key(postings.find_phrases(phrases, index).collect())
+    monkeypatch.setattr(postings, "lookup_join", functools.partial(joins.lookup_join, max_rows=0))
+    found, spots = postings.search_index(terms, index, 3), postings.find_phrases(phrases, index)
+    assert not any("Broadcast" in line and "_salt" in line for line in (plan(found) + plan(spots)).splitlines())
+    assert key(found.collect()) == best and key(spots.collect()) == places

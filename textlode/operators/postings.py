@@ -146,7 +146,8 @@ def block_bounds(weighted: DataFrame, index: Index) -> DataFrame:
 def _scored(pairs: DataFrame, weighted: DataFrame, index: Index, digits: int) -> DataFrame:
     """`(query_id, block, no, doc_id, dl, score)` of all documents of `pairs(query_id, block)` with a query term."""
     wanted = settle(pairs.join(weighted, "query_id"))
-    found = lookup_join(of_terms(index.postings, wanted).select("term", "block", "docs"), wanted, ["term", "block"])
+    # A term has one row in a block, so no key is hot and one copy will do.
+    found = lookup_join(of_terms(index.postings, wanted).select("term", "block", "docs"), wanted, ["term", "block"], salts=1)
     rows = found.select("query_id", "block", "weight", F.inline("docs"))
     part = F.col("weight") * _share(F.col("tf"), F.col("dl"), index.k1, index.b, index.avgdl)
     return rows.groupBy("query_id", "block", "no", "doc_id", "dl").agg(rounded(F.sum(part), digits).alias("score"))
@@ -191,7 +192,7 @@ def find_phrases(asked: DataFrame, index: Index, blocks: DataFrame | None = None
     phrases = settle(asked.select("phrase").filter("phrase <> ''").distinct())
     pairs = settle(_phrase_blocks(phrases, index) if blocks is None else blocks.select("phrase", "block").distinct())
     words = settle(pairs.select("block", F.explode(F.array_distinct(F.split("phrase", " "))).alias("term")).distinct())
-    lists = lookup_join(of_terms(index.postings, words).select("term", "block", "docs", "codes", "starts", "stops"), words, ["block", "term"])
+    lists = lookup_join(of_terms(index.postings, words).select("term", "block", "docs", "codes", "starts", "stops"), words, ["block", "term"], salts=1)
 
     def meet(postings: pa.Table, asked: pa.Table) -> pa.Table:
         at = {t: i for i, t in enumerate(postings.column("term").to_pylist())}
