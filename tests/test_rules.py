@@ -211,3 +211,24 @@ def test_mean_pool_by_plain_sums(spark):
     frame = spark.createDataFrame(rows, "k string, v array<float>, m int").repartition(6)
     found = {r.k: r.embedding for r in E.mean_pool(frame, "k", "v", F.col("m")).collect()}
     assert found == {"a": [3.0, 1.0], "b": [2.0, 4.0], None: [7.0], "hot": [1000.0, 1.0], "none": [0.0]}
+
+
+def test_only_runs_that_begin_as_a_phrase_does_are_made(spark, monkeypatch):
+    import random
+
+    from textlode.functions.tokens import runs_of
+    from textlode.operators import tokens as K
+
+    rng = random.Random(4)
+    lemmas = ["a", "b", "c", "d", "a b", "", None, "e"]
+    made = [(d, [(f"t{i}", rng.choice(lemmas), i, i + 1) for i in range(rng.randrange(9))]) for d in range(300)]
+    docs = spark.createDataFrame(made, "doc_id int, tokens array<struct<text:string,lemma:string,start:int,stop:int>>")
+    names = ["a", "a b", "a b c", "b  c", " a", "d e", "c d a", "e e e e", None, "", "a b a b"]
+    gazetteer = spark.createDataFrame([(n, "PER", "N") for n in names], "phrase_lemma string, type string, normal string")
+    few = sorted(map(str, K.extract_entities(docs, gazetteer, "doc_id").collect()))
+    monkeypatch.setattr(K, "BEGINS", 0)
+    assert few == sorted(map(str, K.extract_entities(docs, gazetteer, "doc_id").collect())) and len(few) > 300
+    plain = docs.filter("forall(tokens, t -> t.lemma is not null)")
+    runs = plain.select(F.inline(runs_of(F.col("tokens"), [1, 3], ["d e", "c"])))
+    assert 0 < runs.count() < plain.select(F.inline(runs_of(F.col("tokens"), [1, 3]))).count() / 3
+    assert all(r.lemma == "c" or r.lemma.startswith("d e") for r in runs.collect())

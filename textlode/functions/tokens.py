@@ -143,13 +143,29 @@ def phrases(tokens: Column) -> Column:
     return F.concat(single, pairs)
 
 
-def runs_of(tokens: Column, lengths: list[int]) -> Column:
-    """All runs of so many words of `array<struct<text, lemma, start, stop>>`."""
+def runs_of(tokens: Column, lengths: list[int], begins: list[str] | None = None) -> Column:
+    """All runs of so many words of `array<struct<text, lemma, start, stop>>`.
 
-    def runs(t: Column, length: int) -> Column:
-        heads = F.sequence(F.lit(1), F.greatest(F.size(t) - length + 1, F.lit(1)))
+    With `begins`, only runs whose lemmas, joined, begin with one of these: the first two words, or the only one, of the wanted.
+    """
+
+    def heads(t: Column, words: int) -> Column:
+        """Places of runs of at least so many words, one or two."""
+        every = F.sequence(F.lit(1), F.greatest(F.size(t) - words + 1, F.lit(1)))
+        if begins is None:
+            return every
+
+        def wanted(i: Column) -> Column:
+            lemmas = [F.get(t, i + (n - 1))["lemma"] for n in range(words)]
+            start = F.substring_index(F.concat(*[x for m in lemmas for x in (F.lit(" "), m)][1:]), " ", 2)
+            # A lemma that is missing is left out of the joined ones.
+            return start.isNull() | start.isin(begins)
+
+        return F.filter(every, wanted)
+
+    def runs(t: Column, at: Column, length: int) -> Column:
         made = F.transform(
-            heads,
+            at,
             lambda i: F.struct(
                 F.array_join(F.transform(F.slice(t, i, length), lambda w: w["text"]), " ").alias("text"),
                 F.array_join(F.transform(F.slice(t, i, length), lambda w: w["lemma"]), " ").alias("lemma"),
@@ -160,7 +176,11 @@ def runs_of(tokens: Column, lengths: list[int]) -> Column:
         )
         return F.filter(made, lambda r: r["stop"].isNotNull())
 
-    return let(tokens, lambda t: F.concat(*[runs(t, n) for n in lengths]))
+    def of_words(t: Column, words: int, own: list[int]) -> Column:
+        return let(heads(t, words), lambda at: F.concat(*[runs(t, at, n) for n in own]))
+
+    parts = [(1, [n for n in lengths if n == 1]), (2, [n for n in lengths if n != 1])]
+    return let(tokens, lambda t: F.concat(*[of_words(t, words, own) for words, own in parts if own]))
 
 
 def _fold(text: str) -> str:

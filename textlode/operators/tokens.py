@@ -21,6 +21,8 @@ from textlode.sources.store import settle
 
 # Words of a dictionary that every row looks through by itself.
 SHORT_DICTIONARY = 64
+# Beginnings of phrases that every row knows.
+BEGINS = 2_000
 
 
 def explode_rows(df: DataFrame, array: str, at: str, item: str, *keys: str) -> DataFrame:
@@ -146,7 +148,7 @@ def extract_entities(
     """Named entities: phrases found in `gazetteer(phrase_lemma, type, normal)`.
 
     Phrases have any number of words (at most `longest`, if told); only runs of
-    as many words as some phrase has are made.  The longest match of each start
+    as many words as some phrase has, which begin as one does, are made.  The longest match of each start
     position wins; of one phrase listed under several types, the first type does.
     """
     listed = gazetteer.filter(F.col("type").isin(*types)).select(F.col("phrase_lemma").alias("lemma"), "type", "normal")
@@ -154,7 +156,9 @@ def extract_entities(
     sizes = listed.select(F.size(F.split("lemma", " ")).alias("n")).filter("n > 0").distinct()
     # As many numbers as there are lengths of phrases.
     lengths = sorted(r.n for r in sizes.collect() if longest is None or r.n <= longest)
-    runs = df.select(*keys, F.inline(runs_of(F.col("tokens"), lengths or [1])))
+    # How the phrases begin, where these are few; words that begin none make no run.
+    begins = [r.b for r in listed.select(F.substring_index("lemma", " ", 2).alias("b")).filter("b is not null").distinct().limit(BEGINS + 1).collect()]
+    runs = df.select(*keys, F.inline(runs_of(F.col("tokens"), lengths or [1], begins if len(begins) <= BEGINS else None)))
     found = lookup_join(runs, listed, ["lemma"])
     best = F.max_by(F.struct("text", "normal", "type", "stop", "length"), F.struct("length", "type"))
     return (
