@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from textlode.functions.tokens import clean_words_of, word_counts
 from textlode.functions.vectors import rounded
-from textlode.operators.joins import BROADCAST_ROWS, hinted_join, lookup_join, one_per_key, top_per_group, within
+from textlode.operators.joins import BROADCAST_ROWS, hinted_join, lookup_join, one_per_key, spread_by, top_per_group, within
 
 # The usual Okapi parameters.
 K1 = 1.5
@@ -100,6 +100,9 @@ def bm25_scores(
         * (k1 + 1)
         / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
     )
+    if fits:
+        # Rows of query terms move once, by document; pairs of query and document are made and added up where these arrive.
+        tf = spread_by(tf, "doc_id")
     matched = hinted_join(tf, weighted, ["term"], "inner", fits)
     return matched.groupBy("query_id", "doc_id", "dl").agg(
         rounded(F.sum(part), digits).alias("score")
