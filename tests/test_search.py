@@ -208,3 +208,8 @@ def test_relevance_ratio_by_brute_force(spark, sf_dir):
         want += [(q, r + 1, d) for r, (_, d) in enumerate(hits)]
     found = QUERIES["relevance_ratio"](spark, sf_dir).collect()
     assert sorted((r.query_id, r["rank"], r.doc_id) for r in found) == sorted(want)
+
+
+def test_ranked_documents_move_as_words_and_not_as_pairs(spark, sf_dir, plan):
+    ranked = plan(QUERIES["dedup_ranked"](spark, sf_dir))
+    assert "REPARTITION_BY_NUM" in ranked and not re.search(r"hashpartitioning\(query_id#\d+L?, doc_id", ranked)

@@ -14,7 +14,7 @@ from textlode.functions import vectors as V
 from textlode.operators import annotate, bm25, corpus, filters, lexicon, postings, profile, ranking
 from textlode.operators import tokens as K
 from textlode.operators import vectors as E
-from textlode.operators.joins import lookup_join, top_per_group
+from textlode.operators.joins import lookup_join, spread_by, top_per_group
 from textlode.plans import fixtures as X
 from textlode.plans import index, search
 from textlode.session import fresh_dir
@@ -817,11 +817,11 @@ def token_vector_search(spark, sf):
 @query
 def dedup_ranked(spark, sf):
     """Best document per query by the longest query word among the subjects of its sentences."""
-    shared = lookup_join(
-        triples_from_rel(spark, sf).select("doc_id", F.explode(F.split("subj", " ")).alias("word")),
-        search.words_as_terms(X.benchmark_queries(spark, sf)).withColumnRenamed("term", "word").distinct(),
-        ["word"],
-    )
+    asked = search.words_as_terms(X.benchmark_queries(spark, sf)).withColumnRenamed("term", "word").distinct()
+    words = triples_from_rel(spark, sf).select("doc_id", F.explode(F.split("subj", " ")).alias("word"))
+    # Words move once, by document; pairs of query and document are made and reduced where these arrive.
+    found = spread_by(lookup_join(words, asked.select("word").distinct(), ["word"], "left_semi"), "doc_id")
+    shared = lookup_join(found, asked, ["word"])
     hits = shared.select("query_id", "doc_id", F.length("word").cast("double").alias("score"))
     return ranking.dedup_ranked(hits, 5)
 
