@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from textlode.functions.tokens import clean_words_of, word_counts
 from textlode.functions.vectors import rounded
 from textlode.operators.joins import BROADCAST_ROWS, hinted_join, lookup_join, one_per_key, spread_by, top_per_group, within
+from textlode.sources.store import settle
 
 # The usual Okapi parameters.
 K1 = 1.5
@@ -93,17 +94,21 @@ def bm25_scores(
         "query_id", "term", (F.col("qtf") * F.col("idf")).alias("weight"), "avgdl"
     )
     wanted = terms.select("term").distinct()
-    tf = hinted_join(rows, wanted, ["term"], "left_semi", fits)
+    if fits:
+        # Hits move once, by document and with the number of their term; pairs of query and document are made where they arrive.
+        wanted = settle(wanted.withColumn("no", F.monotonically_increasing_id()))
+        hits = hinted_join(rows, wanted, ["term"], "inner", fits).select("doc_id", "dl", "no", "tf")
+        tf, on = spread_by(hits, "dl", "doc_id"), ["no"]
+        weighted = hinted_join(weighted, wanted, ["term"], "inner", fits).drop("term")
+    else:
+        tf, on = hinted_join(rows, wanted, ["term"], "left_semi", fits), ["term"]
     part = (
         F.col("weight")
         * F.col("tf")
         * (k1 + 1)
         / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
     )
-    if fits:
-        # Rows of query terms move once, by document; pairs of query and document are made and added up where these arrive.
-        tf = spread_by(tf, "doc_id")
-    matched = hinted_join(tf, weighted, ["term"], "inner", fits)
+    matched = hinted_join(tf, weighted, on, "inner", fits)
     return matched.groupBy("query_id", "doc_id", "dl").agg(
         rounded(F.sum(part), digits).alias("score")
     )
