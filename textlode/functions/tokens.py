@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -231,8 +233,10 @@ def aligned_text(col: Column, alphabet: str = ALPHABET) -> Column:
     the original.  The one letter that is no single character in lower case,
     the dotted capital I, counts as removed.
     """
-    folded = F.translate(F.lower(F.translate(col, "İ", " ")), "ё", "е")
-    bare = let(let(folded, lambda t: _blanked(t, URL)), lambda t: _blanked(t, ENTITY))
+    folded = F.replace(F.lower(F.replace(col, F.lit("İ"), F.lit(" "))), F.lit("ё"), F.lit("е"))
+    # Most texts have neither; looking for the letters that both begin with is far cheaper than a pattern.
+    without = let(folded, lambda t: F.when(F.contains(t, F.lit("http")) | F.contains(t, F.lit("www.")), _blanked(t, URL)).otherwise(t))
+    bare = let(without, lambda t: F.when(F.contains(t, F.lit("&")), _blanked(t, ENTITY)).otherwise(t))
     return F.regexp_replace(bare, f"[^{alphabet}]", " ")
 
 
@@ -241,6 +245,75 @@ def original_spans(col: Column) -> Column:
     return let(aligned_text(col), token_spans)
 
 
+# Bytes of text that spans are found in at a time.
+SPAN_BYTES = 4_000_000
+
+
+def _slices(texts: pa.Array) -> list[tuple[int, int]]:
+    """Ranges of rows of about SPAN_BYTES each."""
+    offsets = _offsets(texts)
+    cuts = [0]
+    while cuts[-1] < len(texts):
+        upto = int(np.searchsorted(offsets, offsets[cuts[-1]] + SPAN_BYTES, side="right")) - 1
+        cuts.append(max(cuts[-1] + 1, min(upto, len(texts))))
+    return list(zip(cuts, cuts[1:]))
+
+
+def _offsets(texts: pa.Array) -> np.ndarray:
+    return np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+
+
+def _spans(texts: pa.Array) -> pa.Array:
+    """Runs between spaces with their places, by code points, and those that they have once joined by one space."""
+    offsets = _offsets(texts).astype(np.int64)
+    low, high = int(offsets[0]), int(offsets[-1])
+    offsets -= low
+    raw = texts.buffers()[2]
+    data = np.frombuffer(raw, np.uint8)[low:high] if raw is not None else np.zeros(0, np.uint8)
+    letter = data != 0x20
+    before = np.empty(len(data) + 1, bool)
+    before[0], before[1:] = False, letter
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    starts = np.flatnonzero(letter & (~before[:-1] | edge[:-1]))
+    after = np.append(~letter[1:], True) | edge[1:]
+    stops = np.flatnonzero(letter & after) + 1
+    # Code points that begin before each byte.
+    points = np.zeros(len(data) + 1, np.int64)
+    np.cumsum((data & 0xC0) != 0x80, out=points[1:])
+    first = np.searchsorted(starts, offsets)
+    row = np.repeat(np.arange(len(texts)), np.diff(first))
+    begin = points[offsets[:-1]][row]
+    start, stop = points[starts] - begin, points[stops] - begin
+    words = pa.StringArray.from_buffers(
+        len(starts), pa.py_buffer(np.append(0, np.cumsum(stops - starts)).astype(np.int32)), pa.py_buffer(data[letter])
+    )
+    length = np.append(0, np.cumsum(stop - start + 1))
+    joined = length[:-1] - length[first[:-1]][row]
+    places = [joined, joined + stop - start, start, stop]
+    tokens = pa.StructArray.from_arrays([words, *[pa.array(p.astype(np.int32)) for p in places]], ["token", *_PLACES])
+    return pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), tokens, mask=texts.is_null())
+
+
+_PLACES = ["start_clean", "end_clean", "start_orig", "end_orig"]
+_SPAN = T.StructType([T.StructField("token", T.StringType()), *[T.StructField(name, T.IntegerType()) for name in _PLACES]])
+
+
+@F.arrow_udf(T.ArrayType(_SPAN, False))
+def _analyzed_spans(texts: pa.Array) -> pa.Array:
+    texts = texts.cast(pa.string())
+    parts = [_spans(texts.slice(low, high - low)) for low, high in _slices(texts)]
+    return pa.concat_arrays(parts) if parts else _spans(texts)
+
+
+def analyzed_spans(col: Column) -> Column:
+    """`array<struct<token, start_clean, end_clean, start_orig, end_orig>>`: the cleaned words of a text, their places in the cleaned text and in the original.
+
+    An Arrow batch function: the bytes of many texts are looked through at once, instead of one character after the other.
+    """
+    return _analyzed_spans(aligned_text(col))
+
+
 def exact_map(spans: Column) -> Column:
     """Index in the original of every character of the cleaned text, from the spans in the original.
 

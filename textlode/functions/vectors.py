@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+from hashlib import md5
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from textlode.functions.cleaning import let
 
 
+# Texts embedded at a time.
+VECTOR_ROWS = 1_000
+
+
 def _double(col: Column) -> Column:
     return col.cast("array<double>")
 
@@ -60,43 +69,26 @@ def term_bucket(term: Column, dim: int) -> Column:
 def hash_embedding(clean: Column, dim: int = 64) -> Column:
     """Counts of a cleaned text's words per hash bucket, as a dense float vector.
 
-    The stand-in where no model is plugged in.  Blank texts give null.  All
-    within the row: the buckets are sorted, their runs counted, and the gaps
-    between the runs filled with zeros.
+    The stand-in where no model is plugged in.  Blank texts give null.  An
+    Arrow batch function: every different word of a batch is hashed once.
     """
 
-    def zeros(n: Column) -> Column:
-        return F.array_repeat(F.lit(0.0).cast("float"), n.cast("int"))
-
-    def run_ends(buckets: Column) -> Column:
-        following = F.concat(F.slice(buckets, 2, F.size(buckets)), F.array(F.lit(-1).cast("long")))
-        pairs = F.zip_with(
-            buckets, following, lambda b, n: F.struct(b.alias("bucket"), n.alias("next"))
-        )
-        ends = F.transform(
-            pairs,
-            lambda p, i: F.when(
-                p["bucket"] != p["next"],
-                F.struct(p["bucket"].alias("bucket"), (i + 1).alias("upto")),
-            ),
-        )
-        return F.filter(ends, lambda e: e.isNotNull())
-
-    def fill(ends: Column) -> Column:
-        start = F.struct(F.lit(-1).cast("long").alias("bucket"), F.lit(0).alias("upto"))
-        before = F.concat(F.array(start), F.slice(ends, 1, F.size(ends) - 1))
-        runs = F.zip_with(
-            ends,
-            before,
-            lambda e, b: F.concat(
-                zeros(e["bucket"] - b["bucket"] - 1),
-                F.array((e["upto"] - b["upto"]).cast("float")),
-            ),
-        )
-        return let(F.flatten(runs), lambda v: F.concat(v, zeros(F.lit(dim) - F.size(v))))
-
-    def dense(text: Column) -> Column:
-        buckets = F.sort_array(F.transform(F.split(text, " "), lambda t: term_bucket(t, dim)))
-        return F.when(text != "", let(buckets, lambda b: let(run_ends(b), fill)))
-
-    return let(clean, dense)
+    @F.arrow_udf("array<float>")
+    def embedded(texts: pa.Array) -> pa.Array:
+        texts = texts.cast(pa.string())
+        parts = [_bucket_counts(texts.slice(at, VECTOR_ROWS), dim) for at in range(0, len(texts), VECTOR_ROWS)]
+        return pa.concat_arrays(parts) if parts else _bucket_counts(texts, dim)
+
+    return embedded(clean)
+
+
+def _bucket_counts(texts: pa.Array, dim: int) -> pa.Array:
+    lists = pc.split_pattern(texts, " ")
+    words = lists.flatten().dictionary_encode()
+    # The buckets of `term_bucket`.
+    buckets = np.array([int(md5(w.encode()).hexdigest()[:8], 16) % dim for w in words.dictionary.to_pylist()], np.int64)
+    row = np.repeat(np.arange(len(texts)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+    counts = np.bincount(row * dim + buckets[words.indices.to_numpy()], minlength=len(texts) * dim)
+    blank = pc.fill_null(pc.equal(texts, ""), True)
+    offsets = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * dim)
+    return pa.ListArray.from_arrays(offsets, pa.array(counts.astype(np.float32)), mask=blank)

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from textlode.functions.cleaning import clear_text, let
 from textlode.functions.tokens import (
+    analyzed_spans,
     exact_map,
-    original_spans,
     phrases,
     runs_of,
     sentences,
@@ -47,21 +47,7 @@ def analyze(df: DataFrame, text: str = "text") -> DataFrame:
     The words are found in the original; the cleaned text is these words with a space between.
     """
 
-    def with_clean(places):
-        clean = token_spans(F.array_join(F.transform(places, lambda p: p["token"]), " "))
-        return F.zip_with(
-            clean,
-            places,
-            lambda c, o: F.struct(
-                c["token"].alias("token"),
-                c["start_clean"].alias("start_clean"),
-                c["end_clean"].alias("end_clean"),
-                o["start_clean"].alias("start_orig"),
-                o["end_clean"].alias("end_orig"),
-            ),
-        )
-
-    analyzed = df.withColumn("tokens", let(original_spans(F.coalesce(F.col(text), F.lit(""))), with_clean))
+    analyzed = df.withColumn("tokens", analyzed_spans(F.coalesce(F.col(text), F.lit(""))))
     return analyzed.withColumns(
         {
             "cleaned_text": F.array_join(F.transform("tokens", lambda t: t["token"]), " "),
