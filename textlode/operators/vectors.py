@@ -28,6 +28,8 @@ QUERY_ROWS = 4_096
 BLOCK_VECTORS = 20_000
 # Cells at most, vectors that one is meant for, and vectors of the sample that gives their centres.
 CELLS, CELL_VECTORS, SAMPLE_VECTORS = 1_024, 2_000, 16_384
+# Cells that many vectors make at least, unless they would be larger than a block.
+LEAST_CELLS = 48
 # Scores computed at a time.
 SCORE_VALUES = 4_000_000
 
@@ -218,6 +220,59 @@ def _batch_best(state, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray
     return state
 
 
+def _reaching(queries: np.ndarray, least: np.ndarray, vectors: np.ndarray, metric: str, digits: int):
+    """`(query row, vector row, score)` of at least all pairs that score `least` of their query or more; None if single precision cannot tell.
+
+    Products in single precision, with their greatest error allowed for, rule out almost all pairs; the others are computed exactly.
+    """
+    norms, sizes = np.sqrt((queries**2).sum(1)), (vectors**2).sum(1)
+    most = max(norms.max(initial=0.0), np.sqrt(sizes.max(initial=0.0)))
+    # Not numbers, or beyond what their squares can be in single precision.
+    if not most < 1e15:
+        return None
+    width = queries.shape[1]
+    half = 0.5 * sizes if metric == "l2" else np.zeros(len(vectors))
+    left = np.hstack([queries, np.ones((len(queries), 1))]).astype(np.float32)
+    right = np.hstack([vectors, -half[:, None]]).astype(np.float32)
+    need = 0.5 * (least + norms**2) if metric == "l2" else least
+    error = (width + 8) * 2.0**-22 * (norms * np.sqrt(sizes.max(initial=0.0)) + half.max(initial=0.0))
+    # Also what is rounded off, and what the smallest single numbers lose.
+    need = need - error - 10.0**-digits - 1e-9 * np.abs(need) - (width + 8) * 1e-37
+    need = np.nextafter(need.astype(np.float32), np.float32(-np.inf))
+    found = []
+    step = max(1, SCORE_VALUES // max(len(queries), 1))
+    for at in range(0, len(vectors), step):
+        flat = np.flatnonzero((left @ right[at : at + step].T) >= need[:, None])
+        if len(flat) > SCORE_VALUES // 8:
+            return None
+        width_here = len(right[at : at + step])
+        rows, cols = flat // width_here, flat % width_here + at
+        for low in range(0, len(rows), 50_000):
+            r, c = rows[low : low + 50_000], cols[low : low + 50_000]
+            score = np.einsum("ij,ij->i", queries[r], vectors[c])
+            if metric == "l2":
+                score = -np.maximum(norms[r] ** 2 + sizes[c] - 2 * score, 0.0)
+            found.append((r, c, np.round(score, digits) + 0.0))
+    none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    return tuple(np.concatenate(parts) for parts in zip(none, *found))
+
+
+def _block_best(queries: np.ndarray, least: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, metric: str, digits: int):
+    """`(query row, id, score)` of the k best vectors of a block for each query, those below its `least` (if not NaN) left out as far as told apart."""
+    known = np.flatnonzero(~np.isnan(least))
+    parts = []
+    told = _reaching(queries[known], least[known], vectors, metric, digits) if len(known) else None
+    if told is not None:
+        rows, cols, score = told
+        best = _best(rows, ids[cols], score, k)
+        parts.append((known[rows[best]], ids[cols[best]], score[best]))
+    rest = np.arange(len(queries)) if told is None else np.flatnonzero(np.isnan(least))
+    if len(rest):
+        rows, found, score = _batch_best(None, queries[rest], ids, vectors, k, metric, digits)
+        parts.append((rest[rows], found, score))
+    return tuple(np.concatenate(part) for part in zip(*parts))
+
+
 def top_k_vectors(
     queries: DataFrame,
     vectors: DataFrame,
@@ -318,7 +373,8 @@ def divide(vectors: DataFrame, width: int) -> tuple[DataFrame, Cells]:
     fitting = vectors.filter(F.size(vec) == width)
     drawn = fitting.orderBy(F.xxhash64(vec), vec).limit(SAMPLE_VECTORS).toArrow()
     n = fitting.count()
-    cells = max(1, min(CELLS, math.ceil(n / CELL_VECTORS)))
+    # Queries move once per cell that they reach, so cells grow with the vectors up to a block.
+    cells = max(1, min(CELLS, math.ceil(n / min(BLOCK_VECTORS, max(CELL_VECTORS, n // LEAST_CELLS)))))
     centres = _centres(_matrix(drawn.column(1).combine_chunks()) if len(drawn) else np.zeros((1, width)), cells)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -350,7 +406,10 @@ def divide(vectors: DataFrame, width: int) -> tuple[DataFrame, Cells]:
 
 
 def _met(queries: DataFrame, blocks: DataFrame, cells: Cells, chosen, k: int, metric: str, digits: int, schema: T.StructType) -> DataFrame:
-    """Best k of each block for the queries whose row `chosen` sends there; a block is read once and the queries pass by."""
+    """Best k of each block for the queries `(query_id, <vec>, least)` that `chosen` sends there, if they score `least`.
+
+    A block is read once and the queries pass by.
+    """
     out = to_arrow_schema(schema)
     kind = queries.schema["query_id"].dataType
 
@@ -363,12 +422,14 @@ def _met(queries: DataFrame, blocks: DataFrame, cells: Cells, chosen, k: int, me
             for low in range(0, len(row), 4_096):
                 own = slice(low, low + 4_096)
                 at = pa.array(row[own])
-                columns = [pa.array(cell[own].astype(np.int32)), pa.array(piece[own]), batch.column(0).take(at), batch.column(1).take(at)]
-                yield pa.RecordBatch.from_arrays(columns, ["cell", "piece", "query_id", "vec"])
+                columns = [pa.array(cell[own].astype(np.int32)), pa.array(piece[own]), *[batch.column(i).take(at) for i in range(3)]]
+                yield pa.RecordBatch.from_arrays(columns, ["cell", "piece", "query_id", "vec", "least"])
 
     sent = T.StructType([T.StructField("cell", T.IntegerType()), T.StructField("piece", T.LongType()), T.StructField("query_id", kind),
-                         T.StructField("vec", T.ArrayType(T.DoubleType()))])
-    asked = queries.mapInArrow(send, sent).select("cell", "piece", F.lit(1).alias("kind"), "query_id", "vec", F.lit(None).cast("binary").alias("block"))
+                         T.StructField("vec", T.ArrayType(T.DoubleType())), T.StructField("least", T.DoubleType())])
+    asked = queries.mapInArrow(send, sent).select(
+        "cell", "piece", F.lit(1).alias("kind"), "query_id", "vec", "least", F.lit(None).cast("binary").alias("block")
+    )
     none = [F.lit(None).cast(f.dataType).alias(f.name) for f in sent.fields[2:]]
     rows = blocks.select("cell", "piece", F.lit(0).alias("kind"), *none, "block").unionByName(asked)
     n = int(cells.pieces.sum())
@@ -382,7 +443,7 @@ def _met(queries: DataFrame, blocks: DataFrame, cells: Cells, chosen, k: int, me
             spans = [(0, edges[0])] + [(low + 1, high) for low, high in zip(edges, edges[1:])]
             for number, (low, high) in enumerate(spans):
                 if number:
-                    names, matrix = pickle.loads(batch.column(5)[edges[number - 1]].as_py())
+                    names, matrix = pickle.loads(batch.column(6)[edges[number - 1]].as_py())
                     ids = np.array(names, dtype=object if names and isinstance(names[0], str) else None)
                     here = (cell[low - 1], piece[low - 1])
                 # A cell or piece without vectors has no block.
@@ -390,7 +451,8 @@ def _met(queries: DataFrame, blocks: DataFrame, cells: Cells, chosen, k: int, me
                 if not len(own):
                     continue
                 part = batch.take(pa.array(own))
-                who, found, score = _batch_best(None, _matrix(part.column(4)), ids, matrix, k, metric, digits)
+                least = part.column(5).to_numpy(zero_copy_only=False).astype(float)
+                who, found, score = _block_best(_matrix(part.column(4)), least, ids, matrix, k, metric, digits)
                 columns = [part.column(3).take(pa.array(who)), pa.array(found.tolist(), out[1].type), pa.array(score)]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, out)], schema=out)
 
@@ -437,7 +499,8 @@ def _pruned_top_k(queries, vectors, k, metric, digits, schema) -> DataFrame:
         np.put_along_axis(chosen, order, before < k, axis=1)
         return chosen
 
-    near = settle(_met(queries, blocks, cells, lambda batch, matrix: ahead(matrix), k, metric, digits, schema))
+    unknown = queries.withColumn("least", F.lit(None).cast("double"))
+    near = settle(_met(unknown, blocks, cells, lambda batch, matrix: ahead(matrix), k, metric, digits, schema))
     near = settle(top_per_group(near, ["query_id"], [F.desc("score"), F.asc(key)], k).drop("rank"))
     least = near.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("least"))
     open_ = queries.join(least, "query_id", "left").select("query_id", vec, "least")
