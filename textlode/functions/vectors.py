@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
 from hashlib import md5
 
 import numpy as np
@@ -82,11 +83,16 @@ def hash_embedding(clean: Column, dim: int = 64) -> Column:
     return embedded(clean)
 
 
+@lru_cache(200_000)
+def _hashed(word: str) -> int:
+    """What `term_bucket` takes modulo the width; remembered for the words met last."""
+    return int(md5(word.encode()).hexdigest()[:8], 16)
+
+
 def _bucket_counts(texts: pa.Array, dim: int) -> pa.Array:
     lists = pc.split_pattern(texts, " ")
     words = lists.flatten().dictionary_encode()
-    # The buckets of `term_bucket`.
-    buckets = np.array([int(md5(w.encode()).hexdigest()[:8], 16) % dim for w in words.dictionary.to_pylist()], np.int64)
+    buckets = np.array([_hashed(w) % dim for w in words.dictionary.to_pylist()], np.int64)
     row = np.repeat(np.arange(len(texts)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
     counts = np.bincount(row * dim + buckets[words.indices.to_numpy()], minlength=len(texts) * dim)
     blank = pc.fill_null(pc.equal(texts, ""), True)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textlode.functions.cleaning import clean_social, clear_text, let
+from textlode.functions.cleaning import WORD, clean_social, clear_text, let
 from textlode.functions.tokens import adjacent_pairs, clean_words_of, context_window, sentences, word_count
 from textlode.functions.vectors import cosine, hash_embedding, l2_normalize, rounded, squared_l2
 from textlode.operators import ranking as R
@@ -158,7 +158,10 @@ def fragments_of(posts: DataFrame) -> DataFrame:
     """The same from socially cleaned texts `posts(text)`."""
 
     def fragments(post: Column) -> Column:
-        cleaned = F.transform(sentences(post), clean_social)
+        # What a cleaned text of these characters alone keeps in every sentence needs no pattern again.
+        odd = F.contains(post, F.lit("http")) | F.contains(post, F.lit("www")) | F.rlike(post, F.lit(f"[^{WORD}.,!? ]"))
+        parts = sentences(post)
+        cleaned = F.when(odd, F.transform(parts, clean_social)).otherwise(F.transform(parts, lambda p: F.lower(F.trim(p))))
         return F.when(
             F.length(post) > MIN_CHARS, F.filter(cleaned, lambda f: word_count(f) >= MIN_WORDS)
         )
