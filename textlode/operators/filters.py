@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textlode.functions.cleaning import let
 from textlode.functions.tokens import word_count
 from textlode.operators.joins import lookup_join
 
@@ -15,8 +16,11 @@ MOST = 2**31 - 1
 
 
 def words_between(df: DataFrame, col: str, low: int = 1, high: int | None = 30) -> DataFrame:
-    """Rows whose text has `low`..`high` words (None: any number above); a blank text has none."""
-    return df.filter(word_count(F.col(col)).between(low, MOST if high is None else high))
+    """Rows whose text has `low`..`high` words (None: any number above); a blank text has none.
+
+    The words are counted once for both limits; pushed down, each limit would clean the text by itself.
+    """
+    return df.filter(let(word_count(F.col(col)), lambda n: n.between(low, MOST if high is None else high)))
 
 
 def min_chars(df: DataFrame, col: str, above: int = 10) -> DataFrame:
