@@ -4,9 +4,12 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
+from textlode.llm.common import spread_join
 from textlode.llm.queries import QUERIES
 from textlode.llm.simhash import covering_masks, fingerprint, near_duplicates, near_links
+from textlode.sources.store import settle
 from tests.llm.brute import LOWER
 
 
@@ -115,3 +118,13 @@ def test_edges(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 fp", "2 a", "3 root", "4 _salt", "5 fixed")
     assert ordered(near_duplicates(frame).collect()) == ordered(plain(rows))
     assert near_duplicates(frame.limit(0)).collect() == []
+
+
+def test_copies_of_a_lookup_that_does_not_fit_are_never_broadcast(spark, plan):
+    rows = spark.range(400).select(F.col("id").alias("doc_id"), (F.col("id") % 3).alias("fp"))
+    named = settle(spark.createDataFrame([(0, 7), (1, 8)], "fp long, component_id long"))
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        joined = spread_join(rows, named, "fp", how, False)
+        # Spark takes the copies for as few bytes as the stored table.
+        assert "Broadcast" not in plan(joined) and "SortMergeJoin" in plan(joined)
+        assert ordered(joined.collect()) == ordered(spread_join(rows, named, "fp", how, True).collect())
