@@ -92,6 +92,14 @@ def test_hot_signatures_and_small_flushes(spark, monkeypatch):
     check(spark, rows)
 
 
+def test_a_large_lookup_of_components_is_merged(spark, monkeypatch, plan):
+    monkeypatch.setattr(partenum, "fits", lambda *_: False)
+    rows = variants(random.Random(4), 4, 6, 2)
+    check(spark, rows)
+    text = plan(jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert "_salt" in text and "Broadcast" not in text
+
+
 def test_edges(spark):
     long = " ".join(f"w{i % 7001}" for i in range(60_000))
     texts = [None, "", " \n\t", "one", "ONE", "one two three", "One  two\nthree", "a b c d", "a b c d e", long, long + " end", long]
