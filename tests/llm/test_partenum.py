@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from textlode.llm import partenum
 from textlode.llm.components import components
-from textlode.llm.partenum import Bands, jaccard_components, signatures
+from textlode.llm.partenum import Bands, jaccard_components, one_per_group, signatures
 from textlode.llm.queries import QUERIES
 from textlode.llm.shingles import shingle_sets, words
 
@@ -100,6 +100,16 @@ def test_a_large_lookup_of_components_is_merged(spark, monkeypatch, plan):
     assert "_salt" in text and "Broadcast" not in text
 
 
+def test_a_large_lookup_of_copies_is_merged(spark, monkeypatch, plan):
+    rows = variants(random.Random(6), 4, 6, 2)
+    docs = spark.createDataFrame([*rows, rows[0]], "doc_id long, text string")
+    want = sorted(map(tuple, one_per_group(docs).collect()))
+    monkeypatch.setattr(partenum, "fits", lambda *_: False)
+    kept = one_per_group(docs)
+    assert "_salt" in plan(kept) and "Broadcast" not in plan(kept)
+    assert len(want) < len(rows) and sorted(map(tuple, kept.collect())) == want
+
+
 def test_edges(spark):
     long = " ".join(f"w{i % 7001}" for i in range(60_000))
     texts = [None, "", " \n\t", "one", "ONE", "one two three", "One  two\nthree", "a b c d", "a b c d e", long, long + " end", long]
